@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe_text, packing, token_counts, token_files
+from corpusloom.llm import bpe_text, jaccard, langid, lm_score, packing, quality, shards, token_counts, token_files, topk
 from corpusloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -18,6 +18,26 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_size_tiered_shards(spark, sf_dir):
+    return shards.sharded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_ngram_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024)
@@ -28,11 +48,21 @@ def op6_simple8b_token_files(spark, sf_dir):
     return token_files.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op7_distribution_divergence(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_counts(spark, sf_dir):
     return token_counts.count(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op9_lattice_likelihood(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op10_bpe_segment_tree(spark, sf_dir):
     return bpe_text.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))

@@ -79,7 +79,7 @@ def map_rows(df: DataFrame, function: Callable[[Iterator[dict]], Iterator[dict]]
 
     def run(batches):
         for out in function(slices(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            yield pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, kinds)
 
