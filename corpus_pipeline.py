@@ -1,8 +1,52 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: language, quality, near duplicates, packing. Each stage reads what the one before has kept."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from corpusloom.llm import jaccard, langid, packing, quality, rows
+from corpusloom.llm.tokens import vocabulary
+
+#: Below this mean probability the network can't tell a text's language.
+MIN_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; it learns from the labelled rows of docs."""
+    return langid.known(docs, langid.fit(docs), MIN_SCORE)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor the distances from their language's references reject."""
+    boxed = docs.select(F.struct("*").alias("_row"), "doc_id", "lang", "text")
+    return quality.judged(boxed, ["_row"]).where("kept").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id; of its repeated rows one."""
+    found = jaccard.join(docs)
+    go = found.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("component_id") - F.col("doc_id")).alias("_gap"))
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("_text_size").desc()))
+    joined = docs.withColumn("_text_size", F.length("text")).join(go.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    numbered = joined.withColumn("_one", F.when(F.col("_gap").isNotNull(), one).otherwise(1))
+    return numbered.where((F.col("_gap").isNull() | (F.col("_gap") == 0)) & (F.col("_one") == 1)).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of what is left, in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), 1024)
+
+
+STAGES = [("language_id", language_id), ("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("best_fit_packing", best_fit_packing)]
+#: The language network and the packing search can't be put in SQL.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = rows.shared_dir(spark)
+    for name, stage in STAGES[:-1]:
+        docs = rows.saved(stage(spark, docs, sf_dir), f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
