@@ -2,25 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from corpusloom.plans import episode_queries, ledger_queries, table_queries
+from corpusloom.plans.registry import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = "ag1_count_by_key"
-
-
-def register(name: str, sql: str | None = None):
-    """Add the decorated (spark, sf_dir) function under a name, with the SQL that gives the same rows."""
-
-    def add(query):
-        QUERIES[name] = query
-        if sql is not None:
-            ORACLES[name] = sql
-        return query
-
-    return add
-
-
-@register("ag1_count_by_key", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
-def count_by_key(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n"))
+FLAGSHIP = "ep_view_counts"
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "episode_queries", "ledger_queries", "table_queries"]
