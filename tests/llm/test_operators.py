@@ -1,0 +1,290 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from cases import TEXTS, frame
+
+from corpusloom.llm import jaccard, langid, lattice, lm_score, quality, queries, rows, shards, topk
+from corpusloom.llm.tokens import vocabulary
+
+WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+def words(text):
+    return WORD.findall((text or "").encode().lower())
+
+
+# --- exact top-k
+
+
+def brute_topk(rows_, k, every):
+    v = {}
+    for i, x in rows_:
+        if i is None or x is None or any(e is None or not math.isfinite(e) for e in x):
+            continue
+        w = [math.floor(64 * float(e)) for e in x]
+        v[i] = min(v.get(i, w), w)
+    out = set()
+    for q, x in v.items():
+        if q % every == 0:
+            s = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in v.items() if i != q and len(y) == len(x))
+            out |= {(q, r, i, -n) for r, (n, i) in enumerate(s[:k], 1)}
+    return out
+
+
+def test_topk_brute(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    got = {tuple(r) for r in topk.search(df).select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == brute_topk([(r.vec_id, r.embedding) for r in df.collect()], 20, 20)
+
+
+def test_topk_awkward(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROW_BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(topk, "MERGE", 2)
+    rng = np.random.default_rng(3)
+    data = [(i, [float(x) for x in rng.normal(0, 3, 8)]) for i in range(300)]
+    data += [(400 + i, [1.0] * 8) for i in range(60)] + [(500, None), (501, [None] * 8), (502, [math.nan] * 8), (503, [math.inf] * 8), (None, [1.0] * 8), (20, data[20][1]), (540, [1e9] * 8), (560, [0.5] * 3), (561, [])]
+    df = spark.createDataFrame([(i, x, "extra") for i, x in data], "vec_id long, embedding array<float>, block string")
+    clean = [(i, None if x is None else [None if e is None else float(np.float32(e)) for e in x]) for i, x in data]
+    got = {tuple(r) for r in topk.search(df, 5, 20).select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == brute_topk(clean, 5, 20)
+    assert topk.search(df.limit(0)).count() == 0
+
+
+# --- shards
+
+
+def test_shards_hold_every_document(spark, sf):
+    for df in (frame(spark), spark.read.parquet(f"{sf}/documents.parquet")):
+        got = shards.sharded(df, target=20_000, arrival_rows=3).collect()
+        want = Counter((r.doc_id, zlib.crc32(r.text.encode()) if r.text is not None else None) for r in df.collect())
+        assert Counter((r.doc_id, r.text_crc32) for r in got) == want
+        files = defaultdict(list)
+        for r in got:
+            files[r.run, r.file].append(r)
+        for x in files.values():
+            assert {r.shard_docs for r in x} == {len(x)} and {r.shard_bytes for r in x} == {sum(r.n_bytes for r in x)}
+        assert {r.version for r in got} == {1}
+    assert shards.sharded(frame(spark, [])).count() == 0
+
+
+def brute_plan(sizes, target, fan_in, tiers):
+    tier = lambda b: sum(b >= target / fan_in ** (tiers - t) for t in range(1, tiers + 1))
+    runs = {i: (b, [i], tier(b)) for i, b in sizes.items()}
+    for t in range(tiers):
+        here = sorted(i for i in runs if runs[i][2] == t)
+        for at in range(0, len(here) - fan_in + 1, fan_in):
+            found = [(i, runs.pop(i)) for i in here[at : at + fan_in]]
+            b = sum(x[0] for _, x in found)
+            runs[found[0][0]] = (b, sorted(a for _, x in found for a in x[1]), max(tier(b), t + 1))
+    return runs
+
+
+def test_plan_and_manifest(spark):
+    rng = np.random.default_rng(5)
+    sizes = {i: int(x) for i, x in enumerate(rng.integers(1, 900, 101))}
+    df = spark.createDataFrame([(i, b, [i]) for i, b in sizes.items()], "run long, n_bytes long, arrivals array<long>")
+    got = {r.run: (r.n_bytes, r.arrivals, r.tier) for r in shards.plan(df, 1000, 4, 3).collect()}
+    assert got == brute_plan(sizes, 1000, 4, 3)
+    folder = rows.shared_dir(spark)
+    m = spark.range(1)
+    assert shards.latest(spark, folder) == 0
+    assert [shards.commit(spark, m, folder), shards.commit(spark, m, folder)] == [1, 2]
+    assert shards.manifest(spark, folder).first().version == 2 and shards.manifest(spark, folder, 1).first().version == 1
+
+
+# --- n-gram join
+
+
+def brute_join(rows_):
+    sets = {}
+    for d, t in rows_:
+        w = words(t)
+        sets[d] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    shared = defaultdict(list)
+    for d, s in sets.items():
+        for g in s:
+            shared[g].append(d)
+    overlap = Counter((min(a, b), max(a, b)) for x in shared.values() for i, a in enumerate(x) for b in x[:i])
+    for (a, b), o in overlap.items():
+        if 100 * o >= 80 * (len(sets[a]) + len(sets[b]) - o):
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    return {(d, len(s), find(d)) for d, s in sets.items()}
+
+
+def near_copies(rng, n, length=60):
+    base = [f"w{i}" for i in rng.integers(0, 500, length)]
+    out = []
+    for _ in range(n):
+        x = list(base)
+        for _ in range(int(rng.integers(0, 3))):
+            x[int(rng.integers(0, length))] = f"e{rng.integers(0, 10**6)}"
+        out.append(" ".join(x))
+    return out
+
+
+def test_join_brute(spark, sf):
+    rng = np.random.default_rng(11)
+    texts = near_copies(rng, 120) + near_copies(rng, 30, 400) + ["A  common line of six words\n" + " ".join(f"z{i}-{j}" for j in range(4)) for i in range(60)]
+    texts += [t.upper() for t in texts[:5]] + [" ".join(["chain"] + [f"c{j}" for j in range(k, k + 60)]) for k in range(0, 40, 3)] + [t for t in TEXTS if t is not None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert {tuple(r) for r in jaccard.join(df).select("doc_id", "n_shingles", "component_id").collect()} == brute_join(list(enumerate(texts)))
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    assert {tuple(r) for r in jaccard.join(df).select("doc_id", "n_shingles", "component_id").collect()} == brute_join([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_join_awkward(spark):
+    got = jaccard.join(frame(spark)).collect()
+    assert len(got) == len(TEXTS) + 3
+    by = {r.doc_id: r for r in got}
+    assert by[0].n_shingles == 0 and by[0].component_id == 0 and by[1].component_id == 1 and by[14].n_shingles == 1
+    assert [r.component_id for r in got if r.doc_id is None] == [None]
+    assert jaccard.join(frame(spark, [])).count() == 0
+
+
+# --- language
+
+
+def test_gradients():
+    p = langid.train([b"abc de"] * 2, ["x", "y"], steps=1)
+    p = {k: v.astype(float) for k, v in p.items() if k != "langs"}
+    rng = np.random.default_rng(0)
+    x, y = rng.integers(97, 105, (4, 6)), rng.integers(0, 2, 6)
+    _, g = langid.gradients(p, x, y)
+    for k in p:
+        at = np.unravel_index(np.argmax(abs(g[k])), g[k].shape)
+        up, down = ({n: v.copy() for n, v in p.items()} for _ in range(2))
+        up[k][at] += 1e-4
+        down[k][at] -= 1e-4
+        assert abs((langid.gradients(up, x, y)[0] - langid.gradients(down, x, y)[0]) / 2e-4 - g[k][at]) < 1e-5
+
+
+def test_language_held_out_accuracy(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id: r for r in langid.identify(df).collect()}
+    want = {r.doc_id: r.lang for r in df.collect()}
+    held = [d for d in want if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert {d for d, r in got.items() if r.held_out} == set(held)
+    assert np.mean([got[d].lang_pred == want[d] for d in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_awkward(spark):
+    got = langid.identify(frame(spark)).collect()
+    assert len(got) == len(TEXTS) + 3
+    und = {r.doc_id for r in got if r.lang_pred == "und"}
+    assert {0, 1, 2, 20} <= und and 3 not in und
+    none = frame(spark).selectExpr("doc_id", "text", "cast(null as string) lang")
+    assert {r.lang_pred for r in langid.identify(none).collect()} == {"und"}
+    assert langid.identify(frame(spark, [])).count() == 0
+
+
+# --- quality
+
+
+def brute_quality(text):
+    w = [x.decode() for x in WORD.findall((text or "").encode())]
+    seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    hit = {i + j for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for j in range(8)}
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)
+
+
+def jsd(p, q):
+    term = lambda a, m: a * math.log2(a / m) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum((term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2 for a, b in zip(p, q, strict=True))))
+
+
+def classes(text):
+    n = [0] * 7
+    for c in text:
+        kinds = ("a" <= c <= "z", "A" <= c <= "Z", "0" <= c <= "9", c in " \t\n\x0b\x0c\r", c in "#*$%&|<>", 33 <= ord(c) < 127, True)
+        n[kinds.index(True)] += 1
+    return n
+
+
+def test_quality_base_and_distance(spark, sf):
+    for df in (frame(spark), spark.read.parquet(f"{sf}/documents.parquet")):
+        data = df.collect()
+        got = quality.judged(df).collect()
+        assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == Counter((r.doc_id, *brute_quality(r.text)) for r in data)
+        assert not any(r.base_failed and r.kept for r in got)
+    refs = {}
+    for lang in {r.lang for r in data}:
+        own = [r.text for r in data if r.lang == lang]
+        c = Counter(w.decode().lower() for t in own for w in WORD.findall(t.encode()))
+        total = sum(c.values())
+        n = np.sum([classes(t) for t in own], 0)
+        refs[lang] = (n / n.sum(), {w: k / total for w, k in c.items() if len(w) < 6 and k >= 0.005 * total})
+    by = {r.doc_id: r for r in got}
+    for r in data[:80]:
+        ref, common = refs[r.lang]
+        n = classes(r.text)
+        assert abs(by[r.doc_id].class_distance - jsd([x / max(1, sum(n)) for x in n], ref)) < 1e-9
+        w = Counter(x.decode().lower() for x in WORD.findall(r.text.encode()))
+        size = max(1, sum(w.values()))
+        p = [w[c] / size for c in common]
+        q = list(common.values())
+        assert abs(by[r.doc_id].word_distance - jsd([*p, max(0.0, 1 - sum(p))], [*q, max(0.0, 1 - sum(q))])) < 1e-6
+
+
+def test_quality_empty(spark):
+    assert quality.judged(frame(spark, [])).count() == 0
+
+
+# --- language model
+
+
+def segmentations(word, log_p):
+    if not word:
+        return 1.0
+    return sum(math.exp(log_p[word[:n]]) * segmentations(word[n:], log_p) for n in range(1, len(word) + 1) if word[:n] in log_p)
+
+
+def test_lattice_brute():
+    pieces = [bytes([b]) for b in range(256)] + [b" a", b"ab", b" ab", b"bc", b"abc", b"c\xc3\xa9"]
+    rng = np.random.default_rng(2)
+    log_p = np.log(rng.dirichlet(np.ones(len(pieces))))
+    found = lattice.Lattice(pieces, log_p)
+    table = dict(zip(pieces, log_p, strict=True))
+    some = [b"a", b"abc", b"abcabc", b"bbab", "abcé".encode(), b"x"]
+    assert np.allclose(found.log_probs(some), [math.log(segmentations(b" " + w, table)) for w in some])
+    e = found.expected(some, np.array([1, 2, 3, 1, 1, 5]))
+    assert abs(sum(e[i] * len(p) for i, p in enumerate(pieces)) - sum((len(w) + 1) * c for w, c in zip(some, [1, 2, 3, 1, 1, 5], strict=True))) < 1e-9
+    assert found.log_probs([b"q" * 5000])[0] < 0
+
+
+def test_scores(spark, sf):
+    for df in (frame(spark), spark.read.parquet(f"{sf}/documents.parquet")):
+        data = df.collect()
+        out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+        c = Counter()
+        for r in data:
+            if not out(r.doc_id):
+                c.update([*words(r.text), b"<end>"])
+        n, v = sum(c.values()), len(c)
+        got = lm_score.score(df, vocabulary("piece_bpe_32k.model")).collect()
+        want = []
+        for r in data:
+            w = [*words(r.text), b"<end>"]
+            want.append((str(r.doc_id), out(r.doc_id), len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), 5)))
+        assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == sorted(want)
+        assert all(r.score < 0 for r in got)
+    assert lm_score.score(frame(spark, []), vocabulary("piece_bpe_32k.model")).count() == 0
+
+
+@pytest.mark.parametrize("n", range(1, 11))
+def test_registered(n):
+    assert any(k.startswith(f"op{n}_") for k in queries.QUERIES)
