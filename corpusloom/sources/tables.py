@@ -31,9 +31,9 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def csv_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, with quoted line feeds, and bytes that aren't UTF-8 replaced."""
+    """All columns as strings (empty where a row is short), with quoted line feeds, and bytes that aren't UTF-8 replaced."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
-    return df.select(*[F.make_valid_utf8(c).alias(c) for c in df.columns])
+    return df.select(*[F.coalesce(F.make_valid_utf8(c), F.lit("")).alias(c) for c in df.columns])
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,13 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
 from corpusloom.operators import checks, groups, joins
 
+FAILURES = (PySparkException, Py4JJavaError)
+
 DIFF = """diff --git a/docs/a.md b/docs/a.md
 index 111..222 100644
 --- a/docs/a.md
@@ -47,13 +50,13 @@ def test_prefixes(spark):
     v = spark.createDataFrame([("ABCDEF0",), ("deadbee",), ("abc",), ("n/a",), ("f" * 40,), (None,)], "value string")
     got = {r.value: r.resolved for r in joins.resolve_prefix(v, c).collect()}
     assert got == {"ABCDEF0": "abcdef0" + "1" * 33, "deadbee": None, "abc": None, "n/a": None, "f" * 40: "f" * 40, None: None}
-    with pytest.raises(PySparkException, match="ambiguous"):
+    with pytest.raises(FAILURES, match="ambiguous"):
         joins.resolve_prefix(spark.createDataFrame([("abcdef1",)], "value string"), c).collect()
 
 
 def test_history_conflict(spark):
     h = spark.createDataFrame([("c", "p", None, 0, 0), ("c", "q", None, 1, 0)], "commit string, patch string, reverts_commit string, source_pos int, line int")
-    with pytest.raises(PySparkException, match="conflicting"):
+    with pytest.raises(FAILURES, match="conflicting"):
         joins.merge_history(h).collect()
 
 
@@ -80,7 +83,7 @@ def test_gate_modes(spark):
 def test_windows_need_enough(spark):
     d = spark.createDataFrame([([1, 2, 3], 0), ([4, 5], 3)], "ids array<int>, start long")
     assert groups.windows(d, "ids", "start", 4, 1).first().ids == [1, 2, 3, 4]
-    with pytest.raises(PySparkException, match="too few"):
+    with pytest.raises(FAILURES, match="too few"):
         groups.windows(d, "ids", "start", 4, 2).collect()
 
 

@@ -1,15 +1,18 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from corpusloom.sources import tables
 
+FAILURES = (PySparkException, Py4JJavaError)
+
 
 def test_json_lines_strict(spark, tmp_path):
     good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
     good.write_text('{"a":1}\n\n{"a":2}\n')
     bad.write_text('{"a":1}\n{"a":\n')
     assert sorted(r.a for r in tables.json_lines(spark, f"file://{good}", "a long").collect()) == [1, 2]
-    with pytest.raises(PySparkException):
+    with pytest.raises(FAILURES):
         tables.json_lines(spark, f"file://{bad}", "a long").collect()
     assert tables.json_lines(spark, f"file://{tmp_path}/none.jsonl", "a long").count() == 0
 
@@ -48,7 +51,7 @@ def test_writes(spark, tmp_path):
     df, path = spark.createDataFrame([("x",)], "line string"), f"file://{tmp_path}/out"
     assert tables.write_if_changed(df, path) and not tables.write_if_changed(df, path)
     assert tables.write_if_changed(df.unionAll(df), path)
-    with pytest.raises(PySparkException):
+    with pytest.raises(FAILURES):
         tables.write_new(df, path)
     tables.check_only(df)
     tables.publish_pair(df, df, f"file://{tmp_path}/p1", f"file://{tmp_path}/p2")
