@@ -4,8 +4,10 @@ The global order of n-grams is cut into fragments. A fragment has its share of e
 more than one text has, and passes on only these: a text needs most of its n-grams shared to link with any other. Texts
 with one and the same set are one class from the start. Overlaps of two classes are counted in each fragment apart and summed
 per pair. Pairs are not listed within a group of classes that are linked already: (1) each n-gram of a prefix names one
-leader, and every class is compared with its leaders; (2) what is left are pairs of classes from different components.
-Both rounds count exactly, so that no two classes with a link stay in different components.
+leader, the most central class that has it, and every class is compared with its leaders; (2) what is left are pairs of
+classes from different components. Of those with one hub (the most central class that both were compared with), only pairs
+are looked at that could link by what each shares with the hub, or that have an n-gram in common that the hub lacks: any
+other pair overlaps in less than a link needs. So no two classes with a link stay in different components.
 """
 
 from __future__ import annotations
@@ -173,7 +175,7 @@ def _shared(dealt: DataFrame, bits: int) -> DataFrame:
     return rows.map_rows(dealt.repartition("f").sortWithinPartitions("f"), run, "bucket long, f long, cls binary, n binary, ids binary, often binary")
 
 
-CLASSES = "doc_id long, n long, cls long, rep long, m long, part int, grams array<long>, prefix array<long>"
+CLASSES = "doc_id long, n long, cls long, rep long, m long, central double, part int, grams array<long>, prefix array<long>"
 
 
 def _classes(shared: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +195,7 @@ def _classes(shared: DataFrame, percent: int) -> DataFrame:
             np.minimum.at(rep, which, doc)
             yield {
                 "doc_id": [None if d == NO_DOC else d for d in doc.tolist()], "n": doc_n.tolist(), "cls": doc_cls.view(np.int64).tolist(), "rep": [None if r == NO_DOC else r for r in rep[which].tolist()],
-                "m": [None] * len(doc), "part": [None] * len(doc), "grams": [None] * len(doc), "prefix": [None] * len(doc),
+                "m": [None] * len(doc), "central": [None] * len(doc), "part": [None] * len(doc), "grams": [None] * len(doc), "prefix": [None] * len(doc),
             }
             if not grams:
                 continue
@@ -207,29 +209,33 @@ def _classes(shared: DataFrame, percent: int) -> DataFrame:
             kept = able[cls]
             cls, ids, often = cls[kept], ids[kept], often[kept]
             order = np.lexsort((ids, often, cls))
-            cls, ids = cls[order], ids[order]
+            cls, ids, often = cls[order], ids[order], often[order]
             cuts = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]])).tolist() + [len(cls)] if len(cls) else []
-            out = {k: [] for k in ("doc_id", "n", "cls", "rep", "m", "part", "grams", "prefix")}
+            out = {k: [] for k in ("doc_id", "n", "cls", "rep", "m", "central", "part", "grams", "prefix")}
             for a, b in zip(cuts, cuts[1:], strict=False):
                 k = int(cls[a])
                 total, mine, own = int(size[k]), int(m[k]), ids[a:b]
                 length = total - -(-percent * total // 100) + 1 - (total - mine)  # unshared n-grams come first in the order
+                central = float(often[a:b].sum()) / total
                 part_of = own % PARTS
                 for p in range(PARTS):
-                    for name, x in zip(out, (None, total, int(known[k].view(np.int64)), None, mine, p, np.sort(own[part_of == p]).tolist(), own[: max(0, length)].tolist() if p == 0 else None), strict=True):
+                    for name, x in zip(out, (None, total, int(known[k].view(np.int64)), None, mine, central, p, np.sort(own[part_of == p]).tolist(), own[: max(0, length)].tolist() if p == 0 else None), strict=True):
                         out[name].append(x)
             yield out
 
     return rows.map_rows(shared.repartition("bucket").sortWithinPartitions("bucket"), run, CLASSES)
 
 
-def _links(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """Pairs a < b (with na, nb) that link: overlaps counted in each part apart, then summed per pair."""
+def _overlaps(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """a, b, na, nb, o of pairs with an overlap: counted in each part apart, then summed per pair."""
     left = grams.select(F.col("cls").alias("a"), "part", F.col("grams").alias("ga"))
     right = grams.select(F.col("cls").alias("b"), "part", F.col("grams").alias("gb"))
     common = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("o"))
-    total = common.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return total.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    return common.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+
+
+def _links(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
 def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
@@ -240,6 +246,22 @@ def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where((F.col("x") != F.col("y")) & able).select(pick("y", "x").alias("a"), pick("x", "y").alias("b"), pick("ny", "nx").alias("na"), pick("nx", "ny").alias("nb")).distinct()
 
 
+def _side(labelled: DataFrame, s: str) -> DataFrame:
+    """One side of a join of labelled classes."""
+    names = {"gram": f"gram_{s}", "cls": s, "n": f"n{s}", "m": f"m{s}", "label": f"l{s}", "hub": f"hub_{s}", "with_hub": f"h{s}"}
+    return labelled.select(*[F.col(k).alias(v) for k, v in names.items()])
+
+
+def _beyond_hub(classes: DataFrame, grams: DataFrame, folder: str) -> DataFrame:
+    """For each class whose hub's classes are in several components, a row for each n-gram that its hub lacks."""
+    several = classes.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("hub")
+    open_ = classes.where("cls != hub").join(several, "hub")
+    own = open_.join(grams.select(F.col("cls").alias("_c"), "part", F.col("grams").alias("ga")), F.col("cls") == F.col("_c")).drop("_c")
+    hub = grams.select(F.col("cls").alias("_h"), F.col("part").alias("_p"), F.col("grams").alias("gb"))
+    found = own.join(hub, (F.col("hub") == F.col("_h")) & (F.col("part") == F.col("_p")))
+    return rows.saved(found.select("cls", "n", "m", "label", "hub", "with_hub", F.explode(F.array_except("ga", "gb")).alias("gram")), f"{folder}/beyond")
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id of each row.
 
@@ -255,21 +277,31 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     found = rows.saved(_classes(_shared(_dealt(docs, words, bits), bits), percent), f"{folder}/classes")
     members = found.where(F.col("part").isNull())
     grams = found.where(F.col("part").isNotNull())
-    prefix = rows.saved(grams.where(F.col("part") == 0).select("cls", "n", "m", F.explode("prefix").alias("gram")), f"{folder}/prefix")
-    leaders = prefix.groupBy("gram").agg(F.min(F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("alone"), F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"))).alias("lead"), F.count("*").alias("all"))
-    stars = prefix.join(leaders.where("all > 1").select("gram", "lead.*"), "gram").select("x", "nx", "mx", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("m").alias("my"))
-    stars = rows.saved(_ordered(stars, percent), f"{folder}/stars")
-    first = rows.saved(_links(stars, grams, percent), f"{folder}/links-1")
+    prefix = rows.saved(grams.where(F.col("part") == 0).select("cls", "n", "m", "central", F.explode("prefix").alias("gram")), f"{folder}/prefix")
+    lead = F.max(F.struct(F.col("central").alias("cx"), F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx")))
+    leaders = prefix.groupBy("gram").agg(lead.alias("lead"), F.count("*").alias("all")).where("all > 1").select("gram", "lead.*")
+    able = (100 + percent) * F.least("mx", "my") >= percent * (F.col("nx") + F.col("ny"))
+    stars = prefix.join(leaders, "gram").select("x", "nx", "mx", "cx", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("central").alias("cy")).where((F.col("x") != F.col("y")) & able).distinct()
+    stars = rows.saved(stars, f"{folder}/stars")
+    compared = rows.saved(_overlaps(_ordered(stars, percent), grams), f"{folder}/compared")
+    first = rows.saved(_links(compared, percent), f"{folder}/links-1")
     labels = components(first, f"{folder}/components-1")
+    # each class's hub: the most central class that it was compared with, or itself; and its overlap with the hub
+    mine = stars.groupBy(F.col("y").alias("cls")).agg(F.max(F.struct(F.col("cx").alias("c"), F.col("x").alias("hub"))).alias("h"), F.first("cy").alias("cy"))
+    mine = mine.where(F.col("h") > F.struct(F.col("cy").alias("c"), F.col("cls").alias("hub"))).select("cls", "h.hub")
+    hubs = mine.join(compared, (F.least("cls", "hub") == F.col("a")) & (F.greatest("cls", "hub") == F.col("b"))).select(F.col("cls").alias("_cls"), "hub", F.col("o").alias("with_hub"))
     labelled = prefix.join(labels, prefix["cls"] == labels["node"], "left").select("gram", "cls", "n", "m", F.coalesce("label", "cls").alias("label"))
     open_ = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("gram")
-    labelled = rows.saved(labelled.join(open_, "gram"), f"{folder}/open")
-    x = labelled.select("gram", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx"), F.col("label").alias("lx"))
-    y = labelled.select("gram", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("label").alias("ly"))
-    able = (100 + percent) * F.least("mx", "my") >= percent * (F.col("nx") + F.col("ny"))
-    across = _ordered(x.join(y, (x["gram"] == y["gram"]) & (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & able), percent)
-    across = across.join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    second = _links(rows.saved(across, f"{folder}/across"), grams, percent)
+    labelled = labelled.join(open_, "gram").join(hubs, F.col("cls") == F.col("_cls"), "left").select("gram", "cls", "n", "m", "label", F.coalesce("hub", "cls").alias("hub"), F.coalesce("with_hub", "n").alias("with_hub"))
+    labelled = rows.saved(labelled, f"{folder}/open")
+    # two classes of a hub link either within what both share with it, or have an n-gram in common that the hub lacks
+    within = (100 + percent) * F.least("hx", "hy") >= percent * (F.col("nx") + F.col("ny"))
+    by_prefix = _side(labelled, "x").join(_side(labelled, "y"), (F.col("gram_x") == F.col("gram_y")) & (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & able & ((F.col("hub_x") != F.col("hub_y")) | within))
+    beyond = _beyond_hub(labelled.drop("gram").distinct(), grams, folder)
+    by_rest = _side(beyond, "x").join(_side(beyond, "y"), (F.col("gram_x") == F.col("gram_y")) & (F.col("hub_x") == F.col("hub_y")) & (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & able)
+    across = _ordered(by_prefix, percent).unionByName(_ordered(by_rest, percent)).distinct()
+    across = across.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    second = _links(_overlaps(rows.saved(across, f"{folder}/across"), grams), percent)
     labels = components(first.unionByName(second), f"{folder}/components-2")
     reps = members.where("n > 0").groupBy("cls").agg(F.min("rep").alias("class_id"))
     placed = reps.join(labels, reps["cls"] == labels["node"], "left").select("cls", "class_id", F.coalesce("label", "cls").alias("label"))
