@@ -37,7 +37,7 @@ def _case(key: str, values: list[str]) -> str:
 COMMIT = "md5(CAST({0} AS STRING)) || substr(md5(CAST({0} + 1 AS STRING)), 1, 8)"
 #: A ledger: every order is a candidate with cells as they are found in ledgers.
 LEDGER = f"""SELECT o_orderkey AS pos, o_orderpriority AS campaign_id, CAST(o_custkey % 5 AS STRING) AS cycle, CAST(o_orderkey % 24 AS STRING) AS candidate,
- 'muse-cycle' || CAST(o_custkey % 3 AS STRING) || '-ledger' AS source_id,
+ 'run-cycle' || CAST(o_custkey % 3 AS STRING) || '-ledger' AS source_id,
  {_case("o_orderkey", ["' Accept: faster'", "'ACCEPTED'", "'reject: slower '", "' N/A '", "'Rejected'", "'open'"])} AS decision,
  {_case("o_orderkey", ["'pass'", "'Oracle FAIL at 3'", "'did not pass'", "'not-run'", "'unknown'", "'fine'", "NULL"])} AS oracle_result,
  {_case("o_custkey", ["'Fused GQA softmax'", "'SwiGLU tile'", "'q4 unpack'", "'plain loop'", "'DFlash2 sampling'", "'nvfp4 scale'"])} AS mechanism,
