@@ -16,6 +16,8 @@ ARRIVAL_ROWS = 1024
 FAN_IN = 4
 TIERS = 3
 TARGET_BYTES = 16 << 20
+#: Shards are written once and read often; arrivals and merged shards are there at the same time.
+CODEC = "zstd"
 #: Runs in a mapping that is sent to every task; beyond, the mapping is joined by a shuffle.
 SENT_RUNS = 200_000
 
@@ -23,7 +25,7 @@ SENT_RUNS = 200_000
 def append(docs: DataFrame, folder: str, arrival_rows: int = ARRIVAL_ROWS) -> DataFrame:
     """Write arrivals (arrival_rows doc_ids each; null ids are arrival -1) as they come, without a shuffle; returns what is there."""
     arrival = F.coalesce(F.floor(docs["doc_id"] / arrival_rows).cast("long"), F.lit(-1).cast("long"))
-    docs.withColumn("_arrival", arrival).write.mode("append").partitionBy("_arrival").parquet(f"{folder}/arrivals")
+    docs.withColumn("_arrival", arrival).write.mode("append").option("compression", CODEC).partitionBy("_arrival").parquet(f"{folder}/arrivals")
     schema = docs.schema.add("_arrival", "long")
     return docs.sparkSession.read.schema(schema).parquet(f"{folder}/arrivals")
 
@@ -86,7 +88,7 @@ def compact(arrived: DataFrame, folder: str, target: int = TARGET_BYTES, fan_in:
         to = F.broadcast(to)
     # a run above the target, or one swollen by a repeated id, is dealt over its files by content
     placed = arrived.join(to, "_arrival").withColumn("_file", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.col("_files")).cast("int")).drop("_arrival", "_files")
-    placed.repartition("_run", "_file").write.mode("overwrite").partitionBy("_run", "_file").parquet(f"{folder}/shards")
+    placed.repartition("_run", "_file").write.mode("overwrite").option("compression", CODEC).partitionBy("_run", "_file").parquet(f"{folder}/shards")
     schema = placed.schema
     written = spark.read.schema(schema).parquet(f"{folder}/shards")
     size = F.coalesce(F.octet_length("text"), F.lit(0))
