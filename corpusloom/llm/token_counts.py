@@ -15,11 +15,11 @@ class ByteSpans(tokens.ByteIds):
     """Spans of tokens in characters: pairs of signed 32-bit numbers in place of ids, from the start of the text."""
 
     def _merge(self, words):
-        tokenize, signs = self.model.tokenize, self.signs
+        tokenize = self.model.tokenize
         out = []
         for w in words:
             raw = w.encode()
-            ends = np.cumsum([len(t.value) for t in tokenize(raw.decode("latin-1").translate(signs))])
+            ends = np.cumsum([len(t.value) for t in tokenize(self.signed(w))])
             spans = np.empty((len(ends), 2), "<i4")
             starts = np.concatenate([[0], ends[:-1]])
             if len(raw) == len(w):
@@ -34,9 +34,9 @@ class ByteSpans(tokens.ByteIds):
         return np.array(self.library.encode(text, add_special_tokens=False).offsets, "<i4").reshape(-1, 2)
 
     def _encode(self, keys):
-        cut, plain, out = self.cut, tokens.PLAIN.match, []
+        out = []
         texts = [self.text(k).decode("utf-8", "replace") for k in keys]
-        words = [cut(t) if plain(t) else None for t in texts]
+        words = self._words(texts)
         known = self.words.learn(filter(None, words))
         for t, w in zip(texts, words, strict=True):
             if w is None:

@@ -64,18 +64,44 @@ class Ids:
         self.memo, self.words = chunks.Memo(self._encode), chunks.Memo(self._merge)
 
     def _merge(self, words: list[str]) -> list[bytes]:
-        tokenize, signs = self.model.tokenize, self.signs
-        return [array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(signs))]).tobytes() for w in words]
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(self.signed(w))]).tobytes() for w in words]
+
+    def signed(self, word: str) -> str:
+        """A word's bytes in the vocabulary's signs."""
+        if word.isascii():
+            return word.replace(" ", "Ġ").replace("\n", "Ċ")
+        return word.encode().decode("latin-1").translate(self.signs)
+
+    def _words(self, texts: list[str]) -> list[list[str] | None]:
+        """Each chunk's words; None for a chunk that the whole library must cut. Letters alone, or before one mark, need no pattern."""
+        cut, plain, out = self.cut, PLAIN.match, []
+        for t in texts:
+            lead = t[:1] if t[:1] == " " or t[:1] == "\n" else ""
+            body = t[len(lead) :]
+            if body and max(body) < "\u0250":
+                if body.isalpha():
+                    out.append([t] if lead != "\n" else [lead, body])
+                    continue
+                if body[:-1].isalpha() and body[-1] in ".,;:!?":
+                    out.append([t[:-1], body[-1]] if lead != "\n" else [lead, body[:-1], body[-1]])
+                    continue
+            out.append(cut(t) if plain(t) else None)
+        return out
 
     def _encode(self, keys: list[bytes]) -> list[bytes]:
-        cut, plain = self.cut, PLAIN.match
         texts = [self.text(k).decode("utf-8", "replace") for k in keys]
-        if self.lower:
-            words = [cut(t.lower()) if plain(t) else None for t in texts]
-        else:
-            words = [cut(t) if plain(t) else None for t in texts]
+        words = self._words([t.lower() for t in texts] if self.lower else texts)
         known = self.words.learn(filter(None, words))
-        return [self.whole(t) if w is None else b"".join([known[x] for x in w]) for t, w in zip(texts, words, strict=True)]
+        out = []
+        for t, w in zip(texts, words, strict=True):
+            if w is None:
+                out.append(self.whole(t))
+            elif len(w) == 1:
+                out.append(known[w[0]])
+            else:
+                out.append(b"".join([known[x] for x in w]))
+        return out
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
