@@ -23,7 +23,13 @@ COMMON_CHARS, COMMON_SHARE = 6, 0.005
 LANGUAGE_SHARE = 0.001
 #: Texts with fewer words are not judged by distance.
 GUARD_WORDS = 50
+#: The word distance of a text of one repeated common word or symbol is above MAX_WORD_DISTANCE; that of a text without any isn't.
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.32, 0.50
+#: So the common words of letters alone are judged apart, as '|' of junk rows can be a common word. Clean texts of n words stay
+#: below LETTER_BASE + LETTER_NOISE / sqrt(n); the limit is never above this part of the distance of a text without common words,
+#: and holds where a text of its length would have EXPECTED_COMMON of them.
+LETTERS = r"^[\p{L}\p{M}]+$"
+LETTER_BASE, LETTER_NOISE, LETTER_PART, EXPECTED_COMMON = 0.10, 1.3, 0.95, 7
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "mark", "other")
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _MARK = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in SYMBOLS)
@@ -73,7 +79,7 @@ def measured(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """lang (null: all texts), common array<struct<word, share>>: at most 1/LANGUAGE_SHARE + 1 rows of at most 1/COMMON_SHARE words."""
+    """lang (null: all texts), common array<struct<word, share, letters>>: at most 1/LANGUAGE_SHARE + 1 rows of at most 1/COMMON_SHARE words."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     words = docs.select(docs["lang"].cast("string").alias("lang"), F.explode(F.split(F.lower(text), "[ \\t\\n\\x0B\\f\\r]+")).alias("word")).where(F.col("word") != "")
     # long words are counted as one, so that what is shuffled doesn't grow with the vocabulary
@@ -86,7 +92,7 @@ def common_words(docs: DataFrame) -> DataFrame:
     sums = sums.where(F.col("_of").isNull() | (F.col("all") >= total * LANGUAGE_SHARE))
     common = counted.where(F.col("word").isNotNull()).join(F.broadcast(sums), F.col("lang").eqNullSafe(F.col("_of"))).where(F.col("n") >= COMMON_SHARE * F.col("all"))
     found = common.groupBy("_of").agg(F.array_sort(F.collect_list(F.struct((-(F.col("n") / F.col("all"))).alias("less"), "word"))).alias("found"))
-    return found.select(F.col("_of").alias("lang"), F.transform("found", lambda f: F.struct(f["word"].alias("word"), (-f["less"]).alias("share"))).alias("common"))
+    return found.select(F.col("_of").alias("lang"), F.transform("found", lambda f: F.struct(f["word"].alias("word"), (-f["less"]).alias("share"), F.rlike(f["word"], F.lit(LETTERS)).alias("letters"))).alias("common"))
 
 
 def class_shares(measured_: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def _distance(p: Column, q: Column) -> Column:
 
 
 def judged(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
-    """Base figures, class_distance, word_distance, base_failed and kept of each row.
+    """Base figures, class_distance, word_distance, letter_distance, base_failed and kept of each row.
 
     Null or blank text has no words and fails the base rule. A null or rare lang is judged by the references of all texts. Texts
     with fewer than GUARD_WORDS words pass the distances. Repeated rows give repeated rows; an empty table gives none.
@@ -119,23 +125,27 @@ def judged(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
     folder = rows.shared_dir(docs.sparkSession)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     rest = lambda a: F.concat(a, F.array(F.greatest(F.lit(0.0), 1 - total(a))))
-    m, every = _with_own(measured(docs, also), rows.saved(common_words(docs), f"{folder}/common"), "common", "array<struct<word:string,share:double>>")
+    m, every = _with_own(measured(docs, also), rows.saved(common_words(docs), f"{folder}/common"), "common", "array<struct<word:string,share:double,letters:boolean>>")
     m = m.withColumns({"_common": F.coalesce("_own", every), "_pad": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))}).drop("_own", "_words")
     # shares of common words, found as bytes between spaces
     left = F.transform("_common", lambda c: F.octet_length(F.replace(F.col("_pad"), F.concat(F.lit(" "), c["word"], F.lit(" ")), F.lit(""))))
     m = m.withColumns({"_left": left, "_size": F.octet_length("_pad")}).drop("_pad")
     shares = F.zip_with("_common", "_left", lambda c, x: (F.col("_size") - x) / (F.octet_length(c["word"]) + 2) / F.greatest(F.col("n_words"), F.lit(1)))
-    m = m.withColumns({"_w": shares, "_q": F.transform("_common", lambda c: c["share"])}).drop("_left", "_size", "_common")
-    m = m.withColumns({"_w": rest("_w"), "_q": rest("_q")})
-    m = m.withColumn("word_distance", _distance(F.col("_w"), F.col("_q"))).drop("_w", "_q")
+    m = m.withColumns({"_w": shares, "_q": F.transform("_common", lambda c: c["share"])}).drop("_left", "_size")
+    lettered = lambda a: F.zip_with(a, "_common", lambda x, c: F.when(c["letters"], x).otherwise(0.0))
+    m = m.withColumns({"_lw": lettered("_w"), "_lq": lettered("_q")}).drop("_common").withColumn("_expected", F.col("n_words") * total("_lq"))
+    m = m.withColumns({"_none": rest(F.transform("_lq", lambda x: F.lit(0.0))), "_w": rest("_w"), "_q": rest("_q"), "_lw": rest("_lw"), "_lq": rest("_lq")})
+    m = m.withColumns({"word_distance": _distance(F.col("_w"), F.col("_q")), "letter_distance": _distance(F.col("_lw"), F.col("_lq")), "_none": _distance(F.col("_none"), F.col("_lq"))})
+    limit = F.least(LETTER_BASE + LETTER_NOISE / F.sqrt(F.greatest("n_words", F.lit(1))), LETTER_PART * F.col("_none"))
+    m = m.withColumn("_foreign", (F.col("_expected") >= EXPECTED_COMMON) & (F.col("letter_distance") > limit)).drop("_w", "_q", "_lw", "_lq", "_none", "_expected")
     # written once: the classes' references are sums over it, and a filter on the verdict stays apart from the figures
     m = rows.saved(m, f"{folder}/measured")
     m, every = _with_own(m, rows.saved(class_shares(m), f"{folder}/classes"), "classes", "array<double>")
     size = F.greatest(F.lit(1), F.aggregate("_classes", F.lit(0), lambda s, x: s + x))
     m = m.withColumn("_ref", F.coalesce("_own", every)).withColumn("_p", F.transform("_classes", lambda x: x / size))
     m = m.withColumn("class_distance", _distance(F.col("_p"), F.col("_ref")))
-    far = (F.col("n_words") >= GUARD_WORDS) & ((F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE))
-    return m.select("doc_id", *(also or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"))
+    far = (F.col("n_words") >= GUARD_WORDS) & ((F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE) | F.col("_foreign"))
+    return m.select("doc_id", *(also or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "letter_distance", (~F.col("base_failed") & ~far).alias("kept"))
 
 
 def _with_own(m: DataFrame, refs: DataFrame, column: str, kind: str) -> tuple[DataFrame, Column]:

@@ -240,6 +240,21 @@ def test_quality_base_and_distance(spark, sf):
         assert abs(by[r.doc_id].word_distance - jsd([*p, max(0.0, 1 - sum(p))], [*q, max(0.0, 1 - sum(q))])) < 1e-6
 
 
+def test_quality_rejects_text_without_common_words(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = docs.join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1"), "doc_id").select("doc_id", "text", "lang")
+    clean = clean.where("size(split(text, ' ')) >= 100")
+    foreign = clean.where("lang in ('de', 'es')").selectExpr("doc_id + 10000 doc_id", "text", "'en' lang")
+    rng = np.random.default_rng(8)
+    bare = [(90000 + i, " ".join("".join(chr(c) for c in rng.integers(97, 123, rng.integers(3, 9))) for _ in range(60 * (i + 1))), "en") for i in range(5)]
+    got = quality.judged(docs.select("doc_id", "text", "lang").unionByName(foreign).unionByName(spark.createDataFrame(bare, "doc_id long, text string, lang string"))).collect()
+    wrong = [r for r in got if r.doc_id >= 10000 and r.n_words >= quality.GUARD_WORDS]
+    assert len(wrong) > 10 and not any(r.base_failed or r.class_distance > quality.MAX_CLASS_DISTANCE for r in wrong)
+    assert not any(r.kept for r in wrong)
+    own = {r.doc_id for r in clean.collect()}
+    assert sum(not r.kept for r in got if r.doc_id in own) <= 0.03 * len(own)
+
+
 def test_quality_empty(spark):
     assert quality.judged(frame(spark, [])).count() == 0
 
