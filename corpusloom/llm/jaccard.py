@@ -7,7 +7,8 @@ per pair. Pairs are not listed within a group of classes that are linked already
 leader, the most central class that has it, and every class is compared with its leaders; (2) what is left are pairs of
 classes from different components. Of those with one hub (the most central class that both were compared with), only pairs
 are looked at that could link by what each shares with the hub, or that have an n-gram in common that the hub lacks: any
-other pair overlaps in less than a link needs. So no two classes with a link stay in different components.
+other pair overlaps in less than a link needs. So no two classes with a link stay in different components. Then the links of
+every class are counted: all pairs of a component's classes are compared, in blocks of classes whose n-grams fit a matrix.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ WORDS, PERCENT = 5, 80
 FLUSH, FRAGMENT = 2_000_000, 2_000_000
 #: Fragments of the order in which the overlaps of a pair are counted.
 PARTS = 4
+#: N-grams of a block of a component's classes, two of which are compared at a time; columns of a matrix that counts overlaps.
+BLOCK, COLUMNS = 65_536, 8192
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 NO_DOC = np.iinfo(np.int64).max
 
@@ -262,11 +265,62 @@ def _beyond_hub(classes: DataFrame, grams: DataFrame, folder: str) -> DataFrame:
     return rows.saved(found.select("cls", "n", "m", "label", "hub", "with_hub", F.explode(F.array_except("ga", "gb")).alias("gram")), f"{folder}/beyond")
 
 
+def linked(a, b, percent: int) -> np.ndarray:
+    """Which classes of block a link with which of block b (matrix of booleans); a block is sizes and arrays of n-grams."""
+    (na, ga), (nb, gb) = a, b
+    ids, column = np.unique(np.concatenate([*ga, *gb]), return_inverse=True)
+    row = np.repeat(np.arange(len(ga) + len(gb)), [len(x) for x in (*ga, *gb)])
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    overlap = np.zeros((len(ga), len(gb)), np.float32)
+    for at in range(0, len(ids), COLUMNS):
+        lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+        has = np.zeros((len(ga) + len(gb), min(COLUMNS, len(ids) - at)), np.float32)
+        has[row[lo:hi], column[lo:hi] - at] = 1
+        overlap += has[: len(ga)] @ has[len(ga) :].T
+    o = overlap.astype(np.int64)
+    return (o > 0) & (100 * o >= percent * (np.asarray(na)[:, None] + np.asarray(nb)[None, :] - o))
+
+
+def _block(items: list[dict]):
+    """Classes, sizes and n-grams of a block, from its rows (a class has one for each part)."""
+    held: dict = {}
+    for x in items:
+        held.setdefault(x["cls"], (x["n"], []))[1].extend(x["grams"])
+    return list(held), [n for n, _ in held.values()], [np.array(g, np.int64) for _, g in held.values()]
+
+
+def _link_counts(placed: DataFrame, grams: DataFrame, percent: int, folder: str) -> DataFrame:
+    """cls, n_links of each class that has links: each pair of blocks of a component is compared once."""
+    several = placed.where("n_classes > 1").select(F.col("cls").alias("_cls"), "label", F.ceil(F.col("n_grams") / BLOCK).cast("int").alias("blocks"))
+    items = grams.join(several, F.col("cls") == F.col("_cls")).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    blocks = rows.saved(items.groupBy("label", "blocks", "block").agg(F.collect_list(F.struct("cls", "n", "grams")).alias("items")), f"{folder}/blocks")
+    left = blocks.select("label", F.col("block").alias("i"), F.col("items").alias("left"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    right = blocks.where("block > 0").select("label", F.col("block").alias("j"), F.col("items").alias("right"), F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"))
+    pairs = left.where("i = j").select("left", F.lit(None).cast(blocks.schema["items"].dataType).alias("right")).unionByName(left.where("i < j").join(right, ["label", "i", "j"]).select("left", "right"))
+
+    def run(parts):
+        for part in parts:
+            out: dict = {"cls": [], "n_links": []}
+            for x, y in zip(part["left"], part["right"], strict=True):
+                cls, *a = _block(x)
+                other, *b = (cls, *a) if y is None else _block(y)
+                found = linked(a, b, percent)
+                if y is None:
+                    np.fill_diagonal(found, False)
+                for names, n in ((cls, found.sum(1)), ([] if y is None else other, found.sum(0))):
+                    out["cls"] += names
+                    out["n_links"] += n[: len(names)].tolist()
+            yield out
+
+    return rows.map_rows(pairs, run, "cls long, n_links long").groupBy("cls").agg(F.sum("n_links").alias("n_links"))
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id of each row.
+    """doc_id, n_shingles, component_id, class_id, n_links of each row.
 
     Texts link when 100 * overlap >= percent * union of their sets. component_id is the smallest doc_id that links reach,
-    class_id the smallest with the same set. Null, empty or blank text has an empty set, no link, and its own doc_id; a null
+    class_id the smallest with the same set, n_links the number of other sets that link with the row's own. Null, empty or blank text has an empty set, no link, and its own doc_id; a null
     doc_id has the ids of its component's others, if any. Repeated rows give repeated rows; an empty table gives none.
 
     N-grams are told apart by 64 bits within a text and by 32 bits and the fragment's number between texts.
@@ -303,9 +357,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     across = across.join(compared.select("a", "b"), ["a", "b"], "left_anti")
     second = _links(_overlaps(rows.saved(across, f"{folder}/across"), grams), percent)
     labels = components(first.unionByName(second), f"{folder}/components-2")
-    reps = members.where("n > 0").groupBy("cls").agg(F.min("rep").alias("class_id"))
-    placed = reps.join(labels, reps["cls"] == labels["node"], "left").select("cls", "class_id", F.coalesce("label", "cls").alias("label"))
-    least = placed.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    placed = placed.join(least, "label").select("cls", "class_id", "component_id")
-    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    return members.where("n > 0").join(placed, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id").unionByName(empty)
+    reps = members.where("n > 0").groupBy("cls").agg(F.min("rep").alias("class_id"), F.first("n").alias("_n"))
+    placed = reps.join(labels, reps["cls"] == labels["node"], "left").select("cls", "class_id", F.coalesce("label", "cls").alias("label"), "_n")
+    least = placed.groupBy("label").agg(F.min("class_id").alias("component_id"), F.count("*").alias("n_classes"), F.sum("_n").alias("n_grams"))
+    placed = rows.saved(placed.join(least, "label").select("cls", "label", "class_id", "component_id", "n_classes", "n_grams"), f"{folder}/placed")
+    counts = rows.saved(_link_counts(placed, grams, percent, folder), f"{folder}/counts")
+    placed = placed.join(counts, "cls", "left").select("cls", "class_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return members.where("n > 0").join(placed, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", "n_links").unionByName(empty)

@@ -145,6 +145,20 @@ def test_join_brute(spark, sf):
     assert {tuple(r) for r in jaccard.join(df).select("doc_id", "n_shingles", "component_id").collect()} == brute_join([(r.doc_id, r.text) for r in df.collect()])
 
 
+@pytest.mark.parametrize("block", [700, 65_536])
+def test_join_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = np.random.default_rng(12)
+    texts = near_copies(rng, 90) + near_copies(rng, 20, 300) + [" ".join(f"c{j}" for j in range(k, k + 60)) for k in range(0, 40, 3)] + ["alone in its own line here", "", None]
+    texts += texts[:4]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in map(words, texts)]
+    link = lambda a, b: a != b and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(link(s, x) for x in set(sets)) if s else 0 for i, s in enumerate(sets)}
+    assert sum(want.values()) > 2 * len(texts)
+    got = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+
+
 def test_join_awkward(spark):
     got = jaccard.join(frame(spark)).collect()
     assert len(got) == len(TEXTS) + 3
