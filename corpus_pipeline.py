@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import jaccard, langid, packing, quality, rows
@@ -24,13 +24,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; of its repeated rows one."""
-    found = jaccard.join(docs)
-    go = found.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("component_id") - F.col("doc_id")).alias("_gap"))
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("_text_size").desc()))
-    joined = docs.withColumn("_text_size", F.length("text")).join(go.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
-    numbered = joined.withColumn("_one", F.when(F.col("_gap").isNotNull(), one).otherwise(1))
-    return numbered.where((F.col("_gap").isNull() | (F.col("_gap") == 0)) & (F.col("_one") == 1)).select(*docs.columns)
+    """Of each group of linked rows the one with the smallest doc_id (null last), whether their ids differ or not; rows without
+    words all stay."""
+    numbered = rows.saved(docs.withColumn("_row", F.monotonically_increasing_id()), f"{rows.shared_dir(spark)}/numbered")
+    found = jaccard.grouped(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    best = found.where("n_shingles > 0").join(numbered.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
+    keep = best.unionByName(found.where("n_shingles = 0").select("_row"))
+    return numbered.join(keep, "_row", "left_semi").select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,6 +325,15 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
     N-grams are told apart by 64 bits within a text and by 32 bits and the fragment's number between texts.
     """
+    return _joined(docs, words, percent, True)
+
+
+def grouped(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of join without n_links, for callers that need the components alone."""
+    return _joined(docs, words, percent, False)
+
+
+def _joined(docs: DataFrame, words: int, percent: int, count_links: bool) -> DataFrame:
     spark = rows.prepare(docs.sparkSession)
     folder = rows.shared_dir(spark)
     bits = _bits(docs.count())
@@ -361,7 +370,10 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     placed = reps.join(labels, reps["cls"] == labels["node"], "left").select("cls", "class_id", F.coalesce("label", "cls").alias("label"), "_n")
     least = placed.groupBy("label").agg(F.min("class_id").alias("component_id"), F.count("*").alias("n_classes"), F.sum("_n").alias("n_grams"))
     placed = rows.saved(placed.join(least, "label").select("cls", "label", "class_id", "component_id", "n_classes", "n_grams"), f"{folder}/placed")
-    counts = rows.saved(_link_counts(placed, grams, percent, folder), f"{folder}/counts")
-    placed = placed.join(counts, "cls", "left").select("cls", "class_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return members.where("n > 0").join(placed, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", "n_links").unionByName(empty)
+    counted = ["n_links"] if count_links else []
+    if count_links:
+        counts = rows.saved(_link_counts(placed, grams, percent, folder), f"{folder}/counts")
+        placed = placed.join(counts, "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    placed = placed.select("cls", "class_id", "component_id", *counted)
+    empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), *[F.lit(0).cast("long").alias(c) for c in counted])
+    return members.where("n > 0").join(placed, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", *counted).unionByName(empty)

@@ -23,6 +23,14 @@ def test_near_duplicates_keep_one(spark, sf):
     assert got == sorted(d for d, _, c in brute_join([(r.doc_id, r.text) for r in docs.collect()]) if d == c)
 
 
+def test_near_duplicates_by_row(spark, sf):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    data = [(1, text("a")), (7, text("a") + " more"), (7, text("b")), (7, text("c") + " and longer"), (None, text("d")), (None, text("d")), (None, text("b")), (None, text("e")), (None, ""), (8, None)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(data, "doc_id long, text string").repartition(3), sf)
+    want = [(1, text("a")), (7, text("b")), (7, text("c") + " and longer"), (None, text("d")), (None, text("e")), (None, ""), (8, None)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_awkward_rows(spark, sf):
     docs = frame(spark)
     for _, stage in corpus_pipeline.STAGES:
