@@ -19,8 +19,11 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Words shorter than this in code points can be common words; those with this share of a language's words are.
 COMMON_CHARS, COMMON_SHARE = 6, 0.005
-#: Languages with this share of all texts have references of their own; the others use those of all texts.
-LANGUAGE_SHARE = 0.001
+#: Languages with so many texts have a reference of classes, and with so many words one of common words (at COMMON_SHARE, seen
+#: ten times); the rows of others, and of no language, are judged by the base rules alone.
+MIN_TEXTS, REFERENCE_WORDS = 10, 2000
+#: Languages whose references are sent to every task; of more, the references are joined by a shuffle, dealt to SALTS places.
+SENT_LANGUAGES, SALTS = 1000, 64
 #: Texts with fewer words are not judged by distance.
 GUARD_WORDS = 50
 #: The word distance of a text of one repeated common word or symbol is above MAX_WORD_DISTANCE; that of a text without any isn't.
@@ -78,32 +81,32 @@ def measured(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
     return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def common_words(docs: DataFrame) -> DataFrame:
-    """lang (null: all texts), common array<struct<word, share, letters>>: at most 1/LANGUAGE_SHARE + 1 rows of at most 1/COMMON_SHARE words."""
+def languages(docs: DataFrame) -> DataFrame:
+    """_of: the languages with at least MIN_TEXTS texts that aren't blank."""
+    found = docs.select(docs["lang"].cast("string").alias("_of"), F.trim(docs["text"].cast("string"), F.lit(SPACE)).alias("_text")).where("_of is not null and _text != ''")
+    return found.groupBy("_of").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_TEXTS).select("_of")
+
+
+def common_words(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """lang, common array<struct<word, share, letters>> of the known languages with enough words: at most 1/COMMON_SHARE words each."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     words = docs.select(docs["lang"].cast("string").alias("lang"), F.explode(F.split(F.lower(text), "[ \\t\\n\\x0B\\f\\r]+")).alias("word")).where(F.col("word") != "")
     # long words are counted as one, so that what is shuffled doesn't grow with the vocabulary
     words = words.groupBy("lang", F.when(F.length("word") < COMMON_CHARS, F.col("word")).alias("word")).agg(F.count("*").alias("n"))
     words = rows.saved(words, rows.shared_dir(docs.sparkSession))
-    counted = words.where("lang is not null").unionByName(words.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n"))
     # a language's sum and words stay apart from the word rows, of which one language may have most
-    sums = counted.groupBy(F.col("lang").alias("_of")).agg(F.sum("n").alias("all"))
-    total = words.agg(F.sum("n")).collect()[0][0] or 0
-    sums = sums.where(F.col("_of").isNull() | (F.col("all") >= total * LANGUAGE_SHARE))
-    common = counted.where(F.col("word").isNotNull()).join(F.broadcast(sums), F.col("lang").eqNullSafe(F.col("_of"))).where(F.col("n") >= COMMON_SHARE * F.col("all"))
+    sums = words.groupBy(F.col("lang").alias("_of")).agg(F.sum("n").alias("all")).where(F.col("all") >= REFERENCE_WORDS).join(known, "_of", "left_semi")
+    common = _beside(words.where(F.col("word").isNotNull()), sums.withColumn("_lang", F.col("_of")), "lang", "inner").where(F.col("n") >= COMMON_SHARE * F.col("all")).withColumnRenamed("_lang", "_of")
     found = common.groupBy("_of").agg(F.array_sort(F.collect_list(F.struct((-(F.col("n") / F.col("all"))).alias("less"), "word"))).alias("found"))
     return found.select(F.col("_of").alias("lang"), F.transform("found", lambda f: F.struct(f["word"].alias("word"), (-f["less"]).alias("share"), F.rlike(f["word"], F.lit(LETTERS)).alias("letters"))).alias("common"))
 
 
-def class_shares(measured_: DataFrame) -> DataFrame:
-    """lang (null: all texts), classes array<double>: shares of the character classes in each language's texts."""
+def class_shares(measured_: DataFrame, known: DataFrame) -> DataFrame:
+    """lang, classes array<double>: shares of the character classes in the texts of each known language."""
     sums = [F.sum(F.get("_classes", F.lit(i)).cast("long")).alias(c) for i, c in enumerate(CLASSES)]
-    by = measured_.groupBy("_lang").agg(F.count("*").alias("n_docs"), *sums)
-    total = by.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).collect()[0][0]
-    own = by.where(F.col("_lang").isNotNull() & (F.col("n_docs") >= total * LANGUAGE_SHARE)).select("_lang", *CLASSES)
-    every = by.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CLASSES]).select(F.lit(None).cast("string").alias("_lang"), *CLASSES)
+    own = measured_.groupBy(F.col("_lang").alias("_of")).agg(*sums).join(known, "_of", "left_semi")
     size = F.greatest(F.lit(1.0), sum(F.col(c).cast("double") for c in CLASSES))
-    return own.unionByName(every).select(F.col("_lang").alias("lang"), F.array(*[F.col(c) / size for c in CLASSES]).alias("classes"))
+    return own.select(F.col("_of").alias("lang"), F.array(*[F.col(c) / size for c in CLASSES]).alias("classes"))
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -113,20 +116,22 @@ def _term(p: Column, q: Column) -> Column:
 
 
 def _distance(p: Column, q: Column) -> Column:
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(p, q, _term), F.lit(0.0), lambda s, x: s + x)))
+    sum_ = F.aggregate(F.zip_with(p, q, _term), F.lit(0.0), lambda s, x: s + x)
+    return F.sqrt(F.when(sum_ < 0, 0.0).otherwise(sum_))
 
 
 def judged(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
     """Base figures, class_distance, word_distance, letter_distance, base_failed and kept of each row.
 
-    Null or blank text has no words and fails the base rule. A null or rare lang is judged by the references of all texts. Texts
-    with fewer than GUARD_WORDS words pass the distances. Repeated rows give repeated rows; an empty table gives none.
+    Null or blank text has no words and fails the base rule. Without a reference of its language (a null lang, or one
+    of few texts) a row has null distances and is judged by the base rules alone; it never gets a mixed reference. Texts with fewer than GUARD_WORDS words pass the distances. Repeated rows give repeated rows; an empty table gives none.
     """
     folder = rows.shared_dir(docs.sparkSession)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     rest = lambda a: F.concat(a, F.array(F.greatest(F.lit(0.0), 1 - total(a))))
-    m, every = _with_own(measured(docs, also), rows.saved(common_words(docs), f"{folder}/common"), "common", "array<struct<word:string,share:double,letters:boolean>>")
-    m = m.withColumns({"_common": F.coalesce("_own", every), "_pad": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))}).drop("_own", "_words")
+    known = rows.saved(languages(docs), f"{folder}/languages")
+    m = _with_own(measured(docs, also), rows.saved(common_words(docs, known), f"{folder}/common"), "common")
+    m = m.withColumns({"_common": F.col("_own"), "_pad": F.concat(F.lit(" "), F.lower(F.array_join("_words", "  ")), F.lit(" "))}).drop("_own", "_words")
     # shares of common words, found as bytes between spaces
     left = F.transform("_common", lambda c: F.octet_length(F.replace(F.col("_pad"), F.concat(F.lit(" "), c["word"], F.lit(" ")), F.lit(""))))
     m = m.withColumns({"_left": left, "_size": F.octet_length("_pad")}).drop("_pad")
@@ -140,17 +145,24 @@ def judged(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
     m = m.withColumn("_foreign", (F.col("_expected") >= EXPECTED_COMMON) & (F.col("letter_distance") > limit)).drop("_w", "_q", "_lw", "_lq", "_none", "_expected")
     # written once: the classes' references are sums over it, and a filter on the verdict stays apart from the figures
     m = rows.saved(m, f"{folder}/measured")
-    m, every = _with_own(m, rows.saved(class_shares(m), f"{folder}/classes"), "classes", "array<double>")
+    m = _with_own(m, rows.saved(class_shares(m, known), f"{folder}/classes"), "classes")
     size = F.greatest(F.lit(1), F.aggregate("_classes", F.lit(0), lambda s, x: s + x))
-    m = m.withColumn("_ref", F.coalesce("_own", every)).withColumn("_p", F.transform("_classes", lambda x: x / size))
+    m = m.withColumn("_ref", F.col("_own")).withColumn("_p", F.transform("_classes", lambda x: x / size))
     m = m.withColumn("class_distance", _distance(F.col("_p"), F.col("_ref")))
-    far = (F.col("n_words") >= GUARD_WORDS) & ((F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE) | F.col("_foreign"))
+    over = [F.col("class_distance") > MAX_CLASS_DISTANCE, F.col("word_distance") > MAX_WORD_DISTANCE, F.col("_foreign")]
+    far = (F.col("n_words") >= GUARD_WORDS) & F.greatest(*[F.coalesce(x, F.lit(False)) for x in over])
     return m.select("doc_id", *(also or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "letter_distance", (~F.col("base_failed") & ~far).alias("kept"))
 
 
-def _with_own(m: DataFrame, refs: DataFrame, column: str, kind: str) -> tuple[DataFrame, Column]:
-    """m with the reference of its language as _own, and that of all texts as a literal. Languages with a reference are few."""
-    from_json = refs.where("lang is null").select(F.to_json(column)).collect()
-    every = F.from_json(F.lit(from_json[0][0] if from_json else "[]"), kind)
-    own = refs.where("lang is not null").select(F.col("lang").alias("_of"), F.col(column).alias("_own"))
-    return m.join(F.broadcast(own), F.col("_lang") == F.col("_of"), "left").drop("_of"), every
+def _beside(m: DataFrame, refs: DataFrame, lang: str, how: str) -> DataFrame:
+    """m with the row of refs whose _of is its language."""
+    if refs.count() <= SENT_LANGUAGES:
+        return m.join(F.broadcast(refs), F.col(lang) == F.col("_of"), how).drop("_of")
+    dealt = refs.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    m = m.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+    return m.join(dealt, (F.col(lang) == F.col("_of")) & (F.col("_salt") == F.col("_place")), how).drop("_of", "_salt", "_place")
+
+
+def _with_own(m: DataFrame, refs: DataFrame, column: str) -> DataFrame:
+    """m with the reference of its language as _own, null where it has none."""
+    return _beside(m, refs.select(F.col("lang").alias("_of"), F.col(column).alias("_own")), "_lang", "left")

@@ -269,6 +269,20 @@ def test_quality_rejects_text_without_common_words(spark, sf):
     assert sum(not r.kept for r in got if r.doc_id in own) <= 0.03 * len(own)
 
 
+@pytest.mark.parametrize("sent", [1000, 0])
+def test_quality_judges_rare_languages_by_their_own(spark, monkeypatch, sent):
+    monkeypatch.setattr(quality, "SENT_LANGUAGES", sent)
+    many = spark.range(15000).selectExpr("id doc_id", "array_join(transform(sequence(1, 60), i -> concat('word', char(97 + i % 26), char(97 + (id + i) % 25))), ' ') text", "'en' lang")
+    rng = np.random.default_rng(9)
+    prose = [" ".join("".join(chr(c) for c in rng.integers(0x430, 0x450, rng.integers(3, 9))) for _ in range(100)) for _ in range(18)]
+    some = [(20000 + i, t, "ru" if i < 12 else None if i < 15 else "uk") for i, t in enumerate(prose)] + [(30000 + i, "7 " * 100, None) for i in range(2)]
+    some += [(40000, " ".join(f"{i}" for i in range(1000, 1100)), "ru")]
+    got = {r.doc_id: r for r in quality.judged(many.unionByName(spark.createDataFrame(some, "doc_id long, text string, lang string"))).where("doc_id >= 20000").collect()}
+    assert all(got[20000 + i].kept for i in range(18)) and not got[30000].kept
+    assert all(got[20000 + i].class_distance < 0.2 for i in range(12)) and all(got[20000 + i].class_distance is None for i in range(12, 18))
+    assert got[40000].class_distance > quality.MAX_CLASS_DISTANCE and not got[40000].kept
+
+
 def test_quality_empty(spark):
     assert quality.judged(frame(spark, [])).count() == 0
 
