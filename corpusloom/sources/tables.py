@@ -148,13 +148,14 @@ def child_id(parent: Column, path: Column) -> Column:
     return F.concat(parent, F.lit("-"), F.lower(F.replace(F.replace(path, F.lit("/"), F.lit("-")), F.lit("."), F.lit("-"))))
 
 
-def collected(rows: DataFrame, hosts: list[str], banned: list[str]) -> DataFrame:
-    """status and reason of declared (source_id, title, url) rows: allowed hosts only, without banned words."""
+def collected(rows: DataFrame, hosts: DataFrame, banned: list[str]) -> DataFrame:
+    """status and reason of declared (source_id, title, url) rows: hosts in the table (host) only, without banned words."""
     host = F.lower(F.parse_url("url", F.lit("HOST")))
     text = F.lower(F.concat_ws(" ", "title", "url"))
     word = F.coalesce(*[F.when(text.contains(b), F.lit(b)) for b in banned], F.lit(None).cast("string"))
-    reason = F.when(host.isNull() | ~host.isin(hosts), "host").when(word.isNotNull(), F.concat(F.lit("word "), word))
-    return rows.withColumn("reason", reason).withColumn("status", F.when(reason.isNull(), "collected").otherwise("failed"))
+    rows = rows.join(hosts.select(F.col("host").alias("_host")).where("_host is not null").distinct(), host == F.col("_host"), "left")
+    reason = F.when(F.col("_host").isNull(), "host").when(word.isNotNull(), F.concat(F.lit("word "), word))
+    return rows.withColumn("reason", reason).withColumn("status", F.when(reason.isNull(), "collected").otherwise("failed")).drop("_host")
 
 
 def reusable(registry: DataFrame, objects: DataFrame, refresh: bool = False) -> DataFrame:

@@ -69,3 +69,12 @@ def test_canonical_and_report(spark):
 def test_reusable(spark):
     reg = spark.createDataFrame([("s", "u", "x", "collected"), ("t", "u", "y", "failed")], "source_id string, url string, sha256 string, status string")
     assert tables.reusable(reg, reg).count() == 1 and tables.reusable(reg, reg, refresh=True).count() == 0
+
+
+def test_collected_takes_every_allowed_host(spark, tmp_path):
+    from corpusloom.plans import table_queries
+
+    urls = "case when id < 3000 then concat('https://h1', id, '.org/x') when id < 3010 then 'https://h12.org/3' when id < 3020 then 'https://other.org/x' end"
+    spark.range(3030).selectExpr("id page_id", f"{urls} url", "'' html").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.status for r in table_queries.collected(spark, str(tmp_path)).collect()}
+    assert got == {i: "collected" if i < 3000 else "failed" for i in range(3030)}
