@@ -2,11 +2,15 @@
 
 Arrivals are appended as small immutable shards. Runs of one size tier are merged FAN_IN at a time, in order of arrival,
 tier after tier, and what reaches the target is cut into files of at most that size. A manifest version names the shards
-that count; it is written aside and renamed, so a reader sees the old or the new version.
+that count; it is written aside and renamed, so a reader sees the old or the new version. A later batch is planned together
+with the runs of the latest version: what merges is written to a folder of its own, other entries are carried over, and nothing
+that a version names is deleted or written again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +27,12 @@ SENT_RUNS = 200_000
 
 
 def append(docs: DataFrame, folder: str, arrival_rows: int = ARRIVAL_ROWS) -> DataFrame:
-    """Write arrivals (arrival_rows doc_ids each; null ids are arrival -1) as they come, without a shuffle; returns what is there."""
+    """Write arrivals (arrival_rows doc_ids each; null ids are arrival -1) as they come, without a shuffle; returns this batch."""
+    folder = f"{folder}/arrivals/{uuid.uuid4().hex}"
     arrival = F.coalesce(F.floor(docs["doc_id"] / arrival_rows).cast("long"), F.lit(-1).cast("long"))
-    docs.withColumn("_arrival", arrival).write.mode("append").option("compression", CODEC).partitionBy("_arrival").parquet(f"{folder}/arrivals")
+    docs.withColumn("_arrival", arrival).write.mode("append").option("compression", CODEC).partitionBy("_arrival").parquet(folder)
     schema = docs.schema.add("_arrival", "long")
-    return docs.sparkSession.read.schema(schema).parquet(f"{folder}/arrivals")
+    return docs.sparkSession.read.schema(schema).parquet(folder)
 
 
 def runs_of(arrived: DataFrame) -> DataFrame:
@@ -75,27 +80,61 @@ def latest(spark: SparkSession, folder: str) -> int:
 
 
 def manifest(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
-    """shard, run, tier, n_docs, n_bytes, path, version of a committed version (the latest if none is given)."""
+    """shard, run, file, written, tier, n_docs, n_bytes, path, version of a committed version (the latest if none is given)."""
     return spark.read.parquet(f"{folder}/manifests/v{version or latest(spark, folder):08d}")
 
 
+def documents(spark: SparkSession, folder: str, schema, entries: DataFrame) -> DataFrame:
+    """The documents (of that schema) in the shards that manifest entries name, with _run and _file."""
+    names = entries.select(F.col("written").alias("_written"), F.col("run").alias("_run"), F.col("file").alias("_file"))
+    if entries.count() <= SENT_RUNS:
+        names = F.broadcast(names)
+    stored = spark.read.schema(_stored(schema).add("_written", "string").add("_run", "long").add("_file", "integer")).parquet(f"{folder}/shards")
+    return stored.join(names, ["_written", "_run", "_file"], "left_semi").drop("_written")
+
+
+def _stored(schema):
+    return type(schema)([f for f in schema if f.name not in ("_arrival", "_written", "_run", "_file")])
+
+
 def compact(arrived: DataFrame, folder: str, target: int = TARGET_BYTES, fan_in: int = FAN_IN) -> DataFrame:
-    """Plan, rewrite every document once into its shard, and commit. Returns the rewritten documents with _run and _file."""
+    """Plan arrivals with the runs of the latest version, rewrite once what is new or merges, and commit.
+
+    Returns the rewritten documents with _run and _file. Arrivals come after all earlier runs, whatever their numbers.
+    """
     spark = arrived.sparkSession
-    runs = rows.saved(plan(runs_of(arrived), target, fan_in), f"{folder}/plan")
-    to = runs.select(F.explode("arrivals").alias("_arrival"), F.col("run").alias("_run"), F.ceil(F.greatest(F.col("n_bytes"), F.lit(1)) / target).cast("int").alias("_files"))
+    version = latest(spark, folder)
+    new, old, last = runs_of(arrived), None, None
+    if version:
+        old = manifest(spark, folder, version).drop("version")
+        last = old.agg(F.max("run")).collect()[0][0]
+    if last is not None:
+        new = rows.saved(new, f"{folder}/arrived-{version + 1:08d}")
+        after = last + 1 - (new.agg(F.min("run")).collect()[0][0] or 0)
+        arrived = arrived.withColumn("_arrival", F.col("_arrival") + after)
+        new = new.select((F.col("run") + after).alias("run"), "n_bytes", F.array(F.col("run") + after).alias("arrivals"))
+        new = new.unionByName(old.groupBy("run").agg(F.sum("n_bytes").alias("n_bytes")).select("run", "n_bytes", F.array("run").alias("arrivals")))
+    runs = rows.saved(plan(new, target, fan_in), f"{folder}/plan-{version + 1:08d}-{uuid.uuid4().hex}")
+    stays = F.lit(False) if last is None else (F.col("run") <= last) & (F.size("arrivals") == 1)
+    to = runs.where(~stays).select(F.explode("arrivals").alias("_arrival"), F.col("run").alias("_run"), F.ceil(F.greatest(F.col("n_bytes"), F.lit(1)) / target).cast("int").alias("_files"))
+    if last is not None:
+        merged = old.join(to.select(F.col("_arrival").alias("run")), "run", "left_semi")
+        arrived = arrived.unionByName(documents(spark, folder, arrived.schema, merged).drop("_file").withColumnRenamed("_run", "_arrival"))
     if runs.count() <= SENT_RUNS:
         to = F.broadcast(to)
     # a run above the target, or one swollen by a repeated id, is dealt over its files by content
     placed = arrived.join(to, "_arrival").withColumn("_file", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.col("_files")).cast("int")).drop("_arrival", "_files")
-    placed.repartition("_run", "_file").write.mode("overwrite").option("compression", CODEC).partitionBy("_run", "_file").parquet(f"{folder}/shards")
-    schema = placed.schema
-    written = spark.read.schema(schema).parquet(f"{folder}/shards")
+    # a folder that no other version, writer or stopped run has
+    name = f"v{version + 1:08d}-{uuid.uuid4().hex}"
+    placed.repartition("_run", "_file").write.option("compression", CODEC).partitionBy("_run", "_file").parquet(f"{folder}/shards/_written={name}")
+    written = spark.read.schema(placed.schema).parquet(f"{folder}/shards/_written={name}")
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     files = written.groupBy("_run", "_file").agg(F.count("*").alias("n_docs"), F.sum(size).cast("long").alias("n_bytes"))
     entries = files.join(runs.select(F.col("run").alias("_run"), "tier"), "_run").select(
-        F.concat_ws("-", "_run", "_file").alias("shard"), F.col("_run").alias("run"), F.col("_file").alias("file"), "tier", "n_docs", "n_bytes", F.format_string("shards/_run=%d/_file=%d", "_run", "_file").alias("path")
+        F.concat_ws("-", "_run", "_file").alias("shard"), F.col("_run").alias("run"), F.col("_file").alias("file"), F.lit(name).alias("written"), "tier", "n_docs", "n_bytes", F.format_string(f"shards/_written={name}/_run=%d/_file=%d", "_run", "_file").alias("path")
     )
+    if last is not None:
+        entries = entries.unionByName(old.join(runs.where(stays).select("run"), "run", "left_semi"))
     commit(spark, entries, folder)
     return written
 

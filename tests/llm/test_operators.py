@@ -97,6 +97,29 @@ def test_plan_and_manifest(spark):
     assert shards.manifest(spark, folder).first().version == 2 and shards.manifest(spark, folder, 1).first().version == 1
 
 
+def test_shards_merge_batches(spark):
+    folder = rows.shared_dir(spark)
+    text = lambda n: "x" * (20 + (n or 0) % 7)
+    batches = [[(i, text(i)) for i in ids] for ids in (range(40), [*range(30, 70), None], range(5), range(100, 400))]
+    seen, kept = [], {}
+    for version, batch in enumerate(batches, 1):
+        arrived = shards.append(spark.createDataFrame(batch, "doc_id long, text string"), folder, 4)
+        shards.compact(arrived, folder, 1000, 4)
+        assert shards.latest(spark, folder) == version
+        seen = seen + batch
+        kept[version] = list(seen)
+    carried = False
+    for version, want in kept.items():
+        m = shards.manifest(spark, folder, version)
+        got = shards.documents(spark, folder, arrived.schema, m).collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+        found = m.collect()
+        assert Counter((r._run, r._file) for r in got) == Counter({(r.run, r.file): r.n_docs for r in found})
+        assert all(n < 4 for n in Counter(t for _, t in {(r.run, r.tier) for r in found if r.tier < shards.TIERS}).values())
+        carried |= any(not r.written.startswith(f"v{version:08d}") for r in found)
+    assert carried
+
+
 # --- n-gram join
 
 
