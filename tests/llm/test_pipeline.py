@@ -1,6 +1,6 @@
 from cases import TEXTS, frame
 from pyspark.sql import functions as F
-from test_operators import brute_join
+from test_llm_operators import brute_join
 
 import corpus_pipeline
 
