@@ -13,6 +13,8 @@ every class are counted: all pairs of a component's classes are compared, in blo
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,16 +58,16 @@ class _Hasher:
     def __init__(self):
         import xxhash
 
-        self.memo = chunks.Memo(lambda words: [xxhash.xxh64_digest(w) for w in words])
+        self.memo = chunks.Memo(lambda words: [xxhash.xxh64_intdigest(w).to_bytes(8, sys.byteorder) for w in words])
+        #: Of the empty stretch beside white space at a text's ends, which is no word.
+        self.none = np.uint64(xxhash.xxh64_intdigest(b""))
 
     def sets(self, texts: list[bytes], words: int):
-        lists = [t.lower().split() for t in texts]
-        known = self.memo.learn(lists).__getitem__
-        for x in lists:
-            yield shingles(np.frombuffer(b"".join(map(known, x)), np.uint64), words)
-
-
-_HASHERS: list = []
+        values, index, bounds = self.memo.numbered(chunks.white_split([t.lower() for t in texts]))
+        hashes = np.frombuffer(b"".join(values), np.uint64)[index]
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+            x = hashes[a:b]
+            yield shingles(x[x != self.none], words)
 
 
 def _bits(count: int) -> int:
@@ -82,8 +84,7 @@ def _dealt(docs: DataFrame, words: int, bits: int) -> DataFrame:
 
         from corpusloom.llm import jaccard
 
-        if not jaccard._HASHERS:
-            jaccard._HASHERS.append(jaccard._Hasher())
+        hasher = rows.kept("words", jaccard._Hasher)
         held, classes, n_held, seen = [], [], 0, set()
         shift = np.uint64(64 - bits)
 
@@ -101,7 +102,7 @@ def _dealt(docs: DataFrame, words: int, bits: int) -> DataFrame:
                 yield {"f": [int(f[a])], "cls": [cls[who[first]].tobytes()], "n": [np.diff(np.append(first, b - a)).astype(np.uint32).tobytes()], "ids": [low[a:b].tobytes()]}
 
         for part in parts:
-            made = list(jaccard._HASHERS[0].sets(part["_text"], words))
+            made = list(hasher.sets(part["_text"], words))
             cls = np.array([xxhash.xxh64_intdigest(s.tobytes()) if len(s) else 0 for s in made], np.uint64)
             bucket = (cls >> shift).astype(np.int64)
             doc = np.array([NO_DOC if d is None else d for d in part["doc_id"]], np.int64)

@@ -1,28 +1,31 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained in numpy.
 
-The network reads a text stretch by stretch (between white space, at most STRETCH bytes, lower case) and gives every byte
-a distribution over the languages; a document's is the mean over its bytes in stretches with letters. A stretch recurs
-in many documents and is run once in each worker.
+The network runs over a text's bytes (ASCII in lower case) in windows of WINDOW, so that its state crosses words, and gives
+every byte a distribution over the languages; a document's is the mean over its bytes of letters and of characters outside ASCII.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chunks, rows
+from corpusloom.llm import rows
 
-STRETCH = 24
-HIDDEN = 16
-STEPS, BATCH, RATE = 600, 256, 0.02
+#: Bytes of a window, and of a window that the network learns from; windows that are run at once.
+WINDOW, LEARNED, AT_ONCE = 128, 32, 2048
+HIDDEN = 8
+STEPS, BATCH, RATE = 500, 256, 0.02
 #: The bound of the labelled sample: so many documents, those of the lowest hashes, none longer than so many characters.
 SAMPLE, SAMPLE_CHARS = 2400, 20_000
 UNKNOWN = "und"
 LETTER = re.compile(rb"[A-Za-z]")
-LETTERLIKE = re.compile(rb"[a-z\x80-\xff]")
+#: Bytes (in lower case) that a document's distribution is pooled over.
+LETTERLIKE = np.zeros(256, np.float32)
+LETTERLIKE[97:123] = LETTERLIKE[128:] = 1
 
 
 def _sigmoid(x):
@@ -32,31 +35,45 @@ def _sigmoid(x):
 def _run(p: dict, side: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
     """Hidden states (T, B, H) over bytes x (T, B); keep gets what the way back needs."""
     hidden = p["U" + side].shape[0]
-    h = np.zeros((x.shape[1], hidden), np.float32)
-    out = np.empty((*x.shape, hidden), np.float32)
+    w, u_all, bias = p["W" + side], p["U" + side], p["b" + side]
+    h = np.zeros((x.shape[1], hidden), w.dtype)
+    out = np.empty((*x.shape, hidden), w.dtype)
     for t in range(len(x)):
-        a = p["W" + side][x[t]]
-        u = h @ p["U" + side] + p["b" + side]
-        zr = _sigmoid(a[:, : 2 * hidden] + u[:, : 2 * hidden])
+        a = w.take(x[t], 0)
+        u = h @ u_all
+        u += bias
+        zr = a[:, : 2 * hidden] + u[:, : 2 * hidden]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r, un = zr[:, :hidden], zr[:, hidden:], u[:, 2 * hidden :]
-        n = np.tanh(a[:, 2 * hidden :] + r * un)
+        n = r * un
+        n += a[:, 2 * hidden :]
+        np.tanh(n, out=n)
         if keep is not None:
             keep.append((h, z, r, un, n))
-        h = n + z * (h - n)
+        h = h - n
+        h *= z
+        h += n
         out[t] = h
     return out
 
 
 def positions(p: dict, x: np.ndarray) -> np.ndarray:
-    """Distribution (T, B, L) over the languages at each byte of stretches of one length (T, B)."""
-    h = np.concatenate([_run(p, "f", x), _run(p, "b", x[::-1])[::-1]], 2)
-    s = h @ p["O"] + p["o"]
-    s = np.exp(s - s.max(2, keepdims=True))
-    return s / s.sum(2, keepdims=True)
+    """Distribution (T, B, L) over the languages at each byte of windows of one length (T, B)."""
+    half = p["Uf"].shape[0]
+    s = _run(p, "f", x) @ p["O"][:half]
+    s += _run(p, "b", x[::-1])[::-1] @ p["O"][half:]
+    s += p["o"]
+    s -= s.max(2, keepdims=True)
+    np.exp(s, out=s)
+    s /= s.sum(2, keepdims=True)
+    return s
 
 
 def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
-    """Mean cross-entropy per byte and its gradient, by backpropagation through time. y: the language of each stretch."""
+    """Mean cross-entropy per byte and its gradient, by backpropagation through time. y: the language of each window."""
     kept: dict[str, list] = {"f": [], "b": []}
     hidden = p["Uf"].shape[0]
     h = np.concatenate([_run(p, "f", x, kept["f"]), _run(p, "b", x[::-1], kept["b"])[::-1]], 2)
@@ -90,79 +107,73 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     return loss, g
 
 
-def stretches(text: bytes) -> list[bytes]:
-    """Stretches of a text in lower case."""
-    out = text.decode("utf-8", "replace").lower().encode().split()
-    if out and len(max(out, key=len)) > STRETCH:
-        out = [w[i : i + STRETCH] for w in out for i in range(0, len(w), STRETCH)]
-    return out
-
-
 def train(texts: list[bytes], labels: list[str], seed: int = 7, steps: int = STEPS) -> dict | None:
-    """Parameters (and "langs") after Adam over batches of one length; None without labels. Every language counts alike."""
+    """Parameters (and "langs") after Adam over windows from everywhere in the texts; None without labels. Every language counts
+    alike, and in a language every byte."""
     langs = sorted(set(labels))
     if not langs:
         return None
     rng = np.random.default_rng(seed)
-    by_length: dict[int, tuple[list, list]] = {}
-    per: dict[str, list[bytes]] = {k: [] for k in langs}
-    for text, label in zip(texts, labels, strict=True):
-        per[label] += [w for w in stretches(text) if LETTERLIKE.search(w)]
-    for k, name in enumerate(langs):
-        words = per[name]
-        if words:
-            for i in rng.integers(0, len(words), 40_000).tolist():
-                xs, ys = by_length.setdefault(len(words[i]), ([], []))
-                xs.append(words[i])
-                ys.append(k)
+    bodies = [b" ".join(t for t, n in zip(texts, labels, strict=True) if n == name).lower() + b" " * LEARNED for name in langs]
+    bodies = [np.frombuffer(b, np.uint8) for b in bodies]
     p = {"O": rng.normal(0, 0.3, (2 * HIDDEN, len(langs))), "o": np.zeros(len(langs))}
     for side in "fb":
         p |= {"W" + side: rng.normal(0, 0.3, (256, 3 * HIDDEN)), "U" + side: rng.normal(0, HIDDEN**-0.5, (HIDDEN, 3 * HIDDEN)), "b" + side: np.zeros(3 * HIDDEN)}
     p = {k: v.astype(np.float32) for k, v in p.items()}
-    data = {n: (np.frombuffer(b"".join(xs), np.uint8).reshape(-1, n).T, np.array(ys)) for n, (xs, ys) in sorted(by_length.items())}
-    if data:
-        sizes = np.array([d[0].size for d in data.values()], float)
-        lengths = rng.choice(list(data), steps, p=sizes / sizes.sum())
-        first, second = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
-        for step, n in enumerate(lengths.tolist(), 1):
-            x, y = data[n]
-            some = rng.integers(0, len(y), BATCH)
-            _, g = gradients(p, x[:, some], y[some])
-            rate = RATE * (1 - step / (steps + 1))
-            for k in p:
-                first[k] += 0.1 * (g[k] - first[k])
-                second[k] += 0.01 * (g[k] * g[k] - second[k])
-                p[k] -= rate * (first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    first, second = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+    each = max(1, BATCH // len(langs))
+    y = np.repeat(np.arange(len(langs)), each)
+    inside = np.arange(LEARNED)
+    for step in range(1, steps + 1):
+        x = np.concatenate([b[rng.integers(0, len(b) - LEARNED + 1, each)[:, None] + inside] for b in bodies]).T
+        _, g = gradients(p, x, y)
+        rate = RATE * (1 - step / (steps + 1))
+        for k in p:
+            first[k] += 0.1 * (g[k] - first[k])
+            second[k] += 0.01 * (g[k] * g[k] - second[k])
+            p[k] -= rate * (first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return p | {"langs": langs}
 
 
+def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of these sizes: each window's text, its start there, and how many of its first bytes the one before has covered.
+
+    A text's last window ends with the text, so it may overlap the one before; a text shorter than a window has one.
+    """
+    counts = np.maximum(1, -(-sizes // WINDOW))
+    text = np.repeat(np.arange(len(sizes)), counts)
+    k = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.minimum(k * WINDOW, np.maximum(0, sizes[text] - WINDOW))
+    return text, start, k * WINDOW - start
+
+
 class Reader:
-    """Pools the network's distributions over texts; knows the stretches that it has read."""
+    """Pools the network's distributions over texts."""
 
     def __init__(self, p: dict):
         self.langs = p["langs"]
         self.p = {k: v for k, v in p.items() if k != "langs"}
-        self.memo = chunks.Memo(self._read)
-
-    def _read(self, found: list[bytes]) -> list[bytes]:
-        out = np.zeros((len(found), len(self.langs)), np.float32)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(found):
-            if LETTERLIKE.search(w):
-                by_length.setdefault(len(w), []).append(i)
-        for n, members in by_length.items():
-            for at in range(0, len(members), 4096):
-                part = members[at : at + 4096]
-                x = np.frombuffer(b"".join([found[i] for i in part]), np.uint8).reshape(-1, n).T
-                out[part] = positions(self.p, x).sum(0)
-        return [row.tobytes() for row in out]
+
+    def totals(self, texts: list[bytes]) -> np.ndarray:
+        """Sums (text, language) of the distributions at the bytes that are pooled."""
+        out = np.zeros((len(texts), len(self.langs)))
+        texts = [t.lower() for t in texts]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        text, start, seen = windows(sizes)
+        room = np.maximum(sizes, WINDOW)
+        raw = np.frombuffer(b"".join([t if len(t) >= WINDOW else t.ljust(WINDOW) for t in texts]), np.uint8)
+        start = start + (np.cumsum(room) - room)[text]
+        inside = np.arange(WINDOW)[:, None]
+        for at in range(0, len(text), AT_ONCE):
+            some = slice(at, at + AT_ONCE)
+            x = raw[start[some] + inside]
+            pooled = LETTERLIKE[x] * (inside >= seen[some])
+            np.add.at(out, text[some], np.einsum("tbl,tb->bl", positions(self.p, x), pooled))
+        return out
 
     def read(self, texts: list[bytes]) -> list[tuple[str, float]]:
-        lists = [stretches(t) for t in texts]
-        known = self.memo.learn(lists).__getitem__
         out = []
-        for text, words in zip(texts, lists, strict=True):
-            total = np.frombuffer(b"".join(map(known, words)), np.float32).reshape(-1, len(self.langs)).sum(0, np.float64)
+        for text, total in zip(texts, self.totals(texts), strict=True):
             if not (LETTER.search(text) or any(map(str.isalpha, text.decode("utf-8", "replace")))) or not total.sum():
                 out.append((UNKNOWN, 0.0))
             else:
@@ -176,15 +187,38 @@ def held_out(docs: DataFrame, parts: int = 4, at: int = 2):
     return F.coalesce(F.crc32(docs["doc_id"].cast("string").cast("binary")) % parts == at, F.lit(False))
 
 
+def sample(docs: DataFrame) -> list[tuple[bytes, str]]:
+    """(text, lang) of the SAMPLE labelled documents of the lowest hashes that aren't held out. Repeated ids count once.
+
+    First the ids, from a share of all hashes that grows until it holds enough, then their texts: the driver gets SAMPLE texts
+    and a few ids for each of them, however many rows and partitions there are.
+    """
+    labelled = docs.where(docs["doc_id"].isNotNull() & docs["lang"].isNotNull() & docs["text"].isNotNull() & ~held_out(docs))
+    labelled = labelled.select("doc_id", "lang", F.col("text").cast("binary").alias("text"), F.xxhash64("doc_id").alias("o"))
+    share = 4 * SAMPLE / max(1, labelled.count())
+    while True:
+        some = labelled.where(F.length(F.col("text").cast("string")) <= SAMPLE_CHARS)
+        if share < 1:
+            some = some.where(F.col("o") < int(2**64 * share) - 2**63)
+        ids = some.select("o", "doc_id").distinct().orderBy("o", "doc_id").limit(SAMPLE).collect()
+        if len(ids) == SAMPLE or share >= 1:
+            break
+        share *= 8
+    if not ids:
+        return []
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in ids], some.select("doc_id").schema)
+    found = some.where(F.col("o") <= ids[-1]["o"]).join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("first"))
+    return sorted((bytes(r["first"]["text"]), r["first"]["lang"]) for r in found.collect())
+
+
 def fit(docs: DataFrame) -> dict | None:
-    """Train on the bounded sample of labelled rows that aren't held out. Repeated rows count once."""
-    rows_ = docs.where(docs["doc_id"].isNotNull() & docs["lang"].isNotNull() & docs["text"].isNotNull() & ~held_out(docs) & (F.length("text") <= SAMPLE_CHARS))
-    order = F.xxhash64(F.col("doc_id"))
-    sample = rows_.select("doc_id", "lang", F.col("text").cast("binary").alias("text"), order.alias("o")).orderBy("o", "doc_id", "text").limit(SAMPLE).collect()
-    return train([bytes(r.text) for r in sample], [r.lang for r in sample])
+    """Train on the bounded sample of labelled rows that aren't held out."""
+    found = sample(docs)
+    return train([t for t, _ in found], [lang for _, lang in found])
 
 
-_READERS: dict = {}
+def _mark(model: dict) -> str:
+    return hashlib.md5(b"".join(v.tobytes() for k, v in sorted(model.items()) if k != "langs")).hexdigest()
 
 
 def predict(docs: DataFrame, model: dict | None, also: list[str] | None = None) -> DataFrame:
@@ -192,19 +226,15 @@ def predict(docs: DataFrame, model: dict | None, also: list[str] | None = None)
 
     Null text, text without a letter, or no labelled row to learn from: "und" and 0. Repeated rows give repeated rows.
     """
-    import hashlib
-
-    mark = hashlib.md5(b"".join(v.tobytes() for k, v in sorted(model.items()) if k != "langs")).hexdigest() if model else ""
+    mark = _mark(model) if model else ""
     also = also or []
 
     def run(parts):
-        from corpusloom.llm.langid import _READERS, Reader
+        from corpusloom.llm.langid import Reader
 
-        if model and mark not in _READERS:
-            _READERS.clear()
-            _READERS[mark] = Reader(model)
+        reader = rows.kept(("languages", mark), lambda: Reader(model)) if model else None
         for part in parts:
-            found = _READERS[mark].read(part["_text"]) if model else [(UNKNOWN, 0.0)] * len(part["_text"])
+            found = reader.read(part["_text"]) if model else [(UNKNOWN, 0.0)] * len(part["_text"])
             yield {k: part[k] for k in ("doc_id", "held_out", *also)} | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
     rows.prepare(docs.sparkSession)
@@ -221,26 +251,22 @@ def identify(docs: DataFrame) -> DataFrame:
 def known(docs: DataFrame, model: dict | None, min_score: float) -> DataFrame:
     """The rows of docs, all columns as they are, whose language is known with at least min_score. Without a model: none rejected
     but those whose text is null or has no letter."""
-    import hashlib
-
-    mark = hashlib.md5(b"".join(v.tobytes() for k, v in sorted(model.items()) if k != "langs")).hexdigest() if model else ""
+    mark = _mark(model) if model else ""
 
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        from corpusloom.llm.langid import _READERS, Reader
+        from corpusloom.llm.langid import Reader
 
-        if model and mark not in _READERS:
-            _READERS.clear()
-            _READERS[mark] = Reader(model)
+        reader = rows.kept(("languages", mark), lambda: Reader(model)) if model else None
         for batch in batches:
             step = max(1, int(batch.num_rows * rows.SLICE_BYTES / max(rows.SLICE_BYTES, batch.nbytes)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 texts = [t or b"" for t in pc.cast(part.column(part.schema.get_field_index("text")), pa.binary()).to_pylist()]
                 if model:
-                    keep = [lang != UNKNOWN and score >= min_score for lang, score in _READERS[mark].read(texts)]
+                    keep = [lang != UNKNOWN and score >= min_score for lang, score in reader.read(texts)]
                 else:
                     keep = [any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))

@@ -34,6 +34,8 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes], log_p: np.ndarray | None = None):
         self.pieces = pieces
+        #: Scores of words that a worker has made for a table.
+        self.scored, self.memo = None, None
         self.longest = max(map(len, pieces))
         self.lengths = sorted({len(p) for p in pieces})
         self.log_p = np.full(len(pieces), -np.log(len(pieces))) if log_p is None else log_p

@@ -22,11 +22,12 @@ HEAVY = 50_000
 ROUNDS = 3
 #: Added to a piece's expected uses, so that every byte keeps a probability.
 SMOOTHING = 0.01
+#: Words whose lattices are worked on at once.
+AT_ONCE = 100_000
 #: Words that a task counts before it sends its counts on.
 FLUSH = 300_000
 #: The end of a text among the words, none of which is empty.
 END = b""
-_LATTICES: dict = {}
 
 
 def held_out(docs: DataFrame, parts: int = 7, at: int = 2):
@@ -68,7 +69,7 @@ def fit_pieces(words: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> np.nd
 
             lattice = lm_score.lattice_of(vocabulary, log_p[:-1] if log_p is not None else None)
             total = np.zeros(n)
-            for part in parts:
+            for part in rows.gathered(parts, AT_ONCE):
                 total += lattice.expected(part["word"], np.array(part["c"]))
             used = np.flatnonzero(total)
             yield {"piece": used.tolist(), "e": total[used].tolist()}
@@ -85,9 +86,7 @@ def fit_pieces(words: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> np.nd
 
 def lattice_of(vocabulary: str, log_p: np.ndarray | None) -> Lattice:
     """A worker's lattice over the vocabulary, with these probabilities."""
-    if vocabulary not in _LATTICES:
-        _LATTICES[vocabulary] = Lattice(existing_pieces(vocabulary))
-    lattice = _LATTICES[vocabulary]
+    lattice = rows.kept(("lattice", vocabulary), lambda: Lattice(existing_pieces(vocabulary)))
     lattice.log_p = np.full(len(lattice.pieces), -math.log(len(lattice.pieces))) if log_p is None else log_p
     return lattice
 
@@ -126,16 +125,19 @@ def score(docs: DataFrame, vocabulary: str) -> DataFrame:
             raw = out.tobytes()
             return [raw[i : i + kind.itemsize] for i in range(0, len(raw), kind.itemsize)]
 
-        memo, at = chunks.Memo(learn), TaskContext.get().partitionId() << 40
+        if lattice.scored != folder:
+            lattice.scored, lattice.memo = folder, chunks.Memo(learn)
+        memo, at = lattice.memo, TaskContext.get().partitionId() << 40
         end_score, end_base = float(log_p[-1]) / math.log(10), heavy.get(END)
         end_hash = np.array([xxhash.xxh64_intdigest(END, 42)], np.uint64).view(np.int64)
         for part in parts:
-            lists = [t.lower().split() for t in part["_text"]]
-            known = memo.learn(lists).__getitem__
+            values, index, bounds = memo.numbered(chunks.white_split([t.lower() for t in part["_text"]]))
+            all_words = np.frombuffer(b"".join(values), kind)[index]
             out = {k: [] for k in ("at", "n_tokens", "known", "base", "score")}
             hashes, times, sizes = [], [], [0]
-            for words in lists:
-                found = np.frombuffer(b"".join(map(known, words)), kind)
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+                found = all_words[a:b]
+                found = found[found["h"] != end_hash[0]]  # beside white space at a text's ends there is an empty stretch
                 rare = np.isnan(found["b"])
                 h = found["h"][rare]
                 h, c = np.unique(h if end_base is not None else np.concatenate([h, end_hash]), return_counts=True)
@@ -144,8 +146,8 @@ def score(docs: DataFrame, vocabulary: str) -> DataFrame:
                 sizes.append(len(h))
                 out["at"].append(at)
                 at += 1
-                out["n_tokens"].append(len(words) + 1)
-                out["known"].append(int(len(words) - rare.sum()) + (end_base is not None))
+                out["n_tokens"].append(len(found) + 1)
+                out["known"].append(int(len(found) - rare.sum()) + (end_base is not None))
                 out["base"].append(float(found["b"][~rare].sum()) + (math.log10((end_base + 1) / floor) if end_base is not None else 0.0))
                 out["score"].append(float(found["s"].sum()) + end_score)
             pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(times).astype(np.int32))], ["h", "n"])

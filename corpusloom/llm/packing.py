@@ -21,7 +21,9 @@ from corpusloom.llm import rows, tokens
 END = 2
 GROUP = 32_768
 #: Rounds of swaps over all underfull sequences; each needs an improvement to go on.
-ROUNDS = 200
+ROUNDS = 20
+#: Pieces of a sequence that are looked at in pairs.
+PAIRED = 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, at long"
 
 
@@ -71,71 +73,123 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
+class _Rooms:
+    """Underfull bins by their room, and there by the lengths (of one piece, or of two) that they could give back."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], size: int):
+        self.bins, self.lengths, self.size = bins, lengths, size
+        #: room -> (length -> bins), and the lengths as bits of one number; apart for one piece and for two.
+        self.held: tuple[dict, dict] = ({}, {})
+        self.bits: tuple[dict, dict] = ({}, {})
+        self.open: dict[int, set[int]] = {}
+
+    def room(self, b: int) -> int:
+        return self.size - sum(self.lengths[i] for i in self.bins[b])
+
+    def _sums(self, b: int) -> tuple[set, set]:
+        found = [self.lengths[i] for i in self.bins[b]]
+        # of a bin of many pieces, those in front: a search, not the result, is made shorter
+        return set(found), {x + y for k, x in enumerate(found[:PAIRED]) for y in found[:k]}
+
+    def add(self, b: int) -> None:
+        room = self.room(b)
+        if not 0 < room < self.size:
+            return
+        self.open.setdefault(room, set()).add(b)
+        for held, bits, sums in zip(self.held, self.bits, self._sums(b), strict=True):
+            here = held.setdefault(room, {})
+            for n in sums:
+                here.setdefault(n, set()).add(b)
+                bits[room] = bits.get(room, 0) | 1 << n
+
+    def remove(self, b: int) -> None:
+        room = self.room(b)
+        if b not in self.open.get(room, ()):
+            return
+        self.open[room].discard(b)
+        if not self.open[room]:
+            del self.open[room]
+        for held, bits, sums in zip(self.held, self.bits, self._sums(b), strict=True):
+            here = held[room]
+            for n in sums:
+                here[n].discard(b)
+                if not here[n]:
+                    del here[n]
+                    bits[room] &= ~(1 << n)
+
+    def best(self, sent: dict[int, tuple], most: int) -> tuple[int, tuple, int, int] | None:
+        """(gain, what is sent, the bin, the length it gives back or 0) with the highest gain for a bin whose room is at most `most`."""
+        best, found = 0, None
+        rooms = sorted((r for r in self.open if r <= most), reverse=True)
+        for n, who in sent.items():
+            for r in rooms:
+                if r <= best:
+                    break
+                if best < n <= r:
+                    best, found = n, (n, who, min(self.open[r]), 0)
+                for held, bits, back in zip(self.held, self.bits, (1, 2), strict=True):
+                    if back == len(who) == 2 or n <= 1:
+                        continue
+                    low = max(1, n - r)
+                    fits = bits.get(r, 0) >> low
+                    if fits:
+                        y = low + (fits & -fits).bit_length() - 1
+                        if best < n - y:
+                            best, found = n - y, (n - y, who, min(held[r][y]), y * (1 if back == 1 else -1))
+        return found
+
+
 def swaps(bins: list[list[int]], lengths: np.ndarray, size: int, rounds: int = ROUNDS) -> list[list[int]]:
-    """Local search between underfull bins; a bin that is empty at the end is left out."""
-    total = int(sum(lengths[i] for b in bins for i in b))
-    least = -(-total // size)
-    fill = [int(sum(lengths[i] for i in b)) for b in bins]
+    """Local search between underfull bins; a bin that is empty at the end is left out.
+
+    The emptiest bins give first: one piece (moved, or for one or two of another bin), or two (for one). What another, fuller bin
+    gains is the highest its room takes, so the squared fill rises with each step. Ends at the least number of bins that could
+    hold all, without a step in a whole round, or after so many rounds.
+    """
+    size_of = lengths.tolist()
+    bins = [list(b) for b in bins]
+    least = -(-sum(size_of) // size)
+    left = sum(map(bool, bins))
+    rooms = _Rooms(bins, size_of, size)
+    for b in range(len(bins)):
+        rooms.add(b)
     for _ in range(rounds):
-        under = sorted((k for k in range(len(bins)) if 0 < fill[k] < size), key=lambda k: fill[k])
-        if sum(f > 0 for f in fill) <= least or len(under) < 2:
-            break
         better = False
-        # the emptiest bin gives to the others, fullest first
-        for give in under[: max(1, len(under) // 2)]:
-            for take in reversed(under):
-                if take == give or not bins[give]:
-                    continue
-                room = size - fill[take]
-                if room <= 0:
-                    continue
-                move = _best_move([int(lengths[i]) for i in bins[give]], [int(lengths[i]) for i in bins[take]], room, fill[take] - fill[give])
-                if move is None:
-                    continue
-                out, back = move
-                moved, returned = [bins[give][i] for i in out], [bins[take][i] for i in back]
-                bins[give] = [x for i, x in enumerate(bins[give]) if i not in out] + returned
-                bins[take] = [x for i, x in enumerate(bins[take]) if i not in back] + moved
-                d = int(sum(lengths[i] for i in moved) - sum(lengths[i] for i in returned))
-                fill[give] -= d
-                fill[take] += d
+        for give in sorted((b for found in rooms.open.values() for b in found), key=lambda b: (-rooms.room(b), b)):
+            if left <= least:
+                break
+            rooms.remove(give)
+            while bins[give]:
+                mine = bins[give]
+                sent: dict[int, tuple] = {}
+                for k, i in enumerate(mine):
+                    sent.setdefault(size_of[i], (i,))
+                for k, i in enumerate(mine[:PAIRED]):
+                    for j in mine[:k]:
+                        sent.setdefault(size_of[i] + size_of[j], (i, j))
+                step = rooms.best(sent, rooms.room(give))
+                if step is None:
+                    break
+                _, who, take, back = step
+                rooms.remove(take)
+                theirs = bins[take]
+                if back > 0:
+                    returned = [next(i for i in theirs if size_of[i] == back)]
+                elif back < 0:
+                    returned = next([i, j] for k, i in enumerate(theirs[:PAIRED]) for j in theirs[:k] if size_of[i] + size_of[j] == -back)
+                else:
+                    returned = []
+                bins[take] = [i for i in theirs if i not in returned] + list(who)
+                bins[give] = [i for i in mine if i not in who] + returned
+                rooms.add(take)
                 better = True
-        if not better:
+            left -= not bins[give]
+            rooms.add(give)
+        if left <= least or not better:
             break
     return [b for b in bins if b]
 
 
-def _best_move(give: list[int], take: list[int], room: int, ahead: int) -> tuple[tuple, tuple] | None:
-    """What to send and what to get back so that take gains most, at most its room; None if squared fill wouldn't rise."""
-    best, found = 0, None
-    low = -ahead  # with a gain above this, the squares rise: (t+d)^2 + (g-d)^2 > t^2 + g^2 if d > g - t
-    for i, x in enumerate(give):
-        if best < x <= room and x > low:
-            best, found = x, ((i,), ())
-        for j, y in enumerate(take):
-            if best < x - y <= room and x - y > low:
-                best, found = x - y, ((i,), (j,))
-    if best == room:
-        return found
-    by = {}
-    for i, x in enumerate(give):
-        for k in range(i):
-            by.setdefault(x + give[k], (k, i))
-    for j, y in enumerate(take):
-        for s, pair in by.items():  # two sent for one
-            if best < s - y <= room and s - y > low:
-                best, found = s - y, (pair, (j,))
-    pairs = {}
-    for j, y in enumerate(take):
-        for k in range(j):
-            pairs.setdefault(y + take[k], (k, j))
-    for i, x in enumerate(give):
-        for s, pair in pairs.items():  # one sent for two
-            if best < x - s <= room and x - s > low:
-                best, found = x - s, ((i,), pair)
-    return found
-
-
 def pack(items: DataFrame, size: int, group: int = GROUP) -> DataFrame:
     """Adds sequence_id and offset to rows with length (1 to size) and at (a number of its own for each row)."""
     short = items.where(F.col("length") < size)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -16,8 +19,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text in one Arrow batch that goes to a Python worker, and in one slice that a worker splits at a time.
 BATCH_BYTES = 8 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 _SHIPPED: dict[str, str] = {}
+_KEPT: dict = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -53,6 +57,19 @@ def _own_dir() -> str:
     return tempfile.mkdtemp(prefix="corpusloom-")
 
 
+def kept(key, make: Callable):
+    """What a worker keeps from task to task, for one operator at a time: what another one kept is given back first."""
+    if key not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def saved(df: DataFrame, path: str) -> DataFrame:
     """The frame written to the shared folder and read again: its lineage ends there, and executors may be lost."""
     df.write.mode("overwrite").parquet(path)
@@ -94,3 +111,16 @@ def slices(batches, size: int = SLICE_BYTES):
         for at in range(0, rows, step):
             part = batch.slice(at, step)
             yield {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}
+
+
+def gathered(parts, least: int):
+    """Slices {column: list} joined until they have so many rows, for operators whose steps need many short rows at once."""
+    held: dict = {}
+    for part in parts:
+        for name, values in part.items():
+            held.setdefault(name, []).extend(values)
+        if len(next(iter(held.values()))) >= least:
+            yield held
+            held = {}
+    if held:
+        yield held

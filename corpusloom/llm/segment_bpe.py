@@ -158,7 +158,7 @@ class WordBpe:
         self.names = [names.get(i, "").encode() for i in range(max(names, default=-1) + 1)]
         self.digits = [str(i).encode() for i in range(len(self.names))]
         self.cut = regex.compile(tokens.LOWER_WORDS).findall
-        self.memo, self.words = chunks.Memo(self._encode), chunks.Memo(self._merge)
+        self.memo = chunks.Memo(self._encode)
 
     def _merge(self, words: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -194,7 +194,8 @@ class WordBpe:
 
     def _encode(self, keys: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
         cut = [self._cut(k.decode("utf-8", "replace")) for k in keys]
-        known = self.words.learn([w for w in x if isinstance(w, bytes)] for x in cut)
+        words = list({w: None for x in cut for w in x if isinstance(w, bytes)})
+        known = dict(zip(words, self._merge(words), strict=True)) if words else {}
         out = []
         for x in cut:
             if len(x) == 1 and isinstance(x[0], bytes):
@@ -207,6 +208,6 @@ class WordBpe:
 
     def encode(self, texts: list[bytes]) -> list[list[tuple[bytes, bytes, bytes]]]:
         """For each text its chunks' (ids as unsigned 32-bit bytes, decimal ids, tokens joined by spaces)."""
-        lists = [t.lower().split() if b"<|" not in t else t.split() for t in texts]
-        known = self.memo.learn(lists).__getitem__
-        return [list(map(known, words)) for words in lists]
+        values, index, bounds = self.memo.numbered(chunks.white_split([t if b"<|" in t else t.lower() for t in texts]))
+        found = list(map(values.__getitem__, index.tolist()))
+        return [found[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]

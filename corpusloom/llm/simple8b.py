@@ -17,9 +17,11 @@ WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.in
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits of each value."""
+    if int(values.max(initial=0)) < 1 << 53:  # exact in a float: its exponent says it
+        return np.maximum((values.astype(np.float64).view(np.int64) >> 52) - 1022, 0).astype(np.uint8)
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.int64)
+    return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.uint8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -29,15 +31,17 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.empty(0, np.uint64), np.zeros(1, np.int64)
     blocks = -(-n // BLOCK)
-    pad = 120
-    grid = np.zeros((blocks, BLOCK + pad), np.uint64)
+    # behind each block a column too wide for any run, so that runs end there
+    flat = np.zeros((blocks, BLOCK + 1), np.uint64)
     full = np.zeros(blocks * BLOCK, np.uint64)
     full[:n] = values
-    grid[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    flat = grid.ravel()
-    bits = np.concatenate([_bits(flat), np.zeros(pad, np.int64)])
+    flat[:, :BLOCK] = full.reshape(blocks, BLOCK)
+    flat = flat.ravel()
+    bits = np.concatenate([_bits(flat), np.full(int(COUNTS.max()), 255, np.uint8)])
+    bits[BLOCK : len(flat) : BLOCK + 1] = 255
+    bits[(blocks - 1) * (BLOCK + 1) + n - (blocks - 1) * BLOCK : len(flat)] = 255
     # the selector for each place: the longest run of values that are all narrow enough
-    selector = np.where(bits[: len(flat)] > 60, 0, 15).astype(np.int64)
+    selector = np.where(bits[: len(flat)] > 60, 0, 15).astype(np.uint8)
     widest, length = bits[: len(flat)].copy(), 1
     for s in range(14, 0, -1):
         if not (widest <= WIDTHS[s]).any():
@@ -46,7 +50,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.maximum(widest, bits[length : length + len(flat)], out=widest)
             length += 1
         selector[widest <= WIDTHS[s]] = s
-    wide = BLOCK + pad
+    wide = BLOCK + 1
     at = np.arange(blocks, dtype=np.int64) * wide
     left = np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
     ends = at + left
@@ -61,7 +65,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     places, owner = np.concatenate(places)[order], owner[order]
-    sel = selector[places]
+    sel = selector[places].astype(np.int64)
     words = sel.astype(np.uint64) << np.uint64(60)
     counts, widths = COUNTS[sel], WIDTHS[sel]
     for j in range(60):

@@ -2,82 +2,56 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from corpusloom.llm import chunks, rows, tokens
+from corpusloom.llm import rows, tokens
 
 RULES = ("start", "end", "most", "share")
 
 
 class ByteSpans(tokens.ByteIds):
-    """Spans of tokens in characters: pairs of signed 32-bit numbers in place of ids, from the start of the text."""
-
-    def _merge(self, words):
-        tokenize = self.model.tokenize
-        out = []
-        for w in words:
-            raw = w.encode()
-            ends = np.cumsum([len(t.value) for t in tokenize(self.signed(w))])
-            spans = np.empty((len(ends), 2), "<i4")
-            starts = np.concatenate([[0], ends[:-1]])
-            if len(raw) == len(w):
-                spans[:, 0], spans[:, 1] = starts, ends
-            else:  # a token with part of a character's bytes covers the character
-                char = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-                spans[:, 0], spans[:, 1] = char[starts] - 1, char[ends - 1]
-            out.append((len(w), spans))
-        return out
+    """Spans of tokens in characters. A token is one number in place of its id: how far the next one starts behind it, and how many
+    characters it covers, 16 bits each (no token of a vocabulary is so long)."""
+
+    @staticmethod
+    def values(found: list) -> bytes:
+        return array("I", [len(t.value) * 65537 for t in found]).tobytes()
+
+    def merged(self, word: str) -> bytes:
+        """A token with part of a character's bytes covers the character."""
+        if word.isascii():
+            return super().merged(word)
+        raw, char, n = word.encode(), [], -1
+        for b in raw:
+            n += b & 0xC0 != 0x80
+            char.append(n)
+        char.append(len(word))
+        out, at = [], 0
+        for t in self.model.tokenize(raw.decode("latin-1").translate(self.signs)):
+            start, at = at, at + len(t.value)
+            out.append(((char[at] - char[start]) << 16) | (char[at - 1] + 1 - char[start]))
+        return array("I", out).tobytes()
+
+    @staticmethod
+    def _coded(starts: np.ndarray, ends: np.ndarray, length: int) -> bytes:
+        ahead = np.diff(np.append(starts, length))
+        return ((ahead << 16) | (ends - starts)).astype("<u4").tobytes()
 
     def whole(self, text):
-        return np.array(self.library.encode(text, add_special_tokens=False).offsets, "<i4").reshape(-1, 2)
-
-    def _encode(self, keys):
-        out = []
-        texts = [self.text(k).decode("utf-8", "replace") for k in keys]
-        words = self._words(texts)
-        known = self.words.learn(filter(None, words))
-        for t, w in zip(texts, words, strict=True):
-            if w is None:
-                out.append((len(t), self.whole(t).tobytes()))
-                continue
-            at, spans = 0, []
-            for x in w:
-                n, s = known[x]
-                spans.append(s + np.int32(at) if at else s)
-                at += n
-            out.append((at, b"".join([s.tobytes() for s in spans])))
-        return out
-
-    def _joined(self, found):
-        """Spans of chunks, one after another."""
-        if not found:
-            return np.empty((0, 2), np.int64)
-        n = np.array([f[0] for f in found])
-        flat = np.frombuffer(b"".join([f[1] for f in found]), "<i4").reshape(-1, 2).astype(np.int64)
-        counts = np.array([len(f[1]) for f in found]) // 8
-        return flat + np.repeat(np.cumsum(n) - n, counts)[:, None]
+        spans = np.array(self.library.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        return self._coded(spans[:, 0], spans[:, 1], len(text)) if len(spans) else b""
 
     def spans(self, texts: list[bytes]) -> list[np.ndarray]:
         """(start, end) in characters of each token of each text."""
-        out: list = [None] * len(texts)
-        plain = {}
-        for i, t in enumerate(texts):
-            if self.is_odd(t):
-                out[i] = self.whole(t.decode("utf-8", "replace")).astype(np.int64)
-            elif len(t) > 1 << 20:
-                found, at = [], 0
-                for part in self.long(t):
-                    part_spans = [self.memo.learn([part])[k] for k in part]
-                    found.append(self._joined(part_spans) + at)
-                    at += sum(f[0] for f in part_spans)
-                out[i] = np.concatenate(found)
-            else:
-                plain[i] = self.split(t)
-        known = self.memo.learn(plain.values())
-        for i, x in plain.items():
-            out[i] = self._joined([known[k] for k in x])
+        out = []
+        for raw in self.ids(texts):
+            found = np.frombuffer(raw, "<u4").astype(np.int64)
+            ends = np.cumsum(found >> 16)
+            starts = ends - (found >> 16)
+            out.append(np.stack([starts, starts + (found & 0xFFFF)], 1))
         return out
 
 

@@ -11,11 +11,12 @@ import os
 import re
 from array import array
 
-from corpusloom.llm import chunks
+from corpusloom.llm import chunks, rows
 
-_MADE: dict = {}
 #: Characters whose classes, case and normal form don't depend on a library's Unicode version.
 PLAIN = re.compile(r"[\n ]?[\x21-\x7e\xa1-ɏ]+\Z")
+#: Bytes above which a text is split in parts.
+LONG = 1 << 20
 #: Fixed patterns of the two vocabulary files.
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -29,10 +30,8 @@ def vocabulary(name: str) -> str:
 
 
 def shared(kind, path: str):
-    """One object of a kind for a path in each worker, kept from task to task."""
-    if (kind, path) not in _MADE:
-        _MADE[kind, path] = kind(path)
-    return _MADE[kind, path]
+    """One object of a kind for a path in each worker."""
+    return rows.kept((kind, path), lambda: kind(path))
 
 
 def byte_signs() -> list[str]:
@@ -61,46 +60,45 @@ class Ids:
         self.model = self.library.model
         self.cut = regex.compile(self.pattern).findall
         self.signs = dict(enumerate(byte_signs()))
-        self.memo, self.words = chunks.Memo(self._encode), chunks.Memo(self._merge)
+        self.memo = chunks.Memo(self._encode)
+        self.marks = {c.encode(): self.merged(c) for c in ".,;:!?"}
 
-    def _merge(self, words: list[str]) -> list[bytes]:
-        tokenize = self.model.tokenize
-        return [array("I", [t.id for t in tokenize(self.signed(w))]).tobytes() for w in words]
-
-    def signed(self, word: str) -> str:
-        """A word's bytes in the vocabulary's signs."""
+    def merged(self, word: str) -> bytes:
+        """Ids of one of the pattern's words, by the library's merges."""
         if word.isascii():
-            return word.replace(" ", "Ġ").replace("\n", "Ċ")
-        return word.encode().decode("latin-1").translate(self.signs)
-
-    def _words(self, texts: list[str]) -> list[list[str] | None]:
-        """Each chunk's words; None for a chunk that the whole library must cut. Letters alone, or before one mark, need no pattern."""
-        cut, plain, out = self.cut, PLAIN.match, []
-        for t in texts:
-            lead = t[:1] if t[:1] == " " or t[:1] == "\n" else ""
-            body = t[len(lead) :]
-            if body and max(body) < "\u0250":
-                if body.isalpha():
-                    out.append([t] if lead != "\n" else [lead, body])
-                    continue
-                if body[:-1].isalpha() and body[-1] in ".,;:!?":
-                    out.append([t[:-1], body[-1]] if lead != "\n" else [lead, body[:-1], body[-1]])
-                    continue
-            out.append(cut(t) if plain(t) else None)
-        return out
+            word = word.replace(" ", "Ġ").replace("\n", "Ċ")
+        else:
+            word = word.encode().decode("latin-1").translate(self.signs)
+        return self.values(self.model.tokenize(word))
+
+    @staticmethod
+    def values(found: list) -> bytes:
+        return array("I", [t.id for t in found]).tobytes()
 
     def _encode(self, keys: list[bytes]) -> list[bytes]:
-        texts = [self.text(k).decode("utf-8", "replace") for k in keys]
-        words = self._words([t.lower() for t in texts] if self.lower else texts)
-        known = self.words.learn(filter(None, words))
+        """Letters alone, or before one mark, need no pattern; a chunk outside ASCII and Latin letters goes through the whole library."""
+        merged, values, tokenize, cut, plain, marks, spelled, lower, lead, signs = self.merged, self.values, self.model.tokenize, self.cut, PLAIN.match, self.marks, self.text, self.lower, self.lead, self.signs
         out = []
-        for t, w in zip(texts, words, strict=True):
-            if w is None:
-                out.append(self.whole(t))
-            elif len(w) == 1:
-                out.append(known[w[0]])
-            else:
-                out.append(b"".join([known[x] for x in w]))
+        for k in keys:
+            if k.isalpha():
+                out.append(values(tokenize(lead + k.decode())))  # ASCII letters
+                continue
+            if k[-1:] in marks and k[:-1].isalpha():
+                out.append(values(tokenize(lead + k[:-1].decode())) + marks[k[-1:]])
+                continue
+            t = k.decode("utf-8", "replace")
+            if lower:
+                t = t.lower()
+            if t.isalpha() and max(t) < "\u0250":
+                out.append(values(tokenize(lead + t.encode().decode("latin-1").translate(signs))))
+                continue
+            if k[-1:] in marks and t[:-1].isalpha() and max(t) < "\u0250":
+                out.append(values(tokenize(lead + t[:-1].encode().decode("latin-1").translate(signs))) + marks[k[-1:]])
+                continue
+            t = spelled(k).decode("utf-8", "replace")
+            if lower:
+                t = t.lower()
+            out.append(b"".join([merged(w) for w in cut(t)]) if plain(t) else self.whole(t))
         return out
 
     def whole(self, text: str) -> bytes:
@@ -108,17 +106,19 @@ class Ids:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         out: list = [None] * len(texts)
-        plain: dict[int, list[bytes]] = {}
+        plain: dict[int, bytes] = {}
         for i, text in enumerate(texts):
             if self.is_odd(text):
                 out[i] = self.whole(text.decode("utf-8", "replace"))
-            elif len(text) > 1 << 20:
-                out[i] = b"".join(b"".join(map(self.memo.learn([x]).__getitem__, x)) for x in self.long(text))
+            elif len(text) > LONG:
+                out[i] = b"".join(b"".join(self.memo.found([x])) for x in self.long(text))
             else:
-                plain[i] = self.split(text)
-        known = self.memo.learn(plain.values()).__getitem__
-        for i, x in plain.items():
-            out[i] = b"".join(map(known, x))
+                plain[i] = text
+        if plain:
+            flat, bounds = self.memo.joined(self.lists(list(plain.values())))
+            raw, bounds = flat.tobytes(), (4 * bounds).tolist()
+            for i, a, b in zip(plain, bounds, bounds[1:], strict=False):
+                out[i] = raw[a:b]
         return out
 
 
@@ -126,8 +126,9 @@ class ByteIds(Ids):
     """Byte-level vocabulary whose words may start with a space."""
 
     text = staticmethod(chunks.spaced_text)
-    split = staticmethod(chunks.spaced)
+    lists = staticmethod(chunks.spaced_lists)
     is_odd = staticmethod(chunks.is_odd)
+    lead = "Ġ"
 
     def long(self, text: bytes):
         for s in chunks.segments(text):
@@ -137,15 +138,15 @@ class ByteIds(Ids):
 class LowerIds(Ids):
     """Vocabulary that drops white space and case and marks word ends."""
 
-    pattern, lower = LOWER_WORDS, True
+    pattern, lower, lead = LOWER_WORDS, True, ""
 
     @staticmethod
     def text(key: bytes) -> bytes:
         return key
 
     @staticmethod
-    def split(text: bytes) -> list[bytes]:
-        return text.lower().split()
+    def lists(texts: list[bytes]):
+        return chunks.white_split([t.lower() for t in texts])
 
     @staticmethod
     def is_odd(text: bytes) -> bool:
@@ -153,4 +154,4 @@ class LowerIds(Ids):
 
     def long(self, text: bytes):
         for s in chunks.segments(text):
-            yield self.split(s)
+            yield s.lower().split()
