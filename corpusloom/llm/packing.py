@@ -8,6 +8,7 @@ squared fills; emptied sequences go.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -118,32 +119,36 @@ class _Rooms:
                     bits[room] &= ~(1 << n)
 
     def best(self, sent: dict[int, tuple], most: int) -> tuple[int, tuple, int, int] | None:
-        """(gain, what is sent, the bin, the length it gives back or 0) with the highest gain for a bin whose room is at most `most`."""
+        """(rise, what is sent, the bin, the length it gives back or 0) with the highest rise of the squared fill (half of it) for a
+        bin whose room is at most `most`, the room of the bin that sends. A bin of room r that gains g raises it by g * (most - r + g)."""
         best, found = 0, None
-        rooms = sorted((r for r in self.open if r <= most), reverse=True)
-        for n, who in sent.items():
-            for r in rooms:
-                if r <= best:
+        rooms = sorted(r for r in self.open if r <= most)
+        for n in sorted(sent, reverse=True):
+            who = sent[n]
+            at = bisect_left(rooms, n)
+            if at < len(rooms) and n * (most - rooms[at] + n) > best:  # of the rooms that take it whole the smallest
+                best, found = n * (most - rooms[at] + n), (n, who, rooms[at], 0)
+            for r in reversed(rooms[:at]):
+                if r * most <= best:
                     break
-                if best < n <= r:
-                    best, found = n, (n, who, min(self.open[r]), 0)
-                for held, bits, back in zip(self.held, self.bits, (1, 2), strict=True):
-                    if back == len(who) == 2 or n <= 1:
-                        continue
-                    low = max(1, n - r)
-                    fits = bits.get(r, 0) >> low
+                low = n - r
+                for kind in range(2 if len(who) == 1 else 1):
+                    fits = self.bits[kind].get(r, 0) >> low
                     if fits:
                         y = low + (fits & -fits).bit_length() - 1
-                        if best < n - y:
-                            best, found = n - y, (n - y, who, min(held[r][y]), y * (1 if back == 1 else -1))
-        return found
+                        if y < n and (n - y) * (most - r + n - y) > best:
+                            best, found = (n - y) * (most - r + n - y), (n, who, r, -y if kind else y)
+        if found is None:
+            return None
+        _, who, r, back = found
+        return best, who, min(self.held[back < 0][r][abs(back)] if back else self.open[r]), back
 
 
 def swaps(bins: list[list[int]], lengths: np.ndarray, size: int, rounds: int = ROUNDS) -> list[list[int]]:
     """Local search between underfull bins; a bin that is empty at the end is left out.
 
-    The emptiest bins give first: one piece (moved, or for one or two of another bin), or two (for one). What another, fuller bin
-    gains is the highest its room takes, so the squared fill rises with each step. Ends at the least number of bins that could
+    The emptiest bins give first: one piece (moved, or for one or two of another bin), or two (moved, or for one), to a bin at least
+    as full, where the squared fill rises most. Ends at the least number of bins that could
     hold all, without a step in a whole round, or after so many rounds.
     """
     size_of = lengths.tolist()
