@@ -77,7 +77,8 @@ class Ids:
 
     def _encode(self, keys: list[bytes]) -> list[bytes]:
         """Letters alone, or before one mark, need no pattern; a chunk outside ASCII and Latin letters goes through the whole library."""
-        merged, values, tokenize, cut, plain, marks, spelled, lower, lead, signs = self.merged, self.values, self.model.tokenize, self.cut, PLAIN.match, self.marks, self.text, self.lower, self.lead, self.signs
+        merged, values, tokenize, cut, plain, marks, spelled, lower, lead = self.merged, self.values, self.model.tokenize, self.cut, PLAIN.match, self.marks, self.text, self.lower, self.lead
+        space = " " if lead else ""
         out = []
         for k in keys:
             if k.isalpha():
@@ -90,10 +91,10 @@ class Ids:
             if lower:
                 t = t.lower()
             if t.isalpha() and max(t) < "\u0250":
-                out.append(values(tokenize(lead + t.encode().decode("latin-1").translate(signs))))
+                out.append(merged(space + t))
                 continue
             if k[-1:] in marks and t[:-1].isalpha() and max(t) < "\u0250":
-                out.append(values(tokenize(lead + t[:-1].encode().decode("latin-1").translate(signs))) + marks[k[-1:]])
+                out.append(merged(space + t[:-1]) + marks[k[-1:]])
                 continue
             t = spelled(k).decode("utf-8", "replace")
             if lower:
