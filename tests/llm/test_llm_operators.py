@@ -354,3 +354,14 @@ def test_scores(spark, sf):
 @pytest.mark.parametrize("n", range(1, 11))
 def test_registered(n):
     assert any(k.startswith(f"op{n}_") for k in queries.QUERIES)
+
+
+def test_states_in_rows_equal_those_of_training():
+    rng = np.random.default_rng(2)
+    p = {"O": rng.normal(0, 1, (10, 3)), "o": rng.normal(0, 1, 3)}
+    for side in "fb":
+        p |= {"W" + side: rng.normal(0, 1, (256, 15)), "U" + side: rng.normal(0, 1, (5, 15)), "b" + side: rng.normal(0, 1, 15)}
+    x = rng.integers(0, 256, (9, 7)).astype(np.uint8)
+    for side in "fb":
+        assert np.allclose(langid.states(p, side, x), langid._run(p, side, x).transpose(0, 2, 1))
+    assert np.allclose(langid.positions(p, x).sum(1), 1)
