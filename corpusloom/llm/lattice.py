@@ -37,50 +37,68 @@ class Lattice:
         #: Scores of words that a worker has made for a table.
         self.scored, self.memo = None, None
         self.longest = max(map(len, pieces))
-        self.lengths = sorted({len(p) for p in pieces})
         self.log_p = np.full(len(pieces), -np.log(len(pieces))) if log_p is None else log_p
-        self.keys = np.zeros(1 << BITS, np.uint64)
-        self.ids = np.full(1 << BITS, -1, np.int32)
+        # an open-addressed table of all pieces and of their beginnings: at a beginning that is no piece the id is -1
+        at_least = sum(map(len, pieces)) * 2
+        self.bits = max(BITS, at_least.bit_length())
+        size = 1 << self.bits
+        self.keys, self.ids = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self.taken, self.goes_on = np.zeros(size, bool), np.zeros(size, bool)
         self.probes = 1
         for i, piece in enumerate(pieces):
-            h = len(piece)
-            for b in piece:
+            h = 1
+            for k, b in enumerate(piece, 1):
                 h = (h * int(_MUL) + b + 1) & (1 << 64) - 1
-            at, n = ((h * int(_MIX)) & (1 << 64) - 1) >> (64 - BITS), 1
-            while self.ids[at] >= 0:
-                at, n = (at + 1) & (1 << BITS) - 1, n + 1
-            self.keys[at], self.ids[at] = h, i
-            self.probes = max(self.probes, n)
-
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        at = ((h * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
-        ids = self.ids[at]
-        out = np.where(self.keys[at] == h, ids, -1)
-        todo = np.flatnonzero((out < 0) & (ids >= 0))
+                at, n = ((h * int(_MIX)) & (1 << 64) - 1) >> (64 - self.bits), 1
+                while self.taken[at] and self.keys[at] != h:
+                    at, n = (at + 1) & size - 1, n + 1
+                self.keys[at], self.taken[at] = h, True
+                if k == len(piece):
+                    self.ids[at] = i
+                else:
+                    self.goes_on[at] = True
+                self.probes = max(self.probes, n)
+
+    def _slots(self, h: np.ndarray) -> np.ndarray:
+        """Each hash's slot in the table, -1 where it isn't there."""
+        at = ((h * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
+        hit, there = self.keys[at] == h, self.taken[at]
+        out = np.where(hit & there, at, -1)
+        todo = np.flatnonzero(~hit & there)
         for _ in range(self.probes - 1):
             if not len(todo):
                 break
-            at_ = (at[todo] + 1) & ((1 << BITS) - 1)
-            at[todo] = at_
-            hit = (self.keys[at_] == h[todo]) & (self.ids[at_] >= 0)
-            out[todo[hit]] = self.ids[at_[hit]]
-            todo = todo[~hit & (self.ids[at_] >= 0)]
+            at[todo] = here = (at[todo] + 1) & ((1 << self.bits) - 1)
+            hit, there = self.keys[here] == h[todo], self.taken[here]
+            out[todo[hit & there]] = here[hit & there]
+            todo = todo[~hit & there]
         return out
 
-    def _edges(self, x: np.ndarray) -> dict[int, np.ndarray]:
-        """For each piece length, ids (n - length + 1, B) of the pieces at each start; x: bytes (n, B)."""
-        n, edges = len(x), {}
-        for length in self.lengths:
-            if length > n:
+    def _edges(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """start, end, id of every piece in words x (bytes, (n, B)); places are position * B + word, ascending by end.
+
+        Each start is followed only as far as some piece goes on.
+        """
+        n, width = x.shape
+        flat = x.ravel() + np.uint64(1)
+        start = np.arange(n * width)
+        h = np.ones(len(start), np.uint64)
+        starts, ends, ids = [], [], []
+        for k in range(1, min(n, self.longest) + 1):
+            h = h * _MUL + flat[start + (k - 1) * width]
+            slot = self._slots(h)
+            found = self.ids[slot]
+            hit = (slot >= 0) & (found >= 0)
+            starts.append(start[hit])
+            ends.append(start[hit] + k * width)
+            ids.append(found[hit])
+            on = (slot >= 0) & self.goes_on[slot] & (start + k * width < n * width)
+            start, h = start[on], h[on]
+            if not len(start):
                 break
-            rows = n - length + 1
-            h = np.full((rows, x.shape[1]), length, np.uint64)
-            for k in range(length):
-                h = h * _MUL + (x[k : k + rows] + np.uint64(1))
-            ids = self._find(h.ravel()).reshape(rows, -1)
-            if (ids >= 0).any():
-                edges[length] = ids
-        return edges
+        start, end, ids = np.concatenate(starts), np.concatenate(ends), np.concatenate(ids)
+        order = np.argsort(end, kind="stable")
+        return start[order], end[order], ids[order]
 
     @staticmethod
     def _grouped(words: list[bytes]):
@@ -94,40 +112,48 @@ class Lattice:
                 raw = np.frombuffer(b"".join([b" " + words[i] for i in part]), np.uint8).reshape(-1, n).T
                 yield n, np.array(part), raw.astype(np.uint64)
 
-    def _forward(self, n: int, edges: dict[int, np.ndarray], scores: np.ndarray, width: int) -> np.ndarray:
-        alpha = np.full((n + 1, width), -np.inf)
-        alpha[0] = 0
-        for j in range(1, n + 1):
-            terms = np.stack([alpha[j - k] + scores[ids[j - k]] for k, ids in edges.items() if k <= j])
-            top = terms.max(0)
-            alpha[j] = top + np.log(np.exp(terms - top).sum(0))
-        return alpha
+    @staticmethod
+    def _sums(n: int, width: int, here: np.ndarray, there: np.ndarray, scores: np.ndarray, places) -> np.ndarray:
+        """Log of the summed probabilities of all ways to each place: edges lead there, ascending, from here. places: rows in order.
+
+        The first row of the result that is read is the one that no edge leads to; as every byte is a piece, each other place has
+        an edge.
+        """
+        out = np.full((n + 1) * width, -np.inf)
+        first = places[0]
+        out[first * width : (first + 1) * width] = 0
+        cut = np.flatnonzero(np.diff(there, prepend=-1))
+        sizes = np.diff(cut, append=len(there))
+        low = int(there[0]) // width if len(there) else 0
+        for row in places[1:]:
+            seg = slice((row - low) * width, (row - low + 1) * width)
+            a, b = cut[seg.start], cut[seg.stop] if seg.stop < len(cut) else len(there)
+            terms = out[here[a:b]] + scores[a:b]
+            firsts = cut[seg] - a
+            top = np.maximum.reduceat(terms, firsts)
+            terms -= np.repeat(top, sizes[seg])
+            np.exp(terms, out=terms)
+            out[row * width : (row + 1) * width] = top + np.log(np.add.reduceat(terms, firsts))
+        return out
 
     def log_probs(self, words: list[bytes]) -> np.ndarray:
         """Natural log of each word's marginal probability."""
-        scores = np.append(self.log_p, -np.inf)  # at -1: no piece
         out = np.zeros(len(words))
         for n, members, x in self._grouped(words):
-            out[members] = self._forward(n, self._edges(x), scores, len(members))[n]
+            start, end, ids = self._edges(x)
+            out[members] = self._sums(n, len(members), start, end, self.log_p[ids], range(n + 1))[-len(members) :]
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over the words' segmentations, each word counting as often as counts says."""
-        scores = np.append(self.log_p, -np.inf)
         out = np.zeros(len(self.pieces))
         for n, members, x in self._grouped(words):
-            edges = self._edges(x)
-            alpha = self._forward(n, edges, scores, len(members))
-            beta = np.full_like(alpha, -np.inf)
-            beta[n] = 0
-            for i in range(n - 1, -1, -1):
-                terms = np.stack([beta[i + k] + scores[ids[i]] for k, ids in edges.items() if i + k <= n])
-                top = terms.max(0)
-                beta[i] = top + np.log(np.exp(terms - top).sum(0))
-            weight = counts[members].astype(float)
-            for k, ids in edges.items():
-                rows, cols = np.nonzero(ids >= 0)
-                used = ids[rows, cols]
-                p = np.exp(alpha[rows, cols] + self.log_p[used] + beta[rows + k, cols] - alpha[n, cols])
-                out += np.bincount(used, p * weight[cols], len(out))
+            width = len(members)
+            start, end, ids = self._edges(x)
+            scores = self.log_p[ids]
+            alpha = self._sums(n, width, start, end, scores, range(n + 1))
+            back = np.argsort(start, kind="stable")
+            beta = self._sums(n, width, end[back], start[back], scores[back], range(n, -1, -1))
+            p = np.exp(alpha[start] + scores + beta[end] - np.tile(alpha[-width:], n)[start])
+            out += np.bincount(ids, p * np.tile(counts[members].astype(float), n)[start], len(out))
         return out
