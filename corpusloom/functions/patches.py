@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.ledger import CHIP, stripped
 
+# What ends a line of a patch.
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Paths that count as code.
 CODE = "^(?:src/|include/|tests/|bench/|tools/|cmake/|CMakeLists\\.txt)"
 
@@ -27,7 +29,7 @@ def preimage(patch: Column) -> Column:
     """For each code file its hunks without added lines: headers, context, and deleted lines that aren't file headers."""
 
     def block(s: Column) -> Column:
-        lines = F.split(s["text"], "\n")
+        lines = F.split(s["text"], LINE_END)
         headers = F.transform(lines, lambda x: x.startswith("@@"))
         start = F.array_position(headers, F.lit(True)).cast("int")
         hunks = F.filter(F.slice(lines, F.greatest(start, F.lit(1)), F.size(lines)), lambda x: x.rlike("^(?:@@| |-(?!--))"))
@@ -46,7 +48,7 @@ def fingerprint(patch: Column, mechanism: Column, files: Column, op_family: Colu
         x = F.regexp_replace(x, f"(?i){CHIP}", "sm_x")
         return F.regexp_replace(F.regexp_replace(x, r"\b[0-9a-f]{40}\b", "<commit>"), r"(?U)\s+\z", "")
 
-    lines = F.filter(F.split(F.regexp_replace(patch, r"\n\z", ""), "\n"), lambda x: ~x.startswith("index "))
+    lines = F.filter(F.split(F.regexp_replace(patch, f"(?:{LINE_END})\\z", ""), LINE_END), lambda x: ~x.startswith("index "))
     of_patch = F.array_join(F.transform(lines, line), "\n")
     plain = F.concat_ws("|", op_family, F.lower(mechanism), F.lower(files))
     of_text = stripped(F.regexp_replace(F.regexp_replace(plain, CHIP, "sm_x"), r"(?U)\s+", " "))

@@ -33,16 +33,19 @@ def view_checks(episodes: DataFrame) -> DataFrame:
     classes = F.transform(F.filter(ev, lambda e: F.array_contains(i, e["event_id"])), lambda e: e["information_class"])
     targets = F.filter(ev, lambda e: F.array_contains(t, e["event_id"]))
     build = F.col("task_view") == "implementation"
-    return gathered(
-        broken(episodes, "sequence", key, ~contiguous(ev), "events aren't numbered from 0"),
-        broken(episodes, "event ids", key, F.size(F.array_distinct(all_ids)) != F.size(all_ids), "an event id occurs twice"),
-        broken(episodes, "input and target", key, F.arrays_overlap(i, t), "an event is input and target"),
-        broken(episodes, "input and withheld", key, F.arrays_overlap(i, w), "an event is input and withheld"),
-        broken(episodes, "known ids", key, F.size(F.array_except(F.array_union(F.array_union(i, t), w), all_ids)) > 0, "the view names an unknown event"),
-        broken(episodes, "leak", key, F.col("view.candidate_generation") & (F.size(F.array_except(classes, F.array(*[F.lit(a) for a in ALLOWED]))) > 0), "results are among the inputs"),
-        broken(episodes, "label", key, ~F.col("view.result_label_visible") & F.array_contains(classes, "disposition_label"), "the label is among the inputs"),
-        broken(episodes, "patch", key, build & ~F.exists(targets, lambda e: (e["event_type"] == "patch") & F.contains(e["payload"], F.lit("diff --git"))), "no patch is asked for"),
-    )
+    rules = [
+        ("sequence", ~contiguous(ev), "events aren't numbered from 0"),
+        ("event ids", F.size(F.array_distinct(all_ids)) != F.size(all_ids), "an event id occurs twice"),
+        ("input and target", F.arrays_overlap(i, t), "an event is input and target"),
+        ("input and withheld", F.arrays_overlap(i, w), "an event is input and withheld"),
+        ("known ids", F.size(F.array_except(F.array_union(F.array_union(i, t), w), all_ids)) > 0, "the view names an unknown event"),
+        ("leak", F.col("view.candidate_generation") & (F.size(F.array_except(classes, F.array(*[F.lit(a) for a in ALLOWED]))) > 0), "results are among the inputs"),
+        ("label", ~F.col("view.result_label_visible") & F.array_contains(classes, "disposition_label"), "the label is among the inputs"),
+        ("patch", build & ~F.exists(targets, lambda e: (e["event_type"] == "patch") & F.contains(e["payload"], F.lit("diff --git"))), "no patch is asked for"),
+    ]
+    # one pass over the episodes, whatever the number of checks
+    found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.struct(F.lit(check).alias("check"), F.lit(message).alias("message"))) for check, bad, message in rules]))
+    return episodes.select(key.cast("string").alias("key"), F.inline(found)).select("check", "key", "message")
 
 
 def outcome_checks(episodes: DataFrame, history: DataFrame) -> DataFrame:

@@ -17,6 +17,10 @@ INSTRUCTIONS = {
     "judgment": "Judge the candidate from the evidence of correctness and of performance at each point.",
     "orchestration_reporting": "Choose the next action of the campaign after a decision.",
 }
+#: Columns of candidates that their episodes carry where they are there.
+CARRIED = ("architectures", "snapshot_refs", "source_ids", "limitations", "review_status", "preference")
+# What an evaluation is scored by.
+RUBRIC = ["contract correctness", "evidence calibration", "architecture scope", "appropriate verification"]
 
 
 def event(role: str, actor: str, kind: str, information: str, payload: Column, refs: Column, when: Column | None = None) -> Column:
@@ -89,13 +93,13 @@ def episodes(candidates: DataFrame, terminal: Column) -> DataFrame:
         F.concat_ws("-", F.lit("auto"), ledger.slug(F.col("campaign_id")), ledger.slug(F.col("order")), "_v.task_view").alias("episode_id"), F.concat(F.lit("family-auto-"), F.substring("fingerprint", 1, 20)).alias("family_id"), lineage.alias("lineage_id"),
         F.concat(F.lit("campaign-auto|"), "fingerprint").alias("dedup_key"), "campaign_id", "assigned_split", "evaluation_tier", F.col("_v.task_view").alias("task_view"), e.alias("events"),
         F.struct(F.col("_v.candidate_generation"), ids(e, INPUT).alias("input_event_ids"), ids(e, TARGET).alias("target_event_ids"), ids(e, HIDDEN).alias("withheld_event_ids"), F.col("_v.result_label_visible")).alias("view"),
-        F.struct("disposition", "candidate_commit", "restoration_commit").alias("outcome"),
+        F.struct("disposition", "candidate_commit", "restoration_commit").alias("outcome"), *[c for c in CARRIED if c in candidates.columns],
     )
 
 
 def rendered(events: Column, wanted: Column) -> Column:
     """Events of an id list as text, each under its type and evidence."""
-    text = lambda e: F.concat(F.lit("["), e["event_type"], F.lit(" | evidence: "), F.array_join(e["evidence_refs"], ", "), F.lit("]\n"), e["payload"])
+    text = lambda e: F.concat(F.lit("["), e["event_type"], F.lit(" | evidence: "), F.when(F.size(e["evidence_refs"]) > 0, F.array_join(e["evidence_refs"], ", ")).otherwise("none"), F.lit("]\n"), e["payload"])
     return F.array_join(ordered_lookup(wanted, events, lambda e: e["event_id"], text), "\n\n")
 
 
@@ -105,11 +109,43 @@ def sft(episodes_: DataFrame) -> DataFrame:
     return episodes_.where("assigned_split != 'quarantine'").select(F.col("episode_id").alias("id"), F.col("assigned_split").alias("split"), F.array(say("system", F.lit("Use only the given evidence.")), say("user", rendered(F.col("events"), F.col("view.input_event_ids"))), say("assistant", rendered(F.col("events"), F.col("view.target_event_ids")))).alias("messages"), "family_id", "task_view")
 
 
+def _carried(episodes_: DataFrame, column: str, alias: str) -> Column:
+    """A carried column, or nulls where the episodes don't have it."""
+    return (F.col(column) if column in episodes_.columns else F.lit(None).cast("array<string>")).alias(alias)
+
+
 def evaluation(episodes_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Public prompts and private labels of validation and test episodes."""
     e = episodes_.where(F.col("assigned_split").isin("validation", "test"))
-    return e.select(F.col("episode_id").alias("id"), rendered(F.col("events"), F.col("view.input_event_ids")).alias("prompt"), "task_view"), e.select(F.col("episode_id").alias("id"), rendered(F.col("events"), F.col("view.target_event_ids")).alias("reference_answer"), "outcome")
+    rubric = F.array(*[F.lit(r) for r in RUBRIC]).alias("rubric")
+    public = e.select(F.col("episode_id").alias("id"), "assigned_split", rendered(F.col("events"), F.col("view.input_event_ids")).alias("prompt"), "task_view", _carried(e, "architectures", "architecture_scope"), rubric)
+    private = e.select(F.col("episode_id").alias("id"), rendered(F.col("events"), F.col("view.target_event_ids")).alias("reference_answer"), "outcome", _carried(e, "snapshot_refs", "required_snapshot_refs"))
+    return public, private
+
+
+def preferences(episodes_: DataFrame) -> DataFrame:
+    """Training episodes with a preference: prompt, the chosen events as text, the rejected answer and why it fails."""
+    e = episodes_.where((F.col("assigned_split") == "train") & F.col("preference").isNotNull())
+    return e.select(
+        F.col("episode_id").alias("id"), rendered(F.col("events"), F.col("view.input_event_ids")).alias("prompt"), rendered(F.col("events"), F.col("preference.chosen_event_ids")).alias("chosen"),
+        F.col("preference.rejected_response").alias("rejected"), F.col("preference.failure_mode").alias("failure_mode"), "family_id", _carried(e, "snapshot_refs", "snapshot_refs"),
+    )
 
 
 def quarantined(episodes_: DataFrame) -> DataFrame:
-    return episodes_.where("assigned_split = 'quarantine'").select(F.col("episode_id").alias("id"), "evaluation_tier", "outcome")
+    """Episodes in quarantine with the reasons."""
+    e = episodes_.where("assigned_split = 'quarantine'")
+    status = F.col("review_status") if "review_status" in e.columns else F.lit(None).cast("string")
+    return e.select(F.col("episode_id").alias("id"), "evaluation_tier", "outcome", _carried(e, "limitations", "reason"), status.alias("review_status"), _carried(e, "source_ids", "source_ids"))
+
+
+def curated_manifest(episodes_: DataFrame) -> DataFrame:
+    """relative_path, n of every export that has rows, in one pass over the episodes."""
+    split = F.col("assigned_split")
+    liked = F.col("preference").isNotNull() if "preference" in episodes_.columns else F.lit(False)
+    tested = split.isin("validation", "test")
+    paths = F.array(
+        F.when(split != "quarantine", F.concat(F.lit("sft/"), split)), F.when((split == "train") & liked, "preference/train"), F.when(tested, F.concat(F.lit("eval/"), split, F.lit(".public"))),
+        F.when(tested, F.concat(F.lit("eval/"), split, F.lit(".private"))), F.when(split == "quarantine", "quarantine/index"),
+    )
+    return episodes_.select(F.explode(F.array_compact(paths)).alias("relative_path")).groupBy("relative_path").agg(F.count("*").alias("n"))

@@ -45,6 +45,16 @@ def latest_time(df: DataFrame, by: str, column: str) -> DataFrame:
     return df.where(F.col(column) != "").groupBy(by).agg(F.max_by(F.col(column), F.struct(F.to_timestamp(column), column)).alias("latest"))
 
 
+def greatest_text(df: DataFrame, by: list[str], column: str) -> DataFrame:
+    """Per key the greatest value as text, whatever times it may stand for."""
+    return df.groupBy(*by).agg(F.max(column).alias("latest"))
+
+
+def failures(df: DataFrame, by: list[str], status: str, failed: str = "failed") -> DataFrame:
+    """Per key the rows that failed, and all."""
+    return df.groupBy(*by).agg(F.count_if(F.col(status) == failed).alias("failed"), F.count("*").alias("n"))
+
+
 def terminal(df: DataFrame, campaign: str, cycle: str, pos: str, accepted) -> DataFrame:
     """last (in ledger order) and terminal_no_win (last of a cycle without an accepted row)."""
     g = df.groupBy(campaign, cycle).agg(F.max(pos).alias("_last"), F.bool_or(accepted).alias("_any"))

@@ -48,7 +48,9 @@ def corrections_for(candidates: DataFrame, corrections: DataFrame) -> DataFrame:
     forms = F.array(F.lower("candidate"), F.lower("order"), F.when(both, F.concat(F.lit("c"), "cycle", F.lit("_"), two)), F.when(both, F.concat(F.lit("cc"), "cycle", F.lit("_"), two)))
     c = candidates.select("pos_key", F.col("cycle").alias("_cycle"), F.explode(F.array_distinct(F.array_compact(forms))).alias("_form"))
     k = corrections.withColumn("_form", F.lower(ledger.clean(F.col("about")))).where(F.col("_form") != "").withColumn("_in", ledger.clean(F.col("in_cycle")))
-    return c.join(k, "_form").where((F.col("_in") == "") | (F.col("_in") == F.col("_cycle"))).drop("_form", "_in", "_cycle").distinct()
+    own = c.join(k.where("_in != ''"), (c["_form"] == k["_form"]) & (F.col("_in") == F.col("_cycle"))).drop("_form", "_in", "_cycle")
+    every = c.join(k.where("_in = ''"), "_form").drop("_form", "_in", "_cycle")
+    return own.unionByName(every).distinct()
 
 
 def overlay(matched: DataFrame, fields: list[str], key: str = "pos_key", pos: str = "pos") -> DataFrame:
@@ -111,3 +113,9 @@ def with_latest(refs: DataFrame, latest: DataFrame) -> DataFrame:
     found = each.withColumn("_n", name).join(l, F.col("_n") == F.col("_s"), "left")
     ref = F.when(F.col("_n").isNull(), F.col("ref")).otherwise(F.coalesce("_id", F.raise_error(F.concat(F.lit("no record of "), "_n"))))
     return found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("p", ref.alias("ref")))).alias("r")).select("key", F.transform("r", lambda x: x["ref"]).alias("refs"))
+
+
+def commit_times(rows: DataFrame, history: DataFrame, revision: str) -> DataFrame:
+    """rows with committed_at of the commit that a column names, null where the history doesn't have it."""
+    h = history.select(F.col("commit").alias("_c"), "committed_at")
+    return rows.join(h, F.col(revision) == F.col("_c"), "left").drop("_c")

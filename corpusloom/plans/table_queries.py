@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
@@ -13,22 +10,16 @@ from corpusloom.plans.registry import register, table
 from corpusloom.sources import tables
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or a temporary one where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @register("sc2_json_lines", "SELECT conv_id, turn, role, text FROM {conversations}")
 def json_lines(spark, sf_dir):
-    path = scratch(spark, "jsonl")
+    path = tables.scratch(spark, "jsonl")
     table(spark, sf_dir, "conversations").select(tables.canonical("conv_id", "turn", "role", "text").alias("value")).write.text(path)
     return tables.json_lines(spark, path, "conv_id long, turn long, role string, text string")
 
 
 @register("sc3_csv_ledger", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, source FROM {documents}")
 def csv_ledger(spark, sf_dir):
-    path = scratch(spark, "csv")
+    path = tables.scratch(spark, "csv")
     table(spark, sf_dir, "documents").select("doc_id", "text", "source").write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return tables.csv_ledger(spark, path)
 

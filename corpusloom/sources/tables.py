@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +15,25 @@ from corpusloom.functions import ledger
 VOLATILE = ("created_at", "retrieved_at")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder. Where none is set: a temporary folder, on a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = set_.get() if set_.isDefined() else None
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, path: str) -> DataFrame:
+    """The frame, written and read again: its lineage ends there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
@@ -59,10 +81,10 @@ def canonical(*columns: str | Column) -> Column:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, volatile: tuple = VOLATILE, position: str | None = None) -> DataFrame:
-    """Rows by key: the new one where it differs in more than volatile columns, else the old one. Of several new rows of a key the last counts."""
+    """Rows by key: the new one where it differs in more than volatile columns, else the old one. Of several new rows of a key the last by position counts, without positions the greatest."""
     columns = old.columns
     row = F.struct(*[F.col(c) for c in columns])
-    n = new.groupBy(key).agg(F.max_by(row, F.col(position)).alias("n")) if position else new.select(F.col(key), row.alias("n"))
+    n = new.groupBy(key).agg(F.max_by(row, F.col(position)).alias("n") if position else F.max(row).alias("n"))
     o = old.select(F.col(key).alias("_key"), row.alias("o"))
     stable = [c for c in columns if c not in volatile]
     same = F.lit(True)
@@ -79,6 +101,12 @@ def new_objects(found: DataFrame, there: DataFrame) -> DataFrame:
     return found.dropDuplicates(["sha256"]).join(there.select("sha256"), "sha256", "left_anti")
 
 
+def conflicting(found: DataFrame, there: DataFrame) -> DataFrame:
+    """Objects whose name there holds other content than its digest says: (sha256, actual). None of them may be written over."""
+    t = there.select("sha256", "actual").where("sha256 != actual")
+    return found.select("sha256").distinct().join(t, "sha256")
+
+
 def write_if_changed(df: DataFrame, path: str) -> bool:
     """Write a one-column text table unless the same lines are there; says whether it wrote."""
     spark = df.sparkSession
@@ -91,6 +119,11 @@ def write_if_changed(df: DataFrame, path: str) -> bool:
     return True
 
 
+def write_sorted(df: DataFrame, key: str, path: str) -> None:
+    """Canonical JSON lines in the order of a key over all files, by their names."""
+    df.orderBy(key).select(canonical(*df.columns).alias("value")).write.mode("errorifexists").text(path)
+
+
 def write_new(df: DataFrame, path: str) -> None:
     """Fails where something is there."""
     df.write.mode("errorifexists").parquet(path)
