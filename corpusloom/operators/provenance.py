@@ -190,6 +190,6 @@ def scanned_secrets(spark: SparkSession, path: str) -> DataFrame:
 
 def schema_files(spark: SparkSession, folder: str) -> DataFrame:
     """name, schema (JSON text) of every *.schema.json of a folder, by name; raises where one isn't JSON."""
-    d = spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/*.schema.json").select(F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0).alias("name"), F.col("value").alias("schema"))
+    d = spark.read.text(f"{folder.rstrip('/')}/*.schema.json", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0).alias("name"), F.col("value").alias("schema"))
     checked = F.when(F.try_parse_json("schema").isNotNull(), F.col("schema")).otherwise(F.raise_error(F.concat(F.lit("not JSON: "), "name")).cast("string"))
     return d.select("name", checked.alias("schema")).orderBy("name")

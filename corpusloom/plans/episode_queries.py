@@ -64,16 +64,30 @@ def quarantine(spark, sf_dir):
     return episodes.quarantined(made(spark, sf_dir)).select("id", "evaluation_tier")
 
 
-@register("va_view_checks", CANDIDATES + f" SELECT CASE WHEN pos % 5 = 0 THEN 'sequence' ELSE 'input and target' END AS \"check\", {NAME} AS key FROM e WHERE pos % 5 = 0 OR pos % 7 = 0 AND pos % 5 <> 0")
+DEFECTS = [
+    (0, "sequence", "true"), (1, "event ids", "true"), (2, "input and target", "true"), (2, "input and withheld", "true"), (2, "leak", "task_view IN ('diagnosis', 'implementation')"), (2, "label", "task_view = 'judgment'"), (3, "input and withheld", "true"),
+    (4, "known ids", "true"), (5, "label", "task_view = 'orchestration_reporting'"), (6, "patch", "task_view = 'implementation'"), (7, "leak", "task_view IN ('diagnosis', 'implementation')"),
+]
+
+
+@register("va_view_checks", CANDIDATES + " " + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", {NAME} AS key FROM e WHERE pos % 16 = {k} AND {w}" for k, c, w in DEFECTS))
 def view_checks(spark, sf_dir):
-    """Defects are put in: a shifted sequence in each fifth candidate's episodes, a target among the inputs in each seventh's."""
-    m = candidates(spark, sf_dir).select("pos", F.concat_ws("-", F.lit("auto"), ledger.slug(F.col("campaign_id")), ledger.slug(F.col("order"))).alias("stem"))
-    e = made(spark, sf_dir).withColumn("stem", F.regexp_replace("episode_id", "-(?:diagnosis|implementation|judgment|orchestration_reporting)$", "")).join(m, "stem")
-    shifted = F.transform("events", lambda x: x.withField("sequence", x["sequence"] + 1))
-    mixed = F.col("view").withField("input_event_ids", F.col("view.target_event_ids"))
-    bad = e.withColumn("events", F.when(F.col("pos") % 5 == 0, shifted).otherwise(F.col("events"))).withColumn("view", F.when((F.col("pos") % 7 == 0) & (F.col("pos") % 5 != 0), mixed).otherwise(F.col("view")))
-    found = checks.view_checks(bad)
-    return found.where(F.col("check").isin("sequence", "input and target")).select("check", "key")
+    """Every check has a defect put in, by the candidate's number modulo 16; the other half of the episodes has none."""
+    c = candidates(spark, sf_dir)
+    e = episodes.episodes(c.withColumn("review_status", F.col("pos").cast("string")), F.col("terminal_no_win")).withColumn("pos", F.col("review_status").cast("long"))
+    kind, ev, first = F.col("pos") % 16, F.col("events"), F.get("events", F.lit(0))
+    again = F.concat(ev, F.array(first.withField("sequence", F.size(ev))))
+    events = (
+        F.when(kind == 0, F.transform(ev, lambda x: x.withField("sequence", x["sequence"] + 1))).when(kind == 1, again).when(kind == 6, F.transform(ev, lambda x: x.withField("payload", F.lit("none"))))
+        .when(kind == 7, F.transform(ev, lambda x, i: F.when(i == 0, x.withField("information_class", F.lit("post_candidate_result"))).otherwise(x))).otherwise(ev)
+    )
+    v = F.col("view")
+    more = lambda a, b: F.concat(F.col(f"view.{a}_event_ids"), b)
+    view = (
+        F.when(kind == 2, v.withField("input_event_ids", F.col("view.target_event_ids"))).when(kind == 3, v.withField("withheld_event_ids", more("withheld", F.slice("view.input_event_ids", 1, 1))))
+        .when(kind == 4, v.withField("target_event_ids", more("target", F.array(F.lit("e999"))))).when(kind == 5, v.withField("result_label_visible", F.lit(False))).otherwise(v)
+    )
+    return checks.view_checks(e.withColumns({"events": events, "view": view})).select("check", "key")
 
 
 @register("va11_outcomes", CANDIDATES + f" SELECT 'restoration' AS \"check\", {NAME} AS key FROM e WHERE d = 'rejected' AND pos % 2 = 0 AND pos % 4 <> 0 UNION ALL SELECT 'restoration edge', {NAME} FROM e WHERE d = 'rejected' AND pos % 4 = 0 AND pos % 3 <> 0 ")

@@ -196,10 +196,10 @@ def quality_checks(spark, sf_dir):
 FILE_SECRET_SQL = " UNION ALL ".join(f"SELECT path AS key, 'possible {n}' AS message FROM f WHERE regexp_matches(content, '{p}')" for n, p in provenance.FILE_SECRETS.items())
 
 
-@register("fl13_file_secrets", "WITH f AS (SELECT 'd/' || CAST(doc_id AS VARCHAR) AS path, text || CASE WHEN doc_id % 9 = 0 THEN ' run ssh -p 22 user' || chr(64) || 'host' ELSE '' END || CASE WHEN doc_id % 11 = 0 THEN ' AKIA' || repeat('Q', 16) ELSE '' END AS content FROM {documents} WHERE doc_id % 4 <> 0) " + FILE_SECRET_SQL)
+@register("fl13_file_secrets", "WITH f AS (SELECT 'd/' || CAST(doc_id AS VARCHAR) AS path, text || CASE WHEN doc_id % 9 = 0 THEN ' run ssh -p22 user' || chr(64) || 'host' ELSE '' END || CASE WHEN doc_id % 11 = 0 THEN ' AKIA' || repeat('Q', 16) ELSE '' END AS content FROM {documents} WHERE doc_id % 4 <> 0) " + FILE_SECRET_SQL)
 def file_secrets(spark, sf_dir):
     i = F.col("doc_id")
-    content = F.concat("text", F.when(i % 9 == 0, " run ssh -p 22 user@host").otherwise(""), F.when(i % 11 == 0, " AKIA" + "Q" * 16).otherwise(""))
+    content = F.concat("text", F.when(i % 9 == 0, " run ssh -p22 user@host").otherwise(""), F.when(i % 11 == 0, " AKIA" + "Q" * 16).otherwise(""))
     path = F.concat(F.lit("d/"), i.cast("string"), F.when(i % 4 == 0, ".PDF").otherwise(""))
     d = table(spark, sf_dir, "documents").where("text is not null").select(path.alias("path"), content.cast("binary").alias("content")).withColumn("length", F.octet_length("content"))
     return provenance.file_secrets(d).select("key", "message")

@@ -141,10 +141,14 @@ def parent_reverts(spark, sf_dir):
 RECORDS = "SELECT event_type AS source_id, CAST(event_id AS STRING) AS record_id, CAST(user_id % 50 AS STRING) AS created_at, md5(CAST(user_id AS STRING)) AS sha256 FROM {events}"
 
 
-@register("jn8_latest_record", f"WITH r AS ({RECORDS}) SELECT source_id, arg_max(record_id, created_at || '|' || record_id) AS record_id FROM r GROUP BY source_id")
+PINS = f"SELECT source_id, CASE WHEN length(source_id) % 2 = 0 THEN min(record_id) ELSE 'none' END AS pin FROM ({RECORDS}) p GROUP BY source_id"
+
+
+@register("jn8_latest_record", f"WITH r AS ({RECORDS}), p AS ({PINS}) SELECT r.source_id, CASE WHEN length(r.source_id) % 2 = 0 THEN min(record_id) ELSE arg_max(record_id, created_at || '|' || record_id) END AS record_id FROM r GROUP BY r.source_id")
 def latest(spark, sf_dir):
-    r = relation(spark, sf_dir, RECORDS)
-    registry = r.select("source_id").distinct().withColumn("sha256", F.lit("no such digest"))
+    """Each source whose name has an even length is pinned to its least record id's digest, the others to one that isn't there."""
+    r = relation(spark, sf_dir, RECORDS).withColumn("sha256", F.md5(F.col("record_id").cast("binary")))
+    registry = relation(spark, sf_dir, PINS).select("source_id", F.md5(F.col("pin").cast("binary")).alias("sha256"))
     return joins.latest_record(r, registry).select("source_id", "record_id")
 
 
@@ -165,9 +169,15 @@ def reconcile(spark, sf_dir):
     return groups.reconcile_splits(d, "fp", "pos").select("pos", "assigned_split", "evaluation_tier")
 
 
-@register("ag5_latest_time", "SELECT event_type, arg_max(strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00', ts) AS latest FROM {events} GROUP BY event_type")
+AT = "strftime(ts + CASE WHEN event_id % 2 = 0 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 2 = 0 THEN '+02:00' ELSE 'Z' END"
+
+
+@register("ag5_latest_time", f"SELECT event_type, struct_extract(max({{'t': date_trunc('second', ts), 's': {AT}}}), 's') AS latest FROM {{events}} GROUP BY event_type")
 def latest_time(spark, sf_dir):
-    d = table(spark, sf_dir, "events").select("event_type", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("at"))
+    """Each second time is written with another offset, so that the order of the texts isn't that of the times."""
+    east = F.col("event_id") % 2 == 0
+    local = F.date_format(F.when(east, F.col("ts") + F.expr("INTERVAL 2 HOURS")).otherwise(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss")
+    d = table(spark, sf_dir, "events").select("event_type", F.concat(local, F.when(east, "+02:00").otherwise("Z")).alias("at"))
     return groups.latest_time(d, "event_type", "at")
 
 
@@ -205,23 +215,30 @@ def cycle_state(spark, sf_dir):
     return groups.cycle_state(d, "campaign_id", "cycle", "pos", ledger.disposition(F.col("decision")) == "accepted").select("pos", F.col("slot").cast("long").alias("slot"), "allowed")
 
 
-@register("sp2_accept_gate", """WITH r AS (SELECT l_orderkey AS k, 100 * (l_extendedprice - l_extendedprice * (1 - l_discount / 3)) / l_extendedprice AS p, l_quantity / 10 AS t FROM {lineitem}) SELECT k, round(avg(p), 6) AS mean_pct, count(*) AS reps, round(avg(p), 9) >= 1.5 OR (avg(t) >= 3 AND avg(p) > 0) AS accepted FROM r GROUP BY k""")
+# limits that no mean of tenths or thirds is equal to
+GATE = """WITH r AS (SELECT l_orderkey AS k, 100 * (l_extendedprice - l_extendedprice * (1 - l_discount / 3)) / l_extendedprice AS p, l_quantity / 10 AS t FROM {lineitem}), g AS (SELECT k, avg(p) AS mp, min(p) AS lp, avg(t) AS mt, min(t) AS lt, count(*) AS reps FROM r GROUP BY k)
+ SELECT k, round(mp, 6) AS mean_pct, reps, mp >= 1.4999 OR (mt >= 2.9999 AND mp > 0) AS by_mean, lp >= 1.4999 OR (lt >= 2.9999 AND lp > 0) AS by_each, lp >= 1.4999 AND reps >= 2 AS by_all FROM g"""
+
+
+@register("sp2_accept_gate", GATE)
 def gate(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_extendedprice").alias("base_ms"), (F.col("l_extendedprice") * (1 - F.col("l_discount") / 3)).alias("ms"), (F.col("l_quantity") / 10).alias("tok_gain"))
-    return groups.accept_gate(d, ["k"]).select("k", F.round("mean_pct", 6).alias("mean_pct"), "reps", ((F.round("mean_pct", 9) >= 1.5) | ((F.col("mean_tok") >= 3) & (F.col("mean_pct") > 0))).alias("accepted"))
+    one = lambda mode: groups.accept_gate(d, ["k"], mode, 1.4999, 2.9999)
+    each, every = (one(m).select("k", F.col("accepted").alias(f"by_{m}")) for m in ("each", "all"))
+    return one("mean").select("k", F.round("mean_pct", 6).alias("mean_pct"), "reps", F.col("accepted").alias("by_mean")).join(each, "k").join(every, "k")
 
 
-@register("sp3_worst_point", "WITH d AS (SELECT l_orderkey AS k, l_linenumber AS n, 100 * (l_extendedprice * (1 + l_tax) - l_extendedprice) / l_extendedprice AS d FROM {lineitem}) SELECT k, round(max(d), 6) AS worst_pct FROM d GROUP BY k")
+@register("sp3_worst_point", "WITH d AS (SELECT l_orderkey AS k, l_linenumber AS n, 100 * (l_extendedprice * (1 + l_tax) - l_extendedprice) / l_extendedprice AS d FROM {lineitem}) SELECT k, round(max(d), 6) AS worst_pct, CAST(struct_extract(max({'d': d, 'n': n}), 'n') AS BIGINT) AS worst_point FROM d GROUP BY k")
 def worst(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_extendedprice").alias("b"), (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("v"))
-    return groups.worst_points(d, ["k"], "n", "b", "v").select("k", F.round("worst_pct", 6).alias("worst_pct"))
+    return groups.worst_points(d, ["k"], "n", "b", "v").select("k", F.round("worst_pct", 6).alias("worst_pct"), F.col("worst_point").cast("long").alias("worst_point"))
 
 
-@register("sp6_summary", """SELECT l_returnflag AS flag, round(exp(avg(ln(CASE WHEN l_discount > 0 THEN 1 + l_discount END))), 6) AS geomean, round(min(CASE WHEN l_discount > 0 THEN 1 + l_discount END), 6) AS worst, round(avg(CASE WHEN l_discount > 0 THEN 1.0 ELSE 0.0 END), 6) AS valid_rate, count_if(l_tax > 0.04) AS n_accepted FROM {lineitem} GROUP BY 1""")
+@register("sp6_summary", """SELECT l_returnflag AS flag, round(exp(avg(ln(CASE WHEN l_discount > 0 THEN 1 + l_discount END))), 6) AS geomean, round(min(CASE WHEN l_discount > 0 THEN 1 + l_discount END), 6) AS worst, round(avg(CASE WHEN l_discount > 0 THEN 1.0 ELSE 0.0 END), 6) AS valid_rate, count_if(l_tax > 0.04) AS n_accepted, round(avg(CASE WHEN l_tax > 0.04 THEN 1.0 ELSE 0.0 END), 6) AS accept_rate, round(avg(CASE WHEN l_tax > 0.06 AND NOT l_discount > 0 THEN 1.0 ELSE 0.0 END), 6) AS false_claim_rate FROM {lineitem} GROUP BY 1""")
 def summary(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), (1 + F.col("l_discount")).alias("s"), "l_discount", "l_tax")
     g = groups.summary(d, ["flag"], "s", F.col("l_discount") > 0, F.col("l_tax") > 0.04, F.col("l_tax") > 0.06)
-    return g.select("flag", F.round("geomean", 6).alias("geomean"), F.round("worst", 6).alias("worst"), F.round("valid_rate", 6).alias("valid_rate"), "n_accepted")
+    return g.select("flag", F.round("geomean", 6).alias("geomean"), F.round("worst", 6).alias("worst"), F.round("valid_rate", 6).alias("valid_rate"), "n_accepted", F.round("accept_rate", 6).alias("accept_rate"), F.round("false_claim_rate", 6).alias("false_claim_rate"))
 
 
 @register("sp4_combo", f"""WITH l AS ({LEDGER}) SELECT pos, CASE WHEN {VERDICT} <> 'rejected' THEN 'not rejected' WHEN coalesce(oracle_result, '') <> 'pass' AND coalesce(oracle_result, '') <> 'did not pass' THEN 'unsound' WHEN cycle = '3' THEN 'conflicting' WHEN total > 200000 THEN 'eligible' ELSE 'no gain' END AS combo FROM l""")

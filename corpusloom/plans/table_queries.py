@@ -39,10 +39,12 @@ def pinned(spark, sf_dir):
     return tables.pinned(found, want)
 
 
-@register("sc10_urls", "SELECT page_id, 'https://raw.githubusercontent.com/a/' || CAST(page_id AS VARCHAR) || '/r1/src/X.cu' AS raw, 'repo-src-x-cu' AS child FROM {pages}")
+@register("sc10_urls", r"""WITH p AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u, 'src/' || CAST(page_id AS VARCHAR) || '/Read.ME' AS f FROM {pages}) SELECT page_id, 'https://raw.githubusercontent.com/' || trim(regexp_replace(u, '^[A-Za-z]+://[^/]+', ''), '/') || '/r' || CAST(page_id % 3 AS VARCHAR) || '/' || f AS raw, 'repo-src-' || CAST(page_id AS VARCHAR) || '-read-me' AS child FROM p""")
 def urls(spark, sf_dir):
-    repo = F.concat(F.lit("https://github.com/a/"), F.col("page_id").cast("string"), F.lit(".git"))
-    return table(spark, sf_dir, "pages").select("page_id", tables.raw_url(repo, F.lit("r1"), F.lit("src/X.cu")).alias("raw"), tables.child_id(F.lit("repo"), F.lit("src/X.cu")).alias("child"))
+    i = F.col("page_id").cast("string")
+    repo = F.concat(F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "/+$", ""), F.when(F.col("page_id") % 2 == 0, ".git").otherwise(""))
+    path = F.concat(F.lit("src/"), i, F.lit("/Read.ME"))
+    return table(spark, sf_dir, "pages").select("page_id", tables.raw_url(repo, F.concat(F.lit("r"), (F.col("page_id") % 3).cast("string")), path).alias("raw"), tables.child_id(F.lit("repo"), path).alias("child"))
 
 
 @register("sc14_collected", r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS h, lower(url) AS u FROM {pages}) SELECT page_id, CASE WHEN h = '' OR h NOT IN (SELECT h FROM (SELECT h, count(*) AS n FROM p GROUP BY h) x WHERE h LIKE '%1%' OR h LIKE '%2%') THEN 'failed' WHEN u LIKE '%/3%' THEN 'failed' ELSE 'collected' END AS status FROM p""")
@@ -79,10 +81,14 @@ def manifest(spark, sf_dir):
     return tables.manifest_rows(d, "raw", "corpusloom").select("record_id", "sha256", "bytes", "mime_type")
 
 
-@register("pr17_endings", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN '.html' WHEN 1 THEN '.pdf' ELSE '.bin' END AS e FROM {pages}")
+@register("pr17_endings", r"""WITH u AS (SELECT page_id, url || CASE WHEN page_id % 2 = 0 THEN '' ELSE '&z=1' END AS url, CASE page_id % 5 WHEN 0 THEN 'text/html' WHEN 1 THEN 'application/pdf' END AS m FROM {pages}), w AS (SELECT page_id, m, CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, '[?#].*$', '') || '/Paper.TXT?q=a.zip' ELSE url END AS url FROM u)
+ SELECT page_id, CASE m WHEN 'text/html' THEN '.html' WHEN 'application/pdf' THEN '.pdf' ELSE coalesce(nullif(lower(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]+/.*(\.[A-Za-z0-9]+)$', 1)), ''), '.bin') END AS e FROM w""".replace("\\\\", "\\"))
 def endings(spark, sf_dir):
-    mime = F.when(F.col("page_id") % 3 == 0, "text/html").when(F.col("page_id") % 3 == 1, "application/pdf").otherwise("x/y")
-    return table(spark, sf_dir, "pages").select("page_id", ledger.ending(mime, F.lit("https://h.org/plain")).alias("e"))
+    i = F.col("page_id")
+    url = F.concat("url", F.when(i % 2 == 0, "").otherwise("&z=1"))
+    url = F.when(i % 3 == 0, F.concat(F.regexp_replace(url, "[?#].*$", ""), F.lit("/Paper.TXT?q=a.zip"))).otherwise(url)
+    mime = F.when(i % 5 == 0, "text/html").when(i % 5 == 1, "application/pdf").otherwise("x/y")
+    return table(spark, sf_dir, "pages").select("page_id", ledger.ending(mime, url).alias("e"))
 
 
 @register("pr19_latest_refs", "SELECT c_custkey AS key, ['raw-' || CAST(c_nationkey AS VARCHAR), 'n' || CAST(c_nationkey AS VARCHAR) || 'r'] AS refs FROM {customer}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +15,45 @@ def new_records(spark: SparkSession, path: str, schema: str, key: str = "sha256"
     return spark.readStream.schema(schema).json(path).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_into(stream: DataFrame, path: str, key: str, checkpoint: str):
-    """Start a query that folds each batch into a keyed Parquet table, written beside the old one and swapped by version."""
-    spark = stream.sparkSession
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished versions of a keyed table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("v"))
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version, None before the first."""
+    found = versions(spark, path)
+    return spark.read.parquet(f"{path}/{found[-1]}") if found else None
 
-    def fold(batch: DataFrame, number: int) -> None:
-        versions = sorted(r[0] for r in spark.read.text(f"{path}/current").collect()) if tables.exists(spark, f"{path}/current") else []
-        old = spark.read.parquet(f"{path}/{versions[-1]}") if versions else batch.limit(0)
-        tables.upsert(old, batch, key).write.mode("overwrite").parquet(f"{path}/v{number:08d}")
-        spark.createDataFrame([(f"v{number:08d}",)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
 
-    return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def fold(batch: DataFrame, number: int, path: str, key: str) -> None:
+    """Upsert a batch into the newest version before its own number and publish the result under that number.
+
+    A version is written aside and renamed, so it is there whole or not at all; no version is written over or deleted. A batch
+    that comes again after its version is there changes nothing.
+    """
+    spark = batch.sparkSession
+    name = f"v{number:08d}"
+    before = versions(spark, path)
+    if name in before:
+        return
+    before = [v for v in before if v < name]
+    old = spark.read.parquet(f"{path}/{before[-1]}") if before else batch.limit(0)
+    aside = f"{path}/_aside-{name}-{uuid.uuid4().hex}"
+    tables.upsert(old, batch, key).write.parquet(aside)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(make(aside), make(f"{path}/{name}")):
+        raise OSError(f"{path}/{name}")
+
+
+def upsert_into(stream: DataFrame, path: str, key: str, checkpoint: str):
+    """Start a query that folds each batch into a keyed Parquet table of versions; current() reads the newest."""
+    return stream.writeStream.foreachBatch(lambda batch, number: fold(batch, number, path, key)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def event_counts(stream: DataFrame, time: str, by: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:

@@ -104,5 +104,4 @@ def test_streams(spark, tmp_path):
     (src / "a.json").write_text('{"sha256":"x","created_at":"2026-01-01T00:00:00","v":1}\n{"sha256":"x","created_at":"2026-01-01T00:00:01","v":1}\n{"sha256":"y","created_at":"2026-01-01T00:00:02","v":2}\n')
     s = arrivals.new_records(spark, f"file://{src}", "sha256 string, created_at timestamp, v int")
     arrivals.upsert_into(s, f"file://{tmp_path}/t", "sha256", f"file://{tmp_path}/c").awaitTermination()
-    current = spark.read.text(f"file://{tmp_path}/t/current").first()[0]
-    assert sorted(r.sha256 for r in spark.read.parquet(f"file://{tmp_path}/t/{current}").collect()) == ["x", "y"]
+    assert sorted(r.sha256 for r in arrivals.current(spark, f"file://{tmp_path}/t").collect()) == ["x", "y"]
