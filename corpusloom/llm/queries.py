@@ -66,3 +66,19 @@ def op9_lattice_likelihood(spark, sf_dir):
 @query
 def op10_bpe_segment_tree(spark, sf_dir):
     return bpe_text.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+ORACLES["op1_exact_topk"] = """WITH f AS (SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM f q JOIN f c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+ SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 20"""
+
+#: Classes are texts with one set of shingles; links are found between classes, and components by all that links reach.
+ORACLES["op3_ngram_jaccard"] = r"""WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ t AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM w),
+ d AS (SELECT doc_id, len(g) AS n, md5(array_to_string(g, chr(10))) AS c, g FROM t), k AS (SELECT c, any_value(g) AS g, any_value(n) AS n, min(doc_id) AS class_id FROM d WHERE n > 0 GROUP BY c),
+ x AS (SELECT c, n, unnest(g) AS g FROM k), o AS (SELECT a.c AS a, b.c AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS o FROM x a JOIN x b ON a.g = b.g AND a.c <> b.c GROUP BY 1, 2),
+ e AS (SELECT a, b FROM o WHERE 100 * o >= 80 * (na + nb - o)), reach(c, l) AS (SELECT c, c FROM k UNION SELECT reach.c, e.b FROM reach JOIN e ON reach.l = e.a),
+ m AS (SELECT reach.c, min(k.class_id) AS component_id FROM reach JOIN k ON reach.l = k.c GROUP BY 1), n AS (SELECT a AS c, count(*) AS n_links FROM e GROUP BY 1)
+ SELECT doc_id, CAST(d.n AS BIGINT) AS n_shingles, CASE WHEN d.n = 0 THEN doc_id ELSE component_id END AS component_id, CASE WHEN d.n = 0 THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links
+ FROM d LEFT JOIN (SELECT c, class_id FROM k) kk ON d.c = kk.c AND d.n > 0 LEFT JOIN m ON d.c = m.c AND d.n > 0 LEFT JOIN n ON d.c = n.c AND d.n > 0"""

@@ -46,9 +46,14 @@ def _package() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below spark.checkpoint.dir, which all executors see. Unset (as in tests): a temporary folder."""
+    """A new folder name below spark.checkpoint.dir, which all executors see. Unset (as in tests): a temporary folder, on a local
+    master only."""
     base = spark.sparkContext._jsc.sc().getCheckpointDir()
-    base = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or f"file://{_own_dir()}"
+    base = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{_own_dir()}"
     return f"{base.rstrip('/')}/corpusloom-{uuid.uuid4().hex}"
 
 

@@ -21,23 +21,23 @@ def words(text):
 
 
 def brute_topk(rows_, k, every):
-    v = {}
+    v = []
     for i, x in rows_:
         if i is None or x is None or any(e is None or not math.isfinite(e) for e in x):
             continue
-        w = [math.floor(64 * float(e)) for e in x]
-        v[i] = min(v.get(i, w), w)
-    out = set()
-    for q, x in v.items():
+        v.append((i, [max(-topk.MOST, min(topk.MOST, math.floor(64 * float(e)))) for e in x]))
+    out = []
+    for n, (q, x) in enumerate(v):
         if q % every == 0:
-            s = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in v.items() if i != q and len(y) == len(x))
-            out |= {(q, r, i, -n) for r, (n, i) in enumerate(s[:k], 1)}
-    return out
+            dots = [(sum(a * b for a, b in zip(x, y, strict=True)), i) for m, (i, y) in enumerate(v) if m != n and len(y) == len(x)]
+            s = sorted((-max(-topk.MOST_SCORE, min(topk.MOST_SCORE, d)), i) for d, i in dots)
+            out += [(q, r, i, -d) for r, (d, i) in enumerate(s[:k], 1)]
+    return sorted(out)
 
 
 def test_topk_brute(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
-    got = {tuple(r) for r in topk.search(df).select("query_id", "rank", "vec_id", "score").collect()}
+    got = sorted(tuple(r) for r in topk.search(df).select("query_id", "rank", "vec_id", "score").collect())
     assert got == brute_topk([(r.vec_id, r.embedding) for r in df.collect()], 20, 20)
 
 
@@ -47,10 +47,10 @@ def test_topk_awkward(spark, monkeypatch):
     monkeypatch.setattr(topk, "MERGE", 2)
     rng = np.random.default_rng(3)
     data = [(i, [float(x) for x in rng.normal(0, 3, 8)]) for i in range(300)]
-    data += [(400 + i, [1.0] * 8) for i in range(60)] + [(500, None), (501, [None] * 8), (502, [math.nan] * 8), (503, [math.inf] * 8), (None, [1.0] * 8), (20, data[20][1]), (540, [1e9] * 8), (560, [0.5] * 3), (561, [])]
+    data += [(400 + i, [1.0] * 8) for i in range(60)] + [(500, None), (501, [None] * 8), (502, [math.nan] * 8), (503, [math.inf] * 8), (None, [1.0] * 8), (20, data[20][1]), (20, data[21][1]), (41, data[40][1]), (41, data[41][1]), (540, [1e9] * 8), (580, [1e30] * 8), (581, [-1e30] * 8), (560, [0.5] * 3), (561, [])]
     df = spark.createDataFrame([(i, x, "extra") for i, x in data], "vec_id long, embedding array<float>, block string")
     clean = [(i, None if x is None else [None if e is None else float(np.float32(e)) for e in x]) for i, x in data]
-    got = {tuple(r) for r in topk.search(df, 5, 20).select("query_id", "rank", "vec_id", "score").collect()}
+    got = sorted(tuple(r) for r in topk.search(df, 5, 20).select("query_id", "rank", "vec_id", "score").collect())
     assert got == brute_topk(clean, 5, 20)
     assert topk.search(df.limit(0)).count() == 0
 
@@ -365,3 +365,41 @@ def test_states_in_rows_equal_those_of_training():
     for side in "fb":
         assert np.allclose(langid.states(p, side, x), langid._run(p, side, x).transpose(0, 2, 1))
     assert np.allclose(langid.positions(p, x).sum(1), 1)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf, name):
+    from oracle import compare
+
+    assert compare(spark, sf, queries.QUERIES[name], queries.ORACLES[name])
+
+
+def test_score_sums_marginals(spark):
+    """score is the sum over words of the log of all segmentations' probability, and of the end's."""
+    path = vocabulary("piece_bpe_32k.model")
+    df = spark.createDataFrame([(i, f"abc ab{i % 3} the of") for i in range(12)] + [(50, ""), (51, None)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_score.score(df, path).collect()}
+    train = df.where(~lm_score.held_out(df))
+    log_p = lm_score.fit_pieces(lm_score.count_words(train).cache(), path)
+    pieces = dict(zip(lattice.existing_pieces(path), log_p, strict=False))
+
+    def total(word):
+        ways = [0.0] * (len(word) + 1)
+        ways[0] = 1.0
+        for j in range(1, len(word) + 1):
+            ways[j] = sum(ways[i] * math.exp(pieces[word[i:j]]) for i in range(j) if word[i:j] in pieces)
+        return math.log10(ways[-1])
+
+    for r in df.collect():
+        want = sum(total(b" " + w) for w in words(r.text)) + log_p[-1] / math.log(10)
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-9)
+
+
+def test_quality_kept_by_thresholds(spark, sf):
+    got = quality.judged(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    for r in got:
+        over = r.n_words >= quality.GUARD_WORDS and ((r.class_distance or 0) > quality.MAX_CLASS_DISTANCE or (r.word_distance or 0) > quality.MAX_WORD_DISTANCE)
+        if r.base_failed or over:
+            assert not r.kept
+        elif r.n_words < quality.GUARD_WORDS or not (r.letter_distance or 0) > quality.LETTER_BASE:
+            assert r.kept
