@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks of a generation; two generations of words and their ids take under 200 MB in a worker.
-CAPACITY = 500_000
+#: Chunks of a generation; two generations of words and their ids take under 100 MB in a worker.
+CAPACITY = 250_000
 
 
 class Memo:

@@ -24,7 +24,9 @@ from corpusloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
 #: N-grams that a task holds before it deals them out; n-grams of a fragment that are aimed at.
-FLUSH, FRAGMENT = 2_000_000, 2_000_000
+FLUSH, FRAGMENT = 1_000_000, 2_000_000
+#: Words of a generation whose hashes a worker keeps: a hash is cheap to make again.
+HASHED = 100_000
 #: Fragments of the order in which the overlaps of a pair are counted.
 PARTS = 4
 #: N-grams of a block of a component's classes, two of which are compared at a time; columns of a matrix that counts overlaps.
@@ -58,7 +60,7 @@ class _Hasher:
     def __init__(self):
         import xxhash
 
-        self.memo = chunks.Memo(lambda words: [xxhash.xxh64_intdigest(w).to_bytes(8, sys.byteorder) for w in words])
+        self.memo = chunks.Memo(lambda words: [xxhash.xxh64_intdigest(w).to_bytes(8, sys.byteorder) for w in words], HASHED)
         #: Of the empty stretch beside white space at a text's ends, which is no word.
         self.none = np.uint64(xxhash.xxh64_intdigest(b""))
 
