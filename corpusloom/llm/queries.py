@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe_text, jaccard, langid, lm_score, packing, quality, shards, token_counts, token_files, topk
+from corpusloom.llm import bpe_text, jaccard, langid, lm_score, packing, quality, shards, spelling, token_counts, token_files, topk
 from corpusloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -68,6 +68,11 @@ def op10_bpe_segment_tree(spark, sf_dir):
     return bpe_text.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op1_exact_topk"] = """WITH f AS (SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
  s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM f q JOIN f c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)

@@ -81,6 +81,14 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """saved(), after which Spark may delete the shuffle files that led there: it does so once the driver has dropped the plans."""
+    df = saved(df, path)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file systems."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
