@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe_text, jaccard, langid, lm_score, packing, quality, shards, spelling, token_counts, token_files, topk
+from corpusloom.llm import bpe_text, collocations, jaccard, langid, lm_score, packing, quality, shards, spelling, token_counts, token_files, topk
 from corpusloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -68,6 +68,11 @@ def op10_bpe_segment_tree(spark, sf_dir):
     return bpe_text.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))
@@ -87,3 +92,16 @@ ORACLES["op3_ngram_jaccard"] = r"""WITH RECURSIVE w AS (SELECT row_number() OVER
  m AS (SELECT reach.c, min(k.class_id) AS component_id FROM reach JOIN k ON reach.l = k.c GROUP BY 1), n AS (SELECT a AS c, count(*) AS n_links FROM e GROUP BY 1)
  SELECT doc_id, CAST(d.n AS BIGINT) AS n_shingles, CASE WHEN d.n = 0 THEN doc_id ELSE component_id END AS component_id, CASE WHEN d.n = 0 THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links
  FROM d LEFT JOIN (SELECT c, class_id FROM k) kk ON d.c = kk.c AND d.n > 0 LEFT JOIN m ON d.c = m.c AND d.n > 0 LEFT JOIN n ON d.c = n.c AND d.n > 0"""
+
+#: Phrases of up to 5 words from lists of words; a phrase is held by any longer one of which it is a slice.
+ORACLES["op11_phrase_collocations"] = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+ w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p), n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+ s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), g AS (SELECT lang, unnest(list_transform(range(1, least(5, len(w) - i + 1) + 1), lambda k: w[i:i + k - 1])) AS g FROM s),
+ f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 100), c AS (SELECT * FROM f WHERE len(g) > 1),
+ k AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM c),
+ x AS (SELECT k.lang, k.g, k.a, k.k, l.f AS l, r.f AS r, n.n, CAST((1000::HUGEINT * k.a * n.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.g = k.g[1:k.k] JOIN f r ON r.lang = k.lang AND r.g = k.g[k.k + 1:] JOIN n ON n.lang = k.lang),
+ b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ z AS (SELECT lang, g, f, unnest(range(2, len(g))) AS m FROM c), h AS (SELECT lang, f, m, g, unnest(range(1, len(g) - m + 2)) AS i FROM z), held AS (SELECT lang, g[i:i + m - 1] AS g, max(f) AS held FROM h GROUP BY 1, 2)
+ SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.g, ' ')) AS rank, array_to_string(b.g, ' ') AS phrase, a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
+ FROM b LEFT JOIN held ON held.lang = b.lang AND held.g = b.g WHERE held.held IS NULL OR 100 * held.held < 100 * a QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.g, ' ')) <= 2000"""
