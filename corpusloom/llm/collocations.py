@@ -40,7 +40,7 @@ def ranks(ids: np.ndarray, words: int = WORDS) -> dict[int, np.ndarray]:
         step = min(width, words - width)
         r = found[width]
         key = r * (int(r.max(initial=0)) + 2)
-        key[: len(r) - step] += r[step:] + 1
+        key[: max(0, len(r) - step)] += r[step:] + 1
         width += step
         found[width] = np.unique(key, return_inverse=True)[1]
     return found
@@ -216,6 +216,17 @@ def counts(docs: DataFrame, folder: str, words: int = WORDS, least: int = LEAST)
     return rows.settled(every, f"{folder}/phrases"), totals
 
 
+def scored(f: DataFrame, totals: DataFrame) -> DataFrame:
+    """lang, phrase, a, n, low (score, cut, l, r of the lowest cut) of the phrases of two and more words."""
+    candidates = f.where("k > 1")
+    cut = candidates.select("lang", "k", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
+    cut = cut.withColumn("head", F.expr("substring_index(phrase, ' ', cut)")).withColumn("tail", F.expr("substring(phrase, length(head) + 2)"))
+    heads, tails = f.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), f.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r"))
+    parts = cut.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(F.broadcast(totals) if _few(totals) else totals, "lang")
+    score = F.expr("cast((cast(1000 as decimal(4, 0)) * (cast(a as decimal(16, 0)) * cast(n as decimal(16, 0)))) div (cast(l as decimal(16, 0)) * cast(r as decimal(16, 0))) as bigint)")
+    return parts.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("low"))
+
+
 def mine(docs: DataFrame, words: int = WORDS, least: int = LEAST, first: int = FIRST, percent: int = PERCENT) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first phrases.
 
@@ -228,14 +239,8 @@ def mine(docs: DataFrame, words: int = WORDS, least: int = LEAST, first: int = F
     folder = rows.shared_dir(spark)
     f, totals = counts(docs, folder, words, least)
     candidates = f.where("k > 1")
-    cut = candidates.select("lang", "k", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
-    cut = cut.withColumn("head", F.expr("substring_index(phrase, ' ', cut)")).withColumn("tail", F.expr("substring(phrase, length(head) + 2)"))
-    heads, tails = f.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), f.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r"))
-    parts = cut.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(F.broadcast(totals) if _few(totals) else totals, "lang")
-    score = F.expr("cast((cast(1000 as decimal(4, 0)) * (cast(a as decimal(16, 0)) * cast(n as decimal(16, 0)))) div (cast(l as decimal(16, 0)) * cast(r as decimal(16, 0))) as bigint)")
-    scored = parts.withColumn("score", score).groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("low"))
     longer = candidates.where("k > 2").select("lang", F.expr("explode(array(substring_index(phrase, ' ', k - 1), substring(phrase, length(substring_index(phrase, ' ', 1)) + 2)))").alias("phrase"), F.col("f").alias("held")).groupBy("lang", "phrase").agg(F.max("held").alias("held"))
-    own = scored.join(longer, ["lang", "phrase"], "left").where(F.col("held").isNull() | (100 * F.col("held") < percent * F.col("a"))).select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
+    own = scored(f, totals).join(longer, ["lang", "phrase"], "left").where(F.col("held").isNull() | (100 * F.col("held") < percent * F.col("a"))).select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
     # a language is ranked in 64 parts first, so that the last window has 64 * first rows of it at most
     near = own.withColumn("_r", F.row_number().over(Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(64))).orderBy(*order))).where(F.col("_r") <= first).drop("_r")

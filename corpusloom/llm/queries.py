@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe_text, collocations, jaccard, langid, lm_score, packing, quality, shards, spelling, token_counts, token_files, topk
+from corpusloom.llm import bpe_text, collocations, jaccard, langid, lm_score, packing, quality, shards, spelling, suffix_dedup, token_counts, token_files, topk
 from corpusloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -73,6 +73,11 @@ def op11_phrase_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_spelling_variants(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"))

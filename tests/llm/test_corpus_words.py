@@ -1,11 +1,15 @@
+import hashlib
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from cases import frame
+from oracle import compare
 
-from corpusloom.llm import queries, spelling
+from corpusloom.llm import collocations, queries, spelling, suffix_blocks, suffix_dedup
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -89,6 +93,146 @@ def test_slip():
                 assert spelling.slip(doc_id, w.encode(), every) == want.encode()
 
 
-@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n.startswith("op13")])
-def test_registered(spark, sf, name):
-    assert queries.QUERIES[name](spark, sf).columns[:2] == ["word", "n"]
+# --- suffix arrays of repeated strings
+
+
+def brute_removed(data, length=100):
+    """Rows (doc_id, text) in; one document for each different pair; the order of several texts of an id is that of the operator."""
+    docs = sorted({(i if i is not None else suffix_dedup.LAST, h, (t or "").encode()): i for i, t, h in data})
+    first: dict = {}
+    gone = {}
+    for n, (_, _, t) in enumerate(docs):
+        cover = np.zeros(len(t), bool)
+        for p in range(len(t) - length + 1):
+            if first.setdefault(t[p : p + length], (n, p)) != (n, p):
+                cover[p : p + length] = True
+        gone[docs[n]] = cover
+    out = []
+    for i, text, h in data:
+        t = (text or "").encode()
+        cover = gone[i if i is not None else suffix_dedup.LAST, h, t]
+        n_spans = int(np.count_nonzero(np.diff(np.concatenate([[False], cover]).astype(int)) == 1))
+        kept = bytes(b for b, c in zip(t, cover, strict=True) if not c)
+        out.append((-1 if i is None else i, len(t), int(cover.sum()), n_spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def check_removed(df):
+    from pyspark.sql import functions as F
+
+    data = [(r[0], r[1], r[2]) for r in df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary"))).collect()]
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.deduplicated(df).collect())
+    assert got == brute_removed(data)
+    return sum(x[2] for x in got)
+
+
+def repeated_texts(seed, n):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdé", k=rng.randint(1, 9)))
+    passages = [" ".join(word() for _ in range(rng.randint(10, 60))) for _ in range(6)] + ["ab" * 130, "z" * 350]
+    texts = []
+    for _ in range(n):
+        parts = [rng.choice(passages) if rng.random() < 0.5 else " ".join(word() for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 6))]
+        texts.append(rng.choice(["", " "]).join(parts))
+    return texts + rng.choices(texts, k=n // 5)
+
+
+@pytest.mark.parametrize("hot", [3, 1 << 30])
+def test_removed_brute(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "PART", 700)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 3000)
+    monkeypatch.setattr(suffix_dedup, "SENT", 20)
+    data = [(i * 7 % 101, t, "clash", 1) for i, t in enumerate(repeated_texts(hot, 120))]
+    data += [data[3], data[3], (None, data[5][1], "x", 2), (None, data[5][1], "x", 2), (None, None, None, None), (9, "", "", 3), (1, data[8][1] * 3, "", 4)]
+    assert check_removed(spark.createDataFrame(data, "doc_id long, text string, key string, start int").repartition(5)) > 1000
+
+
+def test_removed_awkward(spark, sf):
+    check_removed(frame(spark))
+    assert suffix_dedup.deduplicated(frame(spark, [])).count() == 0
+    assert check_removed(spark.read.parquet(f"{sf}/documents.parquet")) > 0
+
+
+def test_cover_meets_every_difference():
+    assert sorted((a - b) % suffix_blocks.PERIOD for a in suffix_blocks.COVER for b in suffix_blocks.COVER if a != b) == list(range(1, suffix_blocks.PERIOD))
+
+
+@pytest.mark.parametrize("bucket", [4, 200, 1 << 17])
+def test_block_order(monkeypatch, bucket):
+    monkeypatch.setattr(suffix_blocks, "BUCKET", bucket)
+    text = "|".join(repeated_texts(bucket, 30)).encode()
+    block, places = suffix_blocks.Block(text), np.arange(len(text))
+    order = np.concatenate([block.sorted_bucket(b)[0] for b in block.buckets(places)])
+    padded = text + bytes(400)
+    depth = [padded[p : p + 100] for p in order.tolist()]
+    assert sorted(order.tolist()) == places.tolist() and depth == sorted(depth)
+
+
+# --- collocations
+
+
+def brute_intervals(ids, valid, k):
+    return Counter(tuple(ids[i : i + k]) for i in range(len(ids)) if valid[i] >= k)
+
+
+def test_intervals():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 7, 300):
+        ids = rng.integers(0, 4, n)
+        valid = collocations.room(ids > 0)
+        for most in (2, 3, 5, 7):
+            found = {k: {tuple(ids[a : a + k].tolist()): c for a, c in zip(at.tolist(), c.tolist(), strict=True)} for k, at, c in collocations.intervals(ids, valid, 2, most)}
+            for k in range(2, most + 1):
+                assert found.get(k, {}) == brute_intervals(ids.tolist(), valid.tolist(), k)
+
+
+def brute_collocations(data, least, first, percent=100):
+    langs: dict = {}
+    for lang, text in data:
+        for piece in re.split("[.,;:!?\n-\r]", ascii_lower(text or "")):
+            langs.setdefault("und" if lang is None else lang, []).append(re.findall("[^ \t]+", piece))
+    out = []
+    for lang, pieces in langs.items():
+        n = sum(map(len, pieces))
+        f = Counter(tuple(w[i : i + k]) for w in pieces for k in range(1, 6) for i in range(len(w) - k + 1))
+        held = {p: c for p, c in f.items() if c >= least and len(p) > 1}
+        rows_ = []
+        for p, a in held.items():
+            score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            if not any(len(q) > len(p) and 100 * c >= percent * a and any(q[i : i + len(p)] == p for i in range(len(q))) for q, c in held.items()):
+                rows_.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]], n))
+        out += [(lang, r, p.decode(), -a, left, right, n, -s) for r, (s, a, p, left, right, n) in enumerate(sorted(rows_)[:first], 1)]
+    return sorted(out)
+
+
+def got_collocations(df, **more):
+    return sorted((r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in collocations.mine(df, **more).collect())
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_collocations_brute(spark, sf, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(collocations, "SHARD", 50)
+        monkeypatch.setattr(collocations, "LONG", 40)
+    rng = random.Random(4)
+    names = ["New", "york", "city", "a\x1cb", "the", "of", "É", "é", "in the", "big\tcity", "kick", "the,bucket"]
+    data = [(rng.choice(["en", "fr", None, "und"]), rng.choice([" ", "  "]).join(rng.choices(names, k=rng.randint(0, 60))) + rng.choice([".", "!x", "\n", ""])) for _ in range(150)]
+    data += [("xx", None), ("yy", ""), ("zz", "one two"), ("en", "all alone without any stop " * 300)] + [data[0]] * 3
+    df = spark.createDataFrame([(i, t, lang, "clash", 1) for i, (lang, t) in enumerate(data)], "doc_id long, text string, lang string, phrase string, n int").repartition(4)
+    for least, first, percent in ((3, 5, 100), (5, 2000, 60)):
+        want = brute_collocations(data, least, first, percent)
+        assert len(want) > 10 and got_collocations(df, least=least, first=first, percent=percent) == want
+    for f in (frame(spark), frame(spark, [])):
+        assert got_collocations(f, least=2) == brute_collocations([(r.lang, r.text) for r in f.collect()], 2, 2000)
+
+
+def test_collocations_equal_sql(spark, sf):
+    assert compare(spark, sf, queries.QUERIES["op11_phrase_collocations"], queries.ORACLES["op11_phrase_collocations"]) > 0
+
+
+def test_scores_beyond_64_bits(spark):
+    big = spark.createDataFrame([("en", 1, "a", 3 * 10**15), ("en", 1, "b", 2 * 10**15), ("en", 2, "a b", 10**15 + 7)], "lang string, k int, phrase string, f long")
+    n = 9 * 10**15 + 1
+    got = collocations.scored(big, spark.createDataFrame([("en", n)], "lang string, n long")).collect()[0]
+    assert got.low.score == 1000 * (10**15 + 7) * n // (6 * 10**30)
