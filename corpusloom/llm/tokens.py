@@ -44,6 +44,11 @@ def byte_signs() -> list[str]:
     return signs
 
 
+def lowered(text: str) -> str:
+    """Each character in lower case by itself, as the library does it: str.lower gives a sigma at a word's end another letter."""
+    return text.lower() if text.isascii() else "".join(map(str.lower, text))
+
+
 class Ids:
     """ids() of texts as little-endian unsigned 32-bit bytes; sub-classes say how chunks are made and cut."""
 
@@ -89,17 +94,16 @@ class Ids:
                 continue
             t = k.decode("utf-8", "replace")
             if lower:
-                t = t.lower()
+                t = lowered(t)
             if t.isalpha() and max(t) < "\u0250":
                 out.append(merged(space + t))
                 continue
             if k[-1:] in marks and t[:-1].isalpha() and max(t) < "\u0250":
                 out.append(merged(space + t[:-1]) + marks[k[-1:]])
                 continue
-            t = spelled(k).decode("utf-8", "replace")
-            if lower:
-                t = t.lower()
-            out.append(b"".join([merged(w) for w in cut(t)]) if plain(t) else self.whole(t))
+            own = spelled(k).decode("utf-8", "replace")
+            t = lowered(own) if lower else own
+            out.append(b"".join([merged(w) for w in cut(t)]) if plain(t) else self.whole(own))
         return out
 
     def whole(self, text: str) -> bytes:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from cases import frame
 
-from corpusloom.llm import bpe_text, packing, queries, simple8b, token_counts, token_files
+from corpusloom.llm import bpe_text, packing, queries, simple8b, token_counts, token_files, tokens
 from corpusloom.llm.tokens import vocabulary
 
 
@@ -47,6 +47,33 @@ def test_encode_decode_frames(spark):
         assert r.text == t.decode(t.encode(texts[r.doc_id], add_special_tokens=False).ids, skip_special_tokens=False)
 
 
+def capitals(n=600):
+    """Words over Greek, Turkish, Cyrillic and German capitals, Latin letters, combining marks and marks of pieces."""
+    rng = np.random.default_rng(11)
+    letters = [*"ΟΔΟΣΑΒΓσςΆΈώ", *"İIıŞĞÇ", *"ЖЩЪЁйў", *"ẞßÄÖÜſ", *"AbÉéÇñ", "\u0301", "\u0307", "\u0308", "'", "’", "-", ".", "3", "Ǆ", "ﬁ", "Ω", "K"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 8))) for _ in range(4 * n)]
+    return ["ΟΔΟΣ", "ΣΑΣ", "ὈΔΥΣΣΕΎΣ ΟΔΟΣ.", "STRASSE ẞ", "İstanbul IĞDIR", *[" ".join(words[i : i + 4]) for i in range(0, len(words), 4)]]
+
+
+@pytest.mark.parametrize(("kind", "name"), [(tokens.LowerIds, "word_bpe_49k.json"), (tokens.ByteIds, "byte_bpe_50k.json")])
+def test_ids_of_capitals(kind, name):
+    texts = capitals()
+    want = [t.ids for t in library(name).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in kind(vocabulary(name)).ids([t.encode() for t in texts])] == want
+
+
+def test_capitals_by_other_coders(spark):
+    from pyspark.sql import Row
+
+    texts = capitals(200)
+    df = spark.createDataFrame([Row(doc_id=i, text=t) for i, t in enumerate(texts)], "doc_id long, text string")
+    t = library("word_bpe_49k.json")
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [r.ids for r in sorted(bpe_text.encode(df, vocabulary("word_bpe_49k.json")).collect(), key=lambda r: r.doc_id)] == want
+    got = sorted(tuple(r) for r in token_files.digests(df, vocabulary("word_bpe_49k.json")).select("doc_id", "n_tokens", "ids_crc32").collect())
+    assert got == [(i, len(x) + 1, zlib.crc32(le([*x, 2]))) for i, x in enumerate(want)]
+
+
 @pytest.mark.parametrize("top", [1, 5, 200, 1 << 16, 1 << 31, (1 << 63) + 5])
 def test_simple8b_round_trip(top):
     rng = np.random.default_rng(top % 97)
