@@ -26,7 +26,7 @@ def reconcile_splits(df: DataFrame, fingerprint: str, pos: str, split: str = "as
     A grouped aggregate joined back, as a window would bring all rows of a fingerprint into one task.
     """
     rank = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col(split))
-    owner = df.groupBy(fingerprint).agg(F.max_by(F.struct(F.col(split).alias("s"), F.col(tier).alias("t")), F.struct(rank, -F.col(pos))).alias("o"))
+    owner = df.groupBy(fingerprint).agg(F.max_by(F.struct(F.col(split).alias("s"), F.col(tier).alias("t")), F.struct(rank, -F.col(pos), tier)).alias("o"))
     return df.drop(split, tier).join(owner, fingerprint).select(*[c for c in df.columns if c not in (split, tier)], F.col("o.s").alias(split), F.col("o.t").alias(tier))
 
 

@@ -29,12 +29,13 @@ def resolve_prefix(ids: DataFrame, commits: DataFrame, value: str = "value", com
 
 
 def merge_history(rows: DataFrame) -> DataFrame:
-    """One row per commit of (commit, patch, reverts_commit, source_pos, line): the first that names what it reverts, else the first.
+    """One row per commit of (commit, patch, reverts_commit, source_pos, line): the first that names what it reverts, else the first;
+    of several rows of one place the least.
 
     Raises where a commit has two different patches.
     """
     patches = F.count_distinct(ledger.clean(F.col("patch")))
-    first = F.min_by(F.struct("patch", "reverts_commit", "source_pos", "line"), F.struct(F.coalesce("reverts_commit", F.lit("")) == "", "source_pos", "line"))
+    first = F.min_by(F.struct("patch", "reverts_commit", "source_pos", "line"), F.struct(F.coalesce("reverts_commit", F.lit("")) == "", "source_pos", "line", "patch", "reverts_commit"))
     one = rows.where(ledger.clean(F.col("commit")) != "").groupBy("commit").agg(patches.alias("n"), first.alias("r"))
     checked = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("conflicting patches for commit "), "commit")).cast("string")).otherwise(F.col("commit"))
     return one.select(checked.alias("commit"), "r.*")
@@ -54,8 +55,9 @@ def corrections_for(candidates: DataFrame, corrections: DataFrame) -> DataFrame:
 
 
 def overlay(matched: DataFrame, fields: list[str], key: str = "pos_key", pos: str = "pos") -> DataFrame:
-    """Per candidate the last value of each field that isn't empty, in order of pos."""
-    return matched.groupBy(key).agg(*[F.max_by(F.col(f), F.when(ledger.clean(F.col(f)) != "", F.col(pos))).alias(f) for f in fields])
+    """Per candidate the last value of each field that isn't empty, in order of pos; of several values of one place the greatest."""
+    last = lambda f: F.max(F.when(ledger.clean(F.col(f)) != "", F.struct(F.col(pos).alias("at"), F.col(f).alias("value"))))["value"]
+    return matched.groupBy(key).agg(*[last(f).alias(f) for f in fields])
 
 
 def reasons(matched: DataFrame, columns: list[str], key: str = "pos_key", pos: str = "pos") -> DataFrame:

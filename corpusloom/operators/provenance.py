@@ -103,7 +103,7 @@ def manifest_checks(manifest: DataFrame, found: DataFrame, layer: str) -> DataFr
 
 def last_per_commit(records: DataFrame, pos: str = "pos") -> DataFrame:
     """Of each commit the row that was read last: a later revision replaces an earlier, incomplete one."""
-    return records.groupBy("commit").agg(F.max_by(F.struct(*[c for c in records.columns if c != "commit"]), F.col(pos)).alias("r")).select("commit", "r.*")
+    return records.groupBy("commit").agg(F.max(F.struct(F.col(pos).alias("_at"), F.struct(*[c for c in records.columns if c != "commit"]).alias("r"))).alias("last")).select("commit", "last.r.*")
 
 
 def restoration_checks(records: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ def corrections(spark, sf_dir):
     return matched(spark, sf_dir).groupBy("pos_key").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
-@register("ag11_overlay", f"""WITH {MATCHED}, o AS (SELECT *, pos * 8 + line AS spot FROM m) SELECT pos_key, arg_max(corrected_candidate, spot) FILTER (WHERE corrected_candidate <> '') AS corrected_candidate, arg_max(corrected_decision, spot) FILTER (WHERE corrected_decision <> 'n/a') AS corrected_decision FROM o GROUP BY pos_key""")
+@register("ag11_overlay", f"""WITH {MATCHED}, o AS (SELECT *, pos * 8 + line AS spot FROM m) SELECT pos_key, struct_extract(max({{'at': spot, 'v': corrected_candidate}}) FILTER (WHERE corrected_candidate <> ''), 'v') AS corrected_candidate, struct_extract(max({{'at': spot, 'v': corrected_decision}}) FILTER (WHERE corrected_decision <> 'n/a'), 'v') AS corrected_decision FROM o GROUP BY pos_key""")
 def overlay(spark, sf_dir):
     return joins.overlay(matched(spark, sf_dir).withColumn("at", F.col("pos") * 8 + F.col("line")), ["corrected_candidate", "corrected_decision"], pos="at")
 

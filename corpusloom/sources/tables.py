@@ -81,10 +81,10 @@ def canonical(*columns: str | Column) -> Column:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, volatile: tuple = VOLATILE, position: str | None = None) -> DataFrame:
-    """Rows by key: the new one where it differs in more than volatile columns, else the old one. Of several new rows of a key the last by position counts, without positions the greatest."""
+    """Rows by key: the new one where it differs in more than volatile columns, else the old one. Of several new rows of a key the last by position counts, the greatest of those with one position or without positions."""
     columns = old.columns
     row = F.struct(*[F.col(c) for c in columns])
-    n = new.groupBy(key).agg(F.max_by(row, F.col(position)).alias("n") if position else F.max(row).alias("n"))
+    n = new.groupBy(key).agg(F.max_by(row, F.struct(F.col(position).alias("_at"), row.alias("_row"))).alias("n") if position else F.max(row).alias("n"))
     o = old.select(F.col(key).alias("_key"), row.alias("o"))
     stable = [c for c in columns if c not in volatile]
     same = F.lit(True)
