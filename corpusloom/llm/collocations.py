@@ -197,10 +197,10 @@ def counts(docs: DataFrame, folder: str, words: int = WORDS, least: int = LEAST)
                 for at in range(0, len(keys), 500_000):
                     yield {"shard": pa.array(np.full(len(keys[at : at + 500_000]), shard)), "key": pa.array(keys[at : at + 500_000]), "n": pa.array(n[at : at + 500_000].astype(np.int32))}
 
-    # a row for each shard that has the pair; one exchange serves both the sum and the way back to the shards
-    found = rows.map_rows(shards.select("shard", "lang", "words", "ids"), pairs, "shard long, key long, n int").repartition("key")
-    often = found.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least).select("key")
-    alive = rows.settled(found.join(often, "key").groupBy("shard").agg(F.collect_list("key").alias("keys")), f"{folder}/alive")
+    # a row for each shard that has the pair; one exchange by pair gives the sum, and the way back to the shards
+    found = rows.map_rows(shards.select("shard", "lang", "words", "ids"), pairs, "shard long, key long, n int")
+    often = found.withColumn("f", F.sum("n").over(Window.partitionBy("key"))).where(F.col("f") >= least)
+    alive = rows.settled(often.groupBy("shard").agg(F.collect_list("key").alias("keys")), f"{folder}/alive")
 
     def phrases(parts):
         for part in parts:
