@@ -340,7 +340,7 @@ def _joined(docs: DataFrame, words: int, percent: int, count_links: bool) -> Dat
     spark = rows.prepare(docs.sparkSession)
     folder = rows.shared_dir(spark)
     bits = _bits(docs.count())
-    found = rows.saved(_classes(_shared(_dealt(docs, words, bits), bits), percent), f"{folder}/classes")
+    found = rows.settled(_classes(_shared(_dealt(docs, words, bits), bits), percent), f"{folder}/classes")
     members = found.where(F.col("part").isNull())
     grams = found.where(F.col("part").isNotNull())
     prefix = rows.saved(grams.where(F.col("part") == 0).select("cls", "n", "m", "central", F.explode("prefix").alias("gram")), f"{folder}/prefix")
@@ -348,8 +348,8 @@ def _joined(docs: DataFrame, words: int, percent: int, count_links: bool) -> Dat
     leaders = prefix.groupBy("gram").agg(lead.alias("lead"), F.count("*").alias("all")).where("all > 1").select("gram", "lead.*")
     able = (100 + percent) * F.least("mx", "my") >= percent * (F.col("nx") + F.col("ny"))
     stars = prefix.join(leaders, "gram").select("x", "nx", "mx", "cx", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("m").alias("my"), F.col("central").alias("cy")).where((F.col("x") != F.col("y")) & able).distinct()
-    stars = rows.saved(stars, f"{folder}/stars")
-    compared = rows.saved(_overlaps(_ordered(stars, percent), grams), f"{folder}/compared")
+    stars = rows.settled(stars, f"{folder}/stars")
+    compared = rows.settled(_overlaps(_ordered(stars, percent), grams), f"{folder}/compared")
     first = rows.saved(_links(compared, percent), f"{folder}/links-1")
     labels = components(first, f"{folder}/components-1")
     # each class's hub: the most central class that it was compared with, or itself; and its overlap with the hub
@@ -375,7 +375,7 @@ def _joined(docs: DataFrame, words: int, percent: int, count_links: bool) -> Dat
     placed = rows.saved(placed.join(least, "label").select("cls", "label", "class_id", "component_id", "n_classes", "n_grams"), f"{folder}/placed")
     counted = ["n_links"] if count_links else []
     if count_links:
-        counts = rows.saved(_link_counts(placed, grams, percent, folder), f"{folder}/counts")
+        counts = rows.settled(_link_counts(placed, grams, percent, folder), f"{folder}/counts")
         placed = placed.join(counts, "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     placed = placed.select("cls", "class_id", "component_id", *counted)
     empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), *[F.lit(0).cast("long").alias(c) for c in counted])

@@ -142,9 +142,9 @@ def judged(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
     m = m.withColumns({"_none": rest(F.transform("_lq", lambda x: F.lit(0.0))), "_w": rest("_w"), "_q": rest("_q"), "_lw": rest("_lw"), "_lq": rest("_lq")})
     m = m.withColumns({"word_distance": _distance(F.col("_w"), F.col("_q")), "letter_distance": _distance(F.col("_lw"), F.col("_lq")), "_none": _distance(F.col("_none"), F.col("_lq"))})
     limit = F.least(LETTER_BASE + LETTER_NOISE / F.sqrt(F.greatest("n_words", F.lit(1))), LETTER_PART * F.col("_none"))
-    m = m.withColumn("_foreign", (F.col("_expected") >= EXPECTED_COMMON) & (F.col("letter_distance") > limit)).drop("_w", "_q", "_lw", "_lq", "_none", "_expected")
+    m = m.withColumn("_foreign", (F.col("_expected") >= EXPECTED_COMMON) & (F.col("letter_distance") > limit)).drop("_w", "_q", "_lw", "_lq", "_none", "_expected", "_text")
     # written once: the classes' references are sums over it, and a filter on the verdict stays apart from the figures
-    m = rows.saved(m, f"{folder}/measured")
+    m = rows.settled(m, f"{folder}/measured")
     m = _with_own(m, rows.saved(class_shares(m, known), f"{folder}/classes"), "classes")
     size = F.greatest(F.lit(1), F.aggregate("_classes", F.lit(0), lambda s, x: s + x))
     m = m.withColumn("_ref", F.col("_own")).withColumn("_p", F.transform("_classes", lambda x: x / size))

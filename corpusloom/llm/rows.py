@@ -77,7 +77,7 @@ def kept(key, make: Callable):
 
 def saved(df: DataFrame, path: str) -> DataFrame:
     """The frame written to the shared folder and read again: its lineage ends there, and executors may be lost."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

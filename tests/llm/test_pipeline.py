@@ -45,3 +45,17 @@ def test_awkward_rows(spark, sf):
 def test_run(spark, sf):
     got = corpus_pipeline.run(spark, sf)
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+def test_clashing_columns_come_back(spark, sf):
+    """Columns named as the stages and operators name their own."""
+    names = ["_row", "row", "at", "_run", "_file", "_text", "_of", "_own", "label", "block", "none", "first", "n_shingles", "kept", "lang_pred", "_words"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(80)
+    wide = docs.select("*", *[(F.lit(1000 * (i + 1)) + F.col("doc_id")).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        want = sorted(r.doc_id for r in stage(spark, docs, sf).select("doc_id").collect())
+        got = stage(spark, wide, sf)
+        assert got.columns == wide.columns, name
+        assert sorted(r.doc_id for r in got.select("doc_id").collect()) == want, name
+        assert got.join(wide, wide.columns, "left_anti").count() == 0, name
+    corpus_pipeline.STAGES[-1][1](spark, wide, sf).collect()
