@@ -25,13 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked rows the one with the smallest doc_id (null last), whether their ids differ or not; rows without
-    words all stay."""
-    numbered = rows.saved(docs.withColumn("_row", F.monotonically_increasing_id()), f"{rows.shared_dir(spark)}/numbered")
-    found = jaccard.grouped(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    best = found.where("n_shingles > 0").join(numbered.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    keep = best.unionByName(found.where("n_shingles = 0").select("_row"))
-    return numbered.join(keep, "_row", "left_semi").select(*docs.columns)
+    words all stay. Columns of any name come back as they were."""
+    boxed = rows.saved(docs.select(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row")), f"{rows.shared_dir(spark)}/numbered")
+    found = jaccard.grouped(boxed.select(F.col("at").alias("doc_id"), F.col("row.text").alias("text"))).select(F.col("doc_id").alias("at"), "n_shingles", "component_id")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
+    best = found.where("n_shingles > 0").join(boxed.select("at", F.col("row.doc_id").alias("id")), "at").groupBy("component_id").agg(first.alias("first")).select("first.at")
+    keep = best.unionByName(found.where("n_shingles = 0").select("at"))
+    return boxed.join(keep, "at", "left_semi").select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
