@@ -81,6 +81,18 @@ def views(terminal: Column) -> dict[str, tuple[Column, Column, bool, bool]]:
     }
 
 
+def view_names(candidates: DataFrame, terminal: Column) -> DataFrame:
+    """The candidates with task_view, a row for each view that they have; no event is built."""
+    names = F.array_compact(F.array(*[F.when(when, F.lit(name)) for name, (when, *_) in views(terminal).items()]))
+    return candidates.withColumn("task_view", F.explode(names))
+
+
+def described(events: Column) -> Column:
+    """Events as text, a line each with all of their fields, for digests and comparisons."""
+    one = lambda e: F.concat_ws("|", *[e[c].cast("string") for c in ("event_id", "sequence", "role", "actor", "event_type", "information_class")], F.array_join(e["evidence_refs"], ","), e["payload"])
+    return F.array_join(F.transform(events, one), "\n")
+
+
 def episodes(candidates: DataFrame, terminal: Column) -> DataFrame:
     """One to four episodes per candidate: episode_id, family_id, lineage_id, task_view, split, events, view and outcome, in one pass."""
     made = []

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
 from corpusloom.operators import checks, episodes, groups
-from corpusloom.plans.ledger_queries import VERDICT, sql_clean
+from corpusloom.plans.ledger_queries import UNVERDICT, VERDICT, sql_clean
 from corpusloom.plans.registry import COMMIT, LEDGER, PATCH, register, relation
 
 
@@ -40,23 +40,77 @@ NAME = "'auto-' || trim(regexp_replace(lower(campaign_id), '[^a-z0-9]+', '-', 'g
 
 @register("ep_view_counts", CANDIDATES + " SELECT task_view, assigned_split, count(*) AS n FROM e GROUP BY 1, 2")
 def view_counts(spark, sf_dir):
-    return made(spark, sf_dir).groupBy("task_view", "assigned_split").agg(F.count("*").alias("n"))
+    return episodes.view_names(candidates(spark, sf_dir), F.col("terminal_no_win")).groupBy("task_view", "assigned_split").agg(F.count("*").alias("n"))
 
 
-@register("ep_episodes", CANDIDATES + f", r AS (SELECT *, CASE WHEN coalesce({sql_clean('oracle_result')}, '') <> '' THEN 1 ELSE 0 END + CASE WHEN {sql_clean('public_op_result')} <> '' OR {sql_clean('real_boundary_result')} NOT IN ('') THEN 1 ELSE 0 END AS res, CASE WHEN pos % 4 = 0 AND d = 'rejected' THEN 1 ELSE 0 END AS und FROM e) SELECT {NAME} AS episode_id, CAST(CASE task_view WHEN 'diagnosis' THEN 5 + CASE WHEN has_patch THEN 2 ELSE 0 END + res WHEN 'implementation' THEN 7 + res + und WHEN 'judgment' THEN 4 + res + und ELSE 3 + und END AS BIGINT) AS n_events FROM r")
+def _slug(c: str) -> str:
+    return f"trim(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+def _event(role: str, actor: str, kind: str, information: str, payload: str, ref: str, when: str = "true") -> str:
+    return f"CASE WHEN {when} THEN {{'role': '{role}', 'actor': '{actor}', 'kind': '{kind}', 'info': '{information}', 'payload': {payload}, 'ref': {ref}}} END"
+
+
+def _outcomes(role: str) -> list[str]:
+    return [_event(role, "tool", "validation", "post_candidate_result", "'Oracle: ' || oracle", "lref", "oracle <> ''"), _event(role, "tool", "measurement", "post_candidate_result", "measured", "lref", "measured <> ''")]
+
+
+def _ordered(view: str) -> str:
+    return _event("input", "system", "instruction", "task_context", "'" + episodes.INSTRUCTIONS[view] + "'", "lref")
+
+
+_FENCED = "'```diff' || chr(10) || {0} || chr(10) || '```'"
+_CONTEXT = _event("input", "user", "context", "task_context", "'Campaign: ' || campaign_id || '.'", "lref")
+_BEFORE = _event("input", "tool", "observation", "task_context", "'Source hunks before the change:' || chr(10) || " + _FENCED.format("preimage"), "href", "preimage <> ''")
+_UNDONE = _event("withheld", "tool", "restoration", "restoration", "'Restored by ' || restored || '.'", "lref", "restored IS NOT NULL")
+_DECIDED = {role: _event(role, "assistant", "decision", "disposition_label", "said", "lref") for role in ("input", "withheld", "target+withheld")}
+_VIEWS = {
+    "diagnosis": [_ordered("diagnosis"), _CONTEXT, _BEFORE, _event("input", "tool", "measurement", "pre_candidate_evidence", "'Baseline: ' || program_baseline_ms", "lref"), _event("target+withheld", "assistant", "technical_rationale", "candidate_artifact", "why", "lref"), _event("withheld", "assistant", "patch", "candidate_artifact", _FENCED.format("code"), "href", "code <> ''"), *_outcomes("withheld"), _DECIDED["withheld"]],
+    "implementation": [_ordered("implementation"), _CONTEXT, _event("input", "tool", "observation", "pre_candidate_evidence", "why", "lref"), _BEFORE, _event("target+withheld", "assistant", "patch", "candidate_artifact", _FENCED.format("code"), "href"), _event("target+withheld", "assistant", "tool_decision", "candidate_artifact", "'Build, run the oracle at affected shapes, then measure; run wider checks only if these pass.'", "lref"), *_outcomes("withheld"), _DECIDED["withheld"], _UNDONE],
+    "judgment": [_ordered("judgment"), _CONTEXT, _event("input", "assistant", "patch", "candidate_artifact", f"CASE WHEN code <> '' THEN {_FENCED.format('code')} ELSE 'Candidate ' || ord || ': ' || name || '.' END", "href"), *_outcomes("input"), _DECIDED["target+withheld"], _UNDONE],
+    "orchestration_reporting": [_ordered("orchestration_reporting"), _DECIDED["input"], _event("target+withheld", "assistant", "report", "report", "CASE WHEN d = 'accepted' THEN 'Retain the source, close the cycle and collect a new baseline.' WHEN term THEN 'Verify the source, freeze the ledger without a win and consolidate.' ELSE 'Restore, record the evidence and take the next slot.' END", "lref"), _UNDONE],
+}
+_SAID = """replace(CASE d WHEN 'accepted' THEN 'Accept' WHEN 'rejected' THEN 'Reject' ELSE 'Mark inconclusive' END || '. ' || shown || '.' || CASE WHEN restored IS NOT NULL THEN ' Restore the candidate through the recorded normal revert and preserve the evidence.' WHEN d = 'accepted' THEN ' Retain the source only after the declared correctness, control, and real-boundary gates pass.' ELSE '' END, '..', '.')"""
+#: After CANDIDATES: w has every episode's numbered events (ev).
+EVENTS = f""", q AS ({PATCH}), qs AS (SELECT pos, mechanism AS name, rtrim(substr(patch, strpos(patch, 'diff --git a/src/')), chr(10) || ' ') AS code FROM q), ql AS (SELECT *, regexp_extract(code, 'b/(src/[^' || chr(10) || ']+)', 1) AS path, string_split(code, chr(10)) AS lines FROM qs),
+ qp AS (SELECT pos, name, code, '### ' || path || chr(10) || array_to_string(list_filter(lines[list_position(list_transform(lines, lambda x: starts_with(x, '@@')), true):], lambda x: starts_with(x, '@@') OR starts_with(x, ' ') OR (starts_with(x, '-') AND NOT starts_with(x, '---'))), chr(10)) AS preimage FROM ql),
+ y AS (SELECT e.*, coalesce(qp.name, '') AS name, coalesce(qp.code, '') AS code, coalesce(qp.preimage, '') AS preimage, 'c' || cycle || '_' || candidate || '-' || CAST(e.pos AS VARCHAR) AS ord, {sql_clean('oracle_result')} AS oracle, {UNVERDICT.format(sql_clean('public_op_result'))} AS shown,
+  {UNVERDICT.format(sql_clean('real_boundary_result'))} AS engine, CASE WHEN e.pos % 4 = 0 AND d = 'rejected' THEN {COMMIT.format('e.pos + 1')} END AS restored, CASE WHEN e.pos % 2 = 0 THEN {COMMIT.format('e.pos')} END AS made FROM e LEFT JOIN qp ON e.pos = qp.pos),
+ z AS (SELECT *, source_id || '#' || {_slug('ord')} AS lref, 'history#' || {_slug('ord')} AS href, concat_ws(chr(10), 'Public Op: ' || nullif(shown, ''), 'Program/Engine: ' || nullif(engine, '')) AS measured, {_SAID} AS said, concat_ws(' ', 'Mechanism: ' || nullif(name, '') || '.', 'Hypothesis: ' || nullif(hyp, '') || '.') AS why FROM y),
+ v AS ({" UNION ALL ".join(f"SELECT *, list_filter([{', '.join(x)}], lambda x: x IS NOT NULL) AS ev FROM z WHERE task_view = '{name}'" for name, x in _VIEWS.items())}),
+ w AS (SELECT *, {NAME} AS episode_id FROM v)"""
+
+
+def rendered_sql(role: str) -> str:
+    return f"array_to_string(list_transform(list_filter(ev, lambda x: contains(x.role, '{role}')), lambda x: '[' || x.kind || ' | evidence: ' || x.ref || ']' || chr(10) || x.payload), chr(10) || chr(10))"
+
+
+_DESCRIBED = "array_to_string(list_transform(ev, lambda x, i: 'e' || lpad(CAST(i - 1 AS VARCHAR), 3, '0') || '|' || CAST(i - 1 AS VARCHAR) || '|' || x.role || '|' || x.actor || '|' || x.kind || '|' || x.info || '|' || x.ref || '|' || x.payload), chr(10))"
+
+
+@register("ep_episodes", CANDIDATES + EVENTS + f""" SELECT episode_id, CAST(len(ev) AS BIGINT) AS n_events, md5({_DESCRIBED}) AS events_md5,
+ coalesce(nullif(concat_ws('+', made, restored), ''), campaign_id || ':' || cycle || ':' || ord) AS lineage_id, d AS disposition, task_view IN ('diagnosis', 'implementation') AS generation, task_view = 'orchestration_reporting' AS visible,
+ array_to_string(list_transform(list_filter(list_transform(ev, lambda x, i: {{'r': x.role, 'i': i}}), lambda x: contains(x.r, 'withheld')), lambda x: CAST(x.i - 1 AS VARCHAR)), ',') AS hidden FROM w""")
 def all_episodes(spark, sf_dir):
-    return made(spark, sf_dir).select("episode_id", F.size("events").cast("long").alias("n_events"))
+    """Every field of every event by its digest, and the episode's own; the fingerprint of a patch is compared by tx_patches."""
+    e = made(spark, sf_dir)
+    return e.select(
+        "episode_id", F.size("events").cast("long").alias("n_events"), F.md5(episodes.described(F.col("events"))).alias("events_md5"), "lineage_id", F.col("outcome.disposition").alias("disposition"), F.col("view.candidate_generation").alias("generation"),
+        F.col("view.result_label_visible").alias("visible"), F.array_join(F.transform("view.withheld_event_ids", lambda i: F.substring(i, 2, 9).cast("int").cast("string")), ",").alias("hidden"),
+    )
 
 
-@register("ep_sft_export", CANDIDATES + f" SELECT {NAME} AS id, assigned_split AS split, CAST(3 AS BIGINT) AS n_messages FROM e WHERE assigned_split <> 'quarantine'")
+@register("ep_sft_export", CANDIDATES + EVENTS + f" SELECT episode_id AS id, assigned_split AS split, task_view, 'system+user+assistant' AS roles, md5('Use only the given evidence.') AS system_md5, md5({rendered_sql('input')}) AS user_md5, md5({rendered_sql('target')}) AS assistant_md5 FROM w WHERE assigned_split <> 'quarantine'")
 def sft_export(spark, sf_dir):
-    return episodes.sft(made(spark, sf_dir)).select("id", "split", F.size("messages").cast("long").alias("n_messages"))
+    said = F.transform("messages", lambda m: F.md5(m["content"]))
+    e = episodes.sft(made(spark, sf_dir)).select("id", "split", "task_view", F.array_join(F.transform("messages", lambda m: m["role"]), "+").alias("roles"), said.alias("said"))
+    return e.select("id", "split", "task_view", "roles", *[F.col("said")[i].alias(f"{name}_md5") for i, name in enumerate(("system", "user", "assistant"))])
 
 
-@register("ep_eval_exports", CANDIDATES + f" SELECT {NAME} AS id, d AS disposition FROM e WHERE assigned_split IN ('validation', 'test')")
+@register("ep_eval_exports", CANDIDATES + EVENTS + f" SELECT episode_id AS id, d AS disposition, {rendered_sql('input')} AS prompt, {rendered_sql('target')} AS reference_answer, made AS candidate_commit, restored AS restoration_commit FROM w WHERE assigned_split IN ('validation', 'test')")
 def eval_exports(spark, sf_dir):
     public, private = episodes.evaluation(made(spark, sf_dir))
-    return public.where("prompt <> ''").join(private, "id").select("id", F.col("outcome.disposition").alias("disposition"))
+    return public.join(private, "id").select("id", "outcome.disposition", "prompt", "reference_answer", "outcome.candidate_commit", "outcome.restoration_commit")
 
 
 @register("ep_quarantine", CANDIDATES + f" SELECT {NAME} AS id, evaluation_tier FROM e WHERE assigned_split = 'quarantine'")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import patches
 from corpusloom.operators import builder, episodes, groups, joins, provenance, sampling
-from corpusloom.plans.episode_queries import CANDIDATES, NAME, candidates
+from corpusloom.plans.episode_queries import CANDIDATES, EVENTS, NAME, candidates, rendered_sql
 from corpusloom.plans.ledger_queries import REJECTED
 from corpusloom.plans.registry import HISTORY, LEDGER, register, relation, table
 from corpusloom.sources import tables
@@ -287,9 +287,6 @@ def commit_times(spark, sf_dir):
     return joins.commit_times(l, h, "revision").select("pos", "n", F.col("committed_at").alias("at"))
 
 
-REF = "source_id || '#' || trim(regexp_replace('c' || cycle || '_' || candidate || '-' || CAST(pos AS VARCHAR), '[^a-z0-9]+', '-', 'g'), '-')"
-
-
 def recorded(spark, sf_dir):
     """Episodes of the ledger relation with scope, provenance, review and a preference for some."""
     p = F.col("pos")
@@ -301,15 +298,17 @@ def recorded(spark, sf_dir):
 ORDERED = "CASE task_view " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in episodes.INSTRUCTIONS.items()) + " END"
 
 
-@register("ep10_episode_preferences", CANDIDATES + f" SELECT {NAME} AS id, '[instruction | evidence: ' || {REF} || ']' || chr(10) || {ORDERED} AS chosen, 'no' AS rejected, 'vague' AS failure_mode, ['raw:' || source_id] AS snapshot_refs FROM e WHERE assigned_split = 'train' AND pos % 2 = 0")
+@register("ep10_episode_preferences", CANDIDATES + EVENTS + f""" SELECT episode_id AS id, {rendered_sql('input')} AS prompt, '[instruction | evidence: ' || lref || ']' || chr(10) || {ORDERED} AS chosen, 'no' AS rejected, 'vague' AS failure_mode, ['raw:' || source_id] AS snapshot_refs
+ FROM w WHERE assigned_split = 'train' AND pos % 2 = 0""")
 def preferences(spark, sf_dir):
-    return episodes.preferences(recorded(spark, sf_dir)).where("prompt <> ''").select("id", "chosen", "rejected", "failure_mode", "snapshot_refs")
+    return episodes.preferences(recorded(spark, sf_dir)).select("id", "prompt", "chosen", "rejected", "failure_mode", "snapshot_refs")
 
 
-@register("ep11_evaluation_fields", CANDIDATES + f" SELECT {NAME} AS id, ['a1'] AS architecture_scope, CAST(4 AS INT) AS n_rubric, ['raw:' || source_id] AS required_snapshot_refs, starts_with('[instruction', '[') AS led FROM e WHERE assigned_split IN ('validation', 'test')")
+@register("ep11_evaluation_fields", CANDIDATES + EVENTS + f""" SELECT episode_id AS id, ['a1'] AS architecture_scope, {[*episodes.RUBRIC]} AS rubric, ['raw:' || source_id] AS required_snapshot_refs, md5({rendered_sql('input')}) AS prompt_md5, md5({rendered_sql('target')}) AS answer_md5
+ FROM w WHERE assigned_split IN ('validation', 'test')""")
 def evaluation_fields(spark, sf_dir):
     public, private = episodes.evaluation(recorded(spark, sf_dir))
-    return public.join(private, "id").select("id", "architecture_scope", F.size("rubric").alias("n_rubric"), "required_snapshot_refs", F.col("prompt").startswith("[instruction").alias("led"))
+    return public.join(private, "id").select("id", "architecture_scope", "rubric", "required_snapshot_refs", F.md5("prompt").alias("prompt_md5"), F.md5("reference_answer").alias("answer_md5"))
 
 
 @register("ep12_quarantine_reasons", CANDIDATES + f" SELECT {NAME} AS id, ['limit ' || CAST(pos AS VARCHAR)] AS reason, 'reviewed' AS review_status, [source_id] AS source_ids FROM e WHERE assigned_split = 'quarantine'")

@@ -14,3 +14,13 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["ep_sft_export", "ep_episodes", "ep_eval_exports", "ep11_evaluation_fields"])
+def test_other_texts_are_found(spark, sf, name, monkeypatch):
+    """A changed payload makes the query differ from its twin."""
+    from corpusloom.operators import episodes
+
+    monkeypatch.setitem(episodes.INSTRUCTIONS, "judgment", "Judge.")
+    with pytest.raises(AssertionError):
+        compare(spark, sf, catalog.QUERIES[name], catalog.ORACLES[name])
