@@ -58,59 +58,3 @@ def outcome_checks(episodes: DataFrame, history: DataFrame) -> DataFrame:
         broken(e, "restoration kind", key, F.col("_c").isNotNull() & (F.col("_kind") != "restoration"), "the commit isn't a restoration"),
         broken(e, "restoration edge", key, F.col("_c").isNotNull() & ~F.col("_of").eqNullSafe(F.col("outcome.candidate_commit")), "it reverts another commit"),
     )
-
-
-#: JSON-Schema keywords that compile() knows.
-KNOWN = {"type", "enum", "const", "pattern", "minLength", "minimum", "minItems", "uniqueItems", "required", "properties", "additionalProperties", "items", "format", "$schema", "$id", "title", "description"}
-_TYPES = {"string": "STRING", "integer": "BIGINT", "number": "DECIMAL|DOUBLE|FLOAT|BIGINT", "boolean": "BOOLEAN", "object": "OBJECT<.*", "array": "ARRAY<.*", "null": "VOID"}
-
-
-def compile_schema(schema: dict, value: Column, path: str = "$") -> list[tuple[str, Column]]:
-    """(rule, broken) for a VARIANT column by a closed, reference-free JSON Schema. Raises on keywords that it doesn't know."""
-    unknown = schema.keys() - KNOWN
-    if unknown:
-        raise ValueError(f"unknown keywords at {path}: {sorted(unknown)}")
-    at = lambda p, t: F.try_variant_get(value, p, t)
-    here = F.try_variant_get(value, path, "variant")
-    kind = F.schema_of_variant(here)
-    out: list[tuple[str, Column]] = []
-    if "type" in schema:
-        names = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
-        pattern = "^(?:" + "|".join(_TYPES[n] for n in names) + ")" + "(?:\\(.*\\))?$"
-        out.append((f"{path} type", here.isNotNull() & ~kind.rlike(pattern)))
-    text = at(path, "string")
-    if "enum" in schema:
-        out.append((f"{path} enum", here.isNotNull() & ~text.isin([str(x) for x in schema["enum"]])))
-    if "const" in schema:
-        want = str(schema["const"]).lower() if isinstance(schema["const"], bool) else str(schema["const"])
-        out.append((f"{path} const", here.isNotNull() & (text != want)))
-    if "pattern" in schema:
-        out.append((f"{path} pattern", text.isNotNull() & ~text.rlike(schema["pattern"])))
-    if "minLength" in schema:
-        out.append((f"{path} minLength", text.isNotNull() & (F.length(text) < schema["minLength"])))
-    if schema.get("format") == "date-time":
-        out.append((f"{path} format", text.isNotNull() & F.try_to_timestamp(text).isNull()))
-    if "minimum" in schema:
-        out.append((f"{path} minimum", at(path, "double") < schema["minimum"]))
-    if {"minItems", "uniqueItems"} & schema.keys():
-        items = at(path, "array<variant>")
-        strings = F.transform(items, lambda x: F.to_json(x))
-        out.append((f"{path} minItems", items.isNotNull() & (F.size(items) < schema.get("minItems", 0))))
-        if schema.get("uniqueItems"):
-            out.append((f"{path} uniqueItems", items.isNotNull() & (F.size(F.array_distinct(strings)) < F.size(strings))))
-    for name in schema.get("required", []):
-        out.append((f"{path}.{name} required", here.isNotNull() & ~F.array_contains(F.json_object_keys(F.to_json(here)), name)))
-    if schema.get("additionalProperties") is False:
-        keys = F.json_object_keys(F.to_json(here))
-        out.append((f"{path} closed", keys.isNotNull() & (F.size(F.array_except(keys, F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))) > 0)))
-    for name, sub in schema.get("properties", {}).items():
-        out += compile_schema(sub, value, f"{path}.{name}")
-    return out
-
-
-def schema_checks(df: DataFrame, schema: dict, key: str, json: str) -> DataFrame:
-    """Rows of a JSON text column that break rules of a schema, one row per broken rule."""
-    v = df.select(F.col(key).cast("string").alias("key"), F.try_parse_json(json).alias("v"))
-    rules = compile_schema(schema, F.col("v"))
-    found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), name) for name, bad in rules], F.when(F.col("v").isNull(), "not JSON")))
-    return v.select(F.lit("schema").alias("check"), "key", F.explode(found).alias("message"))

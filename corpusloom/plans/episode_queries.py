@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
-from corpusloom.operators import checks, episodes, groups
+from corpusloom.operators import checks, episodes, groups, schemas
 from corpusloom.plans.ledger_queries import UNVERDICT, VERDICT, sql_clean
 from corpusloom.plans.registry import COMMIT, LEDGER, PATCH, register, relation
 
@@ -163,4 +163,44 @@ def schema_checks(spark, sf_dir):
     from corpusloom.plans.registry import table
 
     d = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("event_id", "event_type", F.when(F.col("event_id") % 13 == 0, "w1").otherwise("u1").alias("v"), F.when(F.col("event_id") % 11 == 0, 1).alias("more"))).alias("j"))
-    return checks.schema_checks(d, SCHEMA, "event_id", "j").select("key", "message")
+    return schemas.schema_checks(d, SCHEMA, "event_id", "j").select("key", "message")
+
+
+#: Rules that call each other: a tree by reference, items with a format, closed and typed maps, and alternatives.
+NESTED = {
+    "type": "object", "additionalProperties": False, "required": ["id", "links"], "$defs": {
+        "node": {"type": "object", "required": ["name"], "properties": {"name": {"type": "string", "minLength": 1, "maxLength": 3}, "kids": {"type": "array", "items": {"$ref": "#/$defs/node"}}}},
+        "link": {"type": "string", "format": "uri"},
+    },
+    "properties": {
+        "id": {"type": "integer", "not": {"const": -1}}, "links": {"type": "array", "minItems": 1, "maxItems": 3, "uniqueItems": True, "items": {"$ref": "#/$defs/link"}}, "at": {"format": "date-time"}, "day": {"format": "date"},
+        "score": {"type": "number", "maximum": 100, "exclusiveMinimum": 0}, "tree": {"$ref": "#/$defs/node"}, "kind": {"oneOf": [{"type": "string", "enum": ["a", "b"]}, {"type": "integer", "minimum": 10}]},
+        "more": {"type": "object", "minProperties": 1, "additionalProperties": {"type": "integer"}}, "flag": {"const": True}, "deep": {"$ref": "#/$defs/node"},
+    },
+}
+#: By event_id modulo 32: a defect of the record (a member in place of the right one) and what it breaks.
+BROKEN = {
+    1: ('"links"', '["a:b", "no uri"]', "$.links[1] format"), 2: ('"at"', '"2024-13-02T03:04:05Z"', "$.at format"), 3: ('"day"', '"2024-02-30"', "$.day format"), 4: ('"score"', "100.5", "$.score maximum"), 5: ('"score"', '"x"', "$.score type"),
+    6: ('"tree"', '{"name": "n", "kids": [{"name": ""}]}', "$.tree.kids[0].name minLength"), 7: ('"tree"', '{"name": "n", "kids": [{"name": "m", "kids": "z"}]}', "$.tree.kids[0].kids type"), 8: ('"links"', '["a:b", "a:b"]', "$.links uniqueItems"), 9: ('"links"', "[]", "$.links minItems"),
+    10: ('"more"', '{"x": "s"}', "$.more.x type"), 11: ('"more"', "{}", "$.more minProperties"), 12: ('"kind"', "5", "$.kind oneOf"), 13: ('"extra"', "1", "$ closed"), 14: ('"id"', "-1", "$.id not"), 15: ('"tree"', '{"name": "long"}', "$.tree.name maxLength"),
+    16: ('"links"', '["a:1", "a:2", "a:3", "a:4"]', "$.links maxItems"), 17: ('"id"', "3.5", "$.id type"), 18: ('"flag"', "false", "$.flag const"), 19: ('"score"', "0", "$.score exclusiveMinimum"), 20: ('"tree"', '{"kids": []}', "$.tree.name required"),
+    21: ('"deep"', '{"name": "1", "kids": [{"name": "2", "kids": [{"name": "3", "kids": [{"name": "4", "kids": [{"name": "5"}]}]}]}]}', "$.deep.kids[0].kids[0].kids[0].kids[0] depth"), 22: ('"links"', "null", "$.links type"),
+}
+RIGHT = {'"id"': "3.0", '"links"': '["https://h/1"]', '"at"': '"2024-01-02T03:04:05.5+02:00"', '"day"': '"2024-02-29"', '"score"': "99", '"tree"': '{"name": "n", "kids": [{"name": "m", "kids": []}]}', '"kind"': '"a"', '"more"': '{"x": 1}', '"flag"': "true"}
+
+
+def _record(k: int) -> str:
+    name, value, _ = BROKEN.get(k, ("", "", ""))
+    return "{" + ", ".join(f"{n}: {v}" for n, v in (RIGHT | ({name: value} if name else {})).items()) + "}"
+
+
+@register("va1_nested_schema", "SELECT CAST(event_id AS VARCHAR) AS key, CASE event_id % 32 " + " ".join(f"WHEN {k} THEN '{m}'" for k, (_, _, m) in BROKEN.items()) + f" WHEN 30 THEN 'not JSON' WHEN 31 THEN '$.links required' END AS message FROM {{events}} WHERE event_id % 32 BETWEEN 1 AND {max(BROKEN)} OR event_id % 32 >= 30")
+def nested_schema(spark, sf_dir):
+    from corpusloom.plans.registry import table
+
+    k = F.col("event_id") % 32
+    j = F.lit(_record(0))
+    for i in BROKEN:
+        j = F.when(k == i, _record(i)).otherwise(j)
+    j = F.when(k == 30, "{oops").when(k == 31, '{"id": 1}').otherwise(j)
+    return schemas.schema_checks(table(spark, sf_dir, "events").select("event_id", j.alias("j")), NESTED, "event_id", "j").select("key", "message")

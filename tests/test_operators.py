@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
-from corpusloom.operators import checks, groups, joins
+from corpusloom.operators import groups, joins, schemas
 
 FAILURES = (PySparkException, Py4JJavaError)
 
@@ -89,10 +89,10 @@ def test_windows_need_enough(spark):
 
 def test_unknown_schema_keyword(spark):
     with pytest.raises(ValueError):
-        checks.compile_schema({"oneOf": []}, F.col("v"))
+        schemas.compile_schema({"contains": []}, F.col("v"))
     d = spark.createDataFrame([("1", '{"a":[1,1],"b":"x","c":true}'), ("2", "{"), ("3", '{"a":[1],"b":"xx","d":"2020-01-01T00:00:00Z"}')], "k string, j string")
     schema = {"type": "object", "required": ["b"], "properties": {"a": {"type": "array", "uniqueItems": True, "minItems": 1}, "b": {"type": "string", "minLength": 2}, "c": {"const": False}, "d": {"type": "string", "format": "date-time"}}}
-    got = {(r.key, r.message) for r in checks.schema_checks(d, schema, "k", "j").collect()}
+    got = {(r.key, r.message) for r in schemas.schema_checks(d, schema, "k", "j").collect()}
     assert got == {("1", "$.a uniqueItems"), ("1", "$.b minLength"), ("1", "$.c const"), ("2", "not JSON")}
 
 
