@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import topology
-from corpusloom.plans.registry import COMMIT, register, relation
-from corpusloom.sources import git_log, tables
+from corpusloom.plans.registry import COMMIT, register, relation, table
+from corpusloom.sources import fetching, git_log, tables
 
 #: Every user's events are a line of commits; each sixth also has the commit four before as a parent, and each seventh says that it reverts: half of
 #: these by name, the others by restoring the tree before their parent.
@@ -40,3 +40,16 @@ def git_history(spark, sf_dir):
  m AS (SELECT c, max(l) AS level FROM r GROUP BY c) SELECT c AS commit, CAST(level AS BIGINT) AS level, row_number() OVER (ORDER BY level, c) - 1 AS position FROM m""")
 def topological_order(spark, sf_dir):
     return topology.positions(git_log.git_log(spark, exported(spark, sf_dir), ["commit", "parents"]))
+
+
+#: Bytes that a page may have here.
+CAP = 6000
+
+
+@register("sc9_fetched_pages", f"""SELECT 'page-' || CAST(page_id AS VARCHAR) AS source_id, CASE WHEN page_id % 10 = 7 OR strlen(html) > {CAP} THEN 'failed' ELSE 'collected' END AS status, CASE WHEN page_id % 10 = 7 THEN 'ValueError: scheme ftp' WHEN strlen(html) > {CAP} THEN 'ValueError: more than {CAP} bytes' END AS reason,
+ CASE WHEN page_id % 10 <> 7 AND strlen(html) <= {CAP} THEN sha256(html) END AS sha256, CASE WHEN page_id % 10 <> 7 AND strlen(html) <= {CAP} THEN strlen(html) END AS bytes, CASE WHEN page_id % 10 <> 7 AND strlen(html) <= {CAP} THEN 'text/html' END AS mime_type FROM {{pages}}""")
+def fetched_pages(spark, sf_dir):
+    """Every page by a URL that holds it, as there is no network here; each tenth by a scheme that isn't fetched."""
+    held = F.concat(F.lit("data:text/html;charset=utf-8;base64,"), F.replace(F.base64(F.col("html").cast("binary")), F.lit("\r\n"), F.lit("")))
+    d = table(spark, sf_dir, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("source_id"), F.when(F.col("page_id") % 10 == 7, "ftp://host/x").otherwise(held).alias("url"))
+    return fetching.fetched(d, cap=CAP).select("source_id", "status", "reason", "sha256", "bytes", "mime_type")
