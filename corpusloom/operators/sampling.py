@@ -83,16 +83,22 @@ def eligible(episodes: DataFrame, conditions: dict[str, str] | None = None) -> D
 
 
 def split_keys(rows: DataFrame, id_: str, relations: list[str]) -> DataFrame:
-    """id, split_key: the least id that is reached from a row over equal values of any relation column; nulls relate nothing.
+    """id, split_key: the least id that is reached from a row over equal values of any relation column; nulls relate nothing."""
+    each = rows.select(F.col(id_).alias("id"), F.explode(F.array(*[F.concat(F.lit(f"{r}="), F.col(r).cast("string")) for r in relations])).alias("value")).where("value is not null")
+    return linked_labels(rows.select(F.col(id_).alias("id"), F.col(id_).alias("label")), each).select("id", F.col("label").alias("split_key"))
 
-    Labels go from rows to values and back, each round also through the label's own label, with a table written in between. A
-    value's rows are aggregated, never listed, and its label is joined back over SALTS places.
+
+def linked_labels(start: DataFrame, each: DataFrame) -> DataFrame:
+    """id, label: the least label that is reached from an id over values that it shares with others. start: (id, label), each: (id, value).
+
+    Labels go from ids to values and back, with a table written in between, until none falls. A value's ids are aggregated, never
+    listed, and its label is joined back over SALTS places. Where labels are ids themselves, a label's own label shortens the way.
     """
-    spark = rows.sparkSession
-    folder = tables.scratch(spark, "split-keys")
-    each = rows.select(F.col(id_).alias("id"), F.explode(F.array(*[F.concat(F.lit(f"{r}="), F.col(r).cast("string")) for r in relations])).alias("value")).where("value is not null").distinct()
-    each = tables.saved(each.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), f"{folder}/edges")
-    labels = tables.saved(rows.select(F.col(id_).alias("id"), F.col(id_).alias("label")).distinct(), f"{folder}/labels-0")
+    spark = start.sparkSession
+    folder = tables.scratch(spark, "labels")
+    each = tables.saved(each.distinct().withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), f"{folder}/edges")
+    labels = tables.saved(start.distinct(), f"{folder}/labels-0")
+    of_ids = labels.schema["id"].dataType == labels.schema["label"].dataType
     step = 0
     while True:
         step += 1
@@ -100,29 +106,10 @@ def split_keys(rows: DataFrame, id_: str, relations: list[str]) -> DataFrame:
         dealt = by_value.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         near = each.join(dealt, ["value", "_salt"]).groupBy("id").agg(F.min("least").alias("least"))
         lower = labels.join(near, "id", "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("least", "label")).alias("via"))
-        far = lower.select(F.col("id").alias("via"), F.col("via").alias("far")).where("via != far")
-        found = tables.saved(lower.join(far, "via", "left").select("id", "old", F.coalesce("far", "via").alias("label")), f"{folder}/labels-{step}")
+        if of_ids:
+            far = lower.select(F.col("id").alias("via"), F.col("via").alias("far")).where("via != far")
+            lower = lower.join(far, "via", "left").select("id", "old", F.least("via", F.coalesce("far", "via")).alias("via"))
+        found = tables.saved(lower.select("id", "old", F.col("via").alias("label")), f"{folder}/labels-{step}")
         labels = found.select("id", "label")
         if not found.where("label < old").limit(1).count():
-            return labels.select(F.col("id"), F.col("label").alias("split_key"))
-
-
-def capped_near_duplicates(rows: DataFrame, id_: str, text: str, by: list[str], most: int = 3, words: int = 5, hashes: int = 40, bands: int = 10) -> DataFrame:
-    """At most so many rows, those of the least ids, of each cluster of near duplicates with equal outcome columns.
-
-    Rows are of one cluster where a band of their min-hashes of word shingles agrees, or a row between them agrees with both.
-    """
-    split = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+", " ")), " ")
-    n = F.greatest(F.size(split) - words + 1, F.lit(1))
-    shingles = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(split, i, words), " ")))
-    d = rows.withColumn("_sh", shingles)
-    least = [F.array_min(F.transform("_sh", lambda x, k=k: F.xxhash64(x, F.lit(k)))) for k in range(hashes)]
-    each = hashes // bands
-    banded = d.select(id_, *[F.sha2(F.concat_ws(",", *[c.cast("string") for c in least[b * each : (b + 1) * each]]), 256).alias(f"band_{b}") for b in range(bands)])
-    keys = split_keys(banded, id_, [f"band_{b}" for b in range(bands)])
-    # of equal cluster and outcome the least ids stay, found in two steps so that a large cluster is never one task's list
-    d = rows.join(keys.withColumnRenamed("id", id_), id_).withColumn("_salt", F.pmod(F.xxhash64(id_), F.lit(SALTS)))
-    from corpusloom.operators.groups import capped
-
-    few = capped(d, ["split_key", *by, "_salt"], [id_], most)
-    return capped(few, ["split_key", *by], [id_], most).drop("_salt")
+            return labels

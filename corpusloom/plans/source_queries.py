@@ -1,11 +1,13 @@
-"""Queries on histories that are read from exports."""
+"""Queries on histories that are read from exports, on fetched pages, and on near duplicates."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import topology
-from corpusloom.plans.registry import COMMIT, register, relation, table
+from corpusloom.functions import ledger
+from corpusloom.operators import near_duplicates, topology
+from corpusloom.plans.ledger_queries import VERDICT
+from corpusloom.plans.registry import COMMIT, LEDGER, register, relation, table
 from corpusloom.sources import fetching, git_log, tables
 
 #: Every user's events are a line of commits; each sixth also has the commit four before as a parent, and each seventh says that it reverts: half of
@@ -53,3 +55,33 @@ def fetched_pages(spark, sf_dir):
     held = F.concat(F.lit("data:text/html;charset=utf-8;base64,"), F.replace(F.base64(F.col("html").cast("binary")), F.lit("\r\n"), F.lit("")))
     d = table(spark, sf_dir, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("source_id"), F.when(F.col("page_id") % 10 == 7, "ftp://host/x").otherwise(held).alias("url"))
     return fetching.fetched(d, cap=CAP).select("source_id", "status", "reason", "sha256", "bytes", "mime_type")
+
+
+#: Sets of 5-word runs, links of 80 % of the union, and what they reach.
+CLUSTERS = r"""w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') AS w FROM {documents}),
+ g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM w),
+ k AS (SELECT md5(array_to_string(g, chr(10))) AS c, any_value(g) AS g, min(doc_id) AS least FROM g WHERE len(g) > 0 GROUP BY 1), x AS (SELECT c, len(g) AS n, unnest(g) AS g FROM k),
+ o AS (SELECT a.c AS a, b.c AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS o FROM x a JOIN x b ON a.g = b.g AND a.c <> b.c GROUP BY 1, 2), e AS (SELECT a, b FROM o WHERE 100 * o >= 80 * (na + nb - o)),
+ r(c, l) AS (SELECT c, c FROM k UNION SELECT r.c, e.b FROM r JOIN e ON r.l = e.a), m AS (SELECT r.c, min(k.least) AS cluster FROM r JOIN k ON r.l = k.c GROUP BY 1),
+ f AS (SELECT g.doc_id, coalesce(m.cluster, g.doc_id) AS cluster FROM g LEFT JOIN m ON len(g.g) > 0 AND md5(array_to_string(g.g, chr(10))) = m.c)""".replace("\\\\", "\\")
+
+
+@register("tx7_clusters", f"WITH RECURSIVE {CLUSTERS} SELECT doc_id, cluster FROM f")
+def near_duplicate_clusters(spark, sf_dir):
+    return near_duplicates.clusters(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "cluster")
+
+
+@register("tx7_capped", f"WITH RECURSIVE {CLUSTERS}, s AS (SELECT d.doc_id, row_number() OVER (PARTITION BY cluster, lang, source ORDER BY d.doc_id) AS k FROM {{documents}} d JOIN f ON d.doc_id = f.doc_id) SELECT doc_id FROM s WHERE k <= 3")
+def near_duplicates_capped(spark, sf_dir):
+    """Language and source stand for outcome and chip."""
+    return near_duplicates.capped_near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang", "source"]).select("doc_id")
+
+
+@register("sp8_training_sample", f"""WITH l AS (SELECT *, mechanism || hypothesis AS cluster, {VERDICT} AS d, 'g' || CAST(pos % 97 AS VARCHAR) AS grp FROM ({LEDGER}) x), t AS (SELECT *, max(pos) OVER g AS last, bool_or(d = 'accepted' AND pos % 40 = 0) OVER g AS won FROM l WHERE assigned_split = 'train' WINDOW g AS (PARTITION BY campaign_id, grp)),
+ n AS (SELECT *, NOT won AND pos = last AS ends FROM t), c AS (SELECT *, row_number() OVER (PARTITION BY cluster, d, grp ORDER BY ends DESC, pos) AS k FROM n), k AS (SELECT * FROM c WHERE ends OR k <= 3), z AS (SELECT *, row_number() OVER (PARTITION BY campaign_id, grp ORDER BY ends DESC, pos) AS j FROM k)
+ SELECT pos FROM z WHERE won OR j <= 8 UNION ALL SELECT pos FROM l WHERE assigned_split <> 'train'""")
+def training_sample(spark, sf_dir):
+    d = relation(spark, sf_dir, LEDGER)
+    d = d.withColumns({"cluster": F.concat("mechanism", "hypothesis"), "outcome": ledger.disposition(F.col("decision")), "grp": F.concat(F.lit("g"), (F.col("pos") % 97).cast("string"))})
+    won = (F.col("outcome") == "accepted") & (F.col("pos") % 40 == 0)
+    return near_duplicates.training_sample(d, "pos", "cluster", ["outcome", "grp"], ["campaign_id", "grp"], "pos", won).select("pos")

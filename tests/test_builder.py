@@ -2,7 +2,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
-from corpusloom.operators import builder, provenance, sampling
+from corpusloom.operators import builder, near_duplicates, provenance, sampling
 from corpusloom.sources import tables
 from corpusloom.streaming import arrivals
 
@@ -108,7 +108,7 @@ def test_near_duplicates_are_capped(spark):
     copies = [(i, " ".join(words[:-1] + [f"x{i}"]), "won") for i in range(6)] + [(10 + i, " ".join(words), "lost") for i in range(5)]
     apart = [(20 + i, " ".join(f"y{i}z{k}" for k in range(60)), "won") for i in range(4)]
     df = spark.createDataFrame(copies + apart, "id long, text string, outcome string")
-    got = sorted(r.id for r in sampling.capped_near_duplicates(df, "id", "text", ["outcome"]).collect())
+    got = sorted(r.id for r in near_duplicates.capped_near_duplicates(df, "id", "text", ["outcome"]).collect())
     assert got == [0, 1, 2, 10, 11, 12, 20, 21, 22, 23]
 
 
