@@ -91,8 +91,7 @@ class Block:
 
     def sorted_bucket(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A bucket's places in suffix order, and for each whether its first PERIOD bytes are those of the one before."""
-        order = np.argsort(self.key(places, 0), kind="stable")
-        places = places[order]
+        places = places[np.argsort(self.key(places, 0))]
         same = np.zeros(len(places), bool)
         k = self.key(places, 0)
         same[1:] = k[1:] == k[:-1]
@@ -102,11 +101,14 @@ class Block:
             where = np.flatnonzero(tied)
             if not len(where):
                 return places, same
-            group = np.cumsum(~same)[where]
+            group = np.cumsum(~same[where])  # of ties: at most half as many as places
+            if group[-1] < 1 << 16:
+                group = group.astype(np.uint16)
             k = self.key(places[where], at)
             if at == 24:
                 k = k >> np.uint64(8)  # 7 bytes: PERIOD in all
-            by = np.lexsort((k, group))
+            by = np.argsort(k)
+            by = by[np.argsort(group[by], kind="stable")]
             places[where] = places[where][by]
             k, group = k[by], group[by]
             again = np.zeros(len(where), bool)

@@ -4,7 +4,7 @@ A byte goes if a string of LENGTH bytes covers it that also starts earlier: in a
 same document. Each window of LENGTH bytes has an anchor, the stretch of GRAM bytes in it whose hash is least, so equal windows
 have equal anchors at the same place. Anchors that occur once are counted out. What surrounds the others is dealt out by anchor,
 so that equal windows meet; there a suffix array of a bounded block of text, built bucket by bucket with a difference cover
-(suffix_blocks), finds the windows that stand earlier too. Anchors only choose what is sorted: whether windows are equal is
+(suffix_blocks), finds the windows that stand earlier too; of equal whole stretches only the first is sorted. Anchors only choose what is sorted: whether windows are equal is
 decided by their bytes. A stretch that a task has sent already for an earlier place is not sent again but removed there. The
 windows of an anchor that has HOT occurrences or more are dealt out one by one, by all of their bytes.
 """
@@ -185,8 +185,9 @@ def _later(stretches: DataFrame, length: int) -> DataFrame:
         yield out
 
     def run(parts):
-        held, n, group, last, key = [], 0, 0, None, None  # rows of a block; its bytes; where the last key's rows begin
+        held, n, group, last, key, seen = [], 0, 0, None, None, set()  # rows of a block; its bytes; where the last key's rows begin
         for part in parts:
+            out = {c: [] for c in ("doc", "h", "start", "size")}
             for k, *row in zip(*(part[c] for c in ("key", "doc", "h", "start", "size", "context")), strict=True):
                 if k != key:
                     if len(held) - group == 1:
@@ -194,11 +195,19 @@ def _later(stretches: DataFrame, length: int) -> DataFrame:
                     if n > BLOCK:
                         yield from solve(held)
                         held, n = [], 0
-                    key, group, last = k, len(held), None
-                if tuple(row[:3]) != last:  # a repeated row is the same document
-                    last = tuple(row[:3])
-                    held.append(row)
-                    n += len(row[4])
+                    key, group, last, seen = k, len(held), None, set()
+                if tuple(row[:3]) == last:
+                    continue  # a repeated row is the same document
+                last = tuple(row[:3])
+                if row[4] in seen:  # all of it stands earlier, as an equal stretch
+                    for c, v in zip(out, row, strict=False):
+                        out[c].append(v)
+                    continue
+                seen.add(row[4])
+                held.append(row)
+                n += len(row[4])
+            if out["doc"]:
+                yield out
         if len(held) - group == 1:
             held.pop()
         if held:
