@@ -8,7 +8,7 @@ from corpusloom.functions import ledger
 from corpusloom.operators import near_duplicates, topology
 from corpusloom.plans.ledger_queries import VERDICT
 from corpusloom.plans.registry import COMMIT, LEDGER, register, relation, table
-from corpusloom.sources import fetching, git_log, tables
+from corpusloom.sources import fetching, git_log, keyed, tables
 
 #: Every user's events are a line of commits; each sixth also has the commit four before as a parent, and each seventh says that it reverts: half of
 #: these by name, the others by restoring the tree before their parent.
@@ -71,10 +71,10 @@ def near_duplicate_clusters(spark, sf_dir):
     return near_duplicates.clusters(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "cluster")
 
 
-@register("tx7_capped", f"WITH RECURSIVE {CLUSTERS}, s AS (SELECT d.doc_id, row_number() OVER (PARTITION BY cluster, lang, source ORDER BY d.doc_id) AS k FROM {{documents}} d JOIN f ON d.doc_id = f.doc_id) SELECT doc_id FROM s WHERE k <= 3")
+@register("tx7_capped", f"WITH RECURSIVE {CLUSTERS}, s AS (SELECT d.doc_id, row_number() OVER (PARTITION BY cluster, lang ORDER BY d.doc_id) AS k FROM {{documents}} d JOIN f ON d.doc_id = f.doc_id) SELECT doc_id FROM s WHERE k <= 1")
 def near_duplicates_capped(spark, sf_dir):
-    """Language and source stand for outcome and chip."""
-    return near_duplicates.capped_near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang", "source"]).select("doc_id")
+    """The language stands for outcome and chip."""
+    return near_duplicates.capped_near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang"], 1).select("doc_id")
 
 
 @register("sp8_training_sample", f"""WITH l AS (SELECT *, mechanism || hypothesis AS cluster, {VERDICT} AS d, 'g' || CAST(pos % 97 AS VARCHAR) AS grp FROM ({LEDGER}) x), t AS (SELECT *, max(pos) OVER g AS last, bool_or(d = 'accepted' AND pos % 40 = 0) OVER g AS won FROM l WHERE assigned_split = 'train' WINDOW g AS (PARTITION BY campaign_id, grp)),
@@ -85,3 +85,15 @@ def training_sample(spark, sf_dir):
     d = d.withColumns({"cluster": F.concat("mechanism", "hypothesis"), "outcome": ledger.disposition(F.col("decision")), "grp": F.concat(F.lit("g"), (F.col("pos") % 97).cast("string"))})
     won = (F.col("outcome") == "accepted") & (F.col("pos") % 40 == 0)
     return near_duplicates.training_sample(d, "pos", "cluster", ["outcome", "grp"], ["campaign_id", "grp"], "pos", won).select("pos")
+
+
+@register("sk4_bucketed_upserts", """WITH b AS (SELECT o_custkey AS k, o_orderkey % 3 AS b, max({'o': o_orderkey, 's': o_orderstatus, 'd': CAST(o_orderdate AS VARCHAR)}) AS r FROM {orders} GROUP BY 1, 2), c AS (SELECT DISTINCT k FROM b),
+ j AS (SELECT c.k, x.r AS x, y.r AS y, z.r AS z FROM c LEFT JOIN b x ON x.k = c.k AND x.b = 0 LEFT JOIN b y ON y.k = c.k AND y.b = 1 LEFT JOIN b z ON z.k = c.k AND z.b = 2),
+ m AS (SELECT k, CASE WHEN y IS NULL OR (x IS NOT NULL AND x.s = y.s) THEN x ELSE y END AS m, z FROM j), n AS (SELECT k, CASE WHEN z IS NULL OR (m IS NOT NULL AND m.s = z.s) THEN m ELSE z END AS r FROM m) SELECT k, r.s AS status, r.d AS created_at, r.o AS line FROM n""")
+def bucketed_upserts(spark, sf_dir):
+    """Three batches of orders by customer: only another status makes a new row. Two entries a bucket, so the third batch rewrites buckets."""
+    d = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("string").alias("created_at"), F.col("o_orderkey").alias("line"))
+    t = keyed.KeyedTable(spark, tables.scratch(spark, "keyed"), "k", 16, 2, ("created_at", "line"))
+    for n in range(3):
+        t.commit(d.where(F.col("line") % 3 == n), n, "line")
+    return t.read(d.schema)

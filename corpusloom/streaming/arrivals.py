@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.sources import tables
+from corpusloom.sources.keyed import KeyedTable
 
 
 def new_records(spark: SparkSession, path: str, schema: str, key: str = "sha256", time: str = "created_at", late: str = "1 day") -> DataFrame:
@@ -56,6 +57,11 @@ def upsert_into(stream: DataFrame, path: str, key: str, checkpoint: str):
     return stream.writeStream.foreachBatch(lambda batch, number: fold(batch, number, path, key)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def upsert_buckets(stream: DataFrame, table: KeyedTable, checkpoint: str, position: str | None = None):
+    """Start a query that commits each batch to a keyed table in buckets, under the batch's number: one that comes again changes nothing."""
+    return stream.writeStream.foreachBatch(lambda batch, number: table.commit(batch, number, position) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def event_counts(stream: DataFrame, time: str, by: str, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts by window and key that wait for late rows."""
     return stream.withWatermark(time, late).groupBy(F.window(time, width), by).agg(F.count("*").alias("n"))
