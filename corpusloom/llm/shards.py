@@ -22,23 +22,24 @@ TIERS = 3
 TARGET_BYTES = 16 << 20
 #: Shards are written once and read often; arrivals and merged shards are there at the same time.
 CODEC = "zstd"
-#: Runs in a mapping that is sent to every task; beyond, the mapping is joined by a shuffle.
+#: Rows of a mapping that is sent to every task; a longer one is joined by a shuffle.
 SENT_RUNS = 200_000
 
 
 def append(docs: DataFrame, folder: str, arrival_rows: int = ARRIVAL_ROWS) -> DataFrame:
-    """Write arrivals (arrival_rows doc_ids each; null ids are arrival -1) as they come, without a shuffle; returns this batch."""
+    """Write arrivals (arrival_rows doc_ids each; null ids are arrival -1) as they come, without a shuffle; returns this batch: the rows, boxed, each
+    with a number that is written with it."""
     folder = f"{folder}/arrivals/{uuid.uuid4().hex}"
     arrival = F.coalesce(F.floor(docs["doc_id"] / arrival_rows).cast("long"), F.lit(-1).cast("long"))
-    docs.withColumn("_arrival", arrival).write.mode("append").option("compression", CODEC).partitionBy("_arrival").parquet(folder)
-    schema = docs.schema.add("_arrival", "long")
-    return docs.sparkSession.read.schema(schema).parquet(folder)
+    boxed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at"), arrival.alias("arrival"))
+    boxed.write.mode("append").option("compression", CODEC).partitionBy("arrival").parquet(folder)
+    return docs.sparkSession.read.schema(boxed.schema).parquet(folder)
 
 
 def runs_of(arrived: DataFrame) -> DataFrame:
     """run, n_bytes, arrivals of every arrival: metadata, one row each."""
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
-    return arrived.groupBy("_arrival").agg(F.sum(size).cast("long").alias("n_bytes")).select(F.col("_arrival").alias("run"), "n_bytes", F.array("_arrival").alias("arrivals"))
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0))
+    return arrived.groupBy("arrival").agg(F.sum(size).cast("long").alias("n_bytes")).select(F.col("arrival").alias("run"), "n_bytes", F.array("arrival").alias("arrivals"))
 
 
 def plan(runs: DataFrame, target: int = TARGET_BYTES, fan_in: int = FAN_IN, tiers: int = TIERS) -> DataFrame:
@@ -85,22 +86,23 @@ def manifest(spark: SparkSession, folder: str, version: int | None = None) -> Da
 
 
 def documents(spark: SparkSession, folder: str, schema, entries: DataFrame) -> DataFrame:
-    """The documents (of that schema) in the shards that manifest entries name, with _run and _file."""
+    """row (a struct of that schema), at, run, file of the documents in the shards that manifest entries name. Only what these versions wrote is
+    listed and read: one name for each commit whose shards still count."""
     names = entries.select(F.col("written").alias("_written"), F.col("run").alias("_run"), F.col("file").alias("_file"))
+    versions = [r["written"] for r in entries.select("written").distinct().collect()]
+    stored = spark.createDataFrame([], schema).select(F.struct("*").alias("row"), F.lit(0).cast("long").alias("at")).schema.add("written", "string").add("run", "long").add("file", "integer")
+    if not versions:
+        return spark.createDataFrame([], stored).drop("written")
     if entries.count() <= SENT_RUNS:
         names = F.broadcast(names)
-    stored = spark.read.schema(_stored(schema).add("_written", "string").add("_run", "long").add("_file", "integer")).parquet(f"{folder}/shards")
-    return stored.join(names, ["_written", "_run", "_file"], "left_semi").drop("_written")
-
-
-def _stored(schema):
-    return type(schema)([f for f in schema if f.name not in ("_arrival", "_written", "_run", "_file")])
+    found = spark.read.schema(stored).option("basePath", f"{folder}/shards").parquet(*[f"{folder}/shards/written={v}" for v in versions])
+    return found.join(names, (F.col("written") == F.col("_written")) & (F.col("run") == F.col("_run")) & (F.col("file") == F.col("_file")), "left_semi").drop("written")
 
 
 def compact(arrived: DataFrame, folder: str, target: int = TARGET_BYTES, fan_in: int = FAN_IN) -> DataFrame:
     """Plan arrivals with the runs of the latest version, rewrite once what is new or merges, and commit.
 
-    Returns the rewritten documents with _run and _file. Arrivals come after all earlier runs, whatever their numbers.
+    Returns the rewritten documents: row, at, run and file. Arrivals come after all earlier runs, whatever their numbers.
     """
     spark = arrived.sparkSession
     version = latest(spark, folder)
@@ -111,27 +113,29 @@ def compact(arrived: DataFrame, folder: str, target: int = TARGET_BYTES, fan_in:
     if last is not None:
         new = rows.saved(new, f"{folder}/arrived-{version + 1:08d}")
         after = last + 1 - (new.agg(F.min("run")).collect()[0][0] or 0)
-        arrived = arrived.withColumn("_arrival", F.col("_arrival") + after)
+        arrived = arrived.withColumn("arrival", F.col("arrival") + after)
         new = new.select((F.col("run") + after).alias("run"), "n_bytes", F.array(F.col("run") + after).alias("arrivals"))
         new = new.unionByName(old.groupBy("run").agg(F.sum("n_bytes").alias("n_bytes")).select("run", "n_bytes", F.array("run").alias("arrivals")))
     runs = rows.saved(plan(new, target, fan_in), f"{folder}/plan-{version + 1:08d}-{uuid.uuid4().hex}")
     stays = F.lit(False) if last is None else (F.col("run") <= last) & (F.size("arrivals") == 1)
-    to = runs.where(~stays).select(F.explode("arrivals").alias("_arrival"), F.col("run").alias("_run"), F.ceil(F.greatest(F.col("n_bytes"), F.lit(1)) / target).cast("int").alias("_files"))
+    to = runs.where(~stays).select(F.explode("arrivals").alias("arrival"), "run", F.ceil(F.greatest(F.col("n_bytes"), F.lit(1)) / target).cast("int").alias("files"))
     if last is not None:
-        merged = old.join(to.select(F.col("_arrival").alias("run")), "run", "left_semi")
-        arrived = arrived.unionByName(documents(spark, folder, arrived.schema, merged).drop("_file").withColumnRenamed("_run", "_arrival"))
-    if runs.count() <= SENT_RUNS:
+        merged = old.join(to.select(F.col("arrival").alias("run")), "run", "left_semi")
+        arrived = arrived.unionByName(documents(spark, folder, arrived.schema["row"].dataType, merged).drop("file").withColumnRenamed("run", "arrival"))
+    if to.count() <= SENT_RUNS:
         to = F.broadcast(to)
-    # a run above the target, or one swollen by a repeated id, is dealt over its files by content
-    placed = arrived.join(to, "_arrival").withColumn("_file", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.col("_files")).cast("int")).drop("_arrival", "_files")
+    # a run above the target, or one swollen by a repeated id, is dealt over its files by content and by the number written with the
+    # row, so that a task that runs again deals alike
+    place = F.pmod(F.xxhash64("row.doc_id", "row.text", "at"), F.col("files")).cast("int")
+    placed = arrived.join(to, "arrival").select("row", "at", "run", place.alias("file"))
     # a folder that no other version, writer or stopped run has
     name = f"v{version + 1:08d}-{uuid.uuid4().hex}"
-    placed.repartition("_run", "_file").write.option("compression", CODEC).partitionBy("_run", "_file").parquet(f"{folder}/shards/_written={name}")
-    written = spark.read.schema(placed.schema).parquet(f"{folder}/shards/_written={name}")
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
-    files = written.groupBy("_run", "_file").agg(F.count("*").alias("n_docs"), F.sum(size).cast("long").alias("n_bytes"))
-    entries = files.join(runs.select(F.col("run").alias("_run"), "tier"), "_run").select(
-        F.concat_ws("-", "_run", "_file").alias("shard"), F.col("_run").alias("run"), F.col("_file").alias("file"), F.lit(name).alias("written"), "tier", "n_docs", "n_bytes", F.format_string(f"shards/_written={name}/_run=%d/_file=%d", "_run", "_file").alias("path")
+    placed.repartition("run", "file").write.option("compression", CODEC).partitionBy("run", "file").parquet(f"{folder}/shards/written={name}")
+    written = spark.read.schema(placed.schema).parquet(f"{folder}/shards/written={name}")
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0))
+    files = written.groupBy("run", "file").agg(F.count("*").alias("n_docs"), F.sum(size).cast("long").alias("n_bytes"))
+    entries = files.join(runs.select("run", "tier"), "run").select(
+        F.concat_ws("-", "run", "file").alias("shard"), "run", "file", F.lit(name).alias("written"), "tier", "n_docs", "n_bytes", F.format_string(f"shards/written={name}/run=%d/file=%d", "run", "file").alias("path")
     )
     if last is not None:
         entries = entries.unionByName(old.join(runs.where(stays).select("run"), "run", "left_semi"))
@@ -143,15 +147,15 @@ def sharded(docs: DataFrame, target: int = TARGET_BYTES, fan_in: int = FAN_IN, a
     """doc_id, run, tier, shard_docs, shard_bytes, n_bytes and text_crc32 of each document, read from the committed shards.
 
     Null text has 0 bytes and a null crc; repeated rows stay; null ids are an arrival of their own; an empty table gives no rows
-    and an empty manifest; all other columns are stored.
+    and an empty manifest; all other columns are stored, whatever their names.
     """
     spark = docs.sparkSession
     folder = rows.shared_dir(spark)
     written = compact(append(docs, folder, arrival_rows), folder, target, fan_in)
     rows.remove(spark, f"{folder}/arrivals")
-    m = manifest(spark, folder).select(F.col("run").alias("_run"), F.col("file").alias("_file"), "tier", F.col("n_docs").alias("shard_docs"), F.col("n_bytes").alias("shard_bytes"), "version")
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    mine = written.select("doc_id", "_run", "_file", size.alias("n_bytes"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+    m = manifest(spark, folder).select("run", "file", "tier", F.col("n_docs").alias("shard_docs"), F.col("n_bytes").alias("shard_bytes"), "version")
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    mine = written.select("row.doc_id", "run", "file", size.alias("n_bytes"), F.crc32(F.col("row.text").cast("binary")).alias("text_crc32"))
     if m.count() <= SENT_RUNS:
         m = F.broadcast(m)
-    return mine.join(m, ["_run", "_file"]).select("doc_id", F.col("_run").alias("run"), F.col("_file").alias("file"), "tier", "shard_docs", "shard_bytes", "n_bytes", "text_crc32", "version")
+    return mine.join(m, ["run", "file"]).select("doc_id", "run", "file", "tier", "shard_docs", "shard_bytes", "n_bytes", "text_crc32", "version")

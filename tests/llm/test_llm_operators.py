@@ -111,15 +111,30 @@ def test_shards_merge_batches(spark):
     carried = False
     for version, want in kept.items():
         m = shards.manifest(spark, folder, version)
-        got = shards.documents(spark, folder, arrived.schema, m).collect()
-        assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+        got = shards.documents(spark, folder, arrived.schema["row"].dataType, m).collect()
+        assert Counter((r.row.doc_id, r.row.text) for r in got) == Counter(want)
         found = m.collect()
-        assert Counter((r._run, r._file) for r in got) == Counter({(r.run, r.file): r.n_docs for r in found})
+        assert Counter((r.run, r.file) for r in got) == Counter({(r.run, r.file): r.n_docs for r in found})
         assert all(n < 4 for n in Counter(t for _, t in {(r.run, r.tier) for r in found if r.tier < shards.TIERS}).values())
         carried |= any(not r.written.startswith(f"v{version:08d}") for r in found)
     assert carried
 
 
+def test_shards_keep_columns_of_any_name(spark, monkeypatch):
+    """Columns named as the operator names its own, over two batches, with mappings that are joined by a shuffle."""
+    monkeypatch.setattr(shards, "SENT_RUNS", 1)
+    folder = rows.shared_dir(spark)
+    schema = "doc_id long, text string, _run long, _file int, _arrival long, _written string, run long, at string, row int, arrival int, written int, file int, files int, tier int"
+    data = [(i, f"text {i}", i + 1, 2, 3, "w", 4, "a", 5, 6, 7, 8, 9, i) for i in range(30)]
+    for part in (data[:17], data[17:]):
+        arrived = shards.append(spark.createDataFrame(part, schema), folder, 4)
+        shards.compact(arrived, folder, 60, 2)
+    got = shards.documents(spark, folder, arrived.schema["row"].dataType, shards.manifest(spark, folder))
+    assert sorted(map(tuple, got.select("row.*").collect())) == data
+    one = shards.sharded(spark.createDataFrame(data, schema), target=100, arrival_rows=5)
+    assert sorted(r.doc_id for r in one.collect()) == list(range(30))
+
+
 # --- n-gram join
 
 
