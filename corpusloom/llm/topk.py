@@ -37,16 +37,24 @@ def whole_numbers(vectors: DataFrame, vec_id: str = "vec_id", column: str = "emb
 def _packed(df: DataFrame, blocks: int, extra: str | None = None) -> DataFrame:
     """One row per block and vector length: row numbers, ids, values and (for queries) cutoffs as bytes."""
 
+    def packed(block, held):
+        for dims, found in held.items():
+            row, ids, values, cuts = zip(*found, strict=True)
+            cut = np.array([np.iinfo(np.int64).min if c is None else c for c in cuts], np.int64)
+            yield {"block": [block], "dims": [dims], "own": [np.array(row, np.int64).tobytes()], "ids": [np.array(ids, np.int64).tobytes()], "values": [b"".join(values)], "cuts": [cut.tobytes()]}
+
     def run(parts):
-        held: dict = {}
+        now, held = None, {}  # one block's rows, by length
         for part in parts:
-            for i, b in enumerate(part["block"]):
-                held.setdefault((b, len(part["v"][i])), []).append((part["vec_id"][i], part["v"][i], part[extra][i] if extra else None, part["row"][i]))
-        for (b, dims), found in held.items():
-            cut = np.array([np.iinfo(np.int64).min if f[2] is None else f[2] for f in found], np.int64)
-            yield {"block": [b], "dims": [dims], "own": [np.array([f[3] for f in found], np.int64).tobytes()], "ids": [np.array([f[0] for f in found], np.int64).tobytes()], "values": [np.array([f[1] for f in found], np.int64).tobytes()], "cuts": [cut.tobytes()]}
-
-    dealt = df.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).repartition("block")
+            for i, block in enumerate(part["block"]):
+                if block != now:
+                    yield from packed(now, held)
+                    now, held = block, {}
+                v = np.array(part["v"][i], np.int64)
+                held.setdefault(len(v), []).append((part["row"][i], part["vec_id"][i], v.tobytes(), part[extra][i] if extra else None))
+        yield from packed(now, held)
+
+    dealt = df.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).repartition("block").sortWithinPartitions("block")
     return rows.map_rows(dealt, run, "block int, dims int, own binary, ids binary, values binary, cuts binary")
 
 
