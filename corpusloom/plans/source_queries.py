@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions import ledger
-from corpusloom.operators import near_duplicates, topology
+from corpusloom.functions import ledger, payloads
+from corpusloom.operators import calibration, near_duplicates, topology
 from corpusloom.plans.ledger_queries import VERDICT
 from corpusloom.plans.registry import COMMIT, LEDGER, register, relation, table
 from corpusloom.sources import fetching, git_log, keyed, tables
@@ -97,3 +97,25 @@ def bucketed_upserts(spark, sf_dir):
     for n in range(3):
         t.commit(d.where(F.col("line") % 3 == n), n, "line")
     return t.read(d.schema)
+
+
+#: Tokens of a calibration window, and how many windows: a third of the characters.
+WINDOW = 512
+
+
+@register("va20_calibration_windows", f"""WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(text, '') || chr(3) AS t FROM {{documents}}), n AS (SELECT CAST(sum(length(t)) // {3 * WINDOW} AS BIGINT) AS n FROM t), s AS (SELECT string_agg(t, '' ORDER BY sha256('{calibration.TAG}' || chr(0) || id)) AS s FROM t),
+ w AS (SELECT unnest(range(0, n)) AS "window" FROM n) SELECT "window", md5(substr(s, CAST("window" * {WINDOW} + 1 AS BIGINT), {WINDOW})) AS text_md5, ascii(substr(s, CAST("window" * {WINDOW} + 1 AS BIGINT), 1)) AS first_id FROM w, s""")
+def calibration_windows(spark, sf_dir):
+    """A character is a token, and 3 ends a text. Only a third of the documents is tokenized."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    n = (d.agg(F.sum(F.length("text") + 1)).collect()[0][0] or 0) // (3 * WINDOW)
+    made, _ = calibration.windows(d, lambda texts: [[ord(c) for c in t] for t in texts], lambda lists: ["".join(map(chr, x)) for x in lists], 3, WINDOW, n)
+    return made.select("window", F.md5("text").alias("text_md5"), F.col("ids")[0].alias("first_id"))
+
+
+@register("pr21_payload_text", """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'said "' || event_type || '"' || chr(10) ELSE '{' || chr(10) || '  "a": [' || chr(10) || '    ' || CAST(event_id AS VARCHAR) || ',' || chr(10) || '    {' || chr(10) || '      "x": "' || event_type || '",' || chr(10) || '      "y": []' || chr(10) || '    },' || chr(10) || '    1e+16' || chr(10) || '  ],' || chr(10) || '  "b": null,' || chr(10) || '  "é": "' || event_type || ' ü\\\\ \\n",' || chr(10) || '  "ﬁ": {}' || chr(10) || '}' END AS said FROM {events}""")
+def payload_texts(spark, sf_dir):
+    kind = F.col("event_type")
+    nested = F.concat(F.lit('{"ﬁ": {}, "é": "'), kind, F.lit(' \\u00fc\\\\ \\n", "b" : null, "a": ['), F.col("event_id").cast("string"), F.lit(', {"y": [], "x": "'), kind, F.lit('"}, 1E16]}'))
+    text = F.concat(F.lit('"said \\"'), kind, F.lit('\\"\\n"'))
+    return table(spark, sf_dir, "events").select("event_id", payloads.payload_text(F.when(F.col("event_id") % 5 == 0, text).otherwise(nested)).alias("said"))
