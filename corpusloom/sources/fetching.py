@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,6 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from corpusloom.functions import ledger
 from corpusloom.sources import tables
 
+# fetch goes to the executors by value, as those may not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bytes of a source, seconds that a server may be silent, seconds for a whole source, and redirects that are followed.
 MAX_BYTES, TIMEOUT, DEADLINE, REDIRECTS = 128 << 20, 60, 600, 5
 #: URLs of a task, so that a task that is run again fetches few of them twice.

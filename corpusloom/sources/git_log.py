@@ -10,10 +10,12 @@ offset of a file.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -22,6 +24,9 @@ from pyspark.sql.types import StructType
 
 from corpusloom.operators.joins import exact_parent_reverts
 
+# the source's classes go to the executors by value, as those may not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOG_FORMAT = "%x00H%H%x00P%P%x00T%T%x00D%cI%x00S%s%x00B%B%x00X"
 FIELDS = {"commit": b"H", "parents": b"P", "tree": b"T", "committed_at": b"D", "subject": b"S", "body": b"B", "patch": b"X"}
 SCHEMA = "commit string, parents array<string>, tree string, committed_at string, subject string, body string, patch string, source string, offset long"

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from corpusloom.functions import ledger
 
+# the processor goes to the executors by value, as those may not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: The state store that keeps keyed lists and timers.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 INPUT = "form string, kind string, pos_key string, cycle string, id string, at timestamp, body string"
