@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger
+from corpusloom.operators.joins import spread
 from corpusloom.operators.groups import SPLITS
 
 # Evaluation tiers.
@@ -70,7 +71,7 @@ def with_history(candidates: DataFrame, history: DataFrame) -> DataFrame:
     it doesn't have them. History has one row per commit."""
     h = history.select(F.col("commit").alias("_c"), F.col("patch").alias("raw_patch"), F.col("source_id").alias("history_source"))
     r = history.select(F.col("commit").alias("_r"), F.col("source_id").alias("restoration_source"), F.col("reverts_commit").alias("restores"))
-    found = candidates.join(h, F.col("candidate_commit") == F.col("_c"), "left").join(r, F.col("restoration_commit") == F.col("_r"), "left")
+    found = candidates.join(h, spread(F.col("candidate_commit"), candidates) == F.col("_c"), "left").join(r, spread(F.col("restoration_commit"), candidates) == F.col("_r"), "left")
     return found.drop("_c", "_r")
 
 

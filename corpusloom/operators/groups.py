@@ -130,6 +130,21 @@ def budget_prefix(df: DataFrame, key: str, n: str, required: int, tag: str = "nv
     return d.join(F.broadcast(before), "_b").withColumn("start", (F.col("_before") + own).cast("long")).where(F.col("start") < required).drop("_h", "_b", "_before")
 
 
+def with_starts(df: DataFrame, key: str, n: str, width: int = 4096) -> DataFrame:
+    """df with start, the sum of n over all rows of smaller keys (whole numbers, each once), in three levels.
+
+    Rows are summed by ranges of width keys, and these by ranges of width ranges; windows span one range of keys, one range of
+    ranges, and what is left: a row for width * width keys.
+    """
+    d = df.withColumn("_b", F.floor(F.col(key) / width)).withColumn("_own", F.coalesce(F.sum(n).over(Window.partitionBy(F.floor(F.col(key) / width)).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    blocks = df.groupBy(F.floor(F.col(key) / width).alias("_b")).agg(F.sum(n).alias("_s")).withColumn("_span", F.floor(F.col("_b") / width))
+    inner = blocks.withColumn("_in", F.coalesce(F.sum("_s").over(Window.partitionBy("_span").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    spans = blocks.groupBy("_span").agg(F.sum("_s").alias("_t"))
+    before = spans.select("_span", F.coalesce(F.sum("_t").over(Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    at = inner.join(before, "_span").select("_b", (F.col("_in") + F.col("_before")).alias("_at"))
+    return d.join(at, "_b").withColumn("start", (F.col("_own") + F.col("_at")).cast("long")).drop("_b", "_own", "_at")
+
+
 def windows(df: DataFrame, ids: str, start: str, size: int, count: int) -> DataFrame:
     """window, ids: a stream of id lists with known starts, cut into count windows of size. Raises if there are too few ids."""
     each = df.select(F.col(start).alias("_s"), F.posexplode(ids).alias("p", "id"))

@@ -7,10 +7,19 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger
 
+#: Values that null keys are dealt over.
+SPREAD = 4096
 #: Shortest prefix of a commit that names it.
 SHORTEST = 7
 
 
+def spread(key: Column, rows: DataFrame) -> Column:
+    """A text key whose nulls are dealt over SPREAD values that no key has, by the row's other columns: in a left join all rows with a null
+    key would meet in one partition."""
+    by = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.coalesce(key.cast("string"), F.concat(F.lit("\0"), F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("string")))
+
+
 def resolve_prefix(ids: DataFrame, commits: DataFrame, value: str = "value", commit: str = "commit") -> DataFrame:
     """ids with resolved: the commit that a value is or is the only prefix of; a full id that isn't there as it is; else null.
 
@@ -25,7 +34,8 @@ def resolve_prefix(ids: DataFrame, commits: DataFrame, value: str = "value", com
     one = hit.groupBy("_v").agg(exact.alias("exact"), F.min("_c").alias("any"), F.count("*").alias("n"))
     found = one.select("_v", F.when(F.col("exact").isNotNull(), F.col("exact")).when(F.col("n") == 1, F.col("any")).otherwise(F.raise_error(F.concat(F.lit("ambiguous prefix "), "_v")).cast("string")).alias("_f"))
     whole = F.when(F.length("_v") == 40, F.col("_v"))
-    return asked.join(found, "_v", "left").withColumn("resolved", F.coalesce("_f", whole)).drop("_v", "_f")
+    beside = asked.withColumn("_k", spread(F.col("_v"), ids)).join(found.withColumnRenamed("_v", "_k"), "_k", "left")
+    return beside.withColumn("resolved", F.coalesce("_f", whole)).drop("_v", "_f", "_k")
 
 
 def merge_history(rows: DataFrame) -> DataFrame:
@@ -71,7 +81,7 @@ def proven(candidates: DataFrame, history: DataFrame) -> DataFrame:
     """Candidates with linked_commit and linked_restoration: of a rejected one only if the restoration's revert edge names its commit."""
     h = history.select(F.col("commit").alias("_r"), F.col("reverts_commit").alias("_of"))
     bad = (F.col("disposition") == "rejected") & F.col("candidate_commit").isNotNull() & ~F.col("_of").eqNullSafe(F.col("candidate_commit"))
-    joined = candidates.join(h, candidates["restoration_commit"] == h["_r"], "left")
+    joined = candidates.join(h, spread(candidates["restoration_commit"], candidates) == h["_r"], "left")
     return joined.withColumns({"linked_commit": F.when(~bad, F.col("candidate_commit")), "linked_restoration": F.when(~bad, F.col("restoration_commit")), "unproven": bad}).drop("_r", "_of")
 
 
@@ -120,4 +130,4 @@ def with_latest(refs: DataFrame, latest: DataFrame) -> DataFrame:
 def commit_times(rows: DataFrame, history: DataFrame, revision: str) -> DataFrame:
     """rows with committed_at of the commit that a column names, null where the history doesn't have it."""
     h = history.select(F.col("commit").alias("_c"), "committed_at")
-    return rows.join(h, F.col(revision) == F.col("_c"), "left").drop("_c")
+    return rows.join(h, spread(F.col(revision), rows) == F.col("_c"), "left").drop("_c")

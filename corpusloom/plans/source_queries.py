@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, payloads
-from corpusloom.operators import calibration, near_duplicates, topology
-from corpusloom.plans.ledger_queries import VERDICT
-from corpusloom.plans.registry import COMMIT, LEDGER, register, relation, table
-from corpusloom.sources import fetching, git_log, keyed, tables
+from corpusloom.operators import calibration, candidates, near_duplicates, topology
+from corpusloom.plans.ledger_queries import UNVERDICT, VERDICT, sql_clean
+from corpusloom.plans.registry import COMMIT, HISTORY, LEDGER, register, relation, table
+from corpusloom.sources import fetching, generated, git_log, keyed, tables
 
 #: Every user's events are a line of commits; each sixth also has the commit four before as a parent, and each seventh says that it reverts: half of
 #: these by name, the others by restoring the tree before their parent.
@@ -119,3 +119,43 @@ def payload_texts(spark, sf_dir):
     nested = F.concat(F.lit('{"ﬁ": {}, "é": "'), kind, F.lit(' \\u00fc\\\\ \\n", "b" : null, "a": ['), F.col("event_id").cast("string"), F.lit(', {"y": [], "x": "'), kind, F.lit('"}, 1E16]}'))
     text = F.concat(F.lit('"said \\"'), kind, F.lit('\\"\\n"'))
     return table(spark, sf_dir, "events").select("event_id", payloads.payload_text(F.when(F.col("event_id") % 5 == 0, text).otherwise(nested)).alias("said"))
+
+
+@register("pr12_candidates", f"""WITH l AS ({LEDGER}), h AS (SELECT event_id FROM {{events}}), p AS (SELECT l.*, {VERDICT} AS d, {UNVERDICT.format(sql_clean('public_op_result'))} AS pc, 'c' || cycle || '_' || lpad(candidate, 2, '0') AS ord,
+  CASE WHEN {sql_clean('real_boundary_result')} <> '' THEN {UNVERDICT.format(sql_clean('real_boundary_result'))} ELSE concat_ws('; ', nullif({sql_clean('program_boundary')}, ''), 'baseline ' || nullif({sql_clean('program_baseline_ms')}, '') || ' ms', 'rep1 ' || nullif({sql_clean('program_rep1_ms')}, '') || ' ms' || coalesce(' (' || nullif({sql_clean('program_rep1_delta_pct')}, '') || '% improvement)', '')) END AS pr,
+  c.event_id IS NOT NULL AS known, r.event_id IS NOT NULL AND r.event_id % 5 = 0 AND pos % 2 = 0 AS undone FROM l LEFT JOIN h c ON c.event_id = pos LEFT JOIN h r ON r.event_id = pos + 1)
+ SELECT pos, cycle, candidate, ord AS ordering, mechanism, {sql_clean('hypothesis')} AS hypothesis, pc AS public_candidate, pr AS program_result, d AS disposition, coalesce(nullif(pc, ''), nullif(pr, ''), {sql_clean('decision')}) AS reason,
+ CASE WHEN known AND (d <> 'rejected' OR undone) THEN {COMMIT.format('pos')} END AS candidate_commit, CASE WHEN pos % 2 = 0 AND NOT (d = 'rejected' AND known AND NOT undone) THEN {COMMIT.format('pos + 1')} END AS restoration_commit,
+ CAST(CASE WHEN known AND d = 'rejected' AND NOT undone THEN 1 ELSE 0 END + CASE WHEN known THEN 0 ELSE 1 END AS BIGINT) AS n_limitations, CASE WHEN cycle = '3' THEN 'validation' ELSE 'train' END AS assigned_split,
+ coalesce(nullif(concat_ws('; ', 'public Op: ' || nullif(pc, ''), 'real boundary: ' || nullif(pr, '')), ''), 'No performance measurement was observed.') AS performance_claim, [source_id, 'ctx'] || CASE WHEN known OR (pos % 2 = 0 AND pos + 1 IN (SELECT event_id FROM h)) THEN ['hist'] ELSE [] END AS source_ids, source_id || '#' || trim(regexp_replace(lower(ord), '[^a-z0-9]+', '-', 'g'), '-') AS ledger_ref FROM p""")
+def wide_candidates(spark, sf_dir):
+    """The ledger relation under other headers; its commits are prefixes of those of the events' history."""
+    l = relation(spark, sf_dir, LEDGER)
+    c = relation(spark, sf_dir, f"SELECT o_orderkey AS pos, substr({COMMIT.format('o_orderkey')}, 1, 12) AS c, CASE WHEN o_orderkey % 2 = 0 THEN {COMMIT.format('o_orderkey + 1')} END AS r FROM {{orders}}")
+    rows = l.join(c, "pos").select(
+        F.col("pos").alias("key"), "campaign_id", "source_id", F.col("pos").alias("line"), "cycle", "candidate", "decision", F.col("oracle_result").alias("oracle"), F.col("mechanism").alias("changed_mechanism"), F.col("hypothesis").alias("package_hypothesis"), "public_op_result",
+        "real_boundary_result", "program_boundary", "program_baseline_ms", "program_rep1_ms", "program_rep1_delta_pct", F.col("c").alias("commit"), F.col("r").alias("restoration"),
+    )
+    names = l.select("campaign_id").distinct()
+    campaigns = names.select("campaign_id", F.lit("train").alias("assigned_split"), F.lit("train").alias("evaluation_tier"), F.array(F.lit("ctx")).alias("context_source_ids"), F.lit("other").alias("default_op_family"))
+    cycles = names.select("campaign_id", F.lit("3").alias("cycle"), F.lit("validation").alias("assigned_split"), F.lit("in_arch").alias("evaluation_tier"))
+    history = relation(spark, sf_dir, HISTORY).select("commit", F.lit(None).cast("string").alias("patch"), "reverts_commit", F.lit("hist").alias("source_id"))
+    none = spark.createDataFrame([], "campaign_id string, source_id string, source_pos int, line int, about string, in_cycle string")
+    sources = l.select("source_id").distinct().unionByName(spark.createDataFrame([("ctx",), ("hist",)], "source_id string"))
+    latest = sources.select("source_id", F.concat(F.lit("raw:"), "source_id").alias("record_id"), F.lit("2024-01-01T00:00:00Z").alias("created_at"))
+    found = candidates.candidates(rows, campaigns, cycles, history, none, latest, spark.createDataFrame([], "source_id string, source_date string"))
+    return found.select(F.col("key").alias("pos"), "cycle", "candidate", F.col("order").alias("ordering"), "mechanism", "hypothesis", "public_candidate", "program_result", "disposition", "reason", "candidate_commit", "restoration_commit", F.size("limitations").cast("long").alias("n_limitations"), "assigned_split", "performance_claim", "source_ids", "ledger_ref")
+
+
+@register("sk2_changed_versions", "SELECT CAST(s AS VARCHAR) AS step, s IN (1, 3) AS wrote, CASE WHEN s = 4 THEN 2 WHEN s = 3 THEN 2 ELSE 1 END AS versions, (SELECT count(*) FROM {conversations}) AS n FROM (VALUES (1), (2), (3), (4)) v(s)")
+def changed_versions(spark, sf_dir):
+    """The turns, four times: new, the same from other partitions, with one turn's text changed, and the same again."""
+    c = table(spark, sf_dir, "conversations")
+    lines = c.select(F.format_string("%012d-%06d", "conv_id", "turn").alias("key"), tables.canonical("conv_id", "turn", "role", "text").alias("value"))
+    first = lines.agg(F.min("key")).collect()[0][0]
+    other = lines.withColumn("value", F.when(F.col("key") == first, "{}").otherwise(F.col("value")))
+    path, out = tables.scratch(spark, "generated-turns"), []
+    for step, made in enumerate((lines, lines.repartition(7), other, other), 1):
+        wrote = generated.write_if_changed(made, "key", path)
+        out.append((str(step), wrote, len(generated._versions(spark, path)), spark.read.text(generated.current(spark, path)).count()))
+    return spark.createDataFrame(out, "step string, wrote boolean, versions int, n long")

@@ -150,12 +150,7 @@ def budget(spark, sf_dir):
 def windows(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     per = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.col("conv_id") * 1000 + F.col("turn"))).alias("ids"), F.count("*").alias("n"))
-    blocks = per.withColumn("_b", F.floor(F.col("conv_id") / 4096))
-    from pyspark.sql import Window
-
-    before = blocks.groupBy("_b").agg(F.sum("n").alias("_s")).select("_b", F.coalesce(F.sum("_s").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    own = F.coalesce(F.sum("n").over(Window.partitionBy("_b").orderBy("conv_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = blocks.withColumn("_own", own).join(F.broadcast(before), "_b").select("ids", (F.col("_own") + F.col("_before")).cast("long").alias("start"))
+    placed = groups.with_starts(per, "conv_id", "n").select("ids", "start")
     return groups.windows(placed, "ids", "start", 16, c.count() // 16)
 
 

@@ -107,18 +107,6 @@ def conflicting(found: DataFrame, there: DataFrame) -> DataFrame:
     return found.select("sha256").distinct().join(t, "sha256")
 
 
-def write_if_changed(df: DataFrame, path: str) -> bool:
-    """Write a one-column text table unless the same lines are there; says whether it wrote."""
-    spark = df.sparkSession
-    if exists(spark, path):
-        old, new = spark.read.text(path), df.toDF("value")
-        digest = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("value").cast("decimal(38,0)"))).collect()[0]
-        if digest(old) == digest(new):
-            return False
-    df.toDF("value").write.mode("overwrite").text(path)
-    return True
-
-
 def write_sorted(df: DataFrame, key: str, path: str) -> None:
     """Canonical JSON lines in the order of a key over all files, by their names."""
     df.orderBy(key).select(canonical(*df.columns).alias("value")).write.mode("errorifexists").text(path)

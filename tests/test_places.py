@@ -1,5 +1,7 @@
 """Places that repeat: what counts is told by the rows, not by the order in which they come."""
 
+from pyspark.sql import functions as F
+
 from corpusloom.operators import groups, joins, provenance
 from corpusloom.sources import tables
 
@@ -34,3 +36,25 @@ def test_split_ties(spark):
     data = [("f", 1, "train", "a"), ("f", 1, "train", "b"), ("f", 2, "train", "c")]
     got = both_ways(spark, data, "fp string, pos int, assigned_split string, evaluation_tier string", lambda d: groups.reconcile_splits(d, "fp", "pos").select("pos", "assigned_split", "evaluation_tier"))
     assert {x[2] for x in got} == {"b"}
+
+
+def test_starts_over_several_ranges(spark):
+    import random
+
+    rng = random.Random(1)
+    keys = rng.sample(range(-50, 4000), 300)
+    data = [(k, rng.randint(0, 5)) for k in keys]
+    got = {r.k: r.start for r in groups.with_starts(spark.createDataFrame(data, "k long, n int"), "k", "n", 8).collect()}
+    at, want = 0, {}
+    for k, n in sorted(data):
+        want[k] = at
+        at += n
+    assert got == want
+
+
+def test_null_keys_are_spread_and_match_nothing(spark):
+    ids = spark.createDataFrame([(i, None if i % 2 else "abcdef1") for i in range(400)], "i int, value string")
+    commits = spark.createDataFrame([("abcdef1" + "0" * 33,), (None,)], "commit string")
+    got = {r.i: r.resolved for r in joins.resolve_prefix(ids, commits).collect()}
+    assert got == {i: None if i % 2 else "abcdef1" + "0" * 33 for i in range(400)}
+    assert ids.where("value is null").select(joins.spread(F.col("value"), ids).alias("k")).distinct().count() > 150
