@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import ledger, patches
 from corpusloom.operators import builder, joins
+from corpusloom.sources import tables
 
 # Names that ledgers give to a field, in order of precedence.
 ALIASES = {
@@ -57,10 +58,13 @@ def candidates(rows: DataFrame, campaigns: DataFrame, cycles: DataFrame, history
     Null and empty cells are no values; an empty ledger gives no rows.
     """
     own = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    # written where later columns use many earlier ones: in one plan each use would work them out again
+    folder = tables.scratch(rows.sparkSession, "candidates")
     there = F.struct(*[F.col(c) for c in ("key", "campaign_id", "source_id", "line")])
     place = ledger.place(own("cycle_candidate"), own("cycle"), own("candidate"), own("order"), F.col("source_id"), F.col("line"))
     d = rows.select(there.alias("_at"), place.alias("_place"), *[c.alias(n) for n, c in _fields(rows).items()]).select("_at.*", "_place.*", *_fields(rows))
     d = builder.assigned(d, campaigns, cycles).join(campaigns.select(F.col("campaign_id").alias("_c"), "context_source_ids", "default_op_family"), F.col("campaign_id") == F.col("_c")).drop("_c")
+    d = tables.saved(d, f"{folder}/fields")
     fixed = _corrected(d, corrections)
     d = d.join(fixed, F.col("key") == F.col("_key"), "left").drop("_key")
     new = lambda c: F.coalesce(F.nullif(ledger.clean(F.col(REPLACED[c])), F.lit("")), F.col(c))
@@ -70,12 +74,14 @@ def candidates(rows: DataFrame, campaigns: DataFrame, cycles: DataFrame, history
         "disposition": ledger.disposition(F.col("raw_decision")), "correctness": ledger.correctness(F.col("oracle_result")), "correction_text": F.coalesce("correction_text", F.lit("")),
         "reason": F.coalesce(given("_why"), given("row_reason"), given("public_candidate"), given("program_result"), F.col("raw_decision")), "correction_refs": F.coalesce("correction_refs", F.array().cast("array<string>")),
     })
+    d = tables.saved(d, f"{folder}/corrected")
     for name in ("candidate_commit", "restoration_commit"):
         d = joins.resolve_prefix(d, history, f"raw_{name}").withColumnRenamed("resolved", name)
     d = joins.proven(builder.with_history(d, history), history)
     d = d.withColumn("limitations", F.array_compact(F.array(F.when(F.col("unproven"), builder.LIMITATIONS["edge"]), F.when((F.col("raw_candidate_commit") != "") & F.col("candidate_commit").isNull(), builder.LIMITATIONS["commit"]))))
-    d = d.withColumn("patch", patches.code_only(F.coalesce("raw_patch", F.lit(""))))
-    d = builder.limited(d.withColumn("preimage", patches.preimage(F.col("patch"))), max_patch, max_preimage)
+    d = tables.saved(d, f"{folder}/linked").withColumn("patch", patches.code_only(F.coalesce("raw_patch", F.lit(""))))
+    d = tables.saved(d.withColumn("preimage", patches.preimage(F.col("patch"))), f"{folder}/patches")
+    d = builder.limited(d, max_patch, max_preimage)
     d = d.withColumn("op_family", ledger.family(F.concat_ws(" ", "mechanism", "hypothesis", "dispatch", "files", "components"), F.col("default_op_family"), ledger.FAMILIES))
     d = d.withColumn("fingerprint", patches.fingerprint(F.col("patch"), F.col("mechanism"), F.col("files"), F.col("op_family")))
     some = F.concat(F.array("source_id"), F.coalesce("context_source_ids", F.array().cast("array<string>")), F.coalesce("sources", F.array().cast("array<string>")), F.array_compact(F.array("history_source", "restoration_source")))
