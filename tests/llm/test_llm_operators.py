@@ -418,3 +418,35 @@ def test_quality_kept_by_thresholds(spark, sf):
             assert not r.kept
         elif r.n_words < quality.GUARD_WORDS or not (r.letter_distance or 0) > quality.LETTER_BASE:
             assert r.kept
+
+
+def test_language_windows_cover_each_byte_once():
+    """Texts around the length of a window, against a reader that goes byte by byte."""
+    rng = np.random.default_rng(5)
+    model = langid.train([b"abc de fgh " * 9, "éàü xyz ".encode() * 9], ["x", "y"], steps=2)
+    reader = langid.Reader(model)
+    w = langid.WINDOW
+    texts = ["".join(rng.choice([*"abcXYZ éß.1"], n)).encode() for n in (0, 1, 5, w - 1, w, w + 1, 2 * w - 1, 2 * w, 2 * w + 1, 5 * w + 7, 3 * w)]
+    want = np.zeros((len(texts), 2))
+    for i, text in enumerate(t.lower() for t in texts):
+        done = 0
+        starts = [*range(0, max(len(text) - w, 0), w), max(0, len(text) - w)]
+        for start in starts:
+            part = np.frombuffer(text[start : start + w].ljust(w), np.uint8)
+            p = langid.positions(reader.p, part[:, None])[:, :, 0]
+            for k in range(w):
+                if start + k >= done and langid.LETTERLIKE[part[k]]:
+                    want[i] += p[k]
+            done = max(done, start + w)
+    assert np.allclose(reader.totals(texts), want, atol=1e-3)
+    assert np.allclose(reader.totals([b"", *texts])[1:], want, atol=1e-3)
+
+
+def test_language_model_is_the_best_of_several(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    tried = []
+    monkeypatch.setattr(langid, "train", lambda texts, labels, seed: tried.append(seed) or {"seed": seed})
+    monkeypatch.setattr(langid, "misread", lambda model, texts, labels: {7: 30, 8: 20, 9: 25}[model["seed"]])
+    assert langid.fit(docs) == {"seed": 8} and tried == [7, 8, 9]
+    monkeypatch.setattr(langid, "misread", lambda model, texts, labels: 0)
+    assert langid.fit(docs) == {"seed": 7}
