@@ -118,6 +118,7 @@ def place(cycle_candidate: Column, cycle: Column, candidate: Column, order: Colu
 
 def decision_sentence(verdict: Column, reason: Column, restored: Column) -> Column:
     """What a decision event says."""
+    # Verbs and sentences of decisions.
     verb = F.element_at(F.create_map(*[F.lit(x) for x in ("accepted", "Accept", "rejected", "Reject", "inconclusive", "Mark inconclusive")]), verdict)
     after = (
         F.when((verdict == "rejected") & restored.isNotNull(), " Restore the candidate through the recorded normal revert and preserve the evidence.")

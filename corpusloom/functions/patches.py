@@ -43,6 +43,7 @@ def fingerprint(patch: Column, mechanism: Column, files: Column, op_family: Colu
     """SHA-256 of a patch without what varies between copies (index lines, hunk places, chip names, commits); without a patch, of
     family, mechanism and files."""
 
+    # What a fingerprint doesn't tell apart.
     def line(x: Column) -> Column:
         x = F.regexp_replace(x, r"@@ -[^ ]+ \+[^ ]+ @@", "@@")
         x = F.regexp_replace(x, f"(?i){CHIP}", "sm_x")

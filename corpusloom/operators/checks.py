@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.episodes import ALLOWED
+from corpusloom.operators.episodes import ALLOWED, PREIMAGE
 
 
 def broken(df: DataFrame, check: str, key: Column, bad: Column, message: Column | str) -> DataFrame:
@@ -25,12 +25,15 @@ def contiguous(events: Column) -> Column:
     return F.transform(events, lambda e: e["sequence"].cast("int")) == want
 
 
-def view_checks(episodes: DataFrame) -> DataFrame:
-    """Sequence, set algebra of the view, leakage by information class and by label, patch targets, duplicate event ids."""
+def view_checks(episodes: DataFrame, exact: Column | None = None) -> DataFrame:
+    """Sequence, set algebra of the view, leakage by information class and by label, patch targets, duplicate event ids. Where exact holds (by default
+    everywhere) the target of an implementation is a unified diff, and the source before it is among the inputs."""
+    exact = F.lit(True) if exact is None else exact
     key, ev = F.col("episode_id"), F.col("events")
     i, t, w = (F.col(f"view.{x}_event_ids") for x in ("input", "target", "withheld"))
     all_ids = F.transform(ev, lambda e: e["event_id"])
-    classes = F.transform(F.filter(ev, lambda e: F.array_contains(i, e["event_id"])), lambda e: e["information_class"])
+    inputs = F.filter(ev, lambda e: F.array_contains(i, e["event_id"]))
+    classes = F.transform(inputs, lambda e: e["information_class"])
     targets = F.filter(ev, lambda e: F.array_contains(t, e["event_id"]))
     build = F.col("task_view") == "implementation"
     rules = [
@@ -41,7 +44,8 @@ def view_checks(episodes: DataFrame) -> DataFrame:
         ("known ids", F.size(F.array_except(F.array_union(F.array_union(i, t), w), all_ids)) > 0, "the view names an unknown event"),
         ("leak", F.col("view.candidate_generation") & (F.size(F.array_except(classes, F.array(*[F.lit(a) for a in ALLOWED]))) > 0), "results are among the inputs"),
         ("label", ~F.col("view.result_label_visible") & F.array_contains(classes, "disposition_label"), "the label is among the inputs"),
-        ("patch", build & ~F.exists(targets, lambda e: (e["event_type"] == "patch") & F.contains(e["payload"], F.lit("diff --git"))), "no patch is asked for"),
+        ("patch", build & ~F.exists(targets, lambda e: (e["event_type"] == "patch") & (~exact | F.contains(e["payload"], F.lit("diff --git")))), "no patch is asked for"),
+        ("preimage", build & exact & ~F.exists(inputs, lambda e: (e["event_type"] == "observation") & F.contains(e["payload"], F.lit(PREIMAGE))), "the source before the patch isn't given"),
     ]
     # one pass over the episodes, whatever the number of checks
     found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.struct(F.lit(check).alias("check"), F.lit(message).alias("message"))) for check, bad, message in rules]))
@@ -49,11 +53,14 @@ def view_checks(episodes: DataFrame) -> DataFrame:
 
 
 def outcome_checks(episodes: DataFrame, history: DataFrame) -> DataFrame:
-    """A rejected commit has a restoration, known as such, that reverts it."""
+    """A rejected commit has a restoration, known as such, that reverts it; and no restoration is a candidate."""
     h = history.select(F.col("commit").alias("_c"), F.col("kind").alias("_kind"), F.col("reverts_commit").alias("_of"))
     e = episodes.where((F.col("outcome.disposition") == "rejected") & F.col("outcome.candidate_commit").isNotNull()).join(h, F.col("outcome.restoration_commit") == F.col("_c"), "left")
     key = F.col("episode_id")
+    undone = history.where("kind = 'restoration'").select(F.col("commit").alias("_u")).distinct()
+    taken = episodes.where(F.col("outcome.candidate_commit").isNotNull()).join(undone, F.col("outcome.candidate_commit") == F.col("_u"), "left_semi")
     return gathered(
+        broken(taken, "revert as candidate", key, F.lit(True), "a revert is taken for a candidate"),
         broken(e, "restoration", key, F.col("_c").isNull(), "no restoration is known"),
         broken(e, "restoration kind", key, F.col("_c").isNotNull() & (F.col("_kind") != "restoration"), "the commit isn't a restoration"),
         broken(e, "restoration edge", key, F.col("_c").isNotNull() & ~F.col("_of").eqNullSafe(F.col("outcome.candidate_commit")), "it reverts another commit"),

@@ -17,6 +17,8 @@ INSTRUCTIONS = {
     "judgment": "Judge the candidate from the evidence of correctness and of performance at each point.",
     "orchestration_reporting": "Choose the next action of the campaign after a decision.",
 }
+#: How the source before a change is introduced.
+PREIMAGE = "Source hunks before the change"
 #: Columns of candidates that their episodes carry where they are there.
 CARRIED = ("architectures", "snapshot_refs", "source_ids", "limitations", "review_status", "preference")
 # What an evaluation is scored by.
@@ -58,7 +60,7 @@ def views(terminal: Column) -> dict[str, tuple[Column, Column, bool, bool]]:
     told = lambda label, c, end=".": F.concat(F.lit(label), F.nullif(F.col(c), F.lit("")), F.lit(end))
     order = lambda view: event(INPUT, "system", "instruction", "task_context", F.lit(INSTRUCTIONS[view]), ref)
     context = event(INPUT, "user", "context", "task_context", F.col("context"), ref)
-    before = event(INPUT, "tool", "observation", "task_context", F.concat(F.lit("Source hunks before the change:\n"), fenced(F.col("preimage"))), history, F.col("preimage") != "")
+    before = event(INPUT, "tool", "observation", "task_context", F.concat(F.lit(f"{PREIMAGE}:\n"), fenced(F.col("preimage"))), history, F.col("preimage") != "")
     undone = event(HIDDEN, "tool", "restoration", "restoration", F.concat(F.lit("Restored by "), "restoration_commit", F.lit(".")), ref, F.col("restoration_commit").isNotNull())
     decided = lambda role: event(role, "assistant", "decision", "disposition_label", said, ref)
     both = f"{TARGET}+{HIDDEN}"

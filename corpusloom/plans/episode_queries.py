@@ -120,7 +120,7 @@ def quarantine(spark, sf_dir):
 
 DEFECTS = [
     (0, "sequence", "true"), (1, "event ids", "true"), (2, "input and target", "true"), (2, "input and withheld", "true"), (2, "leak", "task_view IN ('diagnosis', 'implementation')"), (2, "label", "task_view = 'judgment'"), (3, "input and withheld", "true"),
-    (4, "known ids", "true"), (5, "label", "task_view = 'orchestration_reporting'"), (6, "patch", "task_view = 'implementation'"), (7, "leak", "task_view IN ('diagnosis', 'implementation')"),
+    (4, "known ids", "true"), (5, "label", "task_view = 'orchestration_reporting'"), (6, "patch", "task_view = 'implementation'"), (2, "preimage", "task_view = 'implementation'"), (6, "preimage", "task_view = 'implementation'"), (7, "leak", "task_view IN ('diagnosis', 'implementation')"),
 ]
 
 
@@ -144,10 +144,11 @@ def view_checks(spark, sf_dir):
     return checks.view_checks(e.withColumns({"events": events, "view": view})).select("check", "key")
 
 
-@register("va11_outcomes", CANDIDATES + f" SELECT 'restoration' AS \"check\", {NAME} AS key FROM e WHERE d = 'rejected' AND pos % 2 = 0 AND pos % 4 <> 0 UNION ALL SELECT 'restoration edge', {NAME} FROM e WHERE d = 'rejected' AND pos % 4 = 0 AND pos % 3 <> 0 ")
+@register("va11_outcomes", CANDIDATES + f" SELECT 'restoration' AS \"check\", {NAME} AS key FROM e WHERE d = 'rejected' AND pos % 2 = 0 AND pos % 4 <> 0 UNION ALL SELECT 'restoration edge', {NAME} FROM e WHERE d = 'rejected' AND pos % 4 = 0 AND pos % 3 <> 0 UNION ALL SELECT 'revert as candidate', {NAME} FROM e WHERE pos % 32 = 6")
 def outcome_checks(spark, sf_dir):
     c = candidates(spark, sf_dir)
     h = c.where("pos % 4 = 0").select(F.col("r").alias("commit"), F.lit("restoration").alias("kind"), F.when(F.col("pos") % 3 == 0, F.col("c")).otherwise("x").alias("reverts_commit"))
+    h = h.unionByName(c.where("pos % 32 = 6").select(F.col("c").alias("commit"), F.lit("restoration").alias("kind"), F.lit("y").alias("reverts_commit")))
     return checks.outcome_checks(made(spark, sf_dir), h).select("check", "key")
 
 
