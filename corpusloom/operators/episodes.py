@@ -96,17 +96,23 @@ def described(events: Column) -> Column:
 
 
 def episodes(candidates: DataFrame, terminal: Column) -> DataFrame:
-    """One to four episodes per candidate: episode_id, family_id, lineage_id, task_view, split, events, view and outcome, in one pass."""
-    made = []
-    for name, (when, events, generation, visible) in views(terminal).items():
-        made.append(F.when(when, F.struct(F.lit(name).alias("task_view"), events.alias("events"), F.lit(generation).alias("candidate_generation"), F.lit(visible).alias("result_label_visible"))))
-    each = candidates.withColumn("_v", F.explode(F.array_compact(F.array(*made))))
+    """One to four episodes per candidate: episode_id, family_id, lineage_id, task_view, split, events, view and outcome, in one pass.
+
+    Names are exploded and events built after that, so a query that reads no event builds none.
+    """
+    made = views(terminal)
+    each = candidates.withColumn("_v", F.explode(F.array_compact(F.array(*[F.when(when, F.lit(name)) for name, (when, *_) in made.items()]))))
+    built = F
+    for name, (_, events, *_) in made.items():
+        built = built.when(F.col("_v") == name, events)
+    each = each.withColumn("_e", built)
+    generation, visible = (F.col("_v").isin([name for name, view in made.items() if view[k]]) for k in (2, 3))
     lineage = F.coalesce(F.nullif(F.concat_ws("+", "candidate_commit", "restoration_commit"), F.lit("")), F.concat_ws(":", "campaign_id", "cycle", "order"))
-    e = F.col("_v.events")
+    e = F.col("_e")
     return each.select(
-        F.concat_ws("-", F.lit("auto"), ledger.slug(F.col("campaign_id")), ledger.slug(F.col("order")), "_v.task_view").alias("episode_id"), F.concat(F.lit("family-auto-"), F.substring("fingerprint", 1, 20)).alias("family_id"), lineage.alias("lineage_id"),
-        F.concat(F.lit("campaign-auto|"), "fingerprint").alias("dedup_key"), "campaign_id", "assigned_split", "evaluation_tier", F.col("_v.task_view").alias("task_view"), e.alias("events"),
-        F.struct(F.col("_v.candidate_generation"), ids(e, INPUT).alias("input_event_ids"), ids(e, TARGET).alias("target_event_ids"), ids(e, HIDDEN).alias("withheld_event_ids"), F.col("_v.result_label_visible")).alias("view"),
+        F.concat_ws("-", F.lit("auto"), ledger.slug(F.col("campaign_id")), ledger.slug(F.col("order")), "_v").alias("episode_id"), F.concat(F.lit("family-auto-"), F.substring("fingerprint", 1, 20)).alias("family_id"), lineage.alias("lineage_id"),
+        F.concat(F.lit("campaign-auto|"), "fingerprint").alias("dedup_key"), "campaign_id", "assigned_split", "evaluation_tier", F.col("_v").alias("task_view"), e.alias("events"),
+        F.struct(generation.alias("candidate_generation"), ids(e, INPUT).alias("input_event_ids"), ids(e, TARGET).alias("target_event_ids"), ids(e, HIDDEN).alias("withheld_event_ids"), visible.alias("result_label_visible")).alias("view"),
         F.struct("disposition", "candidate_commit", "restoration_commit").alias("outcome"), *[c for c in CARRIED if c in candidates.columns],
     )
 

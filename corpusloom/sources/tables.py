@@ -13,6 +13,8 @@ from corpusloom.functions import ledger
 
 #: Columns in which a new value alone doesn't make a new row.
 VOLATILE = ("created_at", "retrieved_at")
+#: Rows of a task whose work on a row is long.
+SHARE = 8192
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -34,6 +36,12 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_out(df: DataFrame, key: str, rows: int = SHARE) -> DataFrame:
+    """The frame dealt by a key over a task for every so many rows, where work on a row is long: a file of few bytes would make one task
+    of however many rows."""
+    return df.repartition(max(1, -(-df.count() // rows)), key)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
