@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import ledger, patches
 from corpusloom.operators import groups, joins
 from corpusloom.plans.registry import COMMIT, HISTORY, LEDGER, PATCH, register, relation, table
+from corpusloom.sources import tables
 
 NONE = "('', 'n/a', 'na', 'none', 'null', 'not-applicable', 'not applicable', 'not-available', 'unknown')"
 
@@ -74,7 +75,7 @@ def secrets(spark, sf_dir):
  SELECT pos, code, '### ' || path || chr(10) || array_to_string(list_filter(lines[list_position(list_transform(lines, lambda x: starts_with(x, '@@')), true):], lambda x: starts_with(x, '@@') OR starts_with(x, ' ') OR (starts_with(x, '-') AND NOT starts_with(x, '---'))), chr(10)) AS preimage,
  sha256(array_to_string(list_transform(list_filter(lines, lambda x: NOT starts_with(x, 'index ')), lambda x: rtrim(regexp_replace(regexp_replace(x, '@@ -[^ ]+ \\+[^ ]+ @@', '@@'), '(?i)\\b(?:sm|cc)[_-]?(?:86|89|120a?)\\b', 'sm_x', 'g'))), chr(10))) AS fingerprint FROM l""")
 def patch_text(spark, sf_dir):
-    d = relation(spark, sf_dir, PATCH).withColumn("code", patches.code_only(F.col("patch")))
+    d = tables.shared_out(relation(spark, sf_dir, PATCH), "pos").withColumn("code", patches.code_only(F.col("patch")))
     return d.select("pos", "code", patches.preimage(F.col("patch")).alias("preimage"), patches.fingerprint(F.col("code"), F.col("mechanism"), F.col("files"), F.lit("x")).alias("fingerprint"))
 
 
