@@ -1,6 +1,8 @@
 """What must not grow with the tables: broadcasts, tasks and pairs."""
 
-from corpusloom.operators import episodes
+from pyspark.sql import functions as F
+
+from corpusloom.operators import episodes, joins
 from corpusloom.plans import episode_queries, ledger_queries, registry
 from corpusloom.sources import tables
 
@@ -22,3 +24,45 @@ def test_patches_are_dealt_over_tasks_by_their_number(spark, sf, monkeypatch):
     monkeypatch.setattr(tables.shared_out, "__defaults__", (50,))
     assert tables.shared_out(registry.table(spark, sf, "part"), "p_partkey").rdd.getNumPartitions() == 4
     assert "REPARTITION_BY_NUM" in ledger_queries.patch_text(spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+SLOTS = [(1, "3", "5", "c3_05"), (1, "4", "5", "c4_05"), (2, "3", "05", "c3_05"), (3, None, "5", "x"), (4, "", "7", "C3_05"), (5, "x", "9", None), (6, "3", "5", "5"), (7, "9", "9", "zz")]
+SAID = [(at, at % 3, about, cycle, text) for at, (about, cycle, text) in enumerate([
+    ("5", "", "b"), ("C3_05", "3", "a"), ("c3_05", "", " "), ("c3_05", None, "n/a"), (" cc3_05 ", " 3 ", "d"), ("5", "4", "e"), ("none", "", "f"), (None, "3", "g"), ("9", "", None), ("5", "", "b"), ("c3_05", "7", "h"), ("x", "", "i")])]
+
+
+def test_corrections_by_group_are_those_by_pair(spark):
+    """Keys with several cycles, names that several candidates share, equal rows, null cycles and empty values."""
+    c = spark.createDataFrame(SLOTS, "pos_key int, cycle string, candidate string, `order` string")
+    k = spark.createDataFrame([*SAID, *SAID[:5]], "pos int, line int, about string, in_cycle string, t string")
+    pairs = joins.corrections_for(c, k)
+    got = lambda df: sorted(map(tuple, df.collect()))
+    assert got(joins.correction_counts(c, k)) == got(pairs.groupBy("pos_key").agg(F.count("*"), F.min("pos"), F.max("pos")))
+    assert got(joins.corrected(c, k, ["t", "about"])) == got(joins.overlay(pairs, ["t", "about"]))
+    assert got(joins.correction_reasons(c, k, ["t", "about"])) == got(joins.reasons(pairs, ["t", "about"]))
+    assert got(joins.correction_reasons(c, k, ["t"], "line")) == got(joins.reasons(pairs, ["t"], pos="line"))
+
+
+def test_pairs_of_candidates_and_corrections_are_not_made(spark):
+    """1500 candidates share a name that 1500 corrections give."""
+    c = spark.range(1500).selectExpr("id as pos_key", "'3' as cycle", "cast(id + 100 as string) as candidate", "'c3_05' as `order`")
+    k = spark.range(1500).selectExpr("id as pos", "'C3_05' as about", "if(id % 2 = 0, '', '3') as in_cycle", "'v' as t")
+    for df in (joins.correction_counts(c, k), joins.corrected(c, k, ["t"]), joins.correction_reasons(c, k, ["t"])):
+        df.write.format("noop").mode("overwrite").save()
+        assert df.count() == 1500
+        assert most_rows(df) < 10_000
+
+
+def most_rows(df):
+    """The most rows that an operator of the plan gave."""
+    plan, seen = [], []
+    df.collect()
+    plan.append(df._jdf.queryExecution().executedPlan())
+    while plan:
+        p = plan.pop()
+        for child in [x for x in (p.finalPhysicalPlan() if "AdaptiveSparkPlan" in p.nodeName() else None, p.plan() if "QueryStage" in p.nodeName() else None) if x is not None]:
+            plan.append(child)
+        plan += [p.children().apply(i) for i in range(p.children().size())]
+        if p.metrics().contains("numOutputRows"):
+            seen.append(p.metrics().apply("numOutputRows").value())
+    return max(seen)
