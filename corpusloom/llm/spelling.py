@@ -70,6 +70,11 @@ def words(docs: DataFrame, letters: int = LETTERS, occurrences: int = OCCURRENCE
     return counted.where(F.col("n") >= occurrences).select(F.col("word").cast("string").alias("word"), "n").where(F.length("word") >= letters)
 
 
+def merged(words_: DataFrame) -> DataFrame:
+    """A table of words for a join that sorts and merges: by its compressed file Spark would take a vocabulary for one that fits the driver."""
+    return words_.hint("merge")
+
+
 def _replaced(vocabulary: DataFrame) -> DataFrame:
     """word, near, best of each word in each wildcard group that has others: their number and the first of them by (-n, word)."""
     keys = F.expr("explode(transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), '*', substring(word, i + 1))))")
@@ -83,7 +88,7 @@ def _inserted(vocabulary: DataFrame, letters: int) -> DataFrame:
     """word, near, best from the words that a deletion leads to, and from those that lead here by one."""
     shorter = F.expr("explode(array_distinct(transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))))")
     cut = vocabulary.where(F.length("word") > letters).select(shorter.alias("short"), F.col("word").alias("long"), F.col("n").alias("n_long"))
-    met = cut.join(vocabulary, F.col("short") == F.col("word")).select("short", F.col("n").alias("n_short"), "long", "n_long")
+    met = cut.join(merged(vocabulary), F.col("short") == F.col("word")).select("short", F.col("n").alias("n_short"), "long", "n_long")
     side = lambda word, form, n: met.select(F.col(word).alias("word"), F.lit(1).cast("long").alias("near"), F.struct((-F.col(n)).alias("less"), F.col(form).alias("form")).alias("best"))
     return side("short", "long", "n_long").unionByName(side("long", "short", "n_short"))
 
@@ -96,7 +101,7 @@ def roots(forms: DataFrame, folder: str) -> DataFrame:
     while now.where("open").limit(1).count():
         step += 1
         on = now.select(F.col("word").alias("via"), F.col("root").alias("far"))
-        now = rows.settled(now.join(on, F.col("root") == F.col("via"), "left").select("word", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("open")), f"{folder}/roots-{step}")
+        now = rows.settled(now.join(merged(on), F.col("root") == F.col("via"), "left").select("word", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("open")), f"{folder}/roots-{step}")
     return now.select("word", "root")
 
 
@@ -111,7 +116,7 @@ def variants(docs: DataFrame, letters: int = LETTERS, occurrences: int = OCCURRE
     folder = rows.shared_dir(docs.sparkSession)
     vocabulary = rows.settled(words(docs, letters, occurrences), f"{folder}/vocabulary")
     near = _replaced(vocabulary).unionByName(_inserted(vocabulary, letters)).groupBy("word").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
-    formed = vocabulary.join(near, "word", "left").withColumn("formed", -F.col("best.less") >= times * F.col("n"))
+    formed = vocabulary.join(merged(near), "word", "left").withColumn("formed", -F.col("best.less") >= times * F.col("n"))
     found = rows.settled(formed.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(F.col("formed"), F.col("best.form")).alias("form"), F.when(F.col("formed"), -F.col("best.less")).alias("form_n")), f"{folder}/near")
     last = roots(found.where("form is not null"), folder)
-    return found.join(last, "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))
+    return found.join(merged(last), "word", "left").select("word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from corpusloom.llm import rows, spelling
 from corpusloom.operators import episodes, joins
 from corpusloom.plans import episode_queries, ledger_queries, registry
 from corpusloom.sources import tables
@@ -66,3 +67,19 @@ def most_rows(df):
         if p.metrics().contains("numOutputRows"):
             seen.append(p.metrics().apply("numOutputRows").value())
     return max(seen)
+
+
+def test_vocabularies_are_never_broadcast(spark, monkeypatch):
+    plans = []
+    kept = rows.settled
+
+    def settled(df, path):
+        plans.append(df)
+        return kept(df, path)
+
+    monkeypatch.setattr(rows, "settled", settled)
+    text = " ".join(["letters lettters letter lettersx other"] * 3)
+    found = spelling.variants(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"))
+    assert found.count() > 0
+    for df in [*plans, found]:
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().sparkPlan().toString()
