@@ -41,14 +41,14 @@ class _NoRedirect(urllib.request.HTTPRedirectHandler):
         raise _Moved(newurl)
 
 
-def fetch(url: str, hosts: set[str] | None = None, etag: str | None = None, last_modified: str | None = None, cap: int = MAX_BYTES, timeout: float = TIMEOUT, deadline: float = DEADLINE) -> dict:
+def fetch(url: str, hosts: set[str] | None = None, etag: str | None = None, last_modified: str | None = None, cap: int = MAX_BYTES, timeout: float = TIMEOUT, deadline: float = DEADLINE, opener: urllib.request.OpenerDirector | None = None) -> dict:
     """Status collected, unchanged (the server says so to etag or last_modified) or failed with its reason, and what the server told.
 
     Reads at most cap bytes and one more. hosts: those that a URL or a redirect may lead to (None: any); URLs without a host, as data: has
-    none, are allowed with them.
+    none, are allowed with them. opener: one that was built before, as building it reads the trusted certificates.
     """
     out: dict = dict.fromkeys(("status", "reason", "http_status", "final_url", "mime_type", "etag", "last_modified", "sha256", "bytes", "content"))
-    opener = urllib.request.build_opener(_NoRedirect)
+    opener = opener or urllib.request.build_opener(_NoRedirect)
     end = time.monotonic() + deadline
     try:
         for _ in range(REDIRECTS + 1):
@@ -99,9 +99,10 @@ def fetched(declared: DataFrame, hosts: list[str] | None = None, cap: int = MAX_
     arrow = to_arrow_schema(declared.sparkSession.createDataFrame([], FETCHED).schema)
 
     def run(batches):
+        opener = urllib.request.build_opener(_NoRedirect)
         for batch in batches:
             for row in batch.to_pylist():
-                got = fetch(row["url"] or "", allowed, row["etag"], row["last_modified"], cap, timeout, deadline)
+                got = fetch(row["url"] or "", allowed, row["etag"], row["last_modified"], cap, timeout, deadline, opener)
                 yield pa.RecordBatch.from_pylist([{"source_id": row["source_id"], "url": row["url"]} | got], schema=arrow)
 
     shares = max(1, -(-d.count() // SHARE))

@@ -95,3 +95,12 @@ def test_a_collection(spark, server):
     fresh, new, _ = fetching.collect(declared, [host], ["forbidden"], registry, held, True, "2024-01-03")
     found = {r.source_id: r for r in fresh.collect()}
     assert found["a"].status == "collected" and found["a"].sha256 == rows["a"].sha256 and found["a"].retrieved_at == "2024-01-03" and new.count() == 0
+
+
+def test_an_opener_serves_many_urls(monkeypatch):
+    """Building one reads the trusted certificates, which takes longer than a page."""
+    import urllib.request
+
+    opener = urllib.request.build_opener(fetching._NoRedirect)
+    monkeypatch.setattr(urllib.request, "build_opener", lambda *handlers: pytest.fail("built again"))
+    assert [fetching.fetch(f"data:,{n}", opener=opener)["content"] for n in range(3)] == [b"0", b"1", b"2"]
