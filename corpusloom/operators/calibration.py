@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,16 @@ from corpusloom.operators import groups
 from corpusloom.operators.sampling import exact_budget, strict_rows
 from corpusloom.sources import tables
 
+# slices goes to the executors by value, as those may not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The tag of the order, and the files that name a tokenizer.
 TAG = "nvfp4-calibration-v1"
 TOKENIZER_FILES = ("tokenizer.json", "tokenizer_config.json", "chat_template.jinja")
 #: Ranges of the hash order, and bytes of text that a token is first taken to stand for.
 RANGES, BYTES_PER_TOKEN = 4096, 4.0
+#: Bytes of an Arrow batch that are Python objects at a time.
+SLICE = 1 << 20
 
 
 def tokenizer_hashes(spark: SparkSession, path: str, names: tuple = TOKENIZER_FILES) -> DataFrame:
@@ -34,12 +41,20 @@ def chat_text(messages: Column) -> Column:
     return F.array_join(F.transform(messages, lambda m: F.concat(F.lit("<"), m["role"], F.lit(">"), m["content"])), "\n")
 
 
+def slices(batches, size: int = SLICE):
+    """Record batches cut so that the bytes of a slice stay near size: token ids as Python objects take many times their bytes."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(size, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def tokenized(rows: DataFrame, encode: Callable, eos: int) -> DataFrame:
     """rows (id, text) with ids, ending in one eos, and n. Raises on ids that aren't integers of 0 and more, naming the row."""
     kinds = rows.select("id", "text", F.array().cast("array<int>").alias("ids"), F.lit(0).alias("n")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             d = batch.to_pydict()
             found = encode(d["text"])
             out = []
@@ -100,7 +115,7 @@ def windows(rows: DataFrame, encode: Callable, decode: Callable, eos: int, size:
     kinds = cut.select("*", F.lit("").alias("text")).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("ids").to_pylist()
             texts = decode(ids)
             for w, own, back in zip(batch.column("window").to_pylist(), ids, encode(texts), strict=True):

@@ -104,3 +104,11 @@ def test_publishing(spark, tmp_path):
     with pytest.raises(ValueError, match="are required"):
         calibration.publish(df, f"file://{kit}", encode, decode, EOS, f"{out}2", 4096, 512)
     assert not tables.exists(spark, f"{out}2") and not tables.exists(spark, f"{out}2.manifest")
+
+
+def test_a_large_batch_is_cut():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 1000})
+    parts = list(calibration.slices([batch, batch.slice(0, 0)], 10_000))
+    assert sum(p.num_rows for p in parts) == 1000 and max(p.num_rows for p in parts) <= 10
