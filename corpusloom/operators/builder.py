@@ -59,11 +59,16 @@ def context() -> Column:
 
 def correction_text(matched: DataFrame, key: str = "pos_key", source: str = "source_id", order: tuple = ("source_pos", "line")) -> DataFrame:
     """key, correction_text: a line for each correction of a candidate, in order, of its source and its labelled fields that have a value."""
-    there = [c for c in CORRECTION_FIELDS if c in matched.columns]
+    return matched.groupBy(key).agg(all_corrections(matched.columns, source, order))
+
+
+def all_corrections(columns: list[str], source: str = "source_id", order: tuple = ("source_pos", "line")) -> Column:
+    """correction_text of a group of corrections with these columns."""
+    there = [c for c in CORRECTION_FIELDS if c in columns]
     parts = [F.concat(F.lit(c.replace("_", " ") + ": "), F.nullif(ledger.clean(F.col(c)), F.lit(""))) for c in there]
     line = F.concat_ws(" ", F.concat(F.lit("Correction from "), F.col(source), F.lit(".")), *parts)
     lines = F.array_sort(F.collect_list(F.struct(*[F.col(o) for o in order], line.alias("_text"))))
-    return matched.groupBy(key).agg(F.array_join(F.transform(lines, lambda x: x["_text"]), "\n").alias("correction_text"))
+    return F.array_join(F.transform(lines, lambda x: x["_text"]), "\n").alias("correction_text")
 
 
 def with_history(candidates: DataFrame, history: DataFrame) -> DataFrame:

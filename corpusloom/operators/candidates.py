@@ -35,17 +35,15 @@ def _fields(rows: DataFrame) -> dict[str, Column]:
 
 def _corrected(rows: DataFrame, corrections: DataFrame) -> DataFrame:
     """key, the replaced fields, reason, text, sources and references of each row that corrections of its campaign name."""
-    slots = rows.select(F.col("key").alias("pos_key"), "cycle", "candidate", "order")
+    slots = rows.select(F.col("key").alias("pos_key"), F.col("campaign_id").alias("_campaign"), F.col("order").alias("_order"), "cycle", "candidate", "order")
     lacking = [c for c in (*REPLACED.values(), *REASONS) if c not in corrections.columns]
     known = corrections.withColumns({c: F.lit(None).cast("string") for c in lacking}) if lacking else corrections
     at = F.struct("source_pos", "line")
-    matched = joins.corrections_for(slots, known.withColumn("at", at))
-    own = rows.select(F.col("key").alias("pos_key"), F.col("campaign_id").alias("_campaign"), F.col("order").alias("_order"))
-    matched = matched.join(own, "pos_key").where(F.col("campaign_id") == F.col("_campaign"))
+    matched = joins.corrections_for(slots, known.withColumn("at", at), ["_campaign", "_order"]).where(F.col("campaign_id") == F.col("_campaign"))
     refs = F.array_sort(F.collect_list(F.struct("at", F.col("source_id").alias("s"), ledger.evidence_ref(F.col("source_id"), F.col("_order")).alias("r"))))
-    listed = matched.groupBy("pos_key").agg(refs.alias("refs")).select("pos_key", F.transform("refs", lambda x: x["s"]).alias("sources"), F.transform("refs", lambda x: x["r"]).alias("correction_refs"))
-    found = joins.overlay(matched, list(REPLACED.values()), pos="at").join(joins.reasons(matched, REASONS, pos="at"), "pos_key")
-    return found.join(builder.correction_text(matched), "pos_key").join(listed, "pos_key").withColumnRenamed("pos_key", "_key")
+    said = [*joins.overlaid(list(REPLACED.values()), "at"), joins.all_reasons(REASONS, "at"), builder.all_corrections(matched.columns), refs.alias("refs")]
+    found = matched.groupBy(F.col("pos_key").alias("_key")).agg(*said)
+    return found.withColumns({"sources": F.transform("refs", lambda x: x["s"]), "correction_refs": F.transform("refs", lambda x: x["r"])}).drop("refs")
 
 
 def candidates(rows: DataFrame, campaigns: DataFrame, cycles: DataFrame, history: DataFrame, corrections: DataFrame, latest: DataFrame, registry: DataFrame, max_patch: int = builder.MAX_PATCH, max_preimage: int = builder.MAX_PREIMAGE) -> DataFrame:
@@ -58,15 +56,19 @@ def candidates(rows: DataFrame, campaigns: DataFrame, cycles: DataFrame, history
     Null and empty cells are no values; an empty ledger gives no rows.
     """
     own = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
-    # written where later columns use many earlier ones: in one plan each use would work them out again
+    # the wide rows are written twice and shuffled once, by their key; whatever else is asked of them is found by few of their columns
     folder = tables.scratch(rows.sparkSession, "candidates")
+    # written, as Spark then knows what is small enough to be sent to the rows
+    campaigns, cycles, corrections, latest, registry = (tables.saved(x, f"{folder}/{n}") for n, x in (("campaigns", campaigns), ("cycles", cycles), ("corrections", corrections), ("latest", latest), ("registry", registry)))
     there = F.struct(*[F.col(c) for c in ("key", "campaign_id", "source_id", "line")])
     place = ledger.place(own("cycle_candidate"), own("cycle"), own("candidate"), own("order"), F.col("source_id"), F.col("line"))
     d = rows.select(there.alias("_at"), place.alias("_place"), *[c.alias(n) for n, c in _fields(rows).items()]).select("_at.*", "_place.*", *_fields(rows))
     d = builder.assigned(d, campaigns, cycles).join(campaigns.select(F.col("campaign_id").alias("_c"), "context_source_ids", "default_op_family"), F.col("campaign_id") == F.col("_c")).drop("_c")
     d = tables.saved(d, f"{folder}/fields")
-    fixed = _corrected(d, corrections)
-    d = d.join(fixed, F.col("key") == F.col("_key"), "left").drop("_key")
+    fixed = tables.saved(_corrected(d, corrections), f"{folder}/corrected")
+    told = joins.told_by_history(d, history, "key", {"raw_candidate_commit": ["patch", "source_id"], "raw_restoration_commit": ["source_id", "reverts_commit"]})
+    told = told.select(F.col("key").alias("_told"), F.col("raw_candidate_commit").alias("_candidate"), F.col("raw_restoration_commit").alias("_restoration"))
+    d = d.join(told, F.col("key") == F.col("_told"), "left").join(fixed, F.col("key") == F.col("_key"), "left").drop("_told", "_key")
     new = lambda c: F.coalesce(F.nullif(ledger.clean(F.col(REPLACED[c])), F.lit("")), F.col(c))
     d = d.withColumns({c: new(c) for c in REPLACED}).withColumnRenamed("reason", "_why").drop(*REPLACED.values())
     given = lambda c: F.nullif(F.col(c), F.lit(""))
@@ -74,19 +76,22 @@ def candidates(rows: DataFrame, campaigns: DataFrame, cycles: DataFrame, history
         "disposition": ledger.disposition(F.col("raw_decision")), "correctness": ledger.correctness(F.col("oracle_result")), "correction_text": F.coalesce("correction_text", F.lit("")),
         "reason": F.coalesce(given("_why"), given("row_reason"), given("public_candidate"), given("program_result"), F.col("raw_decision")), "correction_refs": F.coalesce("correction_refs", F.array().cast("array<string>")),
     })
-    d = tables.saved(d, f"{folder}/corrected")
-    for name in ("candidate_commit", "restoration_commit"):
-        d = joins.resolve_prefix(d, history, f"raw_{name}").withColumnRenamed("resolved", name)
-    d = joins.proven(builder.with_history(d, history), history)
+    d = d.withColumns({
+        "candidate_commit": joins.told_commit("_candidate", "raw_candidate_commit"), "restoration_commit": joins.told_commit("_restoration", "raw_restoration_commit"), "raw_patch": F.col("_candidate.patch"),
+        "history_source": F.col("_candidate.source_id"), "restoration_source": F.col("_restoration.source_id"), "restores": F.col("_restoration.reverts_commit"),
+    }).drop("_candidate", "_restoration")
+    d = joins.proven_by(d, "restores").drop("restores")
     d = d.withColumn("limitations", F.array_compact(F.array(F.when(F.col("unproven"), builder.LIMITATIONS["edge"]), F.when((F.col("raw_candidate_commit") != "") & F.col("candidate_commit").isNull(), builder.LIMITATIONS["commit"]))))
-    d = tables.saved(d, f"{folder}/linked").withColumn("patch", patches.code_only(F.coalesce("raw_patch", F.lit(""))))
-    d = tables.saved(d.withColumn("preimage", patches.preimage(F.col("patch"))), f"{folder}/patches")
+    some = F.concat(F.array("source_id"), F.coalesce("context_source_ids", F.array().cast("array<string>")), F.coalesce("sources", F.array().cast("array<string>")), F.array_compact(F.array("history_source", "restoration_source")))
+    d = tables.saved(d.withColumn("_some", some).drop("sources", "context_source_ids"), f"{folder}/linked")
+    # many rows have the same sources: evidence is found once for each list of them
+    found = builder.evidence(d.select(F.col("_some").alias("pos_key"), F.col("_some").alias("source_ids")).distinct(), latest, registry).withColumnRenamed("pos_key", "_list")
+    found = tables.saved(found, f"{folder}/evidence")
+    d = d.withColumn("patch", patches.code_only(F.coalesce("raw_patch", F.lit("")))).withColumn("preimage", patches.preimage(F.col("patch")))
     d = builder.limited(d, max_patch, max_preimage)
     d = d.withColumn("op_family", ledger.family(F.concat_ws(" ", "mechanism", "hypothesis", "dispatch", "files", "components"), F.col("default_op_family"), ledger.FAMILIES))
     d = d.withColumn("fingerprint", patches.fingerprint(F.col("patch"), F.col("mechanism"), F.col("files"), F.col("op_family")))
-    some = F.concat(F.array("source_id"), F.coalesce("context_source_ids", F.array().cast("array<string>")), F.coalesce("sources", F.array().cast("array<string>")), F.array_compact(F.array("history_source", "restoration_source")))
-    found = builder.evidence(d.select(F.col("key").alias("pos_key"), some.alias("source_ids")), latest, registry).withColumnRenamed("pos_key", "_key")
-    d = d.drop("source_ids", "sources").join(found, F.col("key") == F.col("_key")).drop("_key")
+    d = d.join(found, F.col("_some") == F.col("_list")).drop("_some", "_list")
     ref = ledger.evidence_ref(F.col("source_id"), F.col("order"))
     by = lambda source, commit: F.when(F.col(source).isNotNull() & F.col(commit).isNotNull(), ledger.evidence_ref(F.col(source), F.col(commit))).otherwise(ref)
     told = lambda label, c: F.concat(F.lit(f"{label}: "), given(c))

@@ -130,9 +130,8 @@ def payload_texts(spark, sf_dir):
  coalesce(nullif(concat_ws('; ', 'public Op: ' || nullif(pc, ''), 'real boundary: ' || nullif(pr, '')), ''), 'No performance measurement was observed.') AS performance_claim, [source_id, 'ctx'] || CASE WHEN known OR (pos % 2 = 0 AND pos + 1 IN (SELECT event_id FROM h)) THEN ['hist'] ELSE [] END AS source_ids, source_id || '#' || trim(regexp_replace(lower(ord), '[^a-z0-9]+', '-', 'g'), '-') AS ledger_ref FROM p""")
 def wide_candidates(spark, sf_dir):
     """The ledger relation under other headers; its commits are prefixes of those of the events' history."""
-    l = relation(spark, sf_dir, LEDGER)
-    c = relation(spark, sf_dir, f"SELECT o_orderkey AS pos, substr({COMMIT.format('o_orderkey')}, 1, 12) AS c, CASE WHEN o_orderkey % 2 = 0 THEN {COMMIT.format('o_orderkey + 1')} END AS r FROM {{orders}}")
-    rows = l.join(c, "pos").select(
+    l = relation(spark, sf_dir, f"SELECT *, substr({COMMIT.format('pos')}, 1, 12) AS c, CASE WHEN pos % 2 = 0 THEN {COMMIT.format('pos + 1')} END AS r FROM ({LEDGER}) l")
+    rows = l.select(
         F.col("pos").alias("key"), "campaign_id", "source_id", F.col("pos").alias("line"), "cycle", "candidate", "decision", F.col("oracle_result").alias("oracle"), F.col("mechanism").alias("changed_mechanism"), F.col("hypothesis").alias("package_hypothesis"), "public_op_result",
         "real_boundary_result", "program_boundary", "program_baseline_ms", "program_rep1_ms", "program_rep1_delta_pct", F.col("c").alias("commit"), F.col("r").alias("restoration"),
     )

@@ -1,10 +1,11 @@
 """What must not grow with the tables: broadcasts, tasks and pairs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import rows, spelling
 from corpusloom.operators import episodes, joins
-from corpusloom.plans import episode_queries, ledger_queries, registry
+from corpusloom.plans import episode_queries, ledger_queries, registry, source_queries
 from corpusloom.sources import tables
 
 
@@ -83,3 +84,40 @@ def test_vocabularies_are_never_broadcast(spark, monkeypatch):
     assert found.count() > 0
     for df in [*plans, found]:
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_candidates_are_shuffled_once(spark, sf, monkeypatch):
+    """The wide rows of the ledger meet their commits in one join by key; sources, splits and corrections that are few are sent to them."""
+    plans = {}
+    kept = tables.saved
+
+    def saved(df, path):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, path)
+
+    monkeypatch.setattr(tables, "saved", saved)
+    found = source_queries.wide_candidates(spark, sf)
+    plans["found"] = found._jdf.queryExecution().executedPlan().toString()
+    joins_of = lambda p: (p.count("SortMergeJoin"), p.count("Exchange hashpartitioning") + p.count("Exchange rangepartitioning"))
+    assert joins_of(plans["fields"]) == (0, 0) and joins_of(plans["found"]) == (0, 0)
+    # by key: what the history tells of all values, and the rows; this history is small enough to be sent to the values
+    assert joins_of(plans["linked"]) == (1, 2)
+
+
+def test_commits_told_at_once_are_those_of_each_value(spark):
+    """Whole ids, prefixes, an exact prefix of another, unknown ids, and values that are none; one raises."""
+    a, b = "a" * 40, "a" * 8 + "b" * 32
+    h = spark.createDataFrame([(a, "p", "s1", None), (b, "q", "s2", a), ("c" * 7, "r", "s3", b), ("c" * 7 + "d", "t", "s4", None)], "commit string, patch string, source_id string, reverts_commit string")
+    values = [(a, b), ("aaaaaaaab", a[:9]), ("C" * 7, None), ("cccccccd", " n/a "), ("e" * 40, "f" * 9), ("", "aaaaaa"), (None, "E" * 40)]
+    rows_ = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "key int, x string, y string")
+    told = joins.told_by_history(rows_, h, "key", {"x": ["patch", "source_id"], "y": ["source_id", "reverts_commit"]}).select(F.col("key"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+    got = rows_.join(told, "key", "left").select("key", joins.told_commit("_x", "x").alias("x"), joins.told_commit("_y", "y").alias("y"), "_x.patch", "_x.source_id", F.col("_y.source_id").alias("of_y"), "_y.reverts_commit")
+    one = lambda c: {r.key: r.resolved for r in joins.resolve_prefix(rows_, h, c).collect()}
+    found = {r.key: r for r in got.collect()}
+    assert {k: r.x for k, r in found.items()} == one("x") and {k: r.y for k, r in found.items()} == one("y")
+    assert [(found[k].patch, found[k].source_id) for k in range(5)] == [("p", "s1"), ("q", "s2"), ("r", "s3"), ("t", "s4"), (None, None)]
+    assert (found[0].of_y, found[0].reverts_commit, found[1].of_y) == ("s2", a, "s1")
+    bad = spark.createDataFrame([(1, "a" * 8, None)], "key int, x string, y string")
+    told = joins.told_by_history(bad, h, "key", {"x": ["patch"]}).withColumnRenamed("x", "_x")
+    with pytest.raises(Exception, match="ambiguous prefix"):
+        bad.join(told, "key").select(joins.told_commit("_x", "x")).collect()
