@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from corpusloom.operators.sampling import SALTS, linked_labels
 from corpusloom.sources import tables
@@ -13,24 +19,70 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 24, 4
 #: Rounds of leaders of a bucket: see links().
 LEADERS = 4
+#: Shingles whose min-hashes a task finds at a time.
+CHUNK = 1 << 17
 
 
 def shingle_sets(rows: DataFrame, id_: str, text: str, words: int = WORDS) -> DataFrame:
-    """id, cls, shingles: sorted distinct hashes of the runs of words (the whole of a shorter text) in lower case, and a 128-bit
-    digest of them. Null and blank texts have no shingles and a null class."""
+    """id, shingles: distinct hashes of the runs of words (the whole of a shorter text) in lower case. Null and blank texts have none: null."""
     split = F.filter(F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"(?U)\s+"), lambda w: w != "")
     d = rows.select(F.col(id_).alias("id"), split.alias("_w"))
     n = F.greatest(F.size("_w") - words + 1, F.lit(1))
     each = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice("_w", i, words)))
-    d = d.select("id", F.when(F.size("_w") > 0, F.array_sort(F.array_distinct(each))).alias("shingles"))
-    return d.select("id", F.when(F.col("shingles").isNotNull(), F.md5(F.array_join(F.transform("shingles", lambda x: F.hex(x)), ","))).alias("cls"), "shingles")
+    return d.select("id", F.when(F.size("_w") > 0, F.array_distinct(each)).alias("shingles"))
+
 
+def signed(sets: DataFrame, bands: int = BANDS, per: int = ROWS, whole: bool = False) -> DataFrame:
+    """id, cls, size, buckets of sets: a 128-bit digest of each, how many shingles it has, and a bucket for each band. All but the id are null
+    without shingles. Whole: the sorted shingles in place of the buckets.
 
-def _buckets(classes: DataFrame, bands: int, per: int) -> DataFrame:
-    """band, bucket, cls, size for each band of each class."""
-    least = lambda k: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.lit(k))))
-    every = [F.struct(F.lit(b).alias("band"), F.xxhash64(*[least(b * per + r) for r in range(per)]).alias("bucket")) for b in range(bands)]
-    return classes.select("cls", F.size("shingles").alias("size"), F.inline(F.array(*every)))
+    A min-hash is the least of the shingles after a multiplication and a mixing step of its own, found for many sets in one array.
+    """
+    kind = next(f for f in sets.schema.fields if f.name == "id")
+    out = StructType([kind, StructField("cls", StringType()), StructField("size", IntegerType()), StructField("shingles" if whole else "buckets", ArrayType(LongType()))])
+    names, at_once = out.fieldNames(), CHUNK
+
+    def run(batches):
+        draw = np.random.default_rng(7)
+        factors, shifts = (draw.integers(1, 1 << 63, bands * per, dtype=np.uint64) for _ in range(2))
+        factors, mix, by = factors | np.uint64(1), np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
+
+        def part(sorted_, starts):
+            least = np.empty((len(starts), bands * per), np.uint64)
+            for k in range(bands * per):
+                h = (sorted_ ^ shifts[k]) * factors[k]
+                h ^= h >> by
+                h *= mix
+                least[:, k] = np.minimum.reduceat(h, starts)
+            bucket = np.zeros((len(starts), bands), np.uint64)
+            for r in range(per):
+                bucket = (bucket ^ (bucket >> by)) * mix + least[:, r::per]
+            return (bucket ^ (bucket >> by)) * mix
+
+        for batch in batches:
+            lists = batch.column("shingles")
+            flat, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            there = np.flatnonzero(np.diff(ends) * lists.is_valid().to_numpy(zero_copy_only=False))
+            at = 0
+            if len(there) < batch.num_rows:
+                empty = batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), there)))
+                none = pa.nulls(empty.num_rows)
+                yield pa.RecordBatch.from_arrays([empty.column("id"), none.cast(pa.string()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64()))], names=names)
+            while at < len(there):
+                end = max(at + 1, int(np.searchsorted(ends[there + 1], ends[there[at]] + at_once, "right")))
+                own = there[at:end]
+                sets_ = [np.sort(flat[ends[i] : ends[i + 1]]) for i in own]
+                sizes = np.array([len(x) for x in sets_], np.int32)
+                starts = np.cumsum(sizes) - sizes
+                joined = np.concatenate(sets_)
+                digests = [hashlib.md5(x.tobytes(), usedforsecurity=False).hexdigest() for x in sets_]
+                values = joined if whole else part(joined, starts)
+                offsets = np.append(starts, len(joined)) if whole else np.arange(len(own) + 1) * bands
+                held = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.reshape(-1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(own)), pa.array(digests), pa.array(sizes), held], names=names)
+                at = end
+
+    return sets.mapInArrow(run, out)
 
 
 def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -41,15 +93,16 @@ def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * o >= percent * (F.size("_a") + F.size("_b") - o)).select("a", "b")
 
 
-def links(classes: DataFrame, percent: int = PERCENT, bands: int = BANDS, per: int = ROWS, leaders: int = LEADERS) -> DataFrame:
-    """Verified links (a < b) between classes (cls, shingles).
+def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT, leaders: int = LEADERS) -> DataFrame:
+    """Verified links (a < b) between classes (cls, size, buckets).
 
     Each bucket names two leaders, its least and its greatest class, with which the others are compared exactly, not with each other; those that
     link with neither name the next leaders, leaders times over. The number of pairs so follows the number of classes, whatever the size of a
-    bucket. A link is missed where in none of the common buckets one of the two leads, and others don't connect them.
+    bucket. A link is missed where in none of the common buckets one of the two leads, and others don't connect them. Sets (cls, shingles) are
+    asked for those classes alone that share a bucket with another one.
     """
     folder = tables.scratch(classes.sparkSession, "near-duplicates")
-    left = tables.saved(_buckets(classes, bands, per), f"{folder}/buckets-0")
+    left = classes.select("cls", "size", F.posexplode("buckets").alias("band", "bucket"))
     found = None
     for step in range(leaders):
         own = F.struct(F.col("cls"), F.col("size").alias("n"))
@@ -58,9 +111,11 @@ def links(classes: DataFrame, percent: int = PERCENT, bands: int = BANDS, per: i
         dealt = lead.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         beside = left.withColumn("_salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).join(dealt, ["band", "bucket", "_salt"]).drop("_salt")
         beside = tables.saved(beside, f"{folder}/beside-{step}")
+        if not step:
+            sets = tables.saved(sets_of(beside.select("cls").distinct()), f"{folder}/sets")
         able = lambda leader: (F.col("cls") != F.col(f"{leader}.cls")) & (100 * F.least("size", f"{leader}.n") >= percent * F.greatest("size", f"{leader}.n"))
         pairs = [beside.where(able(x)).select(F.least("cls", f"{x}.cls").alias("a"), F.greatest("cls", f"{x}.cls").alias("b")) for x in ("lo", "hi")]
-        now = tables.saved(similar(pairs[0].unionByName(pairs[1]).distinct(), classes, percent), f"{folder}/links-{step}")
+        now = tables.saved(similar(pairs[0].unionByName(pairs[1]).distinct(), sets, percent), f"{folder}/links-{step}")
         found = now if found is None else found.unionByName(now)
         rest = beside.where((F.col("cls") != F.col("lo.cls")) & (F.col("cls") != F.col("hi.cls")))
         for x in ("lo", "hi"):
@@ -72,12 +127,24 @@ def links(classes: DataFrame, percent: int = PERCENT, bands: int = BANDS, per: i
     return found.distinct()
 
 
-def clusters(rows: DataFrame, id_: str, text: str, words: int = WORDS, percent: int = PERCENT, **bands) -> DataFrame:
-    """id, cluster: the least id that verified links reach. Rows without words are clusters of their own; equal sets are one class."""
+def clusters(rows: DataFrame, id_: str, text: str, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, per: int = ROWS, leaders: int = LEADERS) -> DataFrame:
+    """id, cluster: the least id that verified links reach. Rows without words are clusters of their own; equal sets are one class.
+
+    Of a text only its signature is written and shuffled; the sets of those that may have links are made again, from the text of a class's least id.
+    """
     folder = tables.scratch(rows.sparkSession, "clusters")
-    sets = tables.saved(shingle_sets(rows, id_, text, words), f"{folder}/sets")
-    classes = tables.saved(sets.where("cls is not null").groupBy("cls").agg(F.first("shingles").alias("shingles"), F.min("id").alias("least")), f"{folder}/classes")
-    found = links(classes.select("cls", "shingles"), percent, **bands)
+    sets = tables.saved(signed(shingle_sets(rows, id_, text, words), bands, per), f"{folder}/signed")
+    by_cls = sets.where("cls is not null").groupBy("cls").agg(F.first("size").alias("size"), F.first("buckets").alias("buckets"), F.min("id").alias("least"))
+    classes = tables.saved(by_cls, f"{folder}/classes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        least = tables.saved(classes.select("cls", "least").join(wanted, "cls", "left_semi"), f"{folder}/wanted")
+        ids = least.select(F.col("least").alias("_least")).distinct()
+        own = signed(shingle_sets(rows.join(ids, F.col(id_).eqNullSafe(F.col("_least")), "left_semi"), id_, text, words), whole=True)
+        # an id that isn't unique has other texts too
+        return own.join(least.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+
+    found = links(classes.select("cls", "size", "buckets"), sets_of, percent, leaders)
     named = found.select("a", "b", F.concat_ws("-", "a", "b").alias("value"))
     each = named.select(F.explode(F.array("a", "b")).alias("id"), "value")
     labels = linked_labels(classes.select(F.col("cls").alias("id"), F.col("least").alias("label")), each)

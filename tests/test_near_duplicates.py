@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 from corpusloom.operators import near_duplicates
+from corpusloom.sources import tables
 
 
 def sets_of(text):
@@ -81,3 +82,35 @@ def test_the_last_row_of_a_lost_cycle_stays(spark):
 
     got = sorted(r.id for r in near_duplicates.training_sample(df, "id", "cluster", ["outcome"], ["campaign", "cycle"], "id", F.col("won") == "yes").collect())
     assert got == sorted([0, 1, 19, *range(30, 37), 49, *range(60, 80), 98, 99])
+
+
+def test_sets_are_made_for_texts_with_a_neighbour_alone(spark, monkeypatch):
+    """Of 300 texts two are alike; no other's shingles are written or shuffled."""
+    rng = random.Random(11)
+    data = [(i, " ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(40))) for i in range(299)]
+    data.append((299, data[7][1] + " more"))
+    written = {}
+    kept = tables.saved
+
+    def saved(df, path):
+        out = kept(df, path)
+        written[path.rsplit("/", 1)[-1]] = out
+        return out
+
+    monkeypatch.setattr(tables, "saved", saved)
+    got = {r.id: r.cluster for r in near_duplicates.clusters(spark.createDataFrame(data, "id long, text string"), "id", "text").collect()}
+    assert got == {i: 7 if i == 299 else i for i in range(300)}
+    assert [n for n, df in written.items() if "shingles" in df.columns] == ["sets"] and written["sets"].count() == 2
+
+
+def test_signatures_do_not_depend_on_how_sets_are_cut(spark, monkeypatch):
+    """One set at a time and all at once, with empty texts between; as large a share of min-hashes agrees as of the sets."""
+    rows = spark.createDataFrame(list(enumerate(texts(9, 30))), "id long, text string").coalesce(1)
+    sets = near_duplicates.shingle_sets(rows, "id", "text")
+    want = sorted(map(tuple, near_duplicates.signed(sets).collect()))
+    monkeypatch.setattr(near_duplicates, "CHUNK", 1)
+    assert sorted(map(tuple, near_duplicates.signed(sets).collect())) == want
+    assert sum(r[1] is None for r in want) == 3 and all(len(r[3]) == near_duplicates.BANDS for r in want if r[1])
+    two = spark.createDataFrame([(0, list(range(0, 3000))), (1, list(range(1000, 4000)))], "id int, shingles array<long>")
+    a, b = [r.buckets for r in near_duplicates.signed(two, 2000, 1).orderBy("id").collect()]
+    assert 0.46 < sum(x == y for x, y in zip(a, b, strict=True)) / 2000 < 0.54
