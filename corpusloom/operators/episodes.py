@@ -134,13 +134,22 @@ def _carried(episodes_: DataFrame, column: str, alias: str) -> Column:
     return (F.col(column) if column in episodes_.columns else F.lit(None).cast("array<string>")).alias(alias)
 
 
-def evaluation(episodes_: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Public prompts and private labels of validation and test episodes."""
+def evaluated(episodes_: DataFrame) -> DataFrame:
+    """Prompts and labels of validation and test episodes, each episode's in one row: it is built once."""
     e = episodes_.where(F.col("assigned_split").isin("validation", "test"))
     rubric = F.array(*[F.lit(r) for r in RUBRIC]).alias("rubric")
-    public = e.select(F.col("episode_id").alias("id"), "assigned_split", rendered(F.col("events"), F.col("view.input_event_ids")).alias("prompt"), "task_view", _carried(e, "architectures", "architecture_scope"), rubric)
-    private = e.select(F.col("episode_id").alias("id"), rendered(F.col("events"), F.col("view.target_event_ids")).alias("reference_answer"), "outcome", _carried(e, "snapshot_refs", "required_snapshot_refs"))
-    return public, private
+    prompt, answer = (rendered(F.col("events"), F.col(f"view.{role}_event_ids")) for role in ("input", "target"))
+    return e.select(F.col("episode_id").alias("id"), "assigned_split", prompt.alias("prompt"), "task_view", _carried(e, "architectures", "architecture_scope"), rubric, answer.alias("reference_answer"), "outcome", _carried(e, "snapshot_refs", "required_snapshot_refs"))
+
+
+#: What may be published of an evaluation, and what may not.
+PUBLIC, PRIVATE = ["id", "assigned_split", "prompt", "task_view", "architecture_scope", "rubric"], ["id", "reference_answer", "outcome", "required_snapshot_refs"]
+
+
+def evaluation(episodes_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Public prompts and private labels of validation and test episodes."""
+    e = evaluated(episodes_)
+    return e.select(*PUBLIC), e.select(*PRIVATE)
 
 
 def preferences(episodes_: DataFrame) -> DataFrame:

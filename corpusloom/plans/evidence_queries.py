@@ -307,8 +307,7 @@ def preferences(spark, sf_dir):
 @register("ep11_evaluation_fields", CANDIDATES + EVENTS + f""" SELECT episode_id AS id, ['a1'] AS architecture_scope, {[*episodes.RUBRIC]} AS rubric, ['raw:' || source_id] AS required_snapshot_refs, md5({rendered_sql('input')}) AS prompt_md5, md5({rendered_sql('target')}) AS answer_md5
  FROM w WHERE assigned_split IN ('validation', 'test')""")
 def evaluation_fields(spark, sf_dir):
-    public, private = episodes.evaluation(recorded(spark, sf_dir))
-    return public.join(private, "id").select("id", "architecture_scope", "rubric", "required_snapshot_refs", F.md5("prompt").alias("prompt_md5"), F.md5("reference_answer").alias("answer_md5"))
+    return episodes.evaluated(recorded(spark, sf_dir)).select("id", "architecture_scope", "rubric", "required_snapshot_refs", F.md5("prompt").alias("prompt_md5"), F.md5("reference_answer").alias("answer_md5"))
 
 
 @register("ep12_quarantine_reasons", CANDIDATES + f" SELECT {NAME} AS id, ['limit ' || CAST(pos AS VARCHAR)] AS reason, 'reviewed' AS review_status, [source_id] AS source_ids FROM e WHERE assigned_split = 'quarantine'")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import rows, spelling
 from corpusloom.operators import episodes, joins
-from corpusloom.plans import episode_queries, ledger_queries, registry, source_queries
+from corpusloom.plans import episode_queries, evidence_queries, ledger_queries, registry, source_queries
 from corpusloom.sources import tables
 
 
@@ -121,3 +121,15 @@ def test_commits_told_at_once_are_those_of_each_value(spark):
     told = joins.told_by_history(bad, h, "key", {"x": ["patch"]}).withColumnRenamed("x", "_x")
     with pytest.raises(Exception, match="ambiguous prefix"):
         bad.join(told, "key").select(joins.told_commit("_x", "x")).collect()
+
+
+def test_an_evaluation_is_built_once(spark, sf):
+    """Prompts and answers come from one pass over the episodes, not from two that are joined; what is published has no label."""
+    for query in (evidence_queries.evaluation_fields, episode_queries.eval_exports):
+        plan = query(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate explode") == 1
+    made = episode_queries.made(spark, sf)
+    public, private = episodes.evaluation(made)
+    assert not {"reference_answer", "outcome", "required_snapshot_refs"} & set(public.columns) and not {"prompt", "rubric"} & set(private.columns)
+    both = public.join(private, "id").select("id", F.md5("prompt").alias("p"), F.md5("reference_answer").alias("a"), "outcome")
+    assert sorted(map(str, both.collect())) == sorted(map(str, episodes.evaluated(made).select("id", F.md5("prompt").alias("p"), F.md5("reference_answer").alias("a"), "outcome").collect()))
