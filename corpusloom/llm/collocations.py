@@ -1,11 +1,11 @@
-"""Collocations from suffix arrays over word ids, built shard by shard and merged by key.
-
-A shard is up to SHARD words of one language from one task, with a dictionary of its own. Prefix doubling ranks its
-suffixes by their first 1, 2, 4 and 5 words; neighbours in the suffix array that agree in k ranks have k words in common,
-so each interval of such neighbours is a phrase and its length the phrase's count. A first pass counts phrases of two words
-by a hash of both words and finds those that reach the threshold over all shards: other phrases can't hold them. What is left
-of each shard, mostly short runs, gives all phrases with their words, which are merged by the phrase itself. A hash thus never
-decides a count: two phrases with one hash are only looked at for longer.
+"""Collocations from suffix arrays over word ids, built shard by shard and merged by their first words.
+
+A shard is up to SHARD words of one language from one task, with a dictionary of its own. Words that are rarer than the threshold in
+all shards end a run, as no frequent phrase holds them; the others get a number that is one for all shards. Prefix doubling ranks a shard's
+suffixes by their first 1, 2, 4 and 5 words; neighbours in the suffix array that agree in k ranks have k words in common. Each
+different suffix, cut after 5 words or where its run ends, leaves its shard once, with its count, in a block of the suffixes whose first two words have one
+hash modulo the number of ranges. A range thus has all occurrences of its phrases: sorted, it gives exact counts of 2 to 5 words, and
+only those that reach the threshold leave it. What is shuffled follows the words, whatever share of their phrases is frequent.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ from corpusloom.llm import chunks, rows
 WORDS, LEAST, FIRST, PERCENT = 5, 100, 2000, 100
 #: Words of a shard: its arrays take about 100 bytes a word.
 SHARD = 1_000_000
+#: Words of a range, on average. A pair of which both words occur HOT times is dealt out by its third word, and counted apart.
+RANGE, HOT = 2_000_000, 500_000
+#: Buckets of words, in each of which they are numbered.
+BUCKETS = 4096
 #: Bytes above which a text is cut.
 LONG = 1 << 22
 #: Characters that end a piece become STOP, which no word is; BEYOND is none either. A tab becomes a space.
@@ -46,17 +50,19 @@ def ranks(ids: np.ndarray, words: int = WORDS) -> dict[int, np.ndarray]:
     return found
 
 
-def intervals(ids: np.ndarray, valid: np.ndarray, least: int, most: int):
+def intervals(ids: np.ndarray, valid: np.ndarray, least: int, most: int, whole: bool = False):
     """k, places, counts for each k from least to most: where each phrase of k ids stands, and how often it occurs.
 
-    valid: how many ids a phrase from each position may have. Neighbours in the suffix array have k ids in common where their
+    valid: how many ids a phrase from each position may have; whole: only phrases of all these ids (of most, where there are more). Neighbours in the suffix array have k ids in common where their
     ranks by a power of two agree at their starts and so that the second ends with the k-th id.
     """
     r = ranks(ids, most)
     order = np.argsort(r[most], kind="stable")
     for k in range(least, most + 1):
-        at = order[valid[order] >= k]
+        at = order[valid[order] == k if whole and k < most else valid[order] >= k]
         if not len(at):
+            if whole:
+                continue
             return
         width = max(w for w in r if w <= k)
         new = r[width][at[1:]] != r[width][at[:-1]]
@@ -73,48 +79,98 @@ def room(going_on: np.ndarray) -> np.ndarray:
     return ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
 
 
-class Shard:
-    """A shard's words, the hash of each word, its sequence of word numbers from 1 (0: a piece ends), and the room for phrases."""
-
-    def __init__(self, lang: str, words: list[bytes], ids: bytes):
-        import xxhash
-
-        seed = xxhash.xxh32_intdigest(lang.encode())
-        signed = np.frombuffer(zlib.decompress(ids), "<i4")
-        self.words = pa.array(words, pa.binary())
-        self.hashes = np.array([0, *[xxhash.xxh64_intdigest(w, seed) for w in words]], np.uint64)
-        self.ids = np.abs(signed)
-        self.room = np.where(signed > 0, room(self.ids > 0), 0)
-
-    def pair_keys(self, at: np.ndarray) -> np.ndarray:
-        """A hash of the two words from each place on."""
-        h = self.hashes[self.ids[at]] * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(31))) + self.hashes[self.ids[at + 1]]
-        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
-
-    def pairs(self):
-        """Keys of the different phrases of two words, and their counts here."""
-        for _, at, n in intervals(self.ids, self.room, 2, 2):
-            return self.pair_keys(at), n
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def phrases(self, keys: np.ndarray, words: int):
-        """k, phrases, counts of all phrases of 2 to words words in which each two words' key is among keys."""
-        starts = np.flatnonzero(room(self.ids > 0) >= 2)
-        alive = np.zeros(len(self.ids), bool)
-        alive[starts] = np.isin(self.pair_keys(starts), keys)
-        # runs of two and more words are moved together, with a 0 between them
-        member = alive.copy()
-        member[1:] |= alive[:-1]
-        last = member & ~alive
-        kept = np.flatnonzero(member)
-        place = np.arange(len(kept)) + np.concatenate([[0], np.cumsum(last[kept])[:-1]]) if len(kept) else kept
-        ids = np.zeros(int(place[-1]) + 2 if len(kept) else 0, np.int64)
-        valid = np.zeros(len(ids), np.int64)
-        ids[place] = self.ids[kept]
-        valid[place] = np.where(self.room[kept] > 0, room(alive)[kept] + 1, 0)
-        for k, at, n in intervals(ids, valid, 2, words):
-            yield k, pc.binary_join_element_wise(*[self.words.take(pa.array(ids[at + i] - 1)) for i in range(k)], b" "), n
+def suffixes(signed: np.ndarray, ids: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different suffixes of two and more words as rows of words ids (0 after their end), and how often each occurs.
+
+    signed: a shard's numbers of words, ids: what each stands for in all shards (0: a word that ends a run), by that number."""
+    own = ids[np.abs(signed)]
+    valid = np.where(signed > 0, room(own > 0), 0)
+    rows_, counts_ = [np.empty((0, words), np.int32)], [np.empty(0, np.int64)]
+    for k, at, n in intervals(own, valid, 2, words, whole=True):
+        part = np.zeros((len(at), words), np.int32)
+        for i in range(k):
+            part[:, i] = own[at + i]
+        rows_.append(part)
+        counts_.append(n)
+    return np.concatenate(rows_), np.concatenate(counts_)
+
+
+def _range(first: np.ndarray, parts: int) -> np.ndarray:
+    """The range, below parts, of each row of ids."""
+    h = np.zeros(len(first), np.uint64)
+    for column in first.T:
+        h = (h + column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h % np.uint64(parts)).astype(np.int64)
+
+
+def dealt(found: np.ndarray, n: np.ndarray, hot: np.ndarray, parts: int):
+    """range, suffixes, counts for each of parts ranges that has any.
+
+    hot: sorted ids of very common words. A suffix that begins with two of them goes by three words, with its count below 0, which doesn't count for its
+    pair; the pair's count goes by the pair."""
+    to = _range(found[:, :2], parts)
+    if found.shape[1] > 2 and len(hot):
+        both = np.isin(found[:, 0], hot) & np.isin(found[:, 1], hot)
+        pairs, which = np.unique(found[both, :2], axis=0, return_inverse=True)
+        apart = np.zeros((len(pairs), found.shape[1]), np.int32)
+        apart[:, :2] = pairs
+        longer = both & (found[:, 2] > 0)
+        to[longer] = _range(found[longer, :3], parts)
+        kept = ~both | longer
+        pair_n = np.bincount(which.ravel(), n[both], len(pairs)).astype(np.int64)
+        found, n, to = np.concatenate([found[kept], apart]), np.concatenate([np.where(longer, -n, n)[kept], pair_n]), np.concatenate([to[kept], _range(pairs, parts)])
+    order = np.argsort(to, kind="stable")
+    ends = np.searchsorted(to[order], np.arange(parts + 1))
+    for part in np.flatnonzero(np.diff(ends)).tolist():
+        at = order[ends[part] : ends[part + 1]]
+        yield part, found[at], n[at]
+
+
+def packed(found: np.ndarray, n: np.ndarray) -> bytes:
+    """Suffixes and counts as compressed planes of bytes; the first words as differences, and the second ones below one first."""
+    columns = np.concatenate([found.T, n[None]]).astype(np.uint32)
+    first, second = columns[0].copy(), columns[1].copy()
+    columns[0, 1:] -= first[:-1]
+    columns[1, 1:] -= np.where(first[1:] == first[:-1], second[:-1], 0).astype(np.uint32)
+    return pa.compress(np.ascontiguousarray(columns[:, :, None].view(np.uint8).transpose(0, 2, 1)), codec="zstd", asbytes=True)
+
+
+def unpacked(block: bytes, rows_: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """What packed() had: columns of ids, and counts."""
+    size = 4 * rows_ * (words + 1)
+    planes = np.frombuffer(pa.decompress(block, size, codec="zstd", asbytes=True), np.uint8).reshape(words + 1, 4, rows_)
+    columns = np.array(planes.transpose(0, 2, 1), order="C").view(np.uint32)[:, :, 0]
+    start = np.flatnonzero(np.append(True, columns[0, 1:] != 0))
+    columns[0] = np.cumsum(columns[0], dtype=np.uint32)
+    so_far = np.cumsum(columns[1], dtype=np.uint32)
+    before = so_far[start] - columns[1, start]
+    columns[1] = so_far - np.repeat(before, np.diff(np.append(start, rows_)))
+    return columns[:words].view(np.int32), columns[words].view(np.int32).astype(np.int64)
+
+
+def frequent(columns: np.ndarray, n: np.ndarray, least: int):
+    """k, rows of k ids, counts of the phrases that occur least times or more in a range."""
+    keys: list = []
+    bits = 64
+    for c in columns:
+        more = max(1, int(c.max(initial=0)).bit_length())
+        if bits + more > 63:
+            keys.append(c.astype(np.int64))
+            bits = more
+        else:
+            keys[-1] = keys[-1] << more | c
+            bits += more
+    order = np.lexsort(keys[::-1])
+    columns, n = columns[:, order], n[order]
+    new = np.append(True, columns[0, 1:] != columns[0, :-1])
+    for k in range(2, len(columns) + 1):
+        c = columns[k - 1]
+        new[1:] |= c[1:] != c[:-1]
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(np.maximum(n, 0) if k == 2 else np.abs(n), first)
+        often = (f >= least) & (c[first] > 0)
+        yield k, columns[:k, first[often]].T, f[often]
 
 
 def _shards(docs: DataFrame, size: int, words: int) -> DataFrame:
@@ -187,32 +243,58 @@ def _pieces(text: bytes, words: int, size: int | None = None):
 def counts(docs: DataFrame, folder: str, words: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, f of all phrases of 1 to words words with f >= least; lang, n of all words)."""
     shards = rows.settled(_shards(docs, SHARD, words), f"{folder}/shards")
-    totals = shards.groupBy("lang").agg(F.sum(F.expr("aggregate(uses, 0L, (a, x) -> a + x)")).alias("n"))
-    single = shards.select("lang", F.explode(F.arrays_zip("words", "uses")).alias("w")).groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.uses").alias("f"))
-
-    def pairs(parts):
+    totals = rows.saved(shards.groupBy("lang").agg(F.sum(F.expr("aggregate(uses, 0L, (a, x) -> a + x)")).alias("n")), f"{folder}/totals")
+
+    # a row for each shard that has the word; one exchange gives sums, numbers, and the way back to the shards
+    listed = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "uses")).alias("pos", "w")).select("shard", "lang", "pos", F.col("w.words").alias("phrase"), F.col("w.uses").cast("int").alias("uses"))
+    listed = listed.withColumn("bucket", F.pmod(F.hash("lang", "phrase"), F.lit(BUCKETS))).repartition("bucket")
+    known = listed.withColumn("f", F.sum("uses").over(Window.partitionBy("bucket", "lang", "phrase"))).where(F.col("f") >= least)
+    known = known.withColumn("id", F.dense_rank().over(Window.partitionBy("bucket").orderBy("lang", "phrase")) * BUCKETS + F.col("bucket")).select("shard", "lang", "pos", "phrase", "f", "id")
+    known = rows.settled(known, f"{folder}/words")
+    single = known.groupBy("lang", "id").agg(F.first("phrase").alias("phrase"), F.first("f").alias("f"))
+    # a place in the shard's dictionary, an id and whether the word is very common, in one number
+    code = F.shiftleft(F.col("pos").cast("long"), 33) + F.col("id").cast("long") * 2 + (F.col("f") >= HOT).cast("long")
+    alive = known.groupBy("shard").agg(F.collect_list(code).alias("known"))
+
+    def blocks(parts):
         for part in parts:
-            for shard, lang, names, ids in zip(part["shard"], part["lang"], part["words"], part["ids"], strict=True):
-                keys, n = Shard(lang, names, ids).pairs()
-                for at in range(0, len(keys), 500_000):
-                    yield {"shard": pa.array(np.full(len(keys[at : at + 500_000]), shard)), "key": pa.array(keys[at : at + 500_000]), "n": pa.array(n[at : at + 500_000].astype(np.int32))}
-
-    # a row for each shard that has the pair; one exchange by pair gives the sum, and the way back to the shards
-    found = rows.map_rows(shards.select("shard", "lang", "words", "ids"), pairs, "shard long, key long, n int")
-    often = found.withColumn("f", F.sum("n").over(Window.partitionBy("key"))).where(F.col("f") >= least)
-    alive = rows.settled(often.groupBy("shard").agg(F.collect_list("key").alias("keys")), f"{folder}/alive")
+            for lang, ids, own, n in zip(part["lang"], part["ids"], part["known"], part["n"], strict=True):
+                signed = np.frombuffer(zlib.decompress(ids), "<i4")
+                own = np.sort(np.array(own, np.int64))
+                at, number = (own >> 33) + 1, own >> 1 & 0xFFFFFFFF
+                table = np.zeros(max(int(np.abs(signed).max(initial=0)), int(at[-1])) + 1, np.int64)
+                table[at] = number
+                hot = np.sort(number[own & 1 == 1])
+                for part_of, found, times in dealt(*suffixes(signed, table, words), hot, -(-n // RANGE)):
+                    yield {"lang": [lang], "range": [part_of], "m": [len(times)], "block": [packed(found, times)]}
 
     def phrases(parts):
+        held: list = []
+
+        def found(lang):
+            columns, n = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
+            held.clear()
+            for k, ids, f in frequent(columns, n, least):
+                for at in range(0, len(f), 50_000):
+                    m = len(f[at : at + 50_000])
+                    yield {"lang": [lang] * m, "k": pa.array(np.full(m, k, np.int32)), "ids": ids[at : at + m].tolist(), "f": pa.array(f[at : at + m])}
+
+        last = None
         for part in parts:
-            for lang, names, ids, keys in zip(part["lang"], part["words"], part["ids"], part["keys"], strict=True):
-                for k, phrase, n in Shard(lang, names, ids).phrases(np.array(keys, np.int64), words):
-                    for at in range(0, len(n), 200_000):
-                        m = len(n[at : at + 200_000])
-                        yield {"lang": [lang] * m, "k": pa.array(np.full(m, k, np.int32)), "phrase": phrase.slice(at, m), "n": pa.array(n[at : at + m])}
-
-    several = rows.map_rows(shards.select("shard", "lang", "words", "ids").join(alive, "shard"), phrases, "lang string, k int, phrase binary, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f"))
-    kinds = ("lang", "k", F.col("phrase").cast("string").alias("phrase"), "f")
-    every = single.withColumn("k", F.lit(1)).where(F.col("f") >= least).select(*kinds).unionByName(several.where(F.col("f") >= least).select(*kinds))
+            for lang, at, m, block in zip(part["lang"], part["range"], part["m"], part["block"], strict=True):
+                if held and last != (lang, at):
+                    yield from found(last[0])
+                last = (lang, at)
+                held.append(unpacked(block, m, words))
+        if held:
+            yield from found(last[0])
+
+    # merged at any size: Spark takes the lists for far smaller than they are, and would send them whole to all tasks
+    of_words = shards.select("shard", "lang", "ids").join(alive.hint("merge"), "shard").join(F.broadcast(totals) if _few(totals) else totals, "lang")
+    dealt_out = rows.map_rows(of_words, blocks, "lang string, range int, m int, block binary").repartition("lang", "range").sortWithinPartitions("lang", "range")
+    several = rows.saved(rows.map_rows(dealt_out, phrases, "lang string, k int, ids array<int>, f long"), f"{folder}/several")
+    named = several.select("*", F.posexplode("ids").alias("i", "id")).join(single.select("lang", "id", "phrase"), ["lang", "id"]).groupBy("lang", "k", "ids", "f").agg(F.sort_array(F.collect_list(F.struct("i", "phrase"))).alias("w"))
+    every = single.select("lang", F.lit(1).alias("k"), F.col("phrase").cast("string").alias("phrase"), "f").unionByName(named.select("lang", "k", F.expr("concat_ws(' ', transform(w, x -> cast(x.phrase as string)))").alias("phrase"), "f"))
     return rows.settled(every, f"{folder}/phrases"), totals
 
 

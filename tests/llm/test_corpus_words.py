@@ -236,3 +236,46 @@ def test_scores_beyond_64_bits(spark):
     n = 9 * 10**15 + 1
     got = collocations.scored(big, spark.createDataFrame([("en", n)], "lang string, n long")).collect()[0]
     assert got.low.score == 1000 * (10**15 + 7) * n // (6 * 10**30)
+
+
+def test_collocations_shuffle_words_not_phrases(spark, monkeypatch):
+    """All pairs are frequent and most longer phrases aren't: what leaves the shards is counted, and is bounded by the words."""
+    made, whole = [], collocations.rows.map_rows
+    monkeypatch.setattr(collocations.rows, "map_rows", lambda *a: made.append(whole(*a)) or made[-1])
+    rng = random.Random(8)
+    data = [("en", " ".join(rng.choices("abcdefgh", k=400))) for _ in range(20)]
+    df = spark.createDataFrame(data, "lang string, text string").coalesce(1)
+    assert got_collocations(df, least=20) == brute_collocations(data, 20, 2000)
+    listed = [f.selectExpr("sum(m)" if "m" in f.columns else "count(*)").first()[0] for f in made]
+    assert len(listed) == 3 and max(listed) <= 20 * 400
+
+
+@pytest.mark.parametrize("hot", [10, 200, 1 << 30])
+def test_collocations_in_many_ranges(spark, monkeypatch, hot):
+    monkeypatch.setattr(collocations, "SHARD", 200)
+    monkeypatch.setattr(collocations, "RANGE", 150)
+    monkeypatch.setattr(collocations, "HOT", hot)
+    rng = random.Random(hot)
+    data = [(rng.choice(["en", None]), " ".join(rng.choices(["the", "of", "a", "b", "c", "d.", "e", f"w{rng.randint(0, 99)}"], [30, 20, 3, 3, 3, 3, 3, 3], k=rng.randint(1, 60)))) for _ in range(120)] + [("en", "of the " * 300)] * 3
+    df = spark.createDataFrame(data, "lang string, text string").repartition(3)
+    want = brute_collocations(data, 4, 2000)
+    assert len(want) > 50 and got_collocations(df, least=4) == want
+
+
+def test_collocation_blocks():
+    rng = np.random.default_rng(2)
+    for n, parts in ((0, 1), (1, 1), (500, 3)):
+        signed = rng.integers(0, 6, n).astype("<i4")
+        signed[rng.random(n) < 0.1] *= -1
+        own = np.array([0, 5, 1 << 20, 0, 70_000, 3])[np.abs(signed)]
+        valid = np.where(signed > 0, collocations.room(own > 0), 0)
+        found, times = collocations.suffixes(signed, np.array([0, 5, 1 << 20, 0, 70_000, 3]), 5)
+        assert times.sum() == (valid >= 2).sum()
+        for hot in ([], [5, 70_000]):
+            got = Counter()
+            for _, rows_, m in collocations.dealt(found, times, np.array(hot, np.int64), parts):
+                columns, again = collocations.unpacked(collocations.packed(rows_, m), len(m), 5)
+                assert (columns == rows_.T).all() and (again == m).all()
+                for _, ids, f in collocations.frequent(columns, again, 1):
+                    got += Counter(dict(zip(map(tuple, ids.tolist()), f.tolist(), strict=True)))
+            assert got == sum((brute_intervals(own.tolist(), valid.tolist(), k) for k in range(2, 6)), Counter())
