@@ -289,7 +289,7 @@ def counts(docs: DataFrame, folder: str, words: int = WORDS, least: int = LEAST)
         if held:
             yield from found(last[0])
 
-    # merged at any size: Spark takes the lists for far smaller than they are, and would send them whole to all tasks
+    # merged at any size: else the lists may be sent whole to all tasks, of which Spark doesn't know the length
     of_words = shards.select("shard", "lang", "ids").join(alive.hint("merge"), "shard").join(F.broadcast(totals) if _few(totals) else totals, "lang")
     dealt_out = rows.map_rows(of_words, blocks, "lang string, range int, m int, block binary").repartition("lang", "range").sortWithinPartitions("lang", "range")
     several = rows.saved(rows.map_rows(dealt_out, phrases, "lang string, k int, ids array<int>, f long"), f"{folder}/several")
