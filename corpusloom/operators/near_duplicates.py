@@ -1,4 +1,4 @@
-"""Clusters of near duplicates: min-hash bands propose, exact similarities decide, links connect."""
+"""Clusters of near duplicates: min-hash bands propose most links, prefixes of the rarest shingles the others; exact similarities decide, links connect."""
 
 from __future__ import annotations
 
@@ -21,6 +21,8 @@ BANDS, ROWS = 24, 4
 LEADERS = 4
 #: Shingles whose min-hashes a task finds at a time.
 CHUNK = 1 << 17
+#: Counters of shingles, and components with a shingle that a task compares with the others of that shingle.
+COUNTERS, BLOCK = 1 << 20, 1000
 
 
 def shingle_sets(rows: DataFrame, id_: str, text: str, words: int = WORDS) -> DataFrame:
@@ -98,8 +100,8 @@ def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
 
     Each bucket names two leaders, its least and its greatest class, with which the others are compared exactly, not with each other; those that
     link with neither name the next leaders, leaders times over. The number of pairs so follows the number of classes, whatever the size of a
-    bucket. A link is missed where in none of the common buckets one of the two leads, and others don't connect them. Sets (cls, shingles) are
-    asked for those classes alone that share a bucket with another one.
+    bucket. A link is missed where in none of the common buckets one of the two leads: crossing() finds those that others don't make up for.
+    Sets (cls, shingles) are asked for those classes alone that share a bucket with another one.
     """
     folder = tables.scratch(classes.sparkSession, "near-duplicates")
     left = classes.select("cls", "size", F.posexplode("buckets").alias("band", "bucket"))
@@ -127,15 +129,90 @@ def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     return found.distinct()
 
 
+def counted(sets: DataFrame, counters: int = COUNTERS) -> np.ndarray:
+    """How many shingles have each remainder: an order by it has common shingles last, whichever rare ones share their counter."""
+
+    def run(batches):
+        counts, mask = np.zeros(counters, np.int64), np.uint64(counters - 1)
+        for batch in batches:
+            flat = batch.column("shingles").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            counts += np.bincount((flat & mask).view(np.int64), minlength=counters)
+        k = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int32()), "n": pa.array(counts[k])})
+
+    # not exploded: the filter that Spark infers from that would split each text once for every shingle
+    found = sets.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(counters, np.int64)
+    counts[found.column("k").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """id, cls, tokens of sets with shingles: the first shingles, by count and value, of which a set that has percent in common has one among its own."""
+    kind = next(f for f in sets.schema.fields if f.name == "id")
+    out = StructType([kind, StructField("cls", StringType()), StructField("tokens", ArrayType(LongType()))])
+    names, at_once = out.fieldNames(), CHUNK
+
+    def run(batches):
+        mask = np.uint64(len(counts) - 1)
+        for batch in batches:
+            lists = batch.column("shingles")
+            flat, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            there = np.flatnonzero(np.diff(ends) * lists.is_valid().to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(there):
+                end = max(at + 1, int(np.searchsorted(ends[there + 1], ends[there[at]] + at_once, "right")))
+                digests, tokens = [], []
+                for i in there[at:end]:
+                    own = np.sort(flat[ends[i] : ends[i + 1]])
+                    digests.append(hashlib.md5(own.tobytes(), usedforsecurity=False).hexdigest())
+                    tokens.append(own[np.argsort(counts[own & mask], kind="stable")[: len(own) + 1 - -(-percent * len(own) // 100)]])
+                offsets = np.cumsum([0, *map(len, tokens)])
+                held = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(tokens).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(there[at:end])), pa.array(digests), held], names=names)
+                at = end
+
+    return sets.mapInArrow(run, out)
+
+
+def crossing(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """a, b: all pairs of classes of different components that may have percent of their union in common. Members: token, pos (from 0) of the prefix
+    of each class no, its size and component comp.
+
+    The first token that two such sets have in common lies so early in both that what follows can still suffice: in the smaller one, or in both of
+    equal sizes, within an even shorter prefix. Components with a token are paired before classes are, so classes of one component never meet; the
+    components of a token are dealt over tasks by blocks.
+    """
+    early = F.expr(f"pos <= size - ({2 * percent} * size + {99 + percent}) div {100 + percent}")
+    size = F.when(early, F.col("size"))
+    # most tokens are of one component: what is left of the one shuffle of all members is little
+    w = Window.partitionBy("token")
+    several = members.withColumns({"_lo": F.min("comp").over(w), "_hi": F.max("comp").over(w), "_any": F.max(early).over(w)}).where("_lo < _hi and _any")
+    members = tables.saved(several.drop("_lo", "_hi", "_any"), f"{tables.scratch(members.sparkSession, 'crossing')}/members")
+    by = members.groupBy("token", "comp").agg(F.min(size).alias("ilo"), F.max(size).alias("ihi"), F.min("size").alias("lo"), F.max("size").alias("hi"))
+    many = by.groupBy("token").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    shared = by.join(many, "token")
+    one = shared.where("ilo is not null").select("token", F.col("comp").alias("ca"), "ilo", "ihi", F.expr("pmod(xxhash64(comp), parts)").cast("int").alias("part"))
+    other = shared.select("token", F.col("comp").alias("cb"), "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    near = one.join(other, ["token", "part"]).where(f"ca != cb and ilo <= hi and 100 * ihi >= {percent} * lo").select("token", "ca", "cb")
+    own = lambda x: [F.col("comp").alias(f"c{x}"), F.col("no").alias(x), F.col("size").alias(f"n{x}"), F.col("pos").alias(f"p{x}")]
+    met = near.join(members.where(early).select("token", *own("a")), ["token", "ca"]).join(members.select("token", *own("b")), ["token", "cb"])
+    able = f"(na < nb or na = nb and a < b) and 100 * na >= {percent} * nb and {100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)"
+    return met.where(able).select("a", "b").distinct()
+
+
 def clusters(rows: DataFrame, id_: str, text: str, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, per: int = ROWS, leaders: int = LEADERS) -> DataFrame:
     """id, cluster: the least id that verified links reach. Rows without words are clusters of their own; equal sets are one class.
 
-    Of a text only its signature is written and shuffled; the sets of those that may have links are made again, from the text of a class's least id.
+    Links that min-hashes find make components; then all pairs of different components that may be linked are compared, so no link is lost.
+    Of a text its signature and a fifth of its shingles are written and shuffled; the sets of those that may have links are made again, from the text
+    of a class's least id.
     """
     folder = tables.scratch(rows.sparkSession, "clusters")
     sets = tables.saved(signed(shingle_sets(rows, id_, text, words), bands, per), f"{folder}/signed")
     by_cls = sets.where("cls is not null").groupBy("cls").agg(F.first("size").alias("size"), F.first("buckets").alias("buckets"), F.min("id").alias("least"))
-    classes = tables.saved(by_cls, f"{folder}/classes")
+    classes = tables.saved(by_cls.withColumn("no", F.monotonically_increasing_id()), f"{folder}/classes")
+    number = lambda x: classes.select(F.col("cls").alias(x), F.col("no").alias(f"_{x}"))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         least = tables.saved(classes.select("cls", "least").join(wanted, "cls", "left_semi"), f"{folder}/wanted")
@@ -144,12 +221,35 @@ def clusters(rows: DataFrame, id_: str, text: str, words: int = WORDS, percent:
         # an id that isn't unique has other texts too
         return own.join(least.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
-    found = links(classes.select("cls", "size", "buckets"), sets_of, percent, leaders)
-    named = found.select("a", "b", F.concat_ws("-", "a", "b").alias("value"))
-    each = named.select(F.explode(F.array("a", "b")).alias("id"), "value")
-    labels = linked_labels(classes.select(F.col("cls").alias("id"), F.col("least").alias("label")), each)
-    by_class = labels.select(F.col("id").alias("_cls"), "label")
-    with_words = sets.where("cls is not null").select("id", "cls").join(by_class, F.col("cls") == F.col("_cls")).select("id", F.col("label").alias("cluster"))
+    def joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        named = pairs.select("a", "b", F.concat_ws("-", "a", "b").alias("value"))
+        return linked_labels(labels, named.select(F.explode(F.array("a", "b")).alias("id"), "value"))
+
+    found = links(classes.select("cls", "size", "buckets"), sets_of, percent, leaders).join(number("a"), "a").join(number("b"), "b")
+    labels = joined(classes.select(F.col("no").alias("id"), F.col("no").alias("label")), found.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+
+    all_sets = shingle_sets(rows, id_, text, words)
+    own = prefixes(all_sets, counted(all_sets), percent)
+    of_cls = classes.join(labels, F.col("no") == F.col("id")).select(F.col("cls").alias("_cls"), "no", F.col("label").alias("comp"), "size", "least")
+    own = own.join(of_cls, (F.col("cls") == F.col("_cls")) & F.col("id").eqNullSafe(F.col("least")))
+    members = own.select("no", "comp", "size", F.posexplode("tokens").alias("pos", "token"))
+    pairs = tables.saved(crossing(members, percent), f"{folder}/pairs")
+    if pairs.limit(1).count():
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("no")).distinct()
+        kept = sets_of(classes.select("cls", "no").join(asked, "no").select("cls")).join(number("cls"), "cls")
+        kept = tables.saved(kept.select(F.col("_cls").alias("cls"), "shingles"), f"{folder}/sets-{percent}")
+        of = lambda x: labels.select(F.col("id").alias(x), F.col("label").alias(f"_{x}"))
+        more = similar(pairs, kept, percent).join(of("a"), "a").join(of("b"), "b")
+        more = tables.saved(more.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), f"{folder}/more")
+        if more.limit(1).count():
+            ends = more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            further = joined(ends.select("id", F.col("id").alias("label")), more).select(F.col("id").alias("_id"), F.col("label").alias("_label"))
+            labels = labels.join(further, F.col("label") == F.col("_id"), "left").select("id", F.coalesce("_label", "label").alias("label"))
+
+    by_no = classes.join(labels, F.col("no") == F.col("id")).select(F.col("cls").alias("_cls"), "label", "least")
+    least = by_no.groupBy("label").agg(F.min("least").alias("cluster"))
+    by_class = by_no.join(least, "label").select("_cls", "cluster")
+    with_words = sets.where("cls is not null").select("id", "cls").join(by_class, F.col("cls") == F.col("_cls")).select("id", "cluster")
     return with_words.unionByName(sets.where("cls is null").select("id", F.col("id").alias("cluster")))
 
 

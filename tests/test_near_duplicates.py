@@ -114,3 +114,34 @@ def test_signatures_do_not_depend_on_how_sets_are_cut(spark, monkeypatch):
     two = spark.createDataFrame([(0, list(range(0, 3000))), (1, list(range(1000, 4000)))], "id int, shingles array<long>")
     a, b = [r.buckets for r in near_duplicates.signed(two, 2000, 1).orderBy("id").collect()]
     assert 0.46 < sum(x == y for x, y in zip(a, b, strict=True)) / 2000 < 0.54
+
+
+def test_links_that_no_bucket_proposes(spark, monkeypatch):
+    """One band of so many rows that next to no pair shares a bucket; then one counter and blocks of one component."""
+    data = list(enumerate(texts(21, 60)))
+    df = spark.createDataFrame(data, "id long, text string").repartition(3)
+    pairs, label = brute(data)
+    assert len(pairs) > 80
+    run = lambda **more: {r.id: r.cluster for r in near_duplicates.clusters(df, "id", "text", **more).collect()}
+    assert run(bands=1, per=64, leaders=1) == label and run() == label
+    monkeypatch.setattr(near_duplicates.counted, "__defaults__", (1,))
+    monkeypatch.setattr(near_duplicates.crossing, "__defaults__", (1,))
+    assert run(bands=1, per=64) == label
+
+
+def test_pairs_that_prefixes_propose_hold_all_links(spark):
+    """All pairs at the threshold and above, of small sets too, and no pair of one component."""
+    rng = random.Random(4)
+    sets = {i: sorted(rng.sample(range(40), n)) for i, n in enumerate([*range(1, 31)] * 4)}
+    for i in range(120, 240):
+        own = sets[i - 120][rng.randrange(2) :]
+        sets[i] = sorted(own + rng.sample(range(40, 80), rng.randrange(3))) or [i]
+    df = spark.createDataFrame(list(sets.items()), "id long, shingles array<long>")
+    for percent in (50, 80, 100):
+        found = near_duplicates.prefixes(df, near_duplicates.counted(df), percent).collect()
+        rows = [(r.id, r.id % 5 if parted else r.id, len(sets[r.id]), pos, t) for parted in (False, True) for r in found for pos, t in enumerate(r.tokens)]
+        half = len(rows) // 2
+        for own, comp in ((rows[:half], lambda i: i), (rows[half:], lambda i: i % 5)):
+            got = {(min(r), max(r)) for r in near_duplicates.crossing(spark.createDataFrame(own, "no long, comp long, size int, pos int, token long"), percent, 7).collect()}
+            alike = {(a, b) for a in sets for b in sets if a < b and comp(a) != comp(b) and 100 * len(set(sets[a]) & set(sets[b])) >= percent * len(set(sets[a]) | set(sets[b]))}
+            assert alike <= got and all(comp(a) != comp(b) for a, b in got)
