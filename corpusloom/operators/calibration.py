@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import groups
@@ -50,33 +50,40 @@ def slices(batches, size: int = SLICE):
 
 
 def tokenized(rows: DataFrame, encode: Callable, eos: int) -> DataFrame:
-    """rows (id, text) with ids, ending in one eos, and n. Raises on ids that aren't integers of 0 and more, naming the row."""
-    kinds = rows.select("id", "text", F.array().cast("array<int>").alias("ids"), F.lit(0).alias("n")).schema
+    """id and range of rows (id, text, range) with ids, ending in one eos, n, and before: the ids of the task's earlier rows of that range. Raises on
+    ids that aren't integers of 0 and more, naming the row."""
+    kinds = rows.select("id", "range", F.array().cast("array<int>").alias("ids"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("before")).schema
 
     def run(batches):
+        sums = {}
         for batch in slices(batches):
             d = batch.to_pydict()
             found = encode(d["text"])
-            out = []
-            for name, ids in zip(d["id"], found, strict=True):
+            out, before = [], []
+            for name, r, ids in zip(d["id"], d["range"], found, strict=True):
                 if not isinstance(ids, list) or any(not isinstance(i, int) or isinstance(i, bool) or i < 0 for i in ids):
                     raise ValueError(f"{name}: the tokenizer returned invalid ids")
                 out.append(ids if ids and ids[-1] == eos else [*ids, eos])
-            yield pa.RecordBatch.from_pydict({"id": d["id"], "text": d["text"], "ids": pa.array(out, pa.list_(pa.int32())), "n": pa.array([len(i) for i in out], pa.int32())})
+                before.append(sums.get(r, 0))
+                sums[r] = before[-1] + len(out[-1])
+            columns = {"ids": pa.array(out, pa.list_(pa.int32())), "n": pa.array([len(i) for i in out], pa.int32()), "before": pa.array(before, pa.int64())}
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "range": batch.column("range"), **columns})
 
-    return rows.select("id", "text").mapInArrow(run, kinds)
+    return rows.select("id", "text", "range").mapInArrow(run, kinds)
 
 
 def prefix(rows: DataFrame, encode: Callable, eos: int, required: int, tag: str = TAG) -> DataFrame:
-    """id, text, ids, n of rows (id, text) of whole ranges of the hash order that hold required tokens, or of all.
+    """id, range, ids, n, before of rows (id, text) of whole ranges of the hash order that hold required tokens, or of all.
 
     Bytes are summed by range first. Then ranges are tokenized, in order, as far as the rest of the budget should need by the bytes a token
-    took so far; each wave is written. So what isn't needed isn't tokenized, but for a part of the last wave.
+    took so far; each wave is written, without its texts. So what isn't needed isn't tokenized, but for a part of the last wave. The rows are read
+    again for each wave: a copy of them all would be larger than what is tokenized. Texts are brought together by range and put in order, as they
+    take a fraction of their ids' bytes, and ids are added up as they are made.
     """
     spark = rows.sparkSession
     folder = tables.scratch(spark, "calibration")
     h = F.sha2(F.concat(F.lit(tag), F.lit("\0"), F.col("id")).cast("binary"), 256)
-    d = tables.saved(rows.select("id", "text", F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("range")), f"{folder}/rows")
+    d = rows.select("id", "text", h.alias("_h"), F.conv(F.substring(h, 1, 3), 16, 10).cast("int").alias("range"))
     # at most RANGES numbers
     sizes = {r["range"]: r["b"] for r in d.groupBy("range").agg(F.sum(F.octet_length("text") + 1).alias("b")).collect()}
     done, tokens, seen, waves = 0, 0, 0, []
@@ -86,7 +93,8 @@ def prefix(rows: DataFrame, encode: Callable, eos: int, required: int, tag: str
         while end < RANGES and held < max(aim, 1):
             held += sizes.get(end, 0)
             end += 1
-        wave = tables.saved(tokenized(d.where((F.col("range") >= done) & (F.col("range") < end)), encode, eos), f"{folder}/wave-{len(waves)}")
+        placed = d.where((F.col("range") >= done) & (F.col("range") < end)).repartition("range").sortWithinPartitions("range", "_h", "id")
+        wave = tables.saved(tokenized(placed, encode, eos), f"{folder}/wave-{len(waves)}")
         tokens += wave.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
         seen, done = seen + held, end
         waves.append(wave)
@@ -110,7 +118,10 @@ def windows(rows: DataFrame, encode: Callable, decode: Callable, eos: int, size:
     total = found.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
     if total < size * count:
         raise ValueError(f"the rows have {total} tokens; {size * count} are required")
-    selected = tables.saved(groups.budget_prefix(found, "id", "n", size * count, tag), f"{folder}/selected")
+    # at most RANGES rows; the lists of ids aren't moved for it
+    sums = found.groupBy("range").agg(F.sum("n").alias("n"))
+    first = sums.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    selected = found.join(F.broadcast(first), "range").withColumn("start", F.col("_first") + F.col("before")).where(F.col("start") < size * count)
     cut = groups.windows(selected, "ids", "start", size, count)
     kinds = cut.select("*", F.lit("").alias("text")).schema
 

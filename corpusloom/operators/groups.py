@@ -147,9 +147,13 @@ def with_starts(df: DataFrame, key: str, n: str, width: int = 4096) -> DataFrame
 
 def windows(df: DataFrame, ids: str, start: str, size: int, count: int) -> DataFrame:
     """window, ids: a stream of id lists with known starts, cut into count windows of size. Raises if there are too few ids."""
-    each = df.select(F.col(start).alias("_s"), F.posexplode(ids).alias("p", "id"))
-    at = (F.col("_s") + F.col("p")).cast("long")
-    cut = each.select(F.expr(f"cast((_s + p) div {size} as long)").alias("window"), at.alias("at"), "id").where(F.col("window") < count)
-    rows = cut.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("at", "id"))).alias("x"))
-    full = F.when(F.size("x") == size, F.transform("x", lambda e: e["id"])).otherwise(F.raise_error(F.lit("too few tokens for the budget")))
+    s, n = F.col(start).cast("long"), F.size(ids)
+    # a list goes to its windows in pieces, not id by id: an id alone takes many times its bytes in a shuffle
+    last = F.least(F.expr(f"(`{start}` + size(`{ids}`) - 1) div {size}"), F.lit(count - 1)).cast("long")
+    first = F.expr(f"cast(`{start}` as long) div {size}")
+    each = df.where((n > 0) & (first <= last)).select(s.alias("_s"), F.col(ids).alias("_ids"), F.explode(F.sequence(first, last)).alias("window"))
+    at = F.greatest(F.col("window") * size - F.col("_s"), F.lit(0)).cast("int")
+    cut = each.select("window", (F.col("_s") + at).alias("at"), F.slice("_ids", at + 1, ((F.col("window") + 1) * size - F.col("_s") - at).cast("int")).alias("ids"))
+    rows = cut.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("x")).select("window", F.flatten(F.transform("x", lambda e: e["ids"])).alias("x"))
+    full = F.when(F.size("x") == size, F.col("x")).otherwise(F.raise_error(F.lit("too few tokens for the budget")))
     return rows.select("window", full.alias("ids"))

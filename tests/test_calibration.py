@@ -4,8 +4,9 @@ import hashlib
 
 import pytest
 
-from corpusloom.operators import calibration
+from corpusloom.operators import calibration, groups
 from corpusloom.sources import tables
+from test_size import most_rows
 
 EOS = 3
 
@@ -112,3 +113,33 @@ def test_a_large_batch_is_cut():
     batch = pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 1000})
     parts = list(calibration.slices([batch, batch.slice(0, 0)], 10_000))
     assert sum(p.num_rows for p in parts) == 1000 and max(p.num_rows for p in parts) <= 10
+
+
+def test_ids_are_not_moved_one_by_one(spark, monkeypatch):
+    """A list goes to its windows in pieces, and texts or all rows aren't written beside the ids."""
+    written, kept = {}, tables.saved
+
+    def saved(df, path):
+        written[path.rsplit("/", 1)[-1]] = df.columns
+        return kept(df, path)
+
+    monkeypatch.setattr(tables, "saved", saved)
+    rows = [(f"row-{i}", "x" * 1000) for i in range(50)]
+    made, _ = calibration.windows(spark.createDataFrame(rows, "id string, text string"), encode, decode, EOS, 500, 90)
+    assert [r.text for r in made.orderBy("window").collect()] == brute(rows, 500, 90)[0]
+    assert all("text" not in columns for name, columns in written.items() if name != "windows") and "selected" not in written
+    cut = groups.windows(spark.createDataFrame([(list(range(10_000)), 0)], "ids array<int>, start long"), "ids", "start", 1000, 10)
+    assert most_rows(cut) == 10
+
+
+def test_windows_are_cut_where_lists_end(spark):
+    """Empty lists, lists of several windows, of a part of one, and what is left over."""
+    lengths = [0, 7, 3, 25, 0, 1, 4, 13, 9]
+    stream, rows = [], []
+    for k, n in enumerate(lengths):
+        rows.append((list(range(100 * k, 100 * k + n)), len(stream)))
+        stream += rows[-1][0]
+    d = spark.createDataFrame(rows, "ids array<int>, start long").repartition(3)
+    for size, count in ((5, 12), (10, 3), (1, 62), (62, 1)):
+        got = groups.windows(d, "ids", "start", size, count).orderBy("window").collect()
+        assert [r.window for r in got] == list(range(count)) and [i for r in got for i in r.ids] == stream[: size * count]
