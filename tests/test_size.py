@@ -45,6 +45,25 @@ def test_corrections_by_group_are_those_by_pair(spark):
     assert got(joins.correction_reasons(c, k, ["t"], "line")) == got(joins.reasons(pairs, ["t"], pos="line"))
 
 
+def test_reasons_are_kept_in_chunks(spark, monkeypatch):
+    """Chunks of two: corrections of other lists fall before, between and after them, with equal places and null ones; no written list is longer."""
+    kept, most = tables.saved, []
+
+    def saved(df, path):
+        out = kept(df, path)
+        most.extend(out.agg(F.max(F.size(c))).first()[0] or 0 for c, kind in out.dtypes if kind.startswith("array<struct"))
+        return out
+
+    monkeypatch.setattr(tables, "saved", saved)
+    monkeypatch.setattr(joins, "CHUNK", 2, raising=False)
+    more = [(p, 0, about, "", f"{about} {p}") for p in range(0, 40, 3) for about in ("5", "c3_05")] + [(None, 1, "5", "", "none"), (None, 1, "c3_05", "3", "none"), (-5, 1, "5", "", "first"), (99, 1, "5", "", "last")]
+    c = spark.createDataFrame(SLOTS, "pos_key int, cycle string, candidate string, `order` string")
+    k = spark.createDataFrame([*SAID, *more], "pos int, line int, about string, in_cycle string, t string").repartition(3)
+    got = lambda df: sorted(map(tuple, df.collect()))
+    assert got(joins.correction_reasons(c, k, ["t", "about"])) == got(joins.reasons(joins.corrections_for(c, k), ["t", "about"]))
+    assert most and max(most) <= 2
+
+
 def test_pairs_of_candidates_and_corrections_are_not_made(spark):
     """1500 candidates share a name that 1500 corrections give."""
     c = spark.range(1500).selectExpr("id as pos_key", "'3' as cycle", "cast(id + 100 as string) as candidate", "'c3_05' as `order`")
